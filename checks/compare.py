@@ -17,6 +17,14 @@ from checks.oracle import ORACLE
 from checks.queries import QUERIES
 from stayline.session import build_session
 
+LOCAL = {
+    "spark.master": "local[8]",
+    "spark.driver.memory": "8g",
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    "spark.sql.shuffle.partitions": "8",
+}
+
 
 def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -65,7 +73,7 @@ def check(spark: SparkSession, name: str, sf_dir: str) -> tuple[str, int, float]
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("checks", **{"spark.ui.enabled": "false"})
+    spark = build_session("checks", **LOCAL)
     spark.sparkContext.setLogLevel("ERROR")
     for name in sys.argv[2:] or QUERIES:
         verdict, rows, seconds = check(spark, name, sf_dir)

@@ -279,7 +279,7 @@ per_class as (
          coalesce(tp / nullif(tp + fn, 0), 0),
          coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), fn + tp
   from cells),
-both as (
+two as (
   select a.precision as p0, b.precision as p1, a.recall as r0, b.recall as r1,
          a.f1_score as f0, b.f1_score as f1, a.support as s0, b.support as s1
   from per_class a, per_class b where a.c = 0 and b.c = 1)
@@ -288,10 +288,10 @@ union all
 select 'accuracy', (tn + tp) / (tn + fp + fn + tp), (tn + tp) / (tn + fp + fn + tp),
        (tn + tp) / (tn + fp + fn + tp), cast(tn + fp + fn + tp as bigint) from cells
 union all
-select 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, cast(s0 + s1 as bigint) from both
+select 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, cast(s0 + s1 as bigint) from two
 union all
 select 'weighted avg', (p0 * s0 + p1 * s1) / (s0 + s1), (r0 * s0 + r1 * s1) / (s0 + s1),
-       (f0 * s0 + f1 * s1) / (s0 + s1), cast(s0 + s1 as bigint) from both
+       (f0 * s0 + f1 * s1) / (s0 + s1), cast(s0 + s1 as bigint) from two
 """
 
 # name -> (common tables after the views, final select)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from checks.stub_score import add_stub_prediction, add_stub_score
 from checks.views import AS_OF, shop_tables, text_dated_orders
 from stayline.operators import metrics
-from stayline.operators.quantile import median
+from stayline.operators.quantile import quantiles
 from stayline.operators.split import stratified_split
 from stayline.plans import briefs, churn, explore, features, marts
 from stayline.sources.staging import stage
@@ -45,16 +45,13 @@ def _median_impute(t: ShopTables) -> DataFrame:
     """Medians of the raw review columns, and how many gaps they fill."""
     raw = stage(features.rfm_base(t, AS_OF), "rfm_base")
     names = ("avg_review_score", "min_review_score")
-    filled = features.fill_median(raw, *names)
+    filled = features.fill_median(raw, names)
     gaps = raw.agg(*[F.count_if(F.col(n).isNull()).alias(f"{n}_gaps") for n in names])
     sums = filled.agg(
         *[F.sum(F.col(n).cast("decimal(18,3)")).cast("double").alias(f"{n}_sum") for n in names]
     )
-    one_row = gaps.crossJoin(F.broadcast(sums))
-    for n in names:
-        value = median(raw, n).withColumnRenamed("quantile", f"{n}_median")
-        one_row = one_row.crossJoin(F.broadcast(value))
-    return one_row
+    medians = quantiles(raw, names, 0.5).select([F.col(n).alias(f"{n}_median") for n in names])
+    return gaps.crossJoin(F.broadcast(sums)).crossJoin(F.broadcast(medians))
 
 
 def _rfm_segments(t: ShopTables) -> DataFrame:

@@ -15,6 +15,18 @@ from stayline.sources.tables import ShopTables
 AS_OF = datetime(2001, 7, 15)
 UNTRANSLATED = ("Brand#24", "Brand#25")
 
+# Declared, so that building a query does not start a job per file.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "part": "p_partkey bigint, p_brand string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_tax double, l_returnflag string, l_shipdate timestamp_ntz",
+}
+
 
 def _person(custkey: str) -> F.Column:
     """Two accounts share a person."""
@@ -27,7 +39,7 @@ def _money(x: F.Column) -> F.Column:
 
 def shop_tables(spark: SparkSession, sf_dir: str) -> ShopTables:
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
     customer, nation, region = table("customer"), table("nation"), table("region")
     orders, lineitem, part = table("orders"), table("lineitem"), table("part")

@@ -7,26 +7,25 @@ payments rows. The reports aggregate those rows, but never need them: with
 So each side is reduced to one row per order (partly before the shuffle, which
 also absorbs an order holding most of a table), and only totals are joined.
 
-Weights and weighted sums are decimals: the row counts of one huge order may
-multiply beyond 2^63, and decimals keep every sum exact.
+Totals are whole numbers (money in cents): small in the shuffle, and exact. The
+weighted sums are decimals, as the row counts of one huge order may multiply
+beyond 2^63.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 COUNT = "decimal(20,0)"
+CENTS = 100
 
 
-def _rows(name: str) -> Column:
-    return F.count("*").cast(COUNT).alias(name)
-
-
-def _present(column: str, name: str) -> Column:
-    return F.count(column).cast(COUNT).alias(name)
+def cents(amount: Column) -> Column:
+    """A decimal(18,2) amount as a whole number."""
+    return (amount * CENTS).cast("bigint")
 
 
 def line_totals(
@@ -34,32 +33,43 @@ def line_totals(
 ) -> DataFrame:
     """Item rows, prices and freight per order (and per further key)."""
     return order_items.groupBy("order_id", *keys).agg(
-        _rows("line_rows"),
-        F.sum("price").alias("price_sum"),
-        _present("price", "price_rows"),
-        F.sum("freight_value").alias("freight_sum"),
-        _present("freight_value", "freight_rows"),
+        F.count("*").alias("line_rows"),
+        F.sum(cents(F.col("price"))).alias("price_cents"),
+        F.count("price").alias("price_rows"),
+        F.sum(cents(F.col("freight_value"))).alias("freight_cents"),
+        F.count("freight_value").alias("freight_rows"),
         *extra,
     )
 
 
 def review_totals(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy("order_id").agg(
-        _rows("review_rows"),
-        F.sum("review_score").cast(COUNT).alias("score_sum"),
-        _present("review_score", "score_rows"),
+        F.count("*").alias("review_rows"),
+        F.sum("review_score").alias("score_sum"),
+        F.count("review_score").alias("score_rows"),
         F.min("review_score").alias("score_min"),
     )
 
 
 def payment_totals(payments: DataFrame, *keys: str) -> DataFrame:
     return payments.groupBy("order_id", *keys).agg(
-        _rows("payment_rows"),
-        F.sum("payment_installments").cast(COUNT).alias("installment_sum"),
-        _present("payment_installments", "installment_rows"),
+        F.count("*").alias("payment_rows"),
+        F.sum("payment_installments").alias("installment_sum"),
+        F.count("payment_installments").alias("installment_rows"),
     )
 
 
+def mark_first(df: DataFrame, mark: str, *keys: str) -> DataFrame:
+    """Add ``mark``: 1 on one row per combination of ``keys``, 0 on repeats.
+
+    ``sum(mark)`` then counts distinct combinations beside other aggregates
+    without the extra shuffle of a distinct count, provided ``df`` is already
+    partitioned by one of the keys.
+    """
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(keys[0]))
+    return df.withColumn(mark, F.when(place == 1, 1).otherwise(0))
+
+
 class Weights:
     """Sums over the joined rows, written on one row per order.
 
@@ -67,11 +77,13 @@ class Weights:
     """
 
     def __init__(self, paid: bool = True):
-        one = F.lit(1).cast(COUNT)
-        self.n = F.col("line_rows")
-        # A left join keeps one row where the order has no review or payment.
-        self.r = F.coalesce(F.col("review_rows"), one)
-        self.p = F.coalesce(F.col("payment_rows"), one) if paid else one
+        def rows(column: str) -> Column:
+            # A left join keeps one row where the order has no review or payment.
+            return F.coalesce(F.col(column), F.lit(1)).cast(COUNT)
+
+        self.n = rows("line_rows")
+        self.r = rows("review_rows")
+        self.p = rows("payment_rows") if paid else F.lit(1).cast(COUNT)
         self.joined = self.n * self.r * self.p
 
     def rows(self, when: Column | None = None) -> Column:
@@ -81,14 +93,18 @@ class Weights:
         return F.sum(F.when(when, self.joined).otherwise(F.lit(0).cast(COUNT)))
 
     def lines(self, column: str) -> Column:
-        return F.sum(F.col(column) * self.r * self.p)
+        return F.sum(F.col(column).cast(COUNT) * (self.r * self.p))
 
     def scores(self, column: str) -> Column:
-        return F.sum(F.col(column) * self.n * self.p)
+        return F.sum(F.col(column).cast(COUNT) * (self.n * self.p))
 
     def installments(self, column: str) -> Column:
-        return F.sum(F.col(column) * self.n * self.r)
+        return F.sum(F.col(column).cast(COUNT) * (self.n * self.r))
 
     def line_rows_total(self) -> Column:
         """Sum of the order's item count over the joined rows."""
         return F.sum(self.n * self.joined)
+
+    def money(self, column: str) -> Column:
+        """Weighted sum of a cents column, in money."""
+        return self.lines(column).cast("double") / CENTS

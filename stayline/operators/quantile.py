@@ -1,76 +1,107 @@
-"""Exact interpolated quantile without holding the column in one task.
+"""Exact interpolated quantiles without holding a column in one task.
 
 ``percentile`` keeps every distinct value in one task's memory. Here the two
 ranks around the quantile are searched digit by digit: each pass counts rows
 per 21-bit digit below the digits found so far, so a pass never returns more
-than 2 * 2^21 rows, whatever the data, and hot values collapse before the
-shuffle.
+than 2 * 2^21 rows per column, whatever the data, and hot values collapse
+before the shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DIGIT_BITS = 21
-SHIFTS = (42, 21, 0)
+ANY_VALUES = (42, 21, 0)  # three passes for any 63-bit number of ticks
+FEW_VALUES = (0,)  # one pass for columns that take few distinct values
+LARGEST_TICK = 2**62
+
+
+def _ticks(column: str, decimals: int) -> Column:
+    """The value in units of its last decimal; beyond +-2^62 counts as that bound."""
+    whole = F.round(F.col(column).cast("decimal(38,9)"), decimals) * 10**decimals
+    bound = F.lit(LARGEST_TICK).cast("decimal(38,0)")
+    whole = whole.cast("decimal(38,0)")
+    return F.when(whole.isNotNull(), F.greatest(-bound, F.least(whole, bound)).cast("bigint"))
 
 
-def quantile(df: DataFrame, column: str, p: float, decimals: int = 2) -> DataFrame:
-    """One row, one column ``quantile``: linear interpolation, NULLs skipped.
+def quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    p: float,
+    decimals: int = 2,
+    shifts: Sequence[int] = ANY_VALUES,
+) -> DataFrame:
+    """One row with the ``p`` quantile of each column: linear, NULLs skipped.
 
-    The column must hold values of at most ``decimals`` decimals. It is read
-    once for the row count and once per digit, so pass a stored table.
+    Values must have at most ``decimals`` decimals. ``df`` is read once per
+    entry of ``shifts``: pass a stored table.
     """
-    step = 10**decimals
-    ticks = df.select(
-        (F.round(F.col(column).cast("decimal(38,9)"), decimals) * step).cast("bigint").alias("tick")
-    ).where(F.col("tick").isNotNull())
+    named = [
+        F.struct(F.lit(c).alias("name"), _ticks(c, decimals).alias("tick")) for c in columns
+    ]
+    ticks = df.select(F.inline(F.array(*named))).where(F.col("tick").isNotNull())
 
+    # First digit: the ranks wanted follow from the total of all buckets.
+    column = Window.partitionBy("name")
     position = (F.col("rows") - 1) * F.lit(float(p))
-    found = (
-        ticks.agg(F.count("*").alias("rows"))
-        .where("rows > 0")
+    sides = F.array(
+        F.struct(F.lit("low").alias("side"), F.floor(position).alias("rank")),
+        F.struct(F.lit("high").alias("side"), F.ceil(position).alias("rank")),
+    )
+    counts = (
+        ticks.groupBy("name", F.shiftright("tick", shifts[0]).alias("bucket"))
+        .agg(F.count("*").alias("n"))
+        .withColumns(
+            {"upto": F.sum("n").over(column.orderBy("bucket")), "rows": F.sum("n").over(column)}
+        )
         .select(
-            F.explode(
-                F.array(
-                    F.struct(F.lit("low").alias("side"), F.floor(position).alias("rank")),
-                    F.struct(F.lit("high").alias("side"), F.ceil(position).alias("rank")),
-                )
-            ).alias("t"),
+            "name",
+            F.explode(sides).alias("target"),
             (position - F.floor(position)).alias("part"),
+            "bucket",
+            "n",
+            "upto",
         )
-        .select("t.side", "t.rank", "part", F.lit(None).cast("bigint").alias("prefix"))
+        .select(F.col("name").alias("of"), "target.*", "part", "bucket", "n", "upto")
     )
-    for shift in SHIFTS:
-        bucket = F.shiftright("tick", shift)
-        # ``found`` holds two rows, one per side of the quantile.
-        if shift == SHIFTS[0]:
-            near = ticks.crossJoin(F.broadcast(found))
-        else:
-            near = ticks.join(
-                F.broadcast(found), F.shiftright("tick", shift + DIGIT_BITS) == F.col("prefix")
-            )
-        counts = near.groupBy("side", "rank", "part", bucket.alias("bucket")).agg(
-            F.count("*").alias("n")
+    found = _holding_rank(counts)
+    for above, shift in zip(shifts, shifts[1:]):
+        # ``found`` holds two rows per column.
+        inside = (F.col("name") == F.col("of")) & (
+            F.shiftright("tick", above) == F.col("prefix")
         )
-        upto = F.sum("n").over(Window.partitionBy("side").orderBy("bucket"))
-        found = (
-            counts.withColumn("upto", upto)
-            .where((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("n") <= F.col("rank")))
-            .select(
-                "side",
-                (F.col("rank") - (F.col("upto") - F.col("n"))).alias("rank"),
-                "part",
-                F.col("bucket").alias("prefix"),
-            )
+        target = Window.partitionBy("of", "side").orderBy("bucket")
+        counts = (
+            ticks.join(F.broadcast(found), inside)
+            .groupBy("of", "side", "rank", "part", F.shiftright("tick", shift).alias("bucket"))
+            .agg(F.count("*").alias("n"))
+            .withColumn("upto", F.sum("n").over(target))
         )
-    low = F.max(F.when(F.col("side") == "low", F.col("prefix")))
-    high = F.max(F.when(F.col("side") == "high", F.col("prefix")))
-    part = F.max("part")
-    value = F.when(low == high, low / step).otherwise((low * (1 - part) + high * part) / step)
-    return found.agg(value.alias("quantile"))
+        found = _holding_rank(counts)
 
+    step = 10**decimals
+
+    def value(name: str) -> Column:
+        def of(side: str, column: str) -> Column:
+            return F.max(F.when((F.col("of") == name) & (F.col("side") == side), F.col(column)))
+
+        low, high, part = of("low", "prefix"), of("high", "prefix"), of("low", "part")
+        between = (low * (1 - part) + high * part) / step
+        return F.when(low == high, low / step).otherwise(between).alias(name)
 
-def median(df: DataFrame, column: str, decimals: int = 2) -> DataFrame:
-    return quantile(df, column, 0.5, decimals)
+    return found.agg(*[value(c) for c in columns])
+
+
+def _holding_rank(counts: DataFrame) -> DataFrame:
+    """Per target the bucket that holds its rank, and the rank inside the bucket."""
+    before = F.col("upto") - F.col("n")
+    return counts.where((before <= F.col("rank")) & (F.col("rank") < F.col("upto"))).select(
+        "of",
+        "side",
+        (F.col("rank") - before).alias("rank"),
+        "part",
+        F.col("bucket").alias("prefix"),
+    )

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions import days_between, half_up, ratio
-from stayline.operators.fanout import Weights, line_totals, payment_totals, review_totals
-from stayline.operators.quantile import median
+from stayline.operators.fanout import (
+    Weights,
+    line_totals,
+    mark_first,
+    payment_totals,
+    review_totals,
+)
+from stayline.operators.quantile import ANY_VALUES, FEW_VALUES, quantiles
 from stayline.plans.purchases import delivered, item_categories
 from stayline.sources.staging import stage
 from stayline.sources.tables import ShopTables
@@ -52,19 +59,23 @@ def rfm_base(t: ShopTables, as_of: datetime = AS_OF, churn_days: float = CHURN_D
     w = Weights()
     quiet_days = days_since_last_order(as_of)
     late_share = ratio(w.rows(F.col("is_late")), w.rows())
-    return (
+    orders = (
         delivered(t)
         .where(F.col("order_delivered_customer_date").isNotNull())
         .select("order_id", "customer_unique_id", "order_purchase_timestamp", "is_late")
+        .repartition("order_id")
+    )
+    return (
+        mark_first(orders, "new_order", "order_id", "customer_unique_id")
         .join(line_totals(t.order_items), "order_id")
         .join(review_totals(t.reviews), "order_id", "left")
         .join(payment_totals(t.payments), "order_id", "left")
         .groupBy("customer_unique_id")
         .agg(
             quiet_days.cast("int").alias("recency_days"),
-            F.count_distinct("order_id").alias("frequency"),
-            w.lines("price_sum").cast("double").alias("monetary"),
-            half_up(ratio(w.lines("freight_sum"), w.lines("freight_rows")), 2).alias(
+            F.sum("new_order").alias("frequency"),
+            w.money("price_cents").alias("monetary"),
+            half_up(ratio(w.money("freight_cents"), w.lines("freight_rows")), 2).alias(
                 "avg_freight_paid"
             ),
             half_up(ratio(w.line_rows_total(), w.rows()), 2).alias("avg_items_per_order"),
@@ -125,25 +136,24 @@ def raw_features(
     )
 
 
-def fill_median(df: DataFrame, *columns: str) -> DataFrame:
-    """Fill NULLs in ``columns`` with the column's median (one broadcast row each)."""
-    for name in columns:
-        value = median(df.select(name), name).withColumnRenamed("quantile", "fill_value")
-        df = (
-            df.crossJoin(F.broadcast(value))
-            .withColumn(name, F.coalesce(name, "fill_value"))
-            .drop("fill_value")
-        )
-    return df
+def fill_median(
+    df: DataFrame, columns: Sequence[str], shifts: Sequence[int] = ANY_VALUES
+) -> DataFrame:
+    """Fill NULLs in ``columns`` with the column's median (one broadcast row)."""
+    medians = quantiles(df, columns, 0.5, shifts=shifts)
+    fills = medians.select([F.col(c).alias(f"{c}_median") for c in columns])
+    filled = {c: F.coalesce(c, f"{c}_median") for c in columns}
+    return df.crossJoin(F.broadcast(fills)).withColumns(filled).drop(*fills.columns)
 
 
 def impute(raw: DataFrame) -> DataFrame:
     """Fill gaps, then drop people whose spend or recency is unknown.
 
-    Medians are taken over all rows, before the drop.
+    Medians are taken over all rows, before the drop. Review scores run from 1
+    to 5, so their rounded means take few values.
     """
     return (
-        fill_median(raw, "avg_review_score", "min_review_score")
+        fill_median(raw, ["avg_review_score", "min_review_score"], FEW_VALUES)
         .na.fill({"late_delivery_pct": 0.0, "late_delivery_count": 0, "avg_installments": 1.0})
         .na.fill({"category_diversity": 1, "top_category": UNKNOWN_CATEGORY})
         .na.drop(subset=["monetary", "recency_days"])
