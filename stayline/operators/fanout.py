@@ -7,9 +7,10 @@ payments rows. The reports aggregate those rows, but never need them: with
 So each side is reduced to one row per order (partly before the shuffle, which
 also absorbs an order holding most of a table), and only totals are joined.
 
-Totals are whole numbers (money in cents): small in the shuffle, and exact. The
-weighted sums are decimals, as the row counts of one huge order may multiply
-beyond 2^63.
+Totals are whole numbers (money in cents), which keeps the shuffled rows small.
+The weighted sums are doubles that hold whole numbers: exact up to 2^53 (90
+trillion in money) per group, and right to 15 digits beyond, where the row
+counts of one huge order may multiply past any integer type.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-COUNT = "decimal(20,0)"
+WHOLE = "double"
 CENTS = 100
 
 
@@ -79,27 +80,27 @@ class Weights:
     def __init__(self, paid: bool = True):
         def rows(column: str) -> Column:
             # A left join keeps one row where the order has no review or payment.
-            return F.coalesce(F.col(column), F.lit(1)).cast(COUNT)
+            return F.coalesce(F.col(column), F.lit(1)).cast(WHOLE)
 
         self.n = rows("line_rows")
         self.r = rows("review_rows")
-        self.p = rows("payment_rows") if paid else F.lit(1).cast(COUNT)
+        self.p = rows("payment_rows") if paid else F.lit(1).cast(WHOLE)
         self.joined = self.n * self.r * self.p
 
     def rows(self, when: Column | None = None) -> Column:
         """Joined rows; with ``when``, those of the orders it holds for."""
         if when is None:
             return F.sum(self.joined)
-        return F.sum(F.when(when, self.joined).otherwise(F.lit(0).cast(COUNT)))
+        return F.sum(F.when(when, self.joined).otherwise(F.lit(0).cast(WHOLE)))
 
     def lines(self, column: str) -> Column:
-        return F.sum(F.col(column).cast(COUNT) * (self.r * self.p))
+        return F.sum(F.col(column).cast(WHOLE) * (self.r * self.p))
 
     def scores(self, column: str) -> Column:
-        return F.sum(F.col(column).cast(COUNT) * (self.n * self.p))
+        return F.sum(F.col(column).cast(WHOLE) * (self.n * self.p))
 
     def installments(self, column: str) -> Column:
-        return F.sum(F.col(column).cast(COUNT) * (self.n * self.r))
+        return F.sum(F.col(column).cast(WHOLE) * (self.n * self.r))
 
     def line_rows_total(self) -> Column:
         """Sum of the order's item count over the joined rows."""
@@ -107,4 +108,4 @@ class Weights:
 
     def money(self, column: str) -> Column:
         """Weighted sum of a cents column, in money."""
-        return self.lines(column).cast("double") / CENTS
+        return self.lines(column) / CENTS
