@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.stub_score import add_stub_prediction, add_stub_score
-from checks.views import AS_OF, shop_tables, text_dated_orders
+from checks.views import AS_OF, StarShop, text_dated_orders
 from stayline.operators import metrics
 from stayline.operators.quantile import quantiles
 from stayline.operators.split import stratified_split
@@ -22,7 +22,7 @@ CHECK_TREES = 20  # the library's default is churn.TREES
 
 
 def _on_tables(build: Callable[[ShopTables], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(shop_tables(spark, sf_dir))
+    return lambda spark, sf_dir: build(StarShop(spark, sf_dir))
 
 
 def customer_features(t: ShopTables) -> DataFrame:
@@ -46,12 +46,17 @@ def _median_impute(t: ShopTables) -> DataFrame:
     raw = stage(features.rfm_base(t, AS_OF), "rfm_base")
     names = ("avg_review_score", "min_review_score")
     filled = features.fill_median(raw, names)
-    gaps = raw.agg(*[F.count_if(F.col(n).isNull()).alias(f"{n}_gaps") for n in names])
-    sums = filled.agg(
-        *[F.sum(F.col(n).cast("decimal(18,3)")).cast("double").alias(f"{n}_sum") for n in names]
-    )
-    medians = quantiles(raw, names, 0.5).select([F.col(n).alias(f"{n}_median") for n in names])
-    return gaps.crossJoin(F.broadcast(sums)).crossJoin(F.broadcast(medians))
+    medians = quantiles(raw, names, 0.5)
+    one_row = raw.agg(*[F.count_if(F.col(n).isNull()).alias(f"{n}_gaps") for n in names])
+    for n in names:
+        total = F.sum(F.col(n).cast("decimal(18,3)")).cast("double")
+        one_row = one_row.withColumns(
+            {
+                f"{n}_sum": filled.agg(total.alias("total")).scalar(),
+                f"{n}_median": medians.select(n).scalar(),
+            }
+        )
+    return one_row
 
 
 def _rfm_segments(t: ShopTables) -> DataFrame:

@@ -3,7 +3,7 @@
 ``percentile`` keeps every distinct value in one task's memory. Here the two
 ranks around the quantile are searched digit by digit: each pass counts rows
 per 21-bit digit below the digits found so far, so a pass never returns more
-than 2 * 2^21 rows per column, whatever the data, and hot values collapse
+than 2 * 2^22 rows per column, whatever the data, and hot values collapse
 before the shuffle.
 """
 
@@ -14,17 +14,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ANY_VALUES = (42, 21, 0)  # three passes for any 63-bit number of ticks
-FEW_VALUES = (0,)  # one pass for columns that take few distinct values
-LARGEST_TICK = 2**62
+DIGIT_BITS = 21
+# Right shift of each pass. The quantile must lie within +-2^(first shift + 21)
+# units of its last decimal: 44 billion and 20 thousand with two decimals.
+WIDE = (21, 0)
+NARROW = (0,)
 
 
-def _ticks(column: str, decimals: int) -> Column:
-    """The value in units of its last decimal; beyond +-2^62 counts as that bound."""
-    whole = F.round(F.col(column).cast("decimal(38,9)"), decimals) * 10**decimals
-    bound = F.lit(LARGEST_TICK).cast("decimal(38,0)")
-    whole = whole.cast("decimal(38,0)")
-    return F.when(whole.isNotNull(), F.greatest(-bound, F.least(whole, bound)).cast("bigint"))
+def _ticks(column: str, decimals: int, bound: int) -> Column:
+    """The value in units of its last decimal; beyond ``bound`` it counts as the bound."""
+    ticks = F.round(F.col(column).cast("decimal(38,9)"), decimals) * 10**decimals
+    limit = F.lit(bound).cast("decimal(38,9)")
+    inside = F.greatest(-limit, F.least(ticks, limit)).cast("bigint")
+    return F.when(ticks.isNotNull(), inside)
 
 
 def quantiles(
@@ -32,15 +34,18 @@ def quantiles(
     columns: Sequence[str],
     p: float,
     decimals: int = 2,
-    shifts: Sequence[int] = ANY_VALUES,
+    shifts: Sequence[int] = WIDE,
 ) -> DataFrame:
     """One row with the ``p`` quantile of each column: linear, NULLs skipped.
 
     Values must have at most ``decimals`` decimals. ``df`` is read once per
-    entry of ``shifts``: pass a stored table.
+    entry of ``shifts``: pass a stored table. Only ranks matter outside the
+    range of ``shifts``; a quantile that lies there itself raises an error.
     """
+    bound = 2 ** (shifts[0] + DIGIT_BITS)
     named = [
-        F.struct(F.lit(c).alias("name"), _ticks(c, decimals).alias("tick")) for c in columns
+        F.struct(F.lit(c).alias("name"), _ticks(c, decimals, bound).alias("tick"))
+        for c in columns
     ]
     ticks = df.select(F.inline(F.array(*named))).where(F.col("tick").isNotNull())
 
@@ -90,7 +95,13 @@ def quantiles(
 
         low, high, part = of("low", "prefix"), of("high", "prefix"), of("low", "part")
         between = (low * (1 - part) + high * part) / step
-        return F.when(low == high, low / step).otherwise(between).alias(name)
+        outside = F.raise_error(F.lit(f"quantile of {name}: value outside the searched range"))
+        return (
+            F.when((F.abs(low) >= bound) | (F.abs(high) >= bound), outside.cast("double"))
+            .when(low == high, low / step)
+            .otherwise(between)
+            .alias(name)
+        )
 
     return found.agg(*[value(c) for c in columns])
 

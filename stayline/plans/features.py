@@ -16,7 +16,7 @@ from stayline.operators.fanout import (
     payment_totals,
     review_totals,
 )
-from stayline.operators.quantile import ANY_VALUES, FEW_VALUES, quantiles
+from stayline.operators.quantile import NARROW, WIDE, quantiles
 from stayline.plans.purchases import delivered, item_categories
 from stayline.sources.staging import stage
 from stayline.sources.tables import ShopTables
@@ -137,23 +137,21 @@ def raw_features(
 
 
 def fill_median(
-    df: DataFrame, columns: Sequence[str], shifts: Sequence[int] = ANY_VALUES
+    df: DataFrame, columns: Sequence[str], shifts: Sequence[int] = WIDE
 ) -> DataFrame:
-    """Fill NULLs in ``columns`` with the column's median (one broadcast row)."""
+    """Fill NULLs in ``columns`` with the column's median, a scalar subquery each."""
     medians = quantiles(df, columns, 0.5, shifts=shifts)
-    fills = medians.select([F.col(c).alias(f"{c}_median") for c in columns])
-    filled = {c: F.coalesce(c, f"{c}_median") for c in columns}
-    return df.crossJoin(F.broadcast(fills)).withColumns(filled).drop(*fills.columns)
+    return df.withColumns({c: F.coalesce(c, medians.select(c).scalar()) for c in columns})
 
 
 def impute(raw: DataFrame) -> DataFrame:
     """Fill gaps, then drop people whose spend or recency is unknown.
 
     Medians are taken over all rows, before the drop. Review scores run from 1
-    to 5, so their rounded means take few values.
+    to 5, so one pass finds their medians.
     """
     return (
-        fill_median(raw, ["avg_review_score", "min_review_score"], FEW_VALUES)
+        fill_median(raw, ["avg_review_score", "min_review_score"], NARROW)
         .na.fill({"late_delivery_pct": 0.0, "late_delivery_count": 0, "avg_installments": 1.0})
         .na.fill({"category_diversity": 1, "top_category": UNKNOWN_CATEGORY})
         .na.drop(subset=["monetary", "recency_days"])
