@@ -104,7 +104,8 @@ top_cat as (
   from (select customer_unique_id, category,
                row_number() over (partition by customer_unique_id
                                   order by count(*) desc, category) as place
-        from delivered_categories group by customer_unique_id, category)
+        from delivered_categories where category is not null
+        group by customer_unique_id, category)
   where place = 1)
 """
 
