@@ -23,10 +23,11 @@ NARROW = (0,)
 
 def _ticks(column: str, decimals: int, bound: int) -> Column:
     """The value in units of its last decimal; beyond ``bound`` it counts as the bound."""
-    ticks = F.round(F.col(column).cast("decimal(38,9)"), decimals) * 10**decimals
-    limit = F.lit(bound).cast("decimal(38,9)")
-    inside = F.greatest(-limit, F.least(ticks, limit)).cast("bigint")
-    return F.when(ticks.isNotNull(), inside)
+    step = 10**decimals
+    limit = F.lit(bound / step)
+    value = F.col(column).cast("double")
+    inside = F.greatest(-limit, F.least(value, limit))
+    return F.when(value.isNotNull(), F.rint(inside * step).cast("bigint"))
 
 
 def quantiles(
