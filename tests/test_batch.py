@@ -11,7 +11,7 @@ from tests.shops import duckdb_tables, random_shop, sql_rows
 
 
 def test_batch(spark, tmp_path):
-    rows = random_shop(4, orders=400, hot=False)
+    rows = random_shop(4, orders=400, hot="")
     write_csv_shop(rows, tmp_path / "csv")
     out = tmp_path / "out"
     result = run_batch(

@@ -93,7 +93,7 @@ HOT_KEY_SETTINGS = {
 
 def test_hot_customer_and_hot_product_are_split(spark):
     """The two row-level joins are split; all else is summed before its join."""
-    rows = random_shop(9, orders=3000)
+    rows = random_shop(9, orders=3000, hot="c pr")
     tables = spark_tables(spark, rows)
     with settings(spark, **HOT_KEY_SETTINGS):
         bought = delivered(tables).repartition("order_id")
