@@ -1,6 +1,6 @@
 """The whole batch: load, features, training, briefs, marts.
 
-    spark-submit -m stayline.plans.batch --input CSV_FOLDER --output FOLDER
+    python -m stayline.plans.batch --input CSV_FOLDER --output FOLDER
 
 Every stage writes its table before the next one reads it, so a rerun replaces
 the output and a lost executor only repeats tasks of the running stage.
