@@ -1,7 +1,7 @@
 """Column expressions shared by the plans."""
 
 from stayline.functions.binning import cut
-from stayline.functions.dates import days_between, month_of, parse_date_text, to_date_text
+from stayline.functions.dates import days_between, moment, month_of, parse_date_text, to_date_text
 from stayline.functions.numbers import fixed, half_up, ratio
 
 __all__ = [
@@ -9,6 +9,7 @@ __all__ = [
     "days_between",
     "fixed",
     "half_up",
+    "moment",
     "month_of",
     "parse_date_text",
     "ratio",

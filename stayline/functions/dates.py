@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ ISO_TEXT = r"^\d{4}-\d{2}-\d{2}( \d{2}:\d{2}(:\d{2})?)?$"
 DAY_FIRST_TEXT = r"^\d{2}-\d{2}-\d{4}( \d{2}:\d{2}(:\d{2})?)?$"
 OUTPUT_TEXT = "yyyy-MM-dd HH:mm:ss"
 
-MICROS_PER_DAY = 86_400_000_000.0
+SECONDS_IN = {"DAY": 86_400, "HOUR": 3_600, "MINUTE": 60, "SECOND": 1}
 
 
 def parse_date_text(text: Column) -> Column:
@@ -23,13 +25,25 @@ def parse_date_text(text: Column) -> Column:
 
 
 def to_date_text(ts: Column) -> Column:
-    return F.date_format(ts, OUTPUT_TEXT)
+    """``yyyy-MM-dd HH:mm:ss``; ``date_format`` would go through the session zone."""
+    return F.substring(ts.cast("string"), 1, 19)
 
 
 def month_of(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM")
+    return F.substring(ts.cast("string"), 1, 7)
+
+
+def moment(at: datetime) -> Column:
+    """A literal; passing the datetime itself would go through two time zones."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def days_between(start: Column, end: Column) -> Column:
-    """Days from ``start`` to ``end`` with their fraction, negative if reversed."""
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(MICROS_PER_DAY)
+    """Days from ``start`` to ``end`` with their fraction, negative if reversed.
+
+    From the interval's parts: ``timestamp_diff`` would go through the session
+    zone and lose an hour where its clocks change.
+    """
+    gap = end - start
+    parts = [F.extract(F.lit(unit), gap) * seconds for unit, seconds in SECONDS_IN.items()]
+    return sum(parts[1:], parts[0]).cast("double") / float(SECONDS_IN["DAY"])

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayline.functions import days_between, half_up, ratio
+from stayline.functions import days_between, half_up, moment, ratio
 from stayline.operators.fanout import (
     Weights,
     line_totals,
@@ -45,8 +45,7 @@ FEATURE_COLUMNS = (
 
 
 def days_since_last_order(as_of: datetime) -> Column:
-    now = F.lit(as_of).cast("timestamp_ntz")
-    return days_between(F.max("order_purchase_timestamp"), now)
+    return days_between(F.max("order_purchase_timestamp"), moment(as_of))
 
 
 def rfm_base(t: ShopTables, as_of: datetime = AS_OF, churn_days: float = CHURN_DAYS) -> DataFrame:

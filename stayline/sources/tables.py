@@ -7,7 +7,7 @@ from dataclasses import dataclass, fields
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.functions.dates import parse_date_text
+from stayline.functions.dates import parse_date_text, to_date_text
 
 # Input file names, date columns and the text read as missing.
 CSV_FILES = {
@@ -162,8 +162,8 @@ def date_quality(raw_orders: DataFrame) -> DataFrame:
             "text_values",
             "parsed_values",
             "unparsed_values",
-            F.date_format("first_ts", "yyyy-MM-dd HH:mm:ss").alias("first_date"),
-            F.date_format("last_ts", "yyyy-MM-dd HH:mm:ss").alias("last_date"),
+            to_date_text(F.col("first_ts")).alias("first_date"),
+            to_date_text(F.col("last_ts")).alias("last_date"),
         )
     )
 

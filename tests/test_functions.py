@@ -6,10 +6,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from stayline.functions import cut, days_between, fixed, half_up, parse_date_text, ratio
+from stayline.functions import cut, days_between, fixed, half_up, moment, parse_date_text, ratio
 from stayline.plans.churn import risk_segment
 from stayline.plans.marts import HIGH_VALUE, ONE_TIME, rfm_segment, revenue_at_risk, spend_tier
-from tests.shops import ts
 
 
 def column_of(spark, values, kind, make):
@@ -36,15 +35,18 @@ def test_dates_in_both_layouts(spark):
     assert column_of(spark, list(texts), "string", parse_date_text) == list(texts.values())
 
 
-def test_days_keep_fraction_and_sign(spark):
-    df = spark.createDataFrame(
-        [(ts("2018-06-02 12:00:00"),), (ts("2018-09-02 12:00:00"),), (None,)], "t timestamp_ntz"
-    )
-    now = F.lit(datetime(2018, 9, 1)).cast("timestamp_ntz")
-    days = [r[0] for r in df.select(days_between(F.col("t"), now)).collect()]
-    whole = [r[0] for r in df.select(days_between(F.col("t"), now).cast("int")).collect()]
-    assert days == [90.5, -1.5, None]
-    assert whole == [90, -1, None]
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_days_keep_fraction_and_sign(spark, zone):
+    moments = ["2018-06-02 12:00:00", "2018-09-02 12:00:00", "2018-03-01 00:00:00", None]
+    df = spark.createDataFrame([(i, m) for i, m in enumerate(moments)], "i int, m string")
+    gap = days_between(F.col("m").cast("timestamp_ntz"), moment(datetime(2018, 9, 1)))
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = df.orderBy("i").select(gap.alias("days"), gap.cast("int").alias("whole")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [r.days for r in rows] == [90.5, -1.5, 184.0, None]
+    assert [r.whole for r in rows] == [90, -1, 184, None]
 
 
 def test_half_up_and_ratio(spark):
