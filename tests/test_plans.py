@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from contextlib import contextmanager
 
 import pytest
@@ -91,8 +92,23 @@ HOT_KEY_SETTINGS = {
 }
 
 
+def test_hot_order_is_split_in_category_counts(spark):
+    rows = random_shop(9, orders=300, hot="")
+    order_id = next(o[0] for o in rows["orders"] if o[2] == "delivered")
+    r = random.Random(9)
+    rows["order_items"] += [(order_id, 1, f"pr{r.randrange(40)}", None, None) for _ in range(20000)]
+    tables = spark_tables(spark, rows)
+    small = {name: "1k" if value == "4k" else value for name, value in HOT_KEY_SETTINGS.items()}
+    with settings(spark, **small), duckdb_tables(rows) as con:
+        counts = features.category_counts(tables)
+        counts.collect()
+        assert "SortMergeJoin(skew=true) [order_id" in plan_of(counts)
+        top = features.top_category(tables).toPandas()
+        assert mismatch(top, sql_rows(con, "top_category")) is None
+
+
 def test_hot_customer_and_hot_product_are_split(spark):
-    """The two row-level joins are split; all else is summed before its join."""
+    """Row-level joins are split; all else is summed before its join."""
     rows = random_shop(9, orders=3000, hot="c pr")
     tables = spark_tables(spark, rows)
     with settings(spark, **HOT_KEY_SETTINGS):
