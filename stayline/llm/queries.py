@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import sharding, warc
+from stayline.llm import bpe, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 16
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +36,17 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = bpe.encode(docs, TOKENIZER, keep=["doc_id"])
+    return bpe.decode(ids, TOKENIZER).select(
+        "doc_id",
+        F.call_function("div", F.octet_length("token_ids"), F.lit(4)).cast("long").alias("n_tokens"),
+        F.sha2("token_ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(table(spark, sf_dir, "documents"), SHARDS)
     return placed.select(
@@ -49,6 +62,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
+    "op2_bpe": op2_bpe,
     "op7_sharding": op7_sharding,
 }
 
