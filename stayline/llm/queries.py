@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, langid, sharding, warc
+from stayline.llm import bpe, kneser_ney, langid, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,11 +68,28 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    training = kneser_ney.in_training(F.col("doc_id"))
+    model = kneser_ney.train(docs.filter(training))
+    scored = kneser_ney.score(docs, model, keep=["doc_id"])
+    return scored.select(
+        "doc_id",
+        (~training).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_bpe": op2_bpe,
     "op4_langid": op4_langid,
     "op7_sharding": op7_sharding,
+    "op10_lm": op10_lm,
 }
 
 ORACLE: dict[str, str] = {}
