@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, kneser_ney, langid, sharding, warc
+from stayline.llm import bpe, kneser_ney, langid, sharding, substrings, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +55,13 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs, keep=["doc_id"]).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(table(spark, sf_dir, "documents"), SHARDS)
     return placed.select(
@@ -88,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_bpe": op2_bpe,
     "op4_langid": op4_langid,
+    "op6_substrings": op6_substrings,
     "op7_sharding": op7_sharding,
     "op10_lm": op10_lm,
 }
