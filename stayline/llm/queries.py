@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, kneser_ney, langid, sharding, substrings, warc
+from stayline.llm import bpe, jaccard, kneser_ney, langid, sharding, substrings, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +55,11 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.near_duplicates(docs, k=4, percent=85, keep=["doc_id"])
+
+
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substrings.remove_repeats(docs, keep=["doc_id"]).select(
@@ -95,6 +100,7 @@ QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_bpe": op2_bpe,
     "op4_langid": op4_langid,
+    "op5_jaccard": op5_jaccard,
     "op6_substrings": op6_substrings,
     "op7_sharding": op7_sharding,
     "op10_lm": op10_lm,
