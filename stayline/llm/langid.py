@@ -57,12 +57,13 @@ def held_out(doc_id: Column) -> Column:
 def training_sample(docs: DataFrame, per_language: int) -> DataFrame:
     """lang and text of at most ``per_language`` labelled documents a language.
 
-    A first cut by hash leaves few more than that, so the ranking that makes the
-    bound exact sees a bounded number of rows per language.
+    A first cut by hash, in which equal rows count once, leaves few more than
+    that, so the ranking that makes the bound exact sees a bounded number of rows
+    per language.
     """
     known = docs.filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
-    ).select("lang", "text", F.xxhash64("doc_id").alias("_h"))
+    ).select("lang", "text", F.xxhash64("doc_id", "text").alias("_h"))
     sizes = known.groupBy("lang").count().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
@@ -72,7 +73,7 @@ def training_sample(docs: DataFrame, per_language: int) -> DataFrame:
     for row in sizes:
         rate = min(1.0, (1.2 * per_language + 100) / row["count"])
         share = F.when(F.col("lang") == row["lang"], F.lit(rate)).otherwise(share)
-    some = known.filter(F.pmod("_h", F.lit(1_000_000)) < share * 1_000_000)
+    some = known.filter(F.pmod("_h", F.lit(1_000_000)) < share * 1_000_000).distinct()
     order = Window.partitionBy("lang").orderBy("_h", "text")
     return (
         some.withColumn("_n", F.row_number().over(order))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, jaccard, kneser_ney, langid, sharding, substrings, warc
+from stayline.llm import bpe, decontaminate, jaccard, kneser_ney, langid, sharding, substrings, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +80,12 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select("doc_id", F.inline("leaks"))
+
+
 def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     training = kneser_ney.in_training(F.col("doc_id"))
@@ -103,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op5_jaccard": op5_jaccard,
     "op6_substrings": op6_substrings,
     "op7_sharding": op7_sharding,
+    "op9_decontaminate": op9_decontaminate,
     "op10_lm": op10_lm,
 }
 
