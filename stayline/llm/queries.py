@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, decontaminate, jaccard, kneser_ney, langid, sharding, substrings, warc
+from stayline.llm import bpe, decontaminate, jaccard, kneser_ney, langid, quality, sharding, substrings, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,14 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rules = quality.learn(*quality.labelled_statistics(docs, table(spark, sf_dir, "labels")))
+    return quality.judge(docs, rules, keep=["doc_id"]).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"
+    )
+
+
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.predict(docs, langid.train(docs), keep=["doc_id"])
@@ -105,6 +113,7 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_bpe": op2_bpe,
+    "op3_quality": op3_quality,
     "op4_langid": op4_langid,
     "op5_jaccard": op5_jaccard,
     "op6_substrings": op6_substrings,
