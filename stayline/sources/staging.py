@@ -32,5 +32,5 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     run = f"{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:12]}"
     path = f"{checkpoint_root(spark).rstrip('/')}/stayline/{run}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
