@@ -1,0 +1,64 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+
+from stayline.llm import kneser_ney
+from tests.llm import brute
+
+
+def scored(spark, train, docs):
+    model = kneser_ney.train(train)
+    return model, {r["key"]: r for r in kneser_ney.score(docs, model, ["key"]).collect()}
+
+
+def test_scores_match_brute_force(spark):
+    rows = [(i, t) for i, (_, t) in enumerate(brute.documents())]
+    docs = spark.createDataFrame(rows, "key long, text string").repartition(4)
+    model, found = scored(spark, docs.filter("key % 4 <> 1"), docs)
+    total, want = brute.kneser_ney([t for k, t in rows if k % 4 != 1], [t for _, t in rows])
+    assert model.tokens == total
+    for (key, _), (n, known, base, score) in zip(rows, want, strict=True):
+        r = found[key]
+        assert (r["n_tokens"], r["n_known"]) == (n, known)
+        assert math.isclose(r["base_score"], base, rel_tol=1e-9, abs_tol=1e-9)
+        assert math.isclose(r["score"], score, rel_tol=1e-6, abs_tol=1e-6)
+
+
+def test_chances_of_all_followers_add_up_to_one(spark):
+    texts = ["a b a c", "a b b", "c a b a a", None]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    model = kneser_ney.train(docs)
+    scorer = kneser_ney.Scorer(model)
+    kinds = ["a", "b", "c"]
+    h = {w: kneser_ney.word_hashes(*_bytes(w), lower=True)[0] for w in [*kinds, "unseen"]}
+    for context in (h["a"], h["b"], kneser_ney.BEGIN):
+        followers = [*(h[w] for w in kinds), kneser_ney.END, h["unseen"]]
+        n = len(followers)
+        _, _, p = scorer.score(np.array(followers), np.array([context] * n), np.arange(n))
+        assert abs(sum(10**x for x in p) - 1) < 1e-6
+
+
+def _bytes(word: str):
+    data = np.frombuffer(word.encode(), np.uint8)
+    return data, np.array([0]), np.array([len(data)])
+
+
+def test_small_chunks_and_empty_training(spark, monkeypatch):
+    rows = [(i, t) for i, (_, t) in enumerate(brute.documents(7))]
+    docs = spark.createDataFrame(rows, "key long, text string")
+    whole = scored(spark, docs, docs)[1]
+    monkeypatch.setattr(kneser_ney, "CHUNK", 500)
+    parts = scored(spark, docs, docs)[1]
+    assert all(abs(parts[k]["score"] - r["score"]) < 1e-6 for k, r in whole.items())
+    model, none = scored(spark, docs.filter("false"), docs.limit(5))
+    assert model.tokens == 0 and all(r["n_known"] == 0 and r["score"] == 0 for r in none.values())
+    assert kneser_ney.score(docs.filter("false"), model, ["key"]).count() == 0
+
+
+@pytest.mark.parametrize("tally", [[0, 0, 0, 0], [5, 0, 1, 0], [10, 5, 0, 0], [1, 100, 1, 1]])
+def test_discounts_stay_below_the_counts(tally):
+    d = kneser_ney.discounts(tally)
+    assert (d >= 0).all() and (d <= [0, 1, 2, 3]).all()

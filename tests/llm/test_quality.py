@@ -1,0 +1,61 @@
+from __future__ import annotations
+
+import numpy as np
+
+from stayline.llm import quality
+from tests.llm import brute
+
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def test_statistics_match_plain_counts(spark):
+    rows = brute.documents()
+    rows += [(600, "a b c a b c a b c d " * 20), (601, "x y\nx y\n \n \nx y"), (602, "# $ a|b <c>&%*\x0b\x0cA É"), (603, "a a a a")]
+    docs = brute.table(spark, rows)
+    found = quality.judge(docs, [], ["doc_id", "text"]).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert tuple(r[c] for c in COUNTS) == brute.quality(r["text"]), r["doc_id"]
+        assert r["kept"] == (not r["base_failed"])
+
+
+def test_filters_on_the_verdict_stay_above_the_search(spark):
+    docs = brute.table(spark, brute.documents())
+    judged = quality.judge(docs, [], ["doc_id"]).filter("kept and n_repeat_words < 10")
+    assert judged.count() == sum(not brute.quality(t)[5] and brute.quality(t)[4] < 10 for _, t in brute.documents())
+
+
+def test_rules_separate_labelled_rows():
+    rng = np.random.default_rng(1)
+    n = 3000
+    table = {c: rng.random(n) for c in quality.STATISTICS}
+    bad = (table["symbol_share"] > 0.8) | ((table["upper_share"] > 0.6) & (table["mean_word"] <= 0.5))
+    rules = quality.learn(table, bad)
+    rows = np.ones(n, bool)
+    found = np.zeros(n, bool)
+    for rule in rules:
+        assert 1 <= len(rule) <= quality.MAX_CONDITIONS
+        found |= quality._covers(rule, table, rows)
+    assert (found == bad).mean() > 0.97
+
+
+def test_no_labels_or_one_class_give_no_rules(spark):
+    table = {c: np.zeros(4) for c in quality.STATISTICS}
+    assert quality.learn(table, np.zeros(4, bool)) == [] == quality.learn(table, np.ones(4, bool))
+    docs = brute.table(spark, brute.documents())
+    labels = spark.createDataFrame([(1, None, 0), (None, 0, 0), (9999, 0, 1)], "doc_id long, quality int, toxic int")
+    learned = quality.labelled_statistics(docs, labels)
+    assert len(learned[1]) == 0 and quality.learn(*learned) == []
+
+
+def test_symbol_rule_is_learned_from_labels_and_applied_in_order(spark):
+    good = [(i, brute.prose(__import__("random").Random(i), 80)) for i in range(40)]
+    bad = [(100 + i, t.replace(" ", " ### ")) for i, (_, t) in enumerate(good[:20])]
+    docs = spark.createDataFrame(good + bad, "doc_id long, text string")
+    labels = spark.createDataFrame([(d, int(d < 100)) for d, _ in good + bad], "doc_id long, quality int")
+    rules = quality.learn(*quality.labelled_statistics(docs, labels))
+    assert rules
+    kept = quality.judge(docs, rules, ["doc_id"]).collect()
+    assert {r["doc_id"] for r in kept if r["kept"]} == {d for d, _ in good}
+    assert {r["rule"] for r in kept if not r["kept"]} <= set(range(1, len(rules) + 1))
+    assert quality.judge(docs.filter("false"), rules, ["doc_id"]).count() == 0
