@@ -507,20 +507,12 @@ def _sparse_links(docs: DataFrame, pivots, nodes: DataFrame, k: int, percent: in
     )
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, keep: list[str] | None = None) -> DataFrame:
-    """Columns ``keep`` (all where None), n_shingles and component_id of each document.
-
-    Documents link where their sets of k-word shingles have a Jaccard similarity
-    of at least ``percent`` in a hundred (51 to 100); component_id is the least
-    doc_id that links reach. A null or empty text has no shingles and links with
-    nothing. Rows may repeat; a null doc_id is left out of the least, and a class
-    of nothing else has none. Columns called n_shingles or component_id are replaced.
-    """
+def _classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, n_shingles, set_name and id of every document; set_name, label and least id of every set."""
     if not 50 < percent <= 100:
         raise ValueError("percent must be above 50 and at most 100")
     spark = docs.sparkSession
     small_batches(spark)
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("n_shingles", "component_id")]
     named = named_sets(docs.select("doc_id", "text"), k, ["doc_id"])
     named = stage(named.withColumn("id", _id()), "named_sets")
     nodes = stage(
@@ -540,16 +532,53 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, keep: list[s
     )
     label = components(links)
     grouped = nodes.join(label, "node", "left").select("node", "id", F.coalesce("label", "node").alias("label"))
-    least = grouped.groupBy("label").agg(F.min("id").alias("_least"))
-    classes = grouped.join(least, "label").select(F.col("node").alias("set_name"), "_least")
-    if keep is not None and set(kept) <= {"doc_id"}:
-        rows = named
-    else:
-        extra = [c for c in kept if c != "doc_id"]
-        rows = named_sets(docs, k, list(dict.fromkeys(["doc_id", *extra]))).withColumn("id", _id())
-    least_id = F.coalesce("_least", "id")
-    return rows.join(classes, "set_name", "left").select(
+    least = grouped.groupBy("label").agg(F.min("id").alias("least"))
+    classes = grouped.join(least, "label").select(F.col("node").alias("set_name"), "label", "least")
+    return named, stage(classes, "classes")
+
+
+def _with_sets(docs: DataFrame, named: DataFrame, k: int, kept: list[str]) -> DataFrame:
+    """``named`` with the columns ``kept`` of ``docs``."""
+    if set(kept) <= {"doc_id"}:
+        return named
+    return named_sets(docs, k, list(dict.fromkeys(["doc_id", *kept]))).withColumn("id", _id())
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, keep: list[str] | None = None) -> DataFrame:
+    """Columns ``keep`` (all where None), n_shingles and component_id of each document.
+
+    Documents link where their sets of k-word shingles have a Jaccard similarity
+    of at least ``percent`` in a hundred (51 to 100); component_id is the least
+    doc_id that links reach. A null or empty text has no shingles and links with
+    nothing. Rows may repeat; a null doc_id is left out of the least, and a class
+    of nothing else has none. Columns called n_shingles or component_id are replaced.
+    """
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("n_shingles", "component_id")]
+    named, classes = _classes(docs, k, percent)
+    least = F.coalesce("least", "id")
+    return _with_sets(docs, named, k, kept).join(classes, "set_name", "left").select(
         *[F.col(f"`{c}`") for c in kept],
         "n_shingles",
-        F.when(least_id != _LAST, least_id).alias("component_id"),
+        F.when(least != _LAST, least).alias("component_id"),
+    )
+
+
+def one_per_class(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` with one document of each class: that with the least doc_id.
+
+    Documents without words stay. Where the least doc_id of a class is on several
+    rows, or all its documents have none, one of these rows stays.
+    """
+    kept = [c for c in docs.columns if c not in ("n_shingles", "component_id")]
+    named, classes = _classes(docs, k, percent)
+    first = F.col("least").isNull() | (F.col("id") == F.col("least"))
+    several = (
+        named.join(classes, "set_name").filter(first).groupBy("label").count().filter("count > 1").select("label")
     )
+    several = stage(several, "several_firsts")
+    rows = _with_sets(docs.select(*[f"`{c}`" for c in kept]), named, k, kept)
+    rows = rows.join(classes, "set_name", "left").filter(first)
+    alone = rows.join(several, "label", "left_anti")
+    if not several.isEmpty():
+        alone = alone.unionByName(rows.join(several, "label", "left_semi").dropDuplicates(["label"]))
+    return alone.select(*[F.col(f"`{c}`") for c in kept])
