@@ -155,14 +155,19 @@ def text_dated_orders(orders: DataFrame) -> DataFrame:
 
     def mixed(name: str) -> F.Column:
         ts = F.col(name)
-        layout = F.col("order_id") % 7
+        layout = F.col("order_id") % 11
         return (
             F.when(layout == 0, F.date_format(ts, "yyyy-MM-dd"))
             .when(layout == 1, F.date_format(ts, "dd-MM-yyyy HH:mm"))
             .when(layout == 2, F.date_format(ts, "dd-MM-yyyy HH:mm:ss"))
-            .when(layout == 3, F.date_format(ts, "MM/dd/yyyy"))
+            .when(layout == 3, F.date_format(ts, "dd/MM/yyyy HH:mm"))
             .when(layout == 4, F.date_format(ts, "yyyy-99-dd"))
-            .otherwise(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
+            .when(layout == 5, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))
+            .when(layout == 6, F.date_format(ts, "yyyy/MM/dd HH:mm"))
+            .when(layout == 7, F.date_format(ts, "d-M-yyyy H:mm"))
+            .when(layout == 8, F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSS"))
+            .when(layout == 9, F.date_format(ts, "yyyy-MM-dd HH:mm:ss'+00:00'"))
+            .otherwise(F.date_format(ts, "MM.dd.yyyy"))
         )
 
     names = (

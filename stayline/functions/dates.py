@@ -7,20 +7,45 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted text layouts, and the layout of timestamps in CSV output.
-ISO_TEXT = r"^\d{4}-\d{2}-\d{2}( \d{2}:\d{2}(:\d{2})?)?$"
-DAY_FIRST_TEXT = r"^\d{2}-\d{2}-\d{4}( \d{2}:\d{2}(:\d{2})?)?$"
+# Accepted text: year first or day first, dashes or slashes, one or two digits for day, month
+# and hour, a blank or T before the time, fractions of a second, a zone.
+_TIME = r"(?:[ T](\d{1,2}):(\d{2})(?::(\d{2})(\.\d{1,9})?)?)? ?(Z|[+-]\d{2}:?\d{2})?$"
+YEAR_FIRST_TEXT = r"^(\d{4})[-/](\d{1,2})[-/](\d{1,2})" + _TIME
+DAY_FIRST_TEXT = r"^(\d{1,2})[-/](\d{1,2})[-/](\d{4})" + _TIME
+# Fixed value: the layout of timestamps in CSV output.
 OUTPUT_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 SECONDS_IN = {"DAY": 86_400, "HOUR": 3_600, "MINUTE": 60, "SECOND": 1}
 
 
 def parse_date_text(text: Column) -> Column:
-    """Timestamp from ISO or day-first text; any other text gives NULL."""
+    """Timestamp from year-first or day-first text; text that names no moment gives NULL.
+
+    A time with a zone is moved to UTC; digits beyond microseconds are cut.
+    """
     text = F.trim(text)
-    day_first = F.regexp_replace(text, r"^(\d{2})-(\d{2})-(\d{4})", "$3-$2-$1")
-    return F.when(text.rlike(ISO_TEXT), text.try_cast("timestamp_ntz")).when(
-        text.rlike(DAY_FIRST_TEXT), day_first.try_cast("timestamp_ntz")
+
+    def read(pattern: str, year: int, month: int, day: int) -> Column:
+        def part(group: int) -> Column:
+            return F.regexp_extract(text, pattern, group)
+
+        def two(group: int) -> Column:
+            return F.lpad(part(group), 2, "0")
+
+        moment = F.concat(
+            part(year), F.lit("-"), two(month), F.lit("-"), two(day), F.lit(" "), two(4), F.lit(":"),
+            F.lpad(part(5), 2, "0"), F.lit(":"), two(6), F.substring(part(7), 1, 7),
+        )
+        zone = F.regexp_replace(part(8), ":", "")
+        sign = F.when(F.substring(zone, 1, 1) == "-", -1).otherwise(1)
+        minutes = F.when(
+            F.length(zone) == 5,
+            sign * (F.substring(zone, 2, 2).cast("int") * 60 + F.substring(zone, 4, 2).cast("int")),
+        ).otherwise(0)
+        return moment.try_cast("timestamp_ntz") - F.make_dt_interval(mins=minutes)
+
+    return F.when(text.rlike(YEAR_FIRST_TEXT), read(YEAR_FIRST_TEXT, 1, 2, 3)).when(
+        text.rlike(DAY_FIRST_TEXT), read(DAY_FIRST_TEXT, 3, 2, 1)
     )
 
 
