@@ -15,37 +15,47 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DIGIT_BITS = 21
-# Right shift of each pass. The quantile must lie within +-2^(first shift + 21)
-# units of its last decimal: 44 billion and 20 thousand with two decimals.
-WIDE = (21, 0)
-NARROW = (0,)
+# Whole numbers up to here are exact as doubles.
+EXACT = 2**53
+# Share of a unit by which a double may miss a whole number of units.
+SLACK = 1e-6
 
 
-def _ticks(column: str, decimals: int, bound: int) -> Column:
-    """The value in units of its last decimal; beyond ``bound`` it counts as the bound."""
-    step = 10**decimals
-    limit = F.lit(bound / step)
-    value = F.col(column).cast("double")
-    inside = F.greatest(-limit, F.least(value, limit))
-    return F.when(value.isNotNull(), F.rint(inside * step).cast("bigint"))
-
-
-def quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    p: float,
-    decimals: int = 2,
-    shifts: Sequence[int] = WIDE,
-) -> DataFrame:
+def _scaled(column: str, decimals: int) -> Column:
+    """The value in units of its last decimal, as a double."""
+    return F.col(column).cast("double") * 10**decimals
+
+
+def _shifts(df: DataFrame, columns: Sequence[str], decimals: int) -> list[int]:
+    """Right shift of each pass, from the largest value there is.
+
+    One pass over ``df``. A value that is no whole number of units, not a number
+    or beyond the exact doubles is an error: ranks would no longer be exact.
+    """
+    scaled = [_scaled(c, decimals) for c in columns]
+    off = [~(F.abs(x - F.rint(x)) <= SLACK) | ~(F.abs(x) <= EXACT) for x in scaled]
+    found = df.agg(
+        *[F.count_if(x).alias(f"off{i}") for i, x in enumerate(off)],
+        *[F.max(F.abs(F.rint(x))).alias(f"top{i}") for i, x in enumerate(scaled)],
+    ).first()
+    for i, name in enumerate(columns):
+        if found[f"off{i}"]:
+            raise ValueError(
+                f"{name}: {found[f'off{i}']} values have more than {decimals} decimals or are too large"
+            )
+    top = max(int(found[f"top{i}"] or 0) for i in range(len(columns)))
+    return list(range(0, max(top.bit_length(), 1), DIGIT_BITS))[::-1]
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], p: float, decimals: int = 2) -> DataFrame:
     """One row with the ``p`` quantile of each column: linear, NULLs skipped.
 
-    Values must have at most ``decimals`` decimals. ``df`` is read once per
-    entry of ``shifts``: pass a stored table. Only ranks matter outside the
-    range of ``shifts``; a quantile that lies there itself raises an error.
+    Values must have at most ``decimals`` decimals, else this raises. ``df`` is
+    read once to find the range and once per 21 bits of it: pass a stored table.
     """
-    bound = 2 ** (shifts[0] + DIGIT_BITS)
+    shifts = _shifts(df, columns, decimals)
     named = [
-        F.struct(F.lit(c).alias("name"), _ticks(c, decimals, bound).alias("tick"))
+        F.struct(F.lit(c).alias("name"), F.rint(_scaled(c, decimals)).cast("bigint").alias("tick"))
         for c in columns
     ]
     ticks = df.select(F.inline(F.array(*named))).where(F.col("tick").isNotNull())
@@ -96,13 +106,7 @@ def quantiles(
 
         low, high, part = of("low", "prefix"), of("high", "prefix"), of("low", "part")
         between = (low * (1 - part) + high * part) / step
-        outside = F.raise_error(F.lit(f"quantile of {name}: value outside the searched range"))
-        return (
-            F.when((F.abs(low) >= bound) | (F.abs(high) >= bound), outside.cast("double"))
-            .when(low == high, low / step)
-            .otherwise(between)
-            .alias(name)
-        )
+        return F.when(low == high, low / step).otherwise(between).alias(name)
 
     return found.agg(*[value(c) for c in columns])
 

@@ -16,7 +16,7 @@ from stayline.operators.fanout import (
     payment_totals,
     review_totals,
 )
-from stayline.operators.quantile import NARROW, WIDE, quantiles
+from stayline.operators.quantile import quantiles
 from stayline.plans.purchases import delivered, item_categories
 from stayline.sources.staging import stage
 from stayline.sources.tables import ShopTables
@@ -135,22 +135,19 @@ def raw_features(
     )
 
 
-def fill_median(
-    df: DataFrame, columns: Sequence[str], shifts: Sequence[int] = WIDE
-) -> DataFrame:
-    """Fill NULLs in ``columns`` with the column's median, a scalar subquery each."""
-    medians = quantiles(df, columns, 0.5, shifts=shifts)
-    return df.withColumns({c: F.coalesce(c, medians.select(c).scalar()) for c in columns})
+def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Fill NULLs in ``columns`` with the column's median: one search, read by field."""
+    medians = quantiles(df, columns, 0.5).select(F.struct(*columns)).scalar()
+    return df.withColumns({c: F.coalesce(c, medians[c]) for c in columns})
 
 
 def impute(raw: DataFrame) -> DataFrame:
     """Fill gaps, then drop people whose spend or recency is unknown.
 
-    Medians are taken over all rows, before the drop. Review scores run from 1
-    to 5, so one pass finds their medians.
+    Medians are taken over all rows, before the drop.
     """
     return (
-        fill_median(raw, ["avg_review_score", "min_review_score"], NARROW)
+        fill_median(raw, ["avg_review_score", "min_review_score"])
         .na.fill({"late_delivery_pct": 0.0, "late_delivery_count": 0, "avg_installments": 1.0})
         .na.fill({"category_diversity": 1, "top_category": UNKNOWN_CATEGORY})
         .na.drop(subset=["monetary", "recency_days"])
