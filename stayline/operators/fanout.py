@@ -8,9 +8,8 @@ So each side is reduced to one row per order (partly before the shuffle, which
 also absorbs an order holding most of a table), and only totals are joined.
 
 Totals are whole numbers (money in cents), which keeps the shuffled rows small.
-The weighted sums are doubles that hold whole numbers: exact up to 2^53 (90
-trillion in money) per group, and right to 15 digits beyond, where the row
-counts of one huge order may multiply past any integer type.
+The weighted sums are whole decimals: exact and free of the order of tasks. A
+single order whose product passes 18 digits is an error.
 """
 
 from __future__ import annotations
@@ -20,13 +19,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-WHOLE = "double"
+WHOLE = "bigint"
 CENTS = 100
 
 
 def cents(amount: Column) -> Column:
-    """A decimal(18,2) amount as a whole number."""
-    return (amount * CENTS).cast("bigint")
+    """A money amount as a whole number; a double counts as the nearest cent."""
+    return F.round(amount.cast("decimal(28,8)") * CENTS, 0).cast("bigint")
+
+
+def total(whole: Column) -> Column:
+    """Exact sum of whole numbers."""
+    return F.sum(whole.cast("decimal(18,0)"))
 
 
 def line_totals(
@@ -90,22 +94,22 @@ class Weights:
     def rows(self, when: Column | None = None) -> Column:
         """Joined rows; with ``when``, those of the orders it holds for."""
         if when is None:
-            return F.sum(self.joined)
-        return F.sum(F.when(when, self.joined).otherwise(F.lit(0).cast(WHOLE)))
+            return total(self.joined)
+        return total(F.when(when, self.joined).otherwise(F.lit(0).cast(WHOLE)))
 
     def lines(self, column: str) -> Column:
-        return F.sum(F.col(column).cast(WHOLE) * (self.r * self.p))
+        return total(F.col(column).cast(WHOLE) * (self.r * self.p))
 
     def scores(self, column: str) -> Column:
-        return F.sum(F.col(column).cast(WHOLE) * (self.n * self.p))
+        return total(F.col(column).cast(WHOLE) * (self.n * self.p))
 
     def installments(self, column: str) -> Column:
-        return F.sum(F.col(column).cast(WHOLE) * (self.n * self.r))
+        return total(F.col(column).cast(WHOLE) * (self.n * self.r))
 
     def line_rows_total(self) -> Column:
         """Sum of the order's item count over the joined rows."""
-        return F.sum(self.n * self.joined)
+        return total(self.n * self.joined)
 
     def money(self, column: str) -> Column:
         """Weighted sum of a cents column, in money."""
-        return self.lines(column) / CENTS
+        return self.lines(column).cast("double") / CENTS

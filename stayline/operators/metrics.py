@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.functions import ratio
+from stayline.sources.staging import stage
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
@@ -96,18 +97,34 @@ def classification_report(
 
 
 def auc_of_scores(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Area under the ROC curve of a 0-100 score with one decimal, ties counted half.
+    """Area under the ROC curve of any score, ties counted half; rows without a score are left out.
 
-    Rows are first counted per score, so the running sum sees at most the 1,001
-    values a score can take (a decimal(4,1) has 19,999). For unrounded
-    probabilities use MLlib's evaluator.
+    Rows are first counted per score. The distinct scores are dealt out by range
+    and kept, so the running count of negatives is made per range and needs one
+    number from every range before it; no task sees all scores.
     """
     wide = "decimal(38,0)"
-    by_score = df.groupBy(F.col(score).cast("decimal(4,1)").alias("score")).agg(
-        F.count_if(F.col(label) == 1).cast(wide).alias("pos"),
-        F.count_if(F.col(label) == 0).cast(wide).alias("neg"),
+    by_score = (
+        df.where(F.col(score).isNotNull())
+        .groupBy(F.col(score).cast("double").alias("score"))
+        .agg(
+            F.count_if(F.col(label) == 1).cast(wide).alias("pos"),
+            F.count_if(F.col(label) == 0).cast(wide).alias("neg"),
+        )
+    )
+    ranges = stage(
+        by_score.repartitionByRange("score").withColumn("range", F.spark_partition_id()), "scores"
+    )
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range: as many as the session has shuffle partitions.
+    starts = (
+        ranges.groupBy("range")
+        .agg(F.sum("neg").alias("neg"))
+        .select("range", F.coalesce(F.sum("neg").over(earlier), F.lit(0)).cast(wide).alias("start"))
     )
-    below = F.sum("neg").over(Window.orderBy("score")) - F.col("neg")
-    twice = F.sum(F.col("pos") * (F.col("below") * 2 + F.col("neg")))
-    pairs = F.sum("pos") * F.sum("neg") * 2
-    return by_score.withColumn("below", below).agg(ratio(twice, pairs).alias("auc_roc"))
+    within = Window.partitionBy("range").orderBy("score")
+    below = F.col("start") + F.sum("neg").over(within) - F.col("neg")
+    twice = F.sum((F.col("pos") * (F.col("below") * 2 + F.col("neg"))).cast(wide))
+    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double") * 2
+    counted = ranges.join(F.broadcast(starts), "range").withColumn("below", below.cast(wide))
+    return counted.agg(ratio(twice, pairs).alias("auc_roc"))

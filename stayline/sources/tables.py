@@ -104,8 +104,10 @@ def typed(raw: DataFrame) -> DataFrame:
         if name in NUMBER_COLUMNS:
             # Whole numbers may be written "1.0" when the column has gaps.
             kind = NUMBER_COLUMNS[name]
-            number = text.cast("decimal(18,2)") if kind == "int" else text
-            return number.cast(kind).alias(name)
+            exact = text.cast("decimal(38,10)")
+            number = exact.cast(kind)
+            wrong = F.raise_error(F.concat(F.lit(f"{name} needs more digits than {kind} has: "), text))
+            return F.when(number != exact, wrong.cast(kind)).otherwise(number).alias(name)
         return text
 
     return raw.select([column(c) for c in raw.columns])
