@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stayline.functions import cut
 from stayline.operators.metrics import class_balance, classification_report, confusion_matrix
+from stayline.operators.quantile import quantiles
 from stayline.operators.split import stratified_split
 from stayline.sources.staging import checkpoint_root, stage
 
@@ -31,6 +32,10 @@ MODEL_FEATURES = (
     "avg_freight_paid",
     "top_category_encoded",
 )
+# Inputs that may be missing, and the columns the learner reads in their place.
+FILLED = {
+    c: f"{c}_input" for c in ("avg_freight_paid", "avg_review_score", "min_review_score", "monetary")
+}
 TARGET = "is_churned"
 TREES = 300
 DEPTH = 5
@@ -49,7 +54,7 @@ def risk_segment(score: Column) -> Column:
 
 
 def category_encoder(features: DataFrame) -> PipelineModel:
-    """Adds ``top_category_encoded``: 0..n-1 in alphabetical order.
+    """Adds ``top_category_encoded``: 0..n-1 in alphabetical order, n for any other.
 
     The code is a plain number, as the trees split it by size. Labels are as
     many as there are categories, so they fit the driver.
@@ -58,6 +63,7 @@ def category_encoder(features: DataFrame) -> PipelineModel:
         inputCol="top_category",
         outputCol="top_category_index",
         stringOrderType="alphabetAsc",
+        handleInvalid="keep",
     ).fit(features)
     as_number = SQLTransformer(
         statement="SELECT *, CAST(top_category_index AS INT) AS top_category_encoded FROM __THIS__"
@@ -65,6 +71,18 @@ def category_encoder(features: DataFrame) -> PipelineModel:
     return PipelineModel([indexer, as_number])
 
 
+def gap_filler(features: DataFrame) -> SQLTransformer:
+    """Adds a copy of every model input that may be NULL, its gaps filled with the median.
+
+    The learner needs a number everywhere; the columns themselves stay as they are.
+    """
+    medians = quantiles(features, list(FILLED), 0.5).first()
+    filled = ", ".join(
+        f"COALESCE(CAST({c} AS DOUBLE), {float(medians[c] or 0.0)!r}D) AS {name}" for c, name in FILLED.items()
+    )
+    return SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
+
+
 def category_codes(features: DataFrame) -> DataFrame:
     encoded = category_encoder(features).transform(features.select("top_category"))
     return encoded.select("top_category", "top_category_encoded").distinct()
@@ -106,11 +124,15 @@ def train(features: DataFrame, trees: int = TREES, positive_weight: float | None
     if not positive_weight:
         raise ValueError("training needs both churned and active customers")
 
-    assembler = VectorAssembler(inputCols=list(MODEL_FEATURES), outputCol="inputs")
+    filler = gap_filler(features)
+    assembler = VectorAssembler(
+        inputCols=[FILLED.get(c, c) for c in MODEL_FEATURES], outputCol="inputs"
+    )
     weight = F.when(F.col(TARGET) == 1, F.lit(float(positive_weight))).otherwise(F.lit(1.0))
     split = stratified_split(features, TARGET, "customer_unique_id", TEST_SHARE, SEED)
     split = stage(split, "split_features")
-    training = assembler.transform(encoder.transform(split.where(~F.col("is_test"))))
+    training = filler.transform(encoder.transform(split.where(~F.col("is_test"))))
+    training = assembler.transform(training)
     trees_model = GBTClassifier(
         featuresCol="inputs",
         labelCol=TARGET,
@@ -123,8 +145,9 @@ def train(features: DataFrame, trees: int = TREES, positive_weight: float | None
         seed=SEED,
     ).fit(training.select("inputs", TARGET, weight.alias("row_weight")))
 
-    model = PipelineModel([*encoder.stages, assembler, trees_model])
-    return TrainedChurn(model, predict(model, split.where("is_test")))
+    model = PipelineModel([*encoder.stages, filler, assembler, trees_model])
+    # Three reports read the held-out predictions.
+    return TrainedChurn(model, stage(predict(model, split.where("is_test")), "held_out"))
 
 
 def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
@@ -135,6 +158,7 @@ def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
         .withColumn("churn_probability", probability)
         .withColumn("predicted", (F.col("churn_probability") >= THRESHOLD).cast("int"))
         .drop("top_category_index", "inputs", "rawPrediction", "probability", "prediction")
+        .drop(*FILLED.values())
     )
 
 
