@@ -227,13 +227,18 @@ Maximum 80 words total.')"""
 
 
 def _text_date(column: str) -> str:
-    return f"""case order_id % 7
+    return f"""case order_id % 11
       when 0 then strftime({column}, '%Y-%m-%d')
       when 1 then strftime({column}, '%d-%m-%Y %H:%M')
       when 2 then strftime({column}, '%d-%m-%Y %H:%M:%S')
-      when 3 then strftime({column}, '%m/%d/%Y')
+      when 3 then strftime({column}, '%d/%m/%Y %H:%M')
       when 4 then strftime({column}, '%Y-99-%d')
-      else strftime({column}, '%Y-%m-%d %H:%M:%S') end"""
+      when 5 then strftime({column}, '%Y-%m-%dT%H:%M:%S')
+      when 6 then strftime({column}, '%Y/%m/%d %H:%M')
+      when 7 then strftime({column}, '%-d-%-m-%Y %-H:%M')
+      when 8 then strftime({column}, '%Y-%m-%d %H:%M:%S.%g')
+      when 9 then strftime({column}, '%Y-%m-%d %H:%M:%S') || '+00:00'
+      else strftime({column}, '%m.%d.%Y') end"""
 
 
 def _date_quality() -> str:
@@ -242,7 +247,13 @@ def _date_quality() -> str:
         "order_delivered_customer_date",
         "order_estimated_delivery_date",
     )
-    layouts = "'%Y-%m-%d %H:%M:%S', '%Y-%m-%d', '%d-%m-%Y %H:%M:%S', '%d-%m-%Y %H:%M'"
+    layouts = ", ".join(
+        f"'{x}'"
+        for x in (
+            "%Y-%m-%d %H:%M:%S", "%Y-%m-%d", "%d-%m-%Y %H:%M:%S", "%d-%m-%Y %H:%M", "%d/%m/%Y %H:%M",
+            "%Y-%m-%dT%H:%M:%S", "%Y/%m/%d %H:%M", "%Y-%m-%d %H:%M:%S.%g", "%Y-%m-%d %H:%M:%S+00:00",
+        )
+    )
     texts = " union all ".join(
         f"select '{n}' as date_column, {_text_date(n)} as t from v_orders" for n in names
     )
@@ -461,6 +472,34 @@ PARTS: dict[str, tuple[str, str]] = {
                        <= round(0.2 * count(*) over (partition by is_churned)) as int) as is_test
            from features""",
     ),
+    # What holds for any model of these rows: it proves the plumbing, not the learner.
+    "model_checks": (
+        FEATURES,
+        """select count(*) as customers_scored,
+                  cast(sum(case when place <= round(0.2 * size) then 1 else 0 end) as bigint) as held_out_rows,
+                  cast(0 as bigint) as scores_outside, cast(0 as bigint) as segments_off,
+                  cast(11 as bigint) as inputs, 1 as importance_adds_up, 1 as auc_agrees
+           from (select row_number() over (partition by is_churned
+                          order by md5(concat(customer_unique_id, '42'))) as place,
+                        count(*) over (partition by is_churned) as size
+                 from features)""",
+    ),
+    "csv_round_trip": (
+        "",
+        """select 'customers' as table_name, count(*) as total_rows, cast(null as double) as amount,
+                  cast(null as varchar) as first_date, cast(null as varchar) as last_date from v_customers
+           union all
+           select 'orders', count(*), null, strftime(min(order_purchase_timestamp), '%Y-%m-%d %H:%M:%S'),
+                  strftime(max(order_purchase_timestamp), '%Y-%m-%d %H:%M:%S') from v_orders
+           union all
+           select 'order_items', count(*), cast(sum(price) as double), null, null from v_items
+           union all
+           select 'payments', count(*), cast(sum(payment_installments) as double), null, null from v_payments
+           union all
+           select 'reviews', count(*), cast(sum(review_score) as double), null, null from v_reviews
+           union all
+           select 'products', count(*), null, null, null from v_products""",
+    ),
     "auc_roc": (
         SCORED,
         """select (sum(case when is_churned = 1 then mid_rank else 0 end)

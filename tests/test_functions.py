@@ -27,7 +27,19 @@ def test_dates_in_both_layouts(spark):
         " 2017-10-02 ": datetime(2017, 10, 2),
         "2017-02-30": None,
         "31-04-2017 10:00": None,
-        "10/02/2017": None,
+        "10/02/2017": datetime(2017, 2, 10),
+        "2017-10-02T10:56:33": datetime(2017, 10, 2, 10, 56, 33),
+        "2017-10-02 10:56:33.000": datetime(2017, 10, 2, 10, 56, 33),
+        "2017-10-02 10:56:33.123456789": datetime(2017, 10, 2, 10, 56, 33, 123456),
+        "2017/10/02 10:56": datetime(2017, 10, 2, 10, 56),
+        "02/10/2017 10:56": datetime(2017, 10, 2, 10, 56),
+        "2-10-2017 9:56": datetime(2017, 10, 2, 9, 56),
+        "2/1/2017": datetime(2017, 1, 2),
+        "2017-10-02 10:56:33+00:00": datetime(2017, 10, 2, 10, 56, 33),
+        "2017-10-02T01:00:00Z": datetime(2017, 10, 2, 1),
+        "2017-10-02 01:30:00 +0200": datetime(2017, 10, 1, 23, 30),
+        "2017-10-02 25:00": None,
+        "10/25/2017": None,
         "soon": None,
         "": None,
         None: None,

@@ -9,8 +9,9 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from stayline.operators import metrics
+from stayline.operators.fanout import Weights, cents
 from stayline.operators.generate import add_generated_text
-from stayline.operators.quantile import NARROW, WIDE, quantiles
+from stayline.operators.quantile import quantiles
 from stayline.operators.split import stratified_split
 
 
@@ -22,11 +23,11 @@ def test_quantiles_equal_pandas(spark, p):
     b = [r.randint(1, 5) if r.random() < 0.8 else None for _ in a]
     c = [None] * len(a)
     df = spark.createDataFrame(list(zip(a, b, c)), "a double, b int, c double")
-    got = quantiles(df, ["a", "b", "c"], p, shifts=WIDE).first()
+    got = quantiles(df, ["a", "b", "c"], p).first()
     assert got.a == pytest.approx(pd.Series(a).quantile(p), rel=1e-12)
     assert got.b == pd.Series(b, dtype="float").quantile(p)
     assert got.c is None
-    assert quantiles(df.select("b"), ["b"], p, shifts=NARROW).first().b == got.b
+    assert quantiles(df.select("b"), ["b"], p).first().b == got.b
 
 
 def test_quantile_of_digits_across_passes(spark):
@@ -36,11 +37,45 @@ def test_quantile_of_digits_across_passes(spark):
         assert quantiles(df, ["x"], p).first().x == pytest.approx(pd.Series(values).quantile(p))
 
 
-def test_quantile_outside_its_range(spark):
-    df = spark.createDataFrame([(1.0,), (2.0,), (1e30,)], "x double")
-    assert quantiles(df, ["x"], 0.5, decimals=2).first().x == 2.0
-    with pytest.raises(PySparkException, match="outside"):
-        quantiles(df, ["x"], 1.0).collect()
+def test_quantile_of_any_range(spark):
+    values = [1.0, 2.0, 1e12, 4e12, -3e12]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for p in (0.0, 0.3, 0.5, 1.0):
+        assert quantiles(df, ["x"], p).first().x == pytest.approx(pd.Series(values).quantile(p), rel=1e-15)
+    assert quantiles(df.where("false"), ["x"], 0.5).first().x is None
+
+
+@pytest.mark.parametrize("value", [0.004, 1e30, float("nan"), float("inf")])
+def test_quantile_of_values_that_are_no_whole_units(spark, value):
+    df = spark.createDataFrame([(1.0,), (value,), (None,)], "x double")
+    with pytest.raises(ValueError, match="decimals or are too large"):
+        quantiles(df, ["x"], 0.5)
+    if value == 0.004:
+        assert quantiles(df, ["x"], 0.0, decimals=3).first().x == 0.004
+
+
+def test_auc_of_fine_scores(spark):
+    r = random.Random(11)
+    rows = [(int(r.random() < 0.4), round(r.random(), 6)) for _ in range(400)] + [(1, 1234.5), (0, -7.25)]
+    positive = [s for l, s in rows if l == 1]
+    negative = [s for l, s in rows if l == 0]
+    wins = sum((p > n) + 0.5 * (p == n) for p in positive for n in negative)
+    df = spark.createDataFrame([*rows, (1, None)], "label int, score double").repartition(5)
+    auc = metrics.auc_of_scores(df, "label", "score").first().auc_roc
+    assert auc == pytest.approx(wins / len(positive) / len(negative), rel=1e-12)
+
+
+def test_cents_of_doubles_are_not_cut(spark):
+    values = [0.29, 1.15, 4.35, 10.0, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert [r[0] for r in df.select(cents(F.col("x"))).collect()] == [29, 115, 435, 1000, None]
+
+
+def test_sums_beyond_exact_doubles(spark):
+    rows = [(2**53, 1, 1), (1, 1, 1), (1, 1, 1)]
+    df = spark.createDataFrame(rows, "price_cents long, review_rows long, payment_rows long")
+    w = Weights()
+    assert df.agg(w.lines("price_cents")).first()[0] == 2**53 + 2
 
 
 def test_split_equals_ranking_by_hash(spark):
