@@ -20,12 +20,28 @@ from stayline.plans.briefs import MAX_CUSTOMERS, ai_briefs, high_risk_topk, temp
 from stayline.plans.features import AS_OF, CHURN_DAYS, customer_features
 from stayline.session import build_session
 from stayline.sources.sinks import export_marts, write_csv, write_table, write_tables
-from stayline.sources.tables import ShopTables, read_csv_folder, read_parquet_folder
+from stayline.sources.staging import scratch
+from stayline.sources.tables import (
+    CSV_FILES,
+    DATE_COLUMNS,
+    MULTI_LINE_TABLES,
+    ShopTables,
+    date_quality,
+    read_csv_folder,
+    read_csv_text,
+    read_parquet_folder,
+)
+
+
+# Shuffled bytes a task should handle, and how much larger joined rows are than their files.
+TASK_BYTES = 128 << 20
+GROWTH = 4
 
 
 @dataclass(frozen=True)
 class BatchResult:
     table_rows: dict[str, int]
+    unparsed_dates: dict[str, int]
     feature_rows: int
     auc: float
     scored_rows: int
@@ -39,6 +55,31 @@ def load(spark: SparkSession, csv_folder: str, folder: str) -> tuple[ShopTables,
     return read_parquet_folder(spark, folder), rows
 
 
+def unparsed_dates(spark: SparkSession, csv_folder: str) -> dict[str, int]:
+    """Per date column of the CSV files, the texts that name no moment."""
+    found = {}
+    for name, file in CSV_FILES.items():
+        raw = read_csv_text(spark, f"{csv_folder.rstrip('/')}/{file}", name in MULTI_LINE_TABLES)
+        if any(c in DATE_COLUMNS for c in raw.columns):
+            found |= {r["date_column"]: r["unparsed_values"] for r in date_quality(raw).collect()}
+    return found
+
+
+def size_shuffles(tables: ShopTables) -> int:
+    """Raise the session's shuffle partitions to the size of the stored tables.
+
+    Adaptive execution merges partitions that are too small, but makes no more.
+    """
+    spark = tables.orders.sparkSession
+    size = sum(
+        int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        for df in tables.named().values()
+    )
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), GROWTH * size // TASK_BYTES)
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
 def _stored(df: DataFrame, path: str) -> tuple[DataFrame, int]:
     """Write a table and its CSV copy; the table as stored, and its rows."""
     rows = write_table(df, path)
@@ -72,9 +113,31 @@ def run_batch(
     max_customers: int = MAX_CUSTOMERS,
     generate: Callable[[str], str] = template_brief,
     pause_seconds: float = 0.0,
+    brief_tasks: int = 1,
+) -> BatchResult:
+    """The whole batch; ``brief_tasks`` generator calls run side by side, each pausing on its own."""
+    with scratch(spark):
+        return _run_batch(
+            spark, csv_folder, out_folder, as_of, churn_days, trees, max_customers, generate, pause_seconds, brief_tasks
+        )
+
+
+def _run_batch(
+    spark: SparkSession,
+    csv_folder: str,
+    out_folder: str,
+    as_of: datetime,
+    churn_days: float,
+    trees: int,
+    max_customers: int,
+    generate: Callable[[str], str],
+    pause_seconds: float,
+    brief_tasks: int,
 ) -> BatchResult:
     out = out_folder.rstrip("/")
+    unparsed = unparsed_dates(spark, csv_folder)
     tables, table_rows = load(spark, csv_folder, f"{out}/tables")
+    size_shuffles(tables)
 
     features, feature_rows = _stored(
         customer_features(tables, as_of, churn_days), f"{out}/customer_features"
@@ -90,13 +153,13 @@ def run_batch(
 
     selected = high_risk_topk(scored, max_customers)
     briefs, brief_rows = _stored(
-        ai_briefs(selected, generate, pause_seconds), f"{out}/churn_briefs"
+        ai_briefs(selected, generate, pause_seconds, brief_tasks), f"{out}/churn_briefs"
     )
 
     shapes = export_marts(
         build_marts(tables, scored, briefs, as_of, out), f"{out}/marts", marts.mart_order()
     )
-    return BatchResult(table_rows, feature_rows, auc, scored_rows, brief_rows, shapes)
+    return BatchResult(table_rows, unparsed, feature_rows, auc, scored_rows, brief_rows, shapes)
 
 
 def main() -> None:
@@ -107,6 +170,7 @@ def main() -> None:
     parser.add_argument("--churn-days", type=float, default=CHURN_DAYS)
     parser.add_argument("--trees", type=int, default=churn.TREES)
     parser.add_argument("--max-customers", type=int, default=MAX_CUSTOMERS)
+    parser.add_argument("--brief-tasks", type=int, default=1, help="generator calls side by side")
     args = parser.parse_args()
     spark = build_session("retention batch")
     result = run_batch(
@@ -117,6 +181,7 @@ def main() -> None:
         args.churn_days,
         args.trees,
         args.max_customers,
+        brief_tasks=args.brief_tasks,
     )
     print(result)
 

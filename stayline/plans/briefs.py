@@ -124,5 +124,5 @@ def ai_briefs(
     """
     rows = selected.select(*BRIEF_COLUMNS, prompt_text().alias("prompt"))
     if tasks > 1:
-        rows = rows.repartition(tasks, "customer_unique_id")
+        rows = rows.repartition(tasks)
     return add_generated_text(rows, "prompt", "ai_brief", generate, UNAVAILABLE, pause_seconds)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+from urllib.parse import urlparse
+
 from checks.compare import mismatch
 from checks.views import AS_OF
 from stayline.plans import churn, marts
 from stayline.plans.batch import run_batch
+from stayline.sources.staging import checkpoint_root
 from tests.csv_shop import write_csv_shop
 from tests.shops import duckdb_tables, random_shop, sql_rows
 
@@ -15,9 +19,12 @@ def test_batch(spark, tmp_path):
     write_csv_shop(rows, tmp_path / "csv")
     out = tmp_path / "out"
     result = run_batch(
-        spark, str(tmp_path / "csv"), str(out), AS_OF, trees=2, max_customers=5
+        spark, str(tmp_path / "csv"), str(out), AS_OF, trees=2, max_customers=5, brief_tasks=3
     )
 
+    assert result.unparsed_dates["order_purchase_timestamp"] == 0
+    staged = Path(urlparse(checkpoint_root(spark)).path) / "stayline"
+    assert not list(staged.glob("batch-*"))
     assert result.table_rows["orders"] == len(rows["orders"])
     assert result.scored_rows == result.feature_rows > 0
     assert 0 <= result.auc <= 1

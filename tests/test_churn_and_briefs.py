@@ -129,3 +129,31 @@ def test_prompt_text(spark):
     )
     with pytest.raises(ValueError):
         briefs.template_brief("no figures")
+
+
+def test_gaps_and_new_categories_are_scored(spark, feature_table, tmp_path):
+    gap = F.when(F.col("recency_days") % 3 > 0, F.col("avg_freight_paid"))
+    table = stage(feature_table.withColumn("avg_freight_paid", gap), "with_gaps")
+    trained = churn.train(table, trees=2)
+    assert 0 <= trained.auc() <= 1
+    churn.save_model(trained.model, str(tmp_path / "model"))
+    new = table.withColumn("top_category", F.lit("never seen"))
+    scored = churn.score(churn.load_model(str(tmp_path / "model")), new)
+    codes = churn.category_codes(table).count()
+    assert {r.top_category_encoded for r in scored.collect()} == {codes}
+    assert scored.columns[: len(table.columns)] == table.columns
+    assert scored.where("churn_risk_score is null").isEmpty()
+    kept = scored.select("customer_unique_id", "avg_freight_paid").where("avg_freight_paid is null")
+    assert kept.count() == table.where("avg_freight_paid is null").count()
+
+
+def test_briefs_are_written_side_by_side(spark):
+    columns = {c: F.lit(1.0) for c in briefs.BRIEF_COLUMNS if c != "customer_unique_id"}
+    chosen = spark.range(40).select(F.concat(F.lit("c" * 9), "id").alias("customer_unique_id")).coalesce(1)
+    chosen = chosen.withColumns(columns | {"risk_segment": F.lit("High"), "top_category": F.lit("toys")})
+    for name in ("min_review_score", "late_delivery_count", "category_diversity", "avg_installments"):
+        if name not in chosen.columns:
+            chosen = chosen.withColumn(name, F.lit(1.0))
+    written = briefs.ai_briefs(chosen, lambda prompt: "text", tasks=4)
+    sizes = written.groupBy(F.spark_partition_id().alias("part")).count().collect()
+    assert sorted(r["count"] for r in sizes) == [10, 10, 10, 10]
