@@ -138,5 +138,3 @@ QUERIES: dict[str, Query] = {
     "op9_decontaminate": op9_decontaminate,
     "op10_lm": op10_lm,
 }
-
-ORACLE: dict[str, str] = {}
