@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 from functools import cached_property
 
@@ -43,6 +44,9 @@ class StarShop:
         self.spark = spark
         self.sf_dir = sf_dir
 
+    def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        return build()
+
     def _table(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 

@@ -26,6 +26,7 @@ from stayline.sources.tables import (
     DATE_COLUMNS,
     MULTI_LINE_TABLES,
     ShopTables,
+    StoredShop,
     date_quality,
     read_csv_folder,
     read_csv_text,
@@ -138,6 +139,8 @@ def _run_batch(
     unparsed = unparsed_dates(spark, csv_folder)
     tables, table_rows = load(spark, csv_folder, f"{out}/tables")
     size_shuffles(tables)
+    # Features and marts start from the same joins and totals; each is made once.
+    tables = StoredShop(**tables.named())
 
     features, feature_rows = _stored(
         customer_features(tables, as_of, churn_days), f"{out}/customer_features"

@@ -9,15 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions import days_between, half_up, moment, ratio
-from stayline.operators.fanout import (
-    Weights,
-    line_totals,
-    mark_first,
-    payment_totals,
-    review_totals,
-)
+from stayline.operators.fanout import Weights, mark_first, payment_totals
 from stayline.operators.quantile import quantiles
-from stayline.plans.purchases import delivered, item_categories
+from stayline.plans.purchases import category_lines, delivered, order_lines, order_reviews
 from stayline.sources.staging import stage
 from stayline.sources.tables import ShopTables
 
@@ -66,8 +60,8 @@ def rfm_base(t: ShopTables, as_of: datetime = AS_OF, churn_days: float = CHURN_D
     )
     return (
         mark_first(orders, "new_order", "order_id", "customer_unique_id")
-        .join(line_totals(t.order_items), "order_id")
-        .join(review_totals(t.reviews), "order_id", "left")
+        .join(order_lines(t), "order_id")
+        .join(order_reviews(t), "order_id", "left")
         .join(payment_totals(t.payments), "order_id", "left")
         .groupBy("customer_unique_id")
         .agg(
@@ -97,9 +91,9 @@ def category_counts(t: ShopTables) -> DataFrame:
     return (
         delivered(t)
         .select("order_id", "customer_unique_id")
-        .join(item_categories(t).select("order_id", "category"), "order_id")
+        .join(category_lines(t).select("order_id", "category", "line_rows"), "order_id")
         .groupBy("customer_unique_id", "category")
-        .agg(F.count("*").alias("items"))
+        .agg(F.sum("line_rows").alias("items"))
     )
 
 

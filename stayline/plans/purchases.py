@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stayline.operators.fanout import cents, line_totals, review_totals
 from stayline.sources.tables import ShopTables
 
 DELIVERED = "delivered"
@@ -24,6 +25,10 @@ def is_late() -> Column:
 
 def purchases(t: ShopTables) -> DataFrame:
     """Orders with their customer's person id, city and state."""
+    return t.shared("purchases", lambda: _purchases(t))
+
+
+def _purchases(t: ShopTables) -> DataFrame:
     return t.orders.select(
         "order_id",
         "customer_id",
@@ -49,3 +54,21 @@ def product_categories(t: ShopTables) -> DataFrame:
 def item_categories(t: ShopTables) -> DataFrame:
     """Order items of translated products, with their category."""
     return t.order_items.join(product_categories(t), "product_id")
+
+
+def order_lines(t: ShopTables) -> DataFrame:
+    """Item rows, prices and freight per order."""
+    return t.shared("order_lines", lambda: line_totals(t.order_items))
+
+
+def order_reviews(t: ShopTables) -> DataFrame:
+    return t.shared("order_reviews", lambda: review_totals(t.reviews))
+
+
+def category_lines(t: ShopTables) -> DataFrame:
+    """Totals per order and category, over items of translated products."""
+    extra = [
+        F.count("order_item_id").alias("item_rows"),
+        F.sum(cents(F.col("price") + F.col("freight_value"))).alias("value_cents"),
+    ]
+    return t.shared("category_lines", lambda: line_totals(item_categories(t), "category", extra=extra))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.functions.dates import parse_date_text, to_date_text
+from stayline.sources.staging import stage
 
 # Input file names, date columns and the text read as missing.
 CSV_FILES = {
@@ -67,12 +69,26 @@ class ShopTables:
         pairs = ((f.name, getattr(self, f.name)) for f in fields(self))
         return {name: df for name, df in pairs if df is not None}
 
+    def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table that several plans start from; here it is part of each plan."""
+        return build()
+
     def register(self) -> None:
         """Make every table a temporary view, for ``spark.sql``."""
         for name, df in self.named().items():
             df.createOrReplaceTempView(name)
 
 
+class StoredShop(ShopTables):
+    """Shop tables whose shared tables are made once and kept: for a batch of plans."""
+
+    def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        kept = self.__dict__.setdefault("_kept", {})
+        if name not in kept:
+            kept[name] = stage(build(), name)
+        return kept[name]
+
+
 def _present(name: str) -> Column:
     text = F.col(f"`{name}`")
     return F.when(~text.isin(*MISSING_TEXT), text)

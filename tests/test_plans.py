@@ -10,9 +10,14 @@ import pytest
 from checks.compare import mismatch
 from checks.views import AS_OF, StarShop
 from stayline.plans import briefs, explore, features, marts
-from stayline.plans.purchases import delivered, item_categories
+from stayline.plans.purchases import (
+    category_lines,
+    delivered,
+    item_categories,
+    product_categories,
+)
 from stayline.sources import sinks
-from stayline.sources.tables import read_parquet_folder
+from stayline.sources.tables import StoredShop, read_parquet_folder
 from tests.shops import duckdb_tables, random_shop, spark_tables, sql_rows
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -92,21 +97,52 @@ HOT_KEY_SETTINGS = {
 }
 
 
-def test_hot_order_is_split_in_category_counts(spark):
+def test_hot_order_is_summed_before_category_counts(spark):
+    """An order with 20,000 items joins as one row per category."""
     rows = random_shop(9, orders=300, hot="")
     order_id = next(o[0] for o in rows["orders"] if o[2] == "delivered")
     r = random.Random(9)
     rows["order_items"] += [(order_id, 1, f"pr{r.randrange(40)}", None, None) for _ in range(20000)]
     tables = spark_tables(spark, rows)
-    small = {name: "1k" if value == "4k" else value for name, value in HOT_KEY_SETTINGS.items()}
-    with settings(spark, **small), duckdb_tables(rows) as con:
-        counts = features.category_counts(tables)
-        counts.collect()
-        assert "SortMergeJoin(skew=true) [order_id" in plan_of(counts)
+    with settings(spark, **HOT_KEY_SETTINGS), duckdb_tables(rows) as con:
+        lines = category_lines(tables)
+        assert lines.where(lines.order_id == order_id).count() <= len(rows["category_translation"]) + 1
         top = features.top_category(tables).toPandas()
         assert mismatch(top, sql_rows(con, "top_category")) is None
 
 
+def test_hot_category_is_split_in_the_translation_of_products(spark):
+    rows = random_shop(9, orders=30, hot="")
+    name = rows["category_translation"][0][0]
+    rows["products"] += [(f"hot{i}" * 5, name) for i in range(20000)]
+    tables = spark_tables(spark, rows)
+    with settings(spark, **HOT_KEY_SETTINGS):
+        products = product_categories(tables).repartition("product_id")
+        products.collect()
+        assert "SortMergeJoin(skew=true)" in plan_of(products)
+
+
+def test_a_batch_makes_its_base_tables_once(spark, tmp_path):
+    """Stored tables are scanned: one join of orders with customers, two scans of items."""
+    tables = spark_tables(spark, random_shop(4, orders=60, hot=""))
+    made = []
+
+    class Counted(StoredShop):
+        def shared(self, name, build):
+            return super().shared(name, lambda: made.append(name) or build())
+
+    stored = Counted(**tables.named())
+    plain, kept = [], []
+    for t, out in ((tables, plain), (stored, kept)):
+        for build in (lambda t: features.raw_features(t, AS_OF), marts.executive_overview_mart, marts.sales_product_mart):
+            out.append(sorted(map(str, build(t).collect())))
+    assert plain == kept
+    assert sorted(made) == ["category_lines", "order_lines", "order_reviews", "purchases"]
+    for build in (lambda t: features.raw_features(t, AS_OF), marts.executive_overview_mart, marts.sales_product_mart):
+        files = {f for f in build(stored).inputFiles() if "/payments" not in f}
+        assert files and all(any(f"/{name}/" in f for name in made) for f in files)
+
+
 def test_hot_customer_and_hot_product_are_split(spark):
     """Row-level joins are split; all else is summed before its join."""
     rows = random_shop(9, orders=3000, hot="c pr")
