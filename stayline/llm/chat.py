@@ -61,24 +61,24 @@ def branches(messages: DataFrame, top: int = 1) -> DataFrame:
     first = nodes.join(there, "parent", "left").select(
         "node", F.when(F.col("_there"), F.col("parent")).alias("up"), F.lit(1).cast("long").alias("steps"), "score"
     )
-    jumps = [stage(first, "jumps")]
-    while len(jumps) <= ROUNDS and not jumps[-1].filter("up is not null").isEmpty():
-        last = jumps[-1]
-        above = last.select(
+    start = stage(first, "jumps")
+    jumps, done = [start.filter("up is not null")], start.filter("up is null")
+    while len(jumps) <= ROUNDS and not jumps[-1].isEmpty():
+        # Only messages that have not met their root go on, so short branches cost few rounds.
+        live = jumps[-1]
+        above = live.unionByName(done).select(
             F.col("node").alias("up"), F.col("up").alias("_up"), F.col("steps").alias("_steps"), F.col("score").alias("_score")
         )
-        jumps.append(
-            stage(
-                last.join(above, "up", "left").select(
-                    "node",
-                    F.col("_up").alias("up"),
-                    (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps"),
-                    (F.col("score") + F.coalesce("_score", F.lit(0.0))).alias("score"),
-                ),
-                "jumps",
-            )
+        further = live.join(above, "up").select(
+            "node",
+            F.col("_up").alias("up"),
+            (F.col("steps") + F.col("_steps")).alias("steps"),
+            (F.col("score") + F.col("_score")).alias("score"),
         )
-    whole = jumps[-1].filter("up is null").select("node", F.col("steps").alias("depth"), F.col("score").alias("total"))
+        new = stage(further, "jumps")
+        jumps.append(new.filter("up is not null"))
+        done = done.unionByName(new.filter("up is null"))
+    whole = done.select("node", F.col("steps").alias("depth"), F.col("score").alias("total"))
     leaves = (
         nodes.select("tree_id", "node")
         .join(nodes.select(F.col("parent").alias("node")).distinct(), "node", "left_anti")
@@ -88,8 +88,7 @@ def branches(messages: DataFrame, top: int = 1) -> DataFrame:
     chosen = leaves.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
     path = chosen.select("tree_id", F.col("node").alias("leaf"), "rank", "node")
     for jump in reversed(jumps):
-        up = jump.filter("up is not null").select("node", "up")
-        further = path.join(up, "node").select("tree_id", "leaf", "rank", F.col("up").alias("node"))
+        further = path.join(jump.select("node", "up"), "node").select("tree_id", "leaf", "rank", F.col("up").alias("node"))
         path = stage(path.unionByName(further), "paths")
     return path.join(whole.select("node", "depth"), "node")
 
