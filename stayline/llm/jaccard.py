@@ -17,8 +17,9 @@ Level two joins what no ball holds. Those documents are at distance about 1 from
 each other, so only pivots inside their sets part them: every shingle s is the
 pivot {s}, nearest to the documents that own it. In a fixed order of shingles a
 document enters the regions of its first shingles, as many as a linked document
-may lack, plus one; two linked documents then share a region. Shingles that are
-frequent in the sample come last in the order.
+may lack and SHARED more; two linked documents then share SHARED regions, and
+pairs that share fewer are not compared. Shingles that are frequent in the sample
+come last in the order.
 
 Both levels end in exact set intersections, so every link is found whichever
 documents are sampled.
@@ -40,10 +41,12 @@ from stayline.llm.words import U64, chunks, flat, gram_hashes, mix, spans, word_
 from stayline.sources.staging import stage
 
 #: Distinct sets looked at for pivots and frequent shingles, and shingles kept of them.
-SAMPLE = 8192
-SAMPLE_SHINGLES = 6_000_000
+SAMPLE = 4096
+SAMPLE_SHINGLES = 2_500_000
 #: Times in the sample from which a shingle is frequent.
 FREQUENT = 3
+#: First shingles that two linked documents share at least, if they have as many.
+SHARED = 5
 #: Sets that one verification task compares.
 BLOCK = 1024
 _LAST = (1 << 63) - 1
@@ -97,8 +100,12 @@ def _similar(common, a, b, percent: int):
     return 100 * common >= percent * (a + b - common)
 
 
-def _fronts(values: np.ndarray, cuts: np.ndarray, frequent: np.ndarray, percent: int):
-    """First shingles of each set in the fixed order: set, shingle, shingles from there on."""
+def _fronts(values: np.ndarray, cuts: np.ndarray, frequent: np.ndarray, percent: int, shared: int = 1):
+    """First shingles of each set in the fixed order: (set, shingle).
+
+    Of the n shingles of a set at most n - needed(n) are missing from a similar
+    one, so the first n - needed(n) + shared hold ``shared`` common ones.
+    """
     n = np.diff(cuts)
     row = np.repeat(np.arange(len(n)), n)
     late = np.zeros(len(values), bool)
@@ -106,9 +113,8 @@ def _fronts(values: np.ndarray, cuts: np.ndarray, frequent: np.ndarray, percent:
         late = frequent[np.minimum(np.searchsorted(frequent, values), len(frequent) - 1)] == values
     order = np.lexsort((values, late, row))
     rank = np.arange(len(values)) - cuts[:-1][row]
-    inside = rank < (n - needed(n, percent) + 1)[row]
-    at = order[inside]
-    return row[inside], values[at], (n[row] - rank)[inside]
+    inside = rank < (n - needed(n, percent) + shared)[row]
+    return row[inside], values[order[inside]]
 
 
 @dataclass
@@ -122,7 +128,7 @@ class Pivots:
     percent: int  # similarity at the edge of the boundary window
 
     def __post_init__(self) -> None:
-        owner, shingle, _ = _fronts(self.values, self.cuts, self.frequent, self.percent)
+        owner, shingle = _fronts(self.values, self.cuts, self.frequent, self.percent)
         order = np.argsort(shingle, kind="stable")
         self.index, self.owner = shingle[order], owner[order]
 
@@ -131,7 +137,7 @@ class Pivots:
         none = np.zeros(0, np.int64)
         if not len(self.names) or not len(values):
             return none, none, none
-        row, shingle, _ = _fronts(values, cuts, self.frequent, self.percent)
+        row, shingle = _fronts(values, cuts, self.frequent, self.percent)
         lo = np.searchsorted(self.index, shingle)
         hits = np.searchsorted(self.index, shingle, side="right") - lo
         found = np.repeat(row, hits)
@@ -228,16 +234,17 @@ def named_sets(docs: DataFrame, k: int, keep: list[str]) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """node and its set (packed hashes) for the nodes in ``wanted`` (node, id)."""
+    """node and its set (packed hashes) for the nodes in ``wanted`` (node, id); a task sends a set once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for _, _, _, values, cuts, names in _each(batches, k):
-            raw = [values[cuts[i] : cuts[i + 1]].tobytes() for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(raw, pa.binary())], ["node", "set"])
+            rows = _unseen(names, seen)
+            raw = [values[cuts[i] : cuts[i + 1]].tobytes() for i in rows.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(names[rows]), pa.array(raw, pa.binary())], ["node", "set"])
 
     some = docs.select(_id().alias("id"), "text").join(wanted.select("id").distinct(), "id", "left_semi")
-    made = some.mapInArrow(run, "node long, set binary").join(wanted.select("node"), "node", "left_semi")
-    return made.dropDuplicates(["node"])
+    return some.mapInArrow(run, "node long, set binary").join(wanted.select("node"), "node", "left_semi")
 
 
 def _id() -> Column:
@@ -287,16 +294,16 @@ def _front_rows(docs: DataFrame, pivots, k: int, percent: int, buckets: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def send(parts: list) -> Iterator[pa.RecordBatch]:
-            shingle, node, size, rest = (np.concatenate(c) for c in zip(*parts, strict=True))
+            shingle, node, size = (np.concatenate(c) for c in zip(*parts, strict=True))
             bucket = (shingle % U64(buckets)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
             edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
             for b in np.flatnonzero(np.diff(edges)).tolist():
                 at = order[edges[b] : edges[b + 1]]
-                blobs = (shingle[at], node[at], size[at], rest[at])
+                blobs = (shingle[at], node[at], size[at])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([b], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in blobs)],
-                    ["bucket", "shingles", "nodes", "sizes", "rests"],
+                    ["bucket", "shingles", "nodes", "sizes"],
                 )
 
         seen: set[int] = set()
@@ -312,9 +319,9 @@ def _front_rows(docs: DataFrame, pivots, k: int, percent: int, buckets: int) ->
             free[x[_similar(common, n[x], own[q], percent)]] = False
             values, cuts = _only(values, cuts, np.flatnonzero(free))
             nodes, n = names[rows][free], np.diff(cuts)
-            row, shingle, rest = _fronts(values, cuts, p.frequent, percent)
+            row, shingle = _fronts(values, cuts, p.frequent, percent, SHARED)
             if len(row):
-                parts.append((shingle, nodes[row], n[row].astype(np.int32), rest.astype(np.int32)))
+                parts.append((shingle, nodes[row], n[row].astype(np.int32)))
                 held += len(row)
             if held >= 4_000_000:
                 yield from send(parts)
@@ -322,44 +329,54 @@ def _front_rows(docs: DataFrame, pivots, k: int, percent: int, buckets: int) ->
         if parts:
             yield from send(parts)
 
-    return docs.select("text").mapInArrow(
-        run, "bucket int, shingles binary, nodes binary, sizes binary, rests binary"
-    )
+    return docs.select("text").mapInArrow(run, "bucket int, shingles binary, nodes binary, sizes binary")
 
 
 def _pairs_in_regions(percent: int):
-    """Pairs that share a region and may be similar by their sizes and places in the order."""
+    """Pairs of sets of similar size with the number of regions they share here, and how many they
+    have to share in all."""
 
     def run(table: pa.Table) -> pa.Table:
         blob = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-        shingle, node = blob("shingles", U64), blob("nodes", np.int64)
-        size, rest = blob("sizes", np.int32).astype(np.int64), blob("rests", np.int32).astype(np.int64)
+        shingle, node, size = blob("shingles", U64), blob("nodes", np.int64), blob("sizes", np.int32).astype(np.int64)
         order = np.lexsort((node, shingle))
-        shingle, node, size, rest = shingle[order], node[order], size[order], rest[order]
+        shingle, node, size = shingle[order], node[order], size[order]
         new = np.ones(len(node), bool)  # one entry per set, however many tasks sent it
         new[1:] = (shingle[1:] != shingle[:-1]) | (node[1:] != node[:-1])
-        shingle, node, size, rest = shingle[new], node[new], size[new], rest[new]
+        shingle, node, size = shingle[new], node[new], size[new]
         _, starts, counts = np.unique(shingle, return_index=True, return_counts=True)
         last = np.repeat(starts + counts, counts)
-        found, held = [], 0
-        step = 1
-        at = np.arange(len(node))
+        names, row = np.unique(node, return_inverse=True)
+        sizes = np.zeros(len(names), np.int64)
+        sizes[row] = size
+        width = max(1, len(names))
+        keys, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        found: list[np.ndarray] = []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            more, n = np.unique(np.concatenate([np.zeros(0, np.int64), *found]), return_counts=True)
+            every, at = np.unique(np.concatenate([keys, more]), return_inverse=True)
+            return every, np.bincount(at, np.concatenate([times, n]), len(every)).astype(np.int64)
+
+        step, at = 1, np.arange(len(node))
         # All pairs of neighbours 1, 2, 3, ... places apart in a region.
         while True:
             at = at[at + step < last[at]]
             if not len(at):
                 break
-            other = at + step
-            a, b = size[at], size[other]
-            common = np.minimum(rest[at], rest[other])
-            good = _similar(np.minimum(common, np.minimum(a, b)), a, b, percent)
-            found.append(np.stack([node[at][good], node[other][good]], axis=1))
-            held += int(good.sum())
-            if held > 2_000_000:
-                found, held = [np.unique(np.concatenate(found), axis=0)], 0
+            a, b = size[at], size[at + step]
+            good = at[100 * np.minimum(a, b) >= percent * np.maximum(a, b)]
+            found.append(row[good] * width + row[good + step])
+            if sum(map(len, found)) > 4_000_000:
+                (keys, times), found = merged(), []
             step += 1
-        pairs = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=0)
-        return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        keys, times = merged()
+        x, y = np.divmod(keys, width)
+        wanted = np.minimum(SHARED, needed(np.maximum(sizes[x], sizes[y]), percent))
+        return pa.table(
+            [pa.array(names[x]), pa.array(names[y]), pa.array(times.astype(np.int32)), pa.array(wanted.astype(np.int32))],
+            ["a", "b", "times", "wanted"],
+        )
 
     return run
 
@@ -477,8 +494,9 @@ def _sparse_links(docs: DataFrame, pivots, nodes: DataFrame, k: int, percent: in
     spark = docs.sparkSession
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     fronts = _front_rows(docs, pivots, k, percent, buckets)
-    pairs = fronts.groupBy("bucket").applyInArrow(_pairs_in_regions(percent), "a long, b long")
-    pairs = stage(pairs.distinct(), "pairs")
+    met = fronts.groupBy("bucket").applyInArrow(_pairs_in_regions(percent), "a long, b long, times int, wanted int")
+    enough = met.groupBy("a", "b", "wanted").agg(F.sum("times").alias("times")).filter("times >= wanted")
+    pairs = stage(enough.select("a", "b"), "pairs")
     if pairs.isEmpty():
         return spark.createDataFrame([], "a long, b long")
     # Neighbours get a common label so that most pairs lie in one block; large labels are split.
