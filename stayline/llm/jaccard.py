@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from stayline.llm.arrow import pieces, small_batches
 from stayline.llm.components import components
+from stayline.llm.files import Shelf, key_files
 from stayline.llm.words import U64, chunks, flat, gram_hashes, mix, spans, word_hashes
 from stayline.sources.staging import stage
 
@@ -101,7 +102,7 @@ def _similar(common, a, b, percent: int):
 
 
 def _fronts(values: np.ndarray, cuts: np.ndarray, frequent: np.ndarray, percent: int, shared: int = 1):
-    """First shingles of each set in the fixed order: (set, shingle).
+    """First shingles of each set in the fixed order: (set, shingle, shingles from there on).
 
     Of the n shingles of a set at most n - needed(n) are missing from a similar
     one, so the first n - needed(n) + shared hold ``shared`` common ones.
@@ -114,7 +115,7 @@ def _fronts(values: np.ndarray, cuts: np.ndarray, frequent: np.ndarray, percent:
     order = np.lexsort((values, late, row))
     rank = np.arange(len(values)) - cuts[:-1][row]
     inside = rank < (n - needed(n, percent) + shared)[row]
-    return row[inside], values[order[inside]]
+    return row[inside], values[order[inside]], (n[row] - rank)[inside]
 
 
 @dataclass
@@ -128,7 +129,7 @@ class Pivots:
     percent: int  # similarity at the edge of the boundary window
 
     def __post_init__(self) -> None:
-        owner, shingle = _fronts(self.values, self.cuts, self.frequent, self.percent)
+        owner, shingle, _ = _fronts(self.values, self.cuts, self.frequent, self.percent)
         order = np.argsort(shingle, kind="stable")
         self.index, self.owner = shingle[order], owner[order]
 
@@ -137,7 +138,7 @@ class Pivots:
         none = np.zeros(0, np.int64)
         if not len(self.names) or not len(values):
             return none, none, none
-        row, shingle = _fronts(values, cuts, self.frequent, self.percent)
+        row, shingle, _ = _fronts(values, cuts, self.frequent, self.percent)
         lo = np.searchsorted(self.index, shingle)
         hits = np.searchsorted(self.index, shingle, side="right") - lo
         found = np.repeat(row, hits)
@@ -234,17 +235,23 @@ def named_sets(docs: DataFrame, k: int, keep: list[str]) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """node and its set (packed hashes) for the nodes in ``wanted`` (node, id); a task sends a set once."""
+    """node and its set (packed hashes) for the nodes in ``wanted``; a task sends a set once.
+
+    The names of the wanted sets lie in sorted files that workers map, so the texts
+    of all other documents go nowhere.
+    """
+    files = docs.sparkSession.sparkContext.broadcast(key_files(wanted, "node"))  # a path per shuffle partition
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        shelf = Shelf()
         for _, _, _, values, cuts, names in _each(batches, k):
-            rows = _unseen(names, seen)
+            rows = np.flatnonzero(files.value.held(names, shelf) & (names != 0))
+            rows = rows[_unseen(names[rows], seen)]
             raw = [values[cuts[i] : cuts[i + 1]].tobytes() for i in rows.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array(names[rows]), pa.array(raw, pa.binary())], ["node", "set"])
 
-    some = docs.select(_id().alias("id"), "text").join(wanted.select("id").distinct(), "id", "left_semi")
-    return some.mapInArrow(run, "node long, set binary").join(wanted.select("node"), "node", "left_semi")
+    return docs.select("text").mapInArrow(run, "node long, set binary")
 
 
 def _id() -> Column:
@@ -259,21 +266,25 @@ def _sample(docs: DataFrame, nodes: DataFrame, k: int) -> tuple[list[int], list[
         room -= row["n_shingles"]
         if room < 0:
             break
-        chosen.append((row["node"], row["id"]))
+        chosen.append(row["node"])
     if not chosen:
         return [], []
-    spark = docs.sparkSession
-    table = F.broadcast(spark.createDataFrame(chosen, "node long, id long"))  # SAMPLE rows at most
-    found = {r["node"]: np.frombuffer(r["set"], U64) for r in _sets_of(docs, table, k).collect()}
-    names = [n for n, _ in chosen if n in found]
-    return names, [found[n] for n in names]
+    table = docs.sparkSession.createDataFrame([(n,) for n in chosen], "node long")
+    sets = _sets_of(docs, table, k).groupBy("node").agg(F.first("set").alias("set"))
+    found = {r["node"]: np.frombuffer(r["set"], U64) for r in sets.collect()}
+    return chosen, [found[n] for n in chosen]
 
 
 def _region_rows(docs: DataFrame, pivots, k: int, percent: int) -> DataFrame:
-    """node, pivot, common, size and pivot_size of every set in a ball or boundary window."""
+    """node and pivot of every set in a ball (inside) or boundary window.
+
+    ``link`` marks rows inside that connect something new in their task: enough to
+    find the classes that the balls make.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        forest = _Forest()
         p = pivots.value
         own = np.diff(p.cuts)
         for _, _, _, values, cuts, names in _each(batches, k):
@@ -282,11 +293,18 @@ def _region_rows(docs: DataFrame, pivots, k: int, percent: int) -> DataFrame:
             x, q, common = p.near(values, cuts)
             size = np.diff(cuts)[x]
             inside = _similar(common, size, own[q], percent)
+            node, pivot = names[rows][x], p.names[q]
+            link = [
+                bool(i) and forest.join(a, b)
+                for i, a, b in zip(inside, node.tolist(), pivot.tolist(), strict=True)
+            ]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names[rows][x]), pa.array(p.names[q]), pa.array(inside)], ["node", "pivot", "inside"]
+                [pa.array(node), pa.array(pivot), pa.array(inside), pa.array(link, pa.bool_())],
+                ["node", "pivot", "inside", "link"],
             )
 
-    return docs.select("text").mapInArrow(run, "node long, pivot long, inside boolean").distinct()
+    rows = docs.select("text").mapInArrow(run, "node long, pivot long, inside boolean, link boolean")
+    return rows.groupBy("node", "pivot", "inside").agg(F.max("link").alias("link"))
 
 
 def _front_rows(docs: DataFrame, pivots, k: int, percent: int, buckets: int) -> DataFrame:
@@ -294,16 +312,16 @@ def _front_rows(docs: DataFrame, pivots, k: int, percent: int, buckets: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def send(parts: list) -> Iterator[pa.RecordBatch]:
-            shingle, node, size = (np.concatenate(c) for c in zip(*parts, strict=True))
+            shingle, node, size, rest = (np.concatenate(c) for c in zip(*parts, strict=True))
             bucket = (shingle % U64(buckets)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
             edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
             for b in np.flatnonzero(np.diff(edges)).tolist():
                 at = order[edges[b] : edges[b + 1]]
-                blobs = (shingle[at], node[at], size[at])
+                blobs = (shingle[at], node[at], size[at], rest[at])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([b], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in blobs)],
-                    ["bucket", "shingles", "nodes", "sizes"],
+                    ["bucket", "shingles", "nodes", "sizes", "rests"],
                 )
 
         seen: set[int] = set()
@@ -319,9 +337,9 @@ def _front_rows(docs: DataFrame, pivots, k: int, percent: int, buckets: int) ->
             free[x[_similar(common, n[x], own[q], percent)]] = False
             values, cuts = _only(values, cuts, np.flatnonzero(free))
             nodes, n = names[rows][free], np.diff(cuts)
-            row, shingle = _fronts(values, cuts, p.frequent, percent, SHARED)
+            row, shingle, rest = _fronts(values, cuts, p.frequent, percent, SHARED)
             if len(row):
-                parts.append((shingle, nodes[row], n[row].astype(np.int32)))
+                parts.append((shingle, nodes[row], n[row].astype(np.int32), rest.astype(np.int32)))
                 held += len(row)
             if held >= 4_000_000:
                 yield from send(parts)
@@ -329,21 +347,28 @@ def _front_rows(docs: DataFrame, pivots, k: int, percent: int, buckets: int) ->
         if parts:
             yield from send(parts)
 
-    return docs.select("text").mapInArrow(run, "bucket int, shingles binary, nodes binary, sizes binary")
+    return docs.select("text").mapInArrow(
+        run, "bucket int, shingles binary, nodes binary, sizes binary, rests binary"
+    )
 
 
 def _pairs_in_regions(percent: int):
-    """Pairs of sets of similar size with the number of regions they share here, and how many they
-    have to share in all."""
+    """Pairs that may be similar, with the number of regions they share here and have to share in all.
+
+    In the j-th region that two sets share, the shingles from there on bound their
+    intersection but for the j - 1 before. So each of the first SHARED regions of a
+    similar pair passes the test with SHARED - 1 more; others need not be counted.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         blob = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-        shingle, node, size = blob("shingles", U64), blob("nodes", np.int64), blob("sizes", np.int32).astype(np.int64)
+        shingle, node = blob("shingles", U64), blob("nodes", np.int64)
+        size, rest = blob("sizes", np.int32).astype(np.int64), blob("rests", np.int32).astype(np.int64)
         order = np.lexsort((node, shingle))
-        shingle, node, size = shingle[order], node[order], size[order]
+        shingle, node, size, rest = shingle[order], node[order], size[order], rest[order]
         new = np.ones(len(node), bool)  # one entry per set, however many tasks sent it
         new[1:] = (shingle[1:] != shingle[:-1]) | (node[1:] != node[:-1])
-        shingle, node, size = shingle[new], node[new], size[new]
+        shingle, node, size, rest = shingle[new], node[new], size[new], rest[new]
         _, starts, counts = np.unique(shingle, return_index=True, return_counts=True)
         last = np.repeat(starts + counts, counts)
         names, row = np.unique(node, return_inverse=True)
@@ -365,7 +390,8 @@ def _pairs_in_regions(percent: int):
             if not len(at):
                 break
             a, b = size[at], size[at + step]
-            good = at[100 * np.minimum(a, b) >= percent * np.maximum(a, b)]
+            most = np.minimum(np.minimum(rest[at], rest[at + step]) + SHARED - 1, np.minimum(a, b))
+            good = at[_similar(most, a, b, percent)]
             found.append(row[good] * width + row[good + step])
             if sum(map(len, found)) > 4_000_000:
                 (keys, times), found = merged(), []
@@ -447,10 +473,10 @@ def _verify_windows(percent: int):
     return run
 
 
-def _window_links(docs: DataFrame, regions: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
+def _window_links(docs: DataFrame, regions: DataFrame, k: int, percent: int) -> DataFrame:
     """Links from boundary windows into balls, between classes that no ball connects."""
     spark = docs.sparkSession
-    balls = regions.filter("inside").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    balls = regions.filter("link").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     label = components(balls)
     own = label.select("node", F.col("label").alias("_own"))
     centre = label.select(F.col("node").alias("pivot"), F.col("label").alias("_centre"))
@@ -484,12 +510,11 @@ def _window_links(docs: DataFrame, regions: DataFrame, nodes: DataFrame, k: int,
         columns.withColumnsRenamed({"_mine": "_column", "_other": "_row"})
     )
     placed = stage(placed, "placed")
-    wanted = stage(placed.select("node").distinct().join(nodes.select("node", "id"), "node"), "wanted")
-    full = placed.join(_sets_of(docs, wanted, k), "node")
+    full = placed.join(_sets_of(docs, placed.select("node"), k), "node")
     return full.groupBy("pivot", "_row", "_column").applyInArrow(_verify_windows(percent), "a long, b long")
 
 
-def _sparse_links(docs: DataFrame, pivots, nodes: DataFrame, k: int, percent: int) -> DataFrame:
+def _sparse_links(docs: DataFrame, pivots, k: int, percent: int) -> DataFrame:
     """Links between sets that no ball holds."""
     spark = docs.sparkSession
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -516,8 +541,7 @@ def _sparse_links(docs: DataFrame, pivots, nodes: DataFrame, k: int, percent: in
         .distinct()
         .withColumnsRenamed({"_p": "_p2", "_q": "_q2"})
     )
-    wanted = stage(blocks.select("node").join(nodes.select("node", "id"), "node"), "wanted")
-    sets = members.join(_sets_of(docs, wanted, k), "node")
+    sets = members.join(_sets_of(docs, blocks.select("node"), k), "node")
     return (
         home.groupBy("_p", "_q")
         .cogroup(sets.groupBy("_p2", "_q2"))
@@ -541,10 +565,10 @@ def _classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFram
     )
     pivots = spark.sparkContext.broadcast(choose_pivots(*_sample(docs, nodes, k), percent))
     regions = stage(_region_rows(docs, pivots, k, percent), "regions")
-    balls = regions.filter("inside").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    balls = regions.filter("link").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     links = stage(
-        balls.unionByName(_window_links(docs, regions, nodes, k, percent)).unionByName(
-            _sparse_links(docs, pivots, nodes, k, percent)
+        balls.unionByName(_window_links(docs, regions, k, percent)).unionByName(
+            _sparse_links(docs, pivots, k, percent)
         ),
         "links",
     )
