@@ -23,6 +23,9 @@ from stayline.sources.staging import checkpoint_root, stage
 #: RFC 4648 alphabet (a fixed value).
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
+#: Packed bytes that a reading task takes.
+READ_BYTES = 8 << 20
+
 INDEX = (
     "archive string, offset long, length long, page_id long, url string, digest string, "
     "record_type string"
@@ -217,7 +220,10 @@ def read_records(
             source.close()
 
     placed = index.select("archive", "offset", "length")
-    dealt = placed.repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
+    # The index is small beside the archives: the tasks follow the bytes to read.
+    total = placed.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-total // READ_BYTES))
+    dealt = placed.repartitionByRange(tasks, "archive", "offset").sortWithinPartitions("archive", "offset")
     return dealt.mapInArrow(read, RECORD)
 
 
