@@ -28,8 +28,6 @@ from stayline.sources.staging import stage
 START = "<|im_start|>"
 END = "<|im_end|>"
 LEARNED = "assistant"
-#: Doubling rounds; parents deeper than 2**ROUNDS are taken for a circle.
-ROUNDS = 40
 
 
 def escape(text: str) -> str:
@@ -63,7 +61,9 @@ def branches(messages: DataFrame, top: int = 1) -> DataFrame:
     )
     start = stage(first, "jumps")
     jumps, done = [start.filter("up is not null")], start.filter("up is null")
-    while len(jumps) <= ROUNDS and not jumps[-1].isEmpty():
+    # No way up is longer than the number of messages; what goes on beyond is a circle.
+    rounds = nodes.count().bit_length()
+    while len(jumps) <= rounds and not jumps[-1].isEmpty():
         # Only messages that have not met their root go on, so short branches cost few rounds.
         live = jumps[-1]
         above = live.unionByName(done).select(
