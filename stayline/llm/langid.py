@@ -30,7 +30,7 @@ PER_LANGUAGE = 2000
 MAX_LANGUAGES = 128
 #: Frequent context + byte runs kept, and the size limit of the code-length table.
 MAX_RUNS = 400_000
-MAX_TABLE_BYTES = 64 << 20
+MAX_TABLE_BYTES = 24 << 20
 UNKNOWN = "und"
 _CLASSES = 128
 _UNSEEN, _START = 0, 1
@@ -160,23 +160,23 @@ def _build(lang: np.ndarray, run: np.ndarray, n: np.ndarray) -> Model:
         is_own[kinds] = True
         rows.append(np.where(is_own[key], lookup[key], -1))
         used += len(kinds)
-    counts = np.zeros((used, width, len(languages)), np.float64)
+    counts = np.zeros((used, width, len(languages)), np.float32)
     for at in rows:
         own = at >= 0
         np.add.at(counts, (at[own], symbol[own], which[own]), n[own])
-    total = counts.sum(axis=1)
-    kinds = (counts > 0).sum(axis=1)
-    chance = np.empty_like(counts)
+    # Chances take the place of the counts, a part of a level at a time: the driver holds one table.
     begin = 0
     for level, up in enumerate(parent):
-        end = begin + len(up)
-        c, t, q = counts[begin:end], total[begin:end], kinds[begin:end]
-        less = np.full(c.shape, 1 / 256) if level == 0 else chance[up]
-        whole = np.maximum(t + q, 1)[:, None, :]
-        p = np.where(c > 0, c / whole, less * (q[:, None, :] / whole))
-        chance[begin:end] = np.where(t[:, None, :] > 0, p, less)
-        begin = end
-    bits = -np.log2(chance).astype(np.float32).reshape(used * width, len(languages))
+        for a in range(0, len(up), 1000):
+            c = counts[begin + a : begin + min(a + 1000, len(up))]
+            t, q = c.sum(axis=1)[:, None, :], (c > 0).sum(axis=1, dtype=np.float32)[:, None, :]
+            less = np.full(c.shape, 1 / 256, np.float32) if level == 0 else counts[up[a : a + 1000]]
+            whole = np.maximum(t + q, 1)
+            p = np.where(c > 0, c / whole, less * (q / whole))
+            c[:] = np.where(t > 0, p, less)
+        begin += len(up)
+    bits = -np.log2(counts, out=counts)
+    bits = bits.reshape(used * width, len(languages))
     return Model(languages, classes, tables[-1].astype(np.int32), bits, width)
 
 
