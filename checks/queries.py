@@ -124,7 +124,7 @@ def _model_checks(t: ShopTables) -> DataFrame:
     agrees = int(abs(ranked.first()["auc_roc"] - trained.auc()) < 1e-9)
     return scored.agg(
         F.count("*").alias("customers_scored"),
-        F.lit(trained.held_out.count()).alias("held_out_rows"),
+        F.lit(trained.held_out.count()).cast("bigint").alias("held_out_rows"),
         F.count_if(~score.between(0, 100)).alias("scores_outside"),
         F.count_if(~segment.eqNullSafe(churn.risk_segment(score))).alias("segments_off"),
         importance.select("inputs").scalar().alias("inputs"),
