@@ -6,6 +6,10 @@ labelled rows by the condition with the best information gain, cut back on the
 other third, kept if it is right there, and the rows it covers are taken away
 before the next one. The list becomes ordered WHEN branches, and the first rule
 that holds names the reason a text is rejected.
+
+Rules are learned for two classes of rejected texts: bad ones (quality 0) and
+toxic ones (toxic 1). For the second, the words that mark toxic labelled texts
+are found first, and their number and share in a text are statistics, too.
 """
 
 from __future__ import annotations
@@ -27,6 +31,13 @@ PRECISION = 0.9
 #: Rows of the bad class that a rule must cover to be kept.
 SUPPORT = 3
 
+#: Words that mark toxic texts, at most, and how many toxic texts must have one, in as many contexts: a number and a share.
+MAX_MARKS = 256
+MARK_TEXTS = 5
+MARK_SHARE = 0.01
+#: Least logarithm of how much higher the odds of such a word are in toxic texts.
+MARK_ODDS = 3.0
+
 MIN_WORDS = 50
 REPEAT_SHARE = 50
 
@@ -36,11 +47,20 @@ _TRIM = " \t\n\x0b\x0c\r"
 STATISTICS = (
     "n_words", "mean_word", "symbol_share", "repeat_share", "dup_line_share", "upper_share", "digit_share", "distinct_share",
 )
+#: Statistics that rules for toxic texts may use as well.
+MARKED = ("n_marks", "mark_share")
+
 
+def plain_words(text: Column) -> Column:
+    """Runs of letters and digits, in lower case."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{M}\p{N}]+)"))
 
-def statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
+
+def statistics(docs: DataFrame, keep: list[str], marks: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` and the statistics of ``text``; a null text has no words.
 
+    ``marks``: words whose number and share are wanted as well.
+
     Equal three-word windows are found by sorting 64-bit values that hold the
     position in the low bits, as many as the text needs, and a hash above them.
     """
@@ -62,6 +82,9 @@ def statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
         count(r"[^0-9]+").alias("_digits"),
         F.size(F.array_distinct("_w")).alias("_distinct"),
         lines.alias("_lines"),
+        (F.size(F.filter(plain_words(F.col("_bare")), lambda x: x.isin(marks))) if marks else F.lit(0))
+        .cast("long")
+        .alias("n_marks"),
     )
     step = step.withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
     step = step.withColumn("_n_lines", F.size("_lines")).drop("_lines")
@@ -104,6 +127,7 @@ def statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
         share("_upper", "word_chars").alias("upper_share"),
         share("_digits", "word_chars").alias("digit_share"),
         share("_distinct", "n_words").alias("distinct_share"),
+        *(["n_marks", share("n_marks", "n_words").alias("mark_share")] if marks else []),
     )
 
 
@@ -207,16 +231,70 @@ def learn(table: dict[str, np.ndarray], bad: np.ndarray, seed: int = 0) -> list[
 
 def labelled_statistics(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> tuple[dict, np.ndarray]:
     """Statistics and badness (quality 0) of at most ``limit`` labelled texts that the base lets through."""
+    joined = _labelled(docs, labels, "quality", limit).limit(limit)
+    found = statistics(joined, ["_label"]).filter(~base_failed()).select("_label", *STATISTICS).toPandas()
+    return {c: found[c].to_numpy(float) for c in STATISTICS}, found["_label"].to_numpy(float) == 0
+
+
+def _labelled(docs: DataFrame, labels: DataFrame, label: str, limit: int) -> DataFrame:
+    """doc_id, text and _label of the texts of at most ``limit`` labels."""
     some = (
-        labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
-        .select("doc_id", F.col("quality").alias("_quality"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "_quality")
+        labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+        .select("doc_id", F.col(label).alias("_label"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "_label")
         .limit(limit)
     )
     # At most ``limit`` rows of two numbers.
-    joined = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").limit(limit)
-    found = statistics(joined, ["_quality"]).filter(~base_failed()).select("_quality", *STATISTICS).toPandas()
-    return {c: found[c].to_numpy(float) for c in STATISTICS}, found["_quality"].to_numpy(float) == 0
+    return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")
+
+
+def toxic_marks(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> list[str]:
+    """Words whose odds are far higher in toxic labelled texts than in the others.
+
+    A word must follow as many different words as it must have texts, so that
+    copies of one toxic text do not make marks of all their words.
+    """
+    joined = _labelled(docs, labels, "toxic", limit).select((F.col("_label") == 1).alias("_toxic"), plain_words(F.col("text")).alias("_w"))
+    texts = {r["_toxic"]: r["n"] for r in joined.groupBy("_toxic").agg(F.count("*").alias("n")).collect()}
+    toxic, other = texts.get(True, 0), texts.get(False, 0)
+    if not toxic or not other:
+        return []
+    least = max(MARK_TEXTS, MARK_SHARE * toxic)
+    counts = (
+        joined.select("_toxic", F.explode(F.array_distinct("_w")).alias("word"))
+        .groupBy("word")
+        .agg(F.count_if("_toxic").alias("a"), F.count_if(~F.col("_toxic")).alias("b"))
+        .filter(F.col("a") >= least)
+        .withColumn("odds", F.log((F.col("a") + 0.5) * (other - F.col("b") + 0.5) / ((toxic - F.col("a") + 0.5) * (F.col("b") + 0.5))))
+        .filter(F.col("odds") > MARK_ODDS)
+    )
+    rows = counts.orderBy(F.desc("odds"), "word").limit(16 * MAX_MARKS).collect()
+    words = [r["word"] for r in rows]
+    if not words:
+        return []
+    pairs = F.transform("_w", lambda x, i: F.struct(x.alias("word"), F.get("_w", i - 1).alias("before")))
+    contexts = (
+        joined.filter("_toxic")
+        .select(F.explode(F.array_distinct(F.filter(pairs, lambda x: x["word"].isin(words)))).alias("pair"))
+        .select("pair.*")
+        .distinct()
+        .groupBy("word")
+        .count()
+        .filter(F.col("count") >= least)
+    )
+    spread = {r["word"] for r in contexts.collect()}  # as many as there are words, at most
+    return [w for w in words if w in spread][:MAX_MARKS]
+
+
+def learn_toxic(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> tuple[list[str], list[Rule]]:
+    """Words that mark toxic texts, and rules for toxic texts (toxic 1) that the base lets through."""
+    marks = toxic_marks(docs, labels, limit)
+    names = STATISTICS + (MARKED if marks else ())
+    joined = _labelled(docs, labels, "toxic", limit)
+    # The limit is on numbers: on texts it would bring them all to one task.
+    measured = statistics(joined, ["doc_id", "_label"], marks).filter(~base_failed()).select("doc_id", "_label", *names)
+    found = measured.limit(limit).toPandas().sort_values(["doc_id", "_label"], kind="stable")
+    return marks, learn({c: found[c].to_numpy(float) for c in names}, found["_label"].to_numpy(float) == 1)
 
 
 def rule_column(rules: list[Rule]) -> Column:
@@ -230,13 +308,14 @@ def rule_column(rules: list[Rule]) -> Column:
     return F.lit(None).cast("int") if out is None else out.otherwise(F.lit(None)).cast("int")
 
 
-def judge(docs: DataFrame, rules: list[Rule], keep: list[str]) -> DataFrame:
+def judge(docs: DataFrame, rules: list[Rule], keep: list[str], marks: list[str] | None = None) -> DataFrame:
     """Columns ``keep``, the statistics, base_failed, rule (the first that holds) and kept.
 
+    ``marks``: the words that rules on MARKED count.
     An empty or null text has no words and fails the base.
     """
     return (
-        statistics(docs, keep)
+        statistics(docs, keep, marks)
         .withColumns({"base_failed": base_failed(), "rule": rule_column(rules)})
         .withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
     )

@@ -49,8 +49,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    rules = quality.learn(*quality.labelled_statistics(docs, table(spark, sf_dir, "labels")))
-    return quality.judge(docs, rules, keep=["doc_id"]).select(
+    labels = table(spark, sf_dir, "labels")
+    rules = quality.learn(*quality.labelled_statistics(docs, labels))
+    marks, toxic = quality.learn_toxic(docs, labels)
+    return quality.judge(docs, rules + toxic, keep=["doc_id"], marks=marks).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"
     )
 

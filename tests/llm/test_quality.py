@@ -59,3 +59,40 @@ def test_symbol_rule_is_learned_from_labels_and_applied_in_order(spark):
     assert {r["doc_id"] for r in kept if r["kept"]} == {d for d, _ in good}
     assert {r["rule"] for r in kept if not r["kept"]} <= set(range(1, len(rules) + 1))
     assert quality.judge(docs.filter("false"), rules, ["doc_id"]).count() == 0
+
+
+def test_toxic_texts_are_learned_from_their_words(spark):
+    """Toxic texts of good quality; the words of one toxic text and its copies are no marks."""
+    rng = __import__("random").Random(4)
+    prose = [brute.prose(rng, 80) for _ in range(200)]
+    toxic = []
+    for i in range(60):
+        w = brute.prose(rng, 80).split()
+        for x in ("Trash,", "moron", "clown!"):
+            w.insert(rng.randrange(len(w)), x)
+        toxic.append(" ".join(w))
+    copied = "only this text has these uncommon words " + toxic[0]
+    rows = [(i, t) for i, t in enumerate([*prose, *toxic, *[copied] * 8])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(d, 1, int(d >= 200)) for d, _ in rows], "doc_id long, quality int, toxic int")
+    marks, rules = quality.learn_toxic(docs, labels)
+    assert sorted(marks) == ["clown", "moron", "trash"] and rules
+    kept = quality.judge(docs, rules, ["doc_id"], marks).filter("kept").collect()
+    assert {r["doc_id"] for r in kept} == set(range(200))
+    assert quality.learn_toxic(docs, labels.withColumn("toxic", labels.quality * 0)) == ([], [])
+
+
+def test_the_query_rejects_toxic_texts(spark, tmp_path):
+    from stayline.llm import queries
+
+    rng = __import__("random").Random(6)
+    rows = []
+    for i in range(320):
+        w = brute.prose(rng, 80).split()
+        w[rng.randrange(80)] = "Moron" if i % 4 == 0 else "apple"
+        rows.append((i, " ".join(w)))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(d, 1, int(d % 4 == 0)) for d, _ in rows if d < 240]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = queries.op3_quality(spark, str(tmp_path)).filter("kept").collect()
+    assert {r["doc_id"] for r in kept} == {d for d, _ in rows if d % 4}
