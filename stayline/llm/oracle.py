@@ -6,6 +6,8 @@ hold them against brute force.
 
 from __future__ import annotations
 
+from stayline.llm.url_rules import PATTERNS
+
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _LETTER = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> {}) & 31) + 1, 1)"
@@ -80,9 +82,66 @@ select conv_id, count(*) as n_turns,
                 + length({_ESCAPED.format("text")}) + length('<|im_end|>') + 1) as bigint) as formatted_chars
 from c group by conv_id"""
 
+_DRAW = "cast('0x' || substr(h, {}, 8) as bigint)"
+_UNIT = "regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]')"
+
+OP11 = f"""
+with d as (
+  select doc_id, coalesce(text, '') as t, {_UNIT} as u, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h
+  from documents),
+c as (
+  select doc_id, t, u, cast(len(u) as bigint) as n,
+         case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>')
+                or {_DRAW.format(17)} % 100 >= 90 then 'plain'
+              when {_DRAW.format(25)} % 100 < 20 then 'spm' else 'psm' end as form,
+         {_DRAW.format(1)} % (len(u) + 1) as x, {_DRAW.format(9)} % (len(u) + 1) as y
+  from d),
+p as (
+  select *, array_to_string(u[1 : least(x, y)], '') as prefix,
+         array_to_string(u[least(x, y) + 1 : greatest(x, y)], '') as middle,
+         array_to_string(u[greatest(x, y) + 1 : n], '') as suffix
+  from c)
+select doc_id, n, form,
+       case when form <> 'plain' then cast(length(prefix) as bigint) end as prefix_chars,
+       case when form <> 'plain' then cast(length(middle) as bigint) end as middle_chars,
+       sha256(case form when 'plain' then t
+                        when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(t) as restored_sha256
+from p"""
+
+_URL = "coalesce(url, '')"
+_URL_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BAD = "|".join(word for word, _ in PATTERNS)
+
+OP12 = f"""
+with p as (
+  select page_id, {_URL_LOWER.format(f"regexp_extract({_URL}, '^(?s:.*?)://([^/?#]*)', 1)")} as host,
+         regexp_extract({_URL}, '^(?s:.*?)://[^/?#]*([^?#]*)', 1) as path
+  from pages),
+f as (
+  select *, host = 'org' or ends_with(host, '.org') as org, host = 'com' or ends_with(host, '.com') as com,
+         host = 'example.org' or ends_with(host, '.example.org') as example
+  from p),
+r as (
+  select *, case when example and starts_with(path, '/es/') then 'example.org/es/'
+                 when example and starts_with(path, '/en/1') then 'example.org/en/1'
+                 when org and starts_with(path, '/') then 'org/'
+                 when com and starts_with(path, '/fr/') then 'com/fr/'
+                 when com and starts_with(path, '/de/') then 'com/de/' end as rule
+  from f)
+select page_id, host, path, rule,
+       case when rule in ('org/', 'com/fr/') then 'allow' when rule is not null then 'block'
+            when regexp_matches({_URL_LOWER.format("host || path")}, '(?:^|[^a-z0-9])(?:{_BAD})(?:$|[^a-z0-9])')
+              then 'block'
+            else 'allow' end as verdict
+from r"""
+
 ORACLE: dict[str, str] = {
     "op1_warc": OP1,
     "op5_jaccard": OP5,
     "op6_substrings": OP6,
     "op8_chat": OP8,
+    "op11_fim": OP11,
+    "op12_urls": OP12,
 }

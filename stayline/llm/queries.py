@@ -8,11 +8,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, chat, decontaminate, jaccard, kneser_ney, langid, quality, sharding, substrings, warc
+from stayline.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    jaccard,
+    kneser_ney,
+    langid,
+    periodic,
+    piece_table,
+    quality,
+    sharding,
+    substrings,
+    url_rules,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 16
+#: Site rules of the URL query.
+SITES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -128,6 +150,39 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    written = piece_table.render(piece_table.transform(docs)).drop("text", "pieces")
+    return piece_table.restore(written).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"
+    )
+
+
+def op12_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = url_rules.judge(pages, url_rules.compile_rules(spark, SITES), keep=["page_id"])
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic.with_repeated_tails(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.find_runs(docs, keep=["doc_id"])
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    first = found.withColumn("longest", longest.cast("struct<length:long,start:long,period:long>"))
+    length, period = F.col("longest.length"), -F.col("longest.period")
+    return first.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.start")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.call_function("div", 1000 * length, period).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_bpe": op2_bpe,
@@ -139,4 +194,7 @@ QUERIES: dict[str, Query] = {
     "op8_chat": op8_chat,
     "op9_decontaminate": op9_decontaminate,
     "op10_lm": op10_lm,
+    "op11_fim": op11_fim,
+    "op12_urls": op12_urls,
+    "op13_periodic": op13_periodic,
 }

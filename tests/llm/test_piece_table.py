@@ -1,0 +1,98 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from stayline.llm import piece_table, queries
+from tests.llm import brute
+
+
+def expected(doc_id, text, seed=1, rate=90, spm_rate=20):
+    """n, form, prefix and middle (None if plain), output, by plain list slices."""
+    t = text or ""
+    u = re.findall(r"[A-Za-z]+|[^A-Za-z]", t)
+    h = hashlib.sha256(f"{seed}:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[i : i + 8], 16) for i in (0, 8, 16, 24))
+    n = len(u)
+    if not t or any(s in t for s in ("<P>", "<S>", "<M>")) or h3 % 100 >= rate:
+        return n, "plain", None, None, t
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    p, m, s = "".join(u[:a]), "".join(u[a:b]), "".join(u[b:])
+    if h4 % 100 < spm_rate:
+        return n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def test_cut_arrange_and_undo():
+    rng = random.Random(3)
+    text = b"The quick brown fox"
+    for _ in range(300):
+        at = sorted(rng.randint(0, len(text)) for _ in range(2))
+        parts = piece_table.cut([(0, 0, len(text))], at)
+        spelled = lambda t: b"".join(piece_table.stream(t, memoryview(text)))
+        assert [spelled([p]) for p in parts] == [text[: at[0]], text[at[0] : at[1]], text[at[1] :]]
+        for form in ("psm", "spm"):
+            table = piece_table.arrange(parts, form)
+            assert piece_table.undo(table, form) == parts
+            output = spelled(table)
+            again = piece_table.undo(piece_table.parse(output, form), form)
+            assert b"".join(piece_table.stream(again, memoryview(output))) == text
+            assert piece_table.digest(table, memoryview(text)) == hashlib.sha256(output).hexdigest()
+    # A table of several descriptors is cut inside any of them.
+    assert piece_table.cut([(0, 0, 3), (0, 5, 4)], [5]) == [(0, 0, 3), (0, 5, 2), (0, 7, 2)]
+    with pytest.raises(ValueError):
+        piece_table.parse(b"<P>a<S>b", "psm")
+
+
+def awkward():
+    rng = random.Random(2)
+    pool = ["a", "Bc", " ", "\n", "é", "😀", "1", "<", ">", "<P", "S>", "<P>", "你好", "\x00", "‍"]
+    rows = [(1000 + i, "".join(rng.choice(pool) for _ in range(rng.randint(0, 12)))) for i in range(300)]
+    return brute.documents() + rows + [(None, "null key"), (7, "<M>"), (-5, "negative key and some text")]
+
+
+def test_equal_to_plain_slices(spark):
+    rows = awkward()
+    docs = brute.table(spark, rows)
+    written = piece_table.render(piece_table.transform(docs))
+    found = piece_table.restore(written).collect()
+    want = Counter()
+    for d, t in rows:
+        n, form, prefix, middle, output = expected(d, t)
+        want[d, t, n, form, prefix, middle, output, brute.sha(output), t or "", brute.sha(t or "")] += 1
+    names = ("doc_id", "text", "n", "form", "prefix_chars", "middle_chars", "output", "output_sha256", "restored", "restored_sha256")
+    assert Counter(tuple(r[c] for c in names) for r in found) == want
+    assert {w[3] for w in want} == {"plain", "psm", "spm"}
+
+
+def test_other_shares_seeds_and_clashing_names(spark):
+    rows = [(i, f"some words {i} <b> and more") for i in range(60)]
+    names = ["source_text", "draw0", "DRAW1", "n", "pieces", "form"]
+    docs = brute.table(spark, rows).select("doc_id", "text", *[F.lit(i).alias(c) for i, c in enumerate(names)])
+    found = piece_table.render(piece_table.transform(docs, seed=5, rate=100, spm_rate=50)).collect()
+    assert {r["form"] for r in found} == {"psm", "spm"}
+    for r in found:
+        assert (r["n"], r["form"], r["prefix_chars"], r["middle_chars"], r["output"]) == expected(
+            r["doc_id"], r["text"], 5, 100, 50
+        )
+        assert (r["source_text"], r["draw0"], r["DRAW1"]) == (0, 1, 2)
+    none = piece_table.transform(docs, rate=0).select("form").distinct().collect()
+    assert [r["form"] for r in none] == ["plain"]
+    assert piece_table.restore(piece_table.render(piece_table.transform(docs.filter("false")))).count() == 0
+
+
+def test_query_has_the_plain_result(spark, tmp_path):
+    rows = awkward()
+    brute.table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op11_fim(spark, str(tmp_path))
+    assert found.columns == ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"]
+    want = Counter()
+    for d, t in rows:
+        *head, output = expected(d, t)
+        want[d, *head, brute.sha(output), brute.sha(t or "")] += 1
+    assert Counter(tuple(r) for r in found.collect()) == want
