@@ -1,123 +1,180 @@
-"""Exact interpolated quantiles without holding a column in one task.
-
-``percentile`` keeps every distinct value in one task's memory. Here the two
-ranks around the quantile are searched digit by digit: each pass counts rows
-per 21-bit digit below the digits found so far, so a pass never returns more
-than 2 * 2^22 rows per column, whatever the data, and hot values collapse
-before the shuffle.
+"""Exact interpolated quantiles of any numbers, without holding a column in one task.
+
+``percentile`` keeps every distinct value in one task's memory. Here each value
+is mapped to a 64-bit whole number that sorts as the values do (the bits of an IEEE
+double, negated below zero), and the two ranks around the quantile are searched over
+these numbers: each pass deals the range still open into at most 2^21 equal
+buckets and counts rows per bucket, so a pass never returns more than 2^22 rows per
+column, whatever the data, and hot values collapse before the shuffle. A bucket that
+holds one value only ends the search, which on prices or scores is the first
+pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DIGIT_BITS = 21
-# Whole numbers up to here are exact as doubles.
-EXACT = 2**53
-# Share of a unit by which a double may miss a whole number of units.
-SLACK = 1e-6
+# Layout of IEEE doubles.
+FRACTION_BITS = 52
+EXPONENT_BIAS = 1023
+LEAST_EXPONENT = -1022
+_FRACTION = 1 << FRACTION_BITS
+_INFINITE = (2 * EXPONENT_BIAS + 1) * _FRACTION
+# Half of the way between 1 and the least positive double, 2**-1074.
+_HALF_WAY = 2.0**537
 
 
-def _scaled(column: str, decimals: int) -> Column:
-    """The value in units of its last decimal, as a double."""
-    return F.col(column).cast("double") * 10**decimals
+def _power(exponent: Column) -> Column:
+    """2 to a whole number: exact, as Java's pow is for whole results."""
+    return F.pow(F.lit(2.0), exponent.cast("double"))
 
 
-def _shifts(df: DataFrame, columns: Sequence[str], decimals: int) -> list[int]:
-    """Right shift of each pass, from the largest value there is.
+def sortable(x: Column) -> Column:
+    """A whole number per double that sorts as the doubles do; NULL for NULL and NaN.
 
-    One pass over ``df``. A value that is no whole number of units, not a number
-    or beyond the exact doubles is an error: ranks would no longer be exact.
+    Equal to the double's bits for positive numbers and to their negation below
+    zero; both zeros give 0. Found by arithmetic on powers of two, which is
+    exact: Spark has no function that reads the bits.
     """
-    scaled = [_scaled(c, decimals) for c in columns]
-    off = [~(F.abs(x - F.rint(x)) <= SLACK) | ~(F.abs(x) <= EXACT) for x in scaled]
-    found = df.agg(
-        *[F.count_if(x).alias(f"off{i}") for i, x in enumerate(off)],
-        *[F.max(F.abs(F.rint(x))).alias(f"top{i}") for i, x in enumerate(scaled)],
-    ).first()
-    for i, name in enumerate(columns):
-        if found[f"off{i}"]:
-            raise ValueError(
-                f"{name}: {found[f'off{i}']} values have more than {decimals} decimals or are too large"
-            )
-    top = max(int(found[f"top{i}"] or 0) for i in range(len(columns)))
-    return list(range(0, max(top.bit_length(), 1), DIGIT_BITS))[::-1]
-
-
-def quantiles(df: DataFrame, columns: Sequence[str], p: float, decimals: int = 2) -> DataFrame:
-    """One row with the ``p`` quantile of each column: linear, NULLs skipped.
-
-    Values must have at most ``decimals`` decimals, else this raises. ``df`` is
-    read once to find the range and once per 21 bits of it: pass a stored table.
-    """
-    shifts = _shifts(df, columns, decimals)
-    named = [
-        F.struct(F.lit(c).alias("name"), F.rint(_scaled(c, decimals)).cast("bigint").alias("tick"))
-        for c in columns
-    ]
-    ticks = df.select(F.inline(F.array(*named))).where(F.col("tick").isNotNull())
-
-    # First digit: the ranks wanted follow from the total of all buckets.
-    column = Window.partitionBy("name")
-    position = (F.col("rows") - 1) * F.lit(float(p))
-    sides = F.array(
-        F.struct(F.lit("low").alias("side"), F.floor(position).alias("rank")),
-        F.struct(F.lit("high").alias("side"), F.ceil(position).alias("rank")),
+    x = x.cast("double")
+    size = F.abs(x)
+    # The logarithm may miss a whole exponent by one near powers of two.
+    near = F.floor(F.log2(size)).cast("int")
+    exponent = F.greatest(
+        F.when(_power(near) > size, near - 1).when(_power(near + 1) <= size, near + 1).otherwise(near),
+        F.lit(LEAST_EXPONENT),
+    )
+    normal = (exponent + EXPONENT_BIAS).cast("bigint") * F.lit(_FRACTION) + (
+        (size / _power(exponent) - 1) * float(_FRACTION)
+    ).cast("bigint")
+    below = (size * _HALF_WAY * _HALF_WAY).cast("bigint")
+    bits = (
+        F.when(size == float("inf"), F.lit(_INFINITE))
+        .when(size < 2.0**LEAST_EXPONENT, below)
+        .otherwise(normal)
+    )
+    return F.when(F.isnan(x), None).when(x < 0, -bits).otherwise(bits)
+
+
+def unsorted(number: int) -> float:
+    """The double that ``sortable`` maps to ``number``."""
+    exponent, fraction = divmod(abs(number), _FRACTION)
+    if exponent > 2 * EXPONENT_BIAS:
+        size = float("inf")
+    elif exponent == 0:
+        size = fraction / _HALF_WAY / _HALF_WAY
+    else:
+        size = (1 + fraction / _FRACTION) * 2.0 ** (exponent - EXPONENT_BIAS)
+    return -size if number < 0 else size
+
+
+@dataclass
+class _Search:
+    """The ``rank``-th of the numbers of a column that lie between ``low`` and ``high``."""
+
+    column: int
+    rank: int
+    low: int
+    high: int
+
+    @property
+    def shift(self) -> int:
+        """Bits within a bucket, so that the range has at most 2^DIGIT_BITS buckets."""
+        return max((self.high - self.low).bit_length() - DIGIT_BITS, 0)
+
+
+def _narrow(numbers: DataFrame, searches: Sequence[_Search]) -> None:
+    """One pass over ``numbers`` (column, number): each search goes on in the bucket of its rank."""
+    spans = sorted({(s.column, s.low, s.high, s.shift) for s in searches})
+    # At most two spans per column of the table.
+    open_spans = numbers.sparkSession.createDataFrame(
+        [(i, *span) for i, span in enumerate(spans)], "span int, of int, low bigint, high bigint, shift int"
     )
+    inside = (F.col("column") == F.col("of")) & F.col("number").between(F.col("low"), F.col("high"))
+    # A span may be wider than a bigint, so it is cut at zero: no difference then overflows.
+    step = F.col("number") - F.col("low")
     counts = (
-        ticks.groupBy("name", F.shiftright("tick", shifts[0]).alias("bucket"))
-        .agg(F.count("*").alias("n"))
-        .withColumns(
-            {"upto": F.sum("n").over(column.orderBy("bucket")), "rows": F.sum("n").over(column)}
-        )
-        .select(
-            "name",
-            F.explode(sides).alias("target"),
-            (position - F.floor(position)).alias("part"),
-            "bucket",
-            "n",
-            "upto",
-        )
-        .select(F.col("name").alias("of"), "target.*", "part", "bucket", "n", "upto")
+        numbers.join(F.broadcast(open_spans), inside)
+        .groupBy("span", F.call_function("shiftright", step, F.col("shift")).alias("bucket"))
+        .agg(F.count("*").alias("rows"), F.min("number").alias("least"), F.max("number").alias("most"))
     )
-    found = _holding_rank(counts)
-    for above, shift in zip(shifts, shifts[1:]):
-        # ``found`` holds two rows per column.
-        inside = (F.col("name") == F.col("of")) & (
-            F.shiftright("tick", above) == F.col("prefix")
-        )
-        target = Window.partitionBy("of", "side").orderBy("bucket")
-        counts = (
-            ticks.join(F.broadcast(found), inside)
-            .groupBy("of", "side", "rank", "part", F.shiftright("tick", shift).alias("bucket"))
-            .agg(F.count("*").alias("n"))
-            .withColumn("upto", F.sum("n").over(target))
+    counts = counts.withColumn("upto", F.sum("rows").over(Window.partitionBy("span").orderBy("bucket")))
+    before = F.col("upto") - F.col("rows")
+    wanted = F.lit(False)
+    for s in searches:
+        here = spans.index((s.column, s.low, s.high, s.shift))
+        wanted |= (F.col("span") == here) & (before <= s.rank) & (F.col("upto") > s.rank)
+    # One row per search.
+    found = counts.where(wanted).select("span", before.alias("before"), "upto", "least", "most").collect()
+    for s in searches:
+        here = spans.index((s.column, s.low, s.high, s.shift))
+        row = next(r for r in found if r["span"] == here and r["before"] <= s.rank < r["upto"])
+        s.rank, s.low, s.high = s.rank - row["before"], row["least"], row["most"]
+
+
+def quantile_values(df: DataFrame, columns: Sequence[str], p: float) -> list[float | None]:
+    """The ``p`` quantile of each column: linear, NULL and NaN skipped, None without any value.
+
+    ``df`` is read once for the ranges and once per pass, together for all columns: pass a
+    stored table. Values count as doubles.
+    """
+    if not 0 <= p <= 1:
+        raise ValueError(f"no quantile: {p}")
+    keys = [sortable(F.col(f"`{c}`")) for c in columns]
+    # Per sign, as the distance of numbers of both signs may pass 64 bits.
+    negative = [k < 0 for k in keys]
+    facts = df.agg(
+        *[
+            f
+            for i, (k, neg) in enumerate(zip(keys, negative))
+            for f in (
+                F.count(k).alias(f"rows{i}"),
+                F.count_if(neg).alias(f"negative{i}"),
+                F.min(k).alias(f"low{i}"),
+                F.max(k).alias(f"high{i}"),
+                F.max(F.when(neg, k)).alias(f"last{i}"),
+                F.min(F.when(~neg, k)).alias(f"first{i}"),
+            )
+        ]
+    ).first()
+    numbers = df.select(
+        F.inline(
+            F.array(*[F.struct(F.lit(i).alias("column"), k.alias("number")) for i, k in enumerate(keys)])
         )
-        found = _holding_rank(counts)
-
-    step = 10**decimals
-
-    def value(name: str) -> Column:
-        def of(side: str, column: str) -> Column:
-            return F.max(F.when((F.col("of") == name) & (F.col("side") == side), F.col(column)))
-
-        low, high, part = of("low", "prefix"), of("high", "prefix"), of("low", "part")
-        between = (low * (1 - part) + high * part) / step
-        return F.when(low == high, low / step).otherwise(between).alias(name)
-
-    return found.agg(*[value(c) for c in columns])
-
-
-def _holding_rank(counts: DataFrame) -> DataFrame:
-    """Per target the bucket that holds its rank, and the rank inside the bucket."""
-    before = F.col("upto") - F.col("n")
-    return counts.where((before <= F.col("rank")) & (F.col("rank") < F.col("upto"))).select(
-        "of",
-        "side",
-        (F.col("rank") - before).alias("rank"),
-        "part",
-        F.col("bucket").alias("prefix"),
-    )
+    ).where(F.col("number").isNotNull())
+
+    found: list[tuple[_Search, _Search, float] | None] = []
+    for i in range(len(columns)):
+        rows, below = facts[f"rows{i}"], facts[f"negative{i}"]
+        if not rows:
+            found.append(None)
+            continue
+        place = (rows - 1) * float(p)
+        sides = []
+        for rank in (int(place), min(int(place) + (place > int(place)), rows - 1)):
+            if rank < below:
+                sides.append(_Search(i, rank, facts[f"low{i}"], facts[f"last{i}"]))
+            else:
+                sides.append(_Search(i, rank - below, facts[f"first{i}"], facts[f"high{i}"]))
+        found.append((*sides, place - int(place)))
+
+    searches = [s for f in found if f for s in f[:2]]
+    while left := [s for s in searches if s.low < s.high]:
+        _narrow(numbers, left)
+
+    def value(low: _Search, high: _Search, part: float) -> float:
+        a, b = unsorted(low.low), unsorted(high.low)
+        return a if a == b or not part else a * (1 - part) + b * part
+
+    return [None if f is None else value(*f) for f in found]
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], p: float) -> DataFrame:
+    """``quantile_values`` as a table of one row, with the names of ``columns``."""
+    values = quantile_values(df, columns, p)
+    return df.sparkSession.range(1).select(*[F.lit(v).cast("double").alias(c) for v, c in zip(values, columns)])

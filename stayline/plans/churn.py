@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from stayline.functions import cut
 from stayline.operators.metrics import class_balance, classification_report, confusion_matrix
-from stayline.operators.quantile import quantiles
+from stayline.operators.quantile import quantile_values
 from stayline.operators.split import stratified_split
 from stayline.sources.staging import checkpoint_root, stage
 
@@ -76,9 +76,9 @@ def gap_filler(features: DataFrame) -> SQLTransformer:
 
     The learner needs a number everywhere; the columns themselves stay as they are.
     """
-    medians = quantiles(features, list(FILLED), 0.5).first()
+    medians = quantile_values(features, list(FILLED), 0.5)
     filled = ", ".join(
-        f"COALESCE(CAST({c} AS DOUBLE), {float(medians[c] or 0.0)!r}D) AS {name}" for c, name in FILLED.items()
+        f"COALESCE(CAST({c} AS DOUBLE), {float(m or 0.0)!r}D) AS {name}" for (c, name), m in zip(FILLED.items(), medians)
     )
     return SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
 

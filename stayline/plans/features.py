@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stayline.functions import days_between, half_up, moment, ratio
 from stayline.operators.fanout import Weights, mark_first, payment_totals
-from stayline.operators.quantile import quantiles
+from stayline.operators.quantile import quantile_values
 from stayline.plans.purchases import category_lines, delivered, order_lines, order_reviews
 from stayline.sources.staging import stage
 from stayline.sources.tables import ShopTables
@@ -130,9 +130,9 @@ def raw_features(
 
 
 def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Fill NULLs in ``columns`` with the column's median: one search, read by field."""
-    medians = quantiles(df, columns, 0.5).select(F.struct(*columns)).scalar()
-    return df.withColumns({c: F.coalesce(c, medians[c]) for c in columns})
+    """Fill NULLs in ``columns`` with the column's median, all found in one search."""
+    medians = quantile_values(df, columns, 0.5)
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(m)) for c, m in zip(columns, medians)})
 
 
 def impute(raw: DataFrame) -> DataFrame:

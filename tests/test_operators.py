@@ -1,17 +1,19 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
+import struct
 
 import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from stayline.operators import metrics
+from stayline.operators import metrics, quantile
 from stayline.operators.fanout import Weights, cents
 from stayline.operators.generate import add_generated_text
-from stayline.operators.quantile import quantiles
+from stayline.operators.quantile import quantile_values, quantiles, sortable, unsorted
 from stayline.operators.split import stratified_split
 
 
@@ -45,13 +47,53 @@ def test_quantile_of_any_range(spark):
     assert quantiles(df.where("false"), ["x"], 0.5).first().x is None
 
 
-@pytest.mark.parametrize("value", [0.004, 1e30, float("nan"), float("inf")])
-def test_quantile_of_values_that_are_no_whole_units(spark, value):
-    df = spark.createDataFrame([(1.0,), (value,), (None,)], "x double")
-    with pytest.raises(ValueError, match="decimals or are too large"):
-        quantiles(df, ["x"], 0.5)
-    if value == 0.004:
-        assert quantiles(df, ["x"], 0.0, decimals=3).first().x == 0.004
+ANY = [0.125, 1e-300, 1e300, 5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308,
+       1.0, math.nextafter(1.0, 0), math.nextafter(1.0, 2), 0.1, 1 / 3, 8.0, math.nextafter(8.0, 0), 1e22, 0.0, float("inf")]
+
+
+def test_sortable_numbers_are_the_bits_of_doubles(spark):
+    r = random.Random(5)
+    values = ANY + [struct.unpack("<d", struct.pack("<q", r.getrandbits(63)))[0] for _ in range(3000)]
+    values += [2.0**e for e in range(-1074, 1024)] + [math.nextafter(2.0**e, 0) for e in range(-1073, 1024)]
+    values = [v for v in values if not math.isnan(v)]
+    df = spark.createDataFrame([(v, -v) for v in values], "x double, y double")
+    got = df.select("x", "y", sortable(F.col("x")).alias("up"), sortable(F.col("y")).alias("down")).collect()
+    for row in got:
+        bits = struct.unpack("<q", struct.pack("<d", row.x))[0]
+        assert (row.up, row.down) == (bits, -bits)
+        assert unsorted(row.up) == row.x and unsorted(row.down) == row.y
+
+
+@pytest.mark.parametrize("p", [0.0, 0.1, 0.5, 0.77, 1.0])
+def test_quantile_of_any_double(spark, p):
+    finite = [v for v in ANY if v != float("inf")]
+    for values in (finite, [-v for v in finite] + finite, [*finite, None, float("nan")], [0.125], [-0.0, 0.0, -1e-300]):
+        df = spark.createDataFrame([(v,) for v in values], "x double").repartition(3)
+        want = pd.Series(values, dtype="float").quantile(p)
+        assert quantiles(df, ["x"], p).first().x == pytest.approx(want, rel=1e-15, abs=0)
+    infinite = spark.createDataFrame([(float("-inf"),), (1.0,), (float("inf"),)], "x double")
+    assert quantiles(infinite, ["x"], 0.5).first().x == 1.0
+    assert quantiles(infinite, ["x"], 1.0).first().x == float("inf")
+    with pytest.raises(ValueError):
+        quantiles(infinite, ["x"], 1.5)
+
+
+def test_quantile_passes_end_on_single_values(spark):
+    """Cents under a thousand need one pass after the ranges; far apart doubles need more."""
+    passes = []
+    real = quantile._narrow
+    r = random.Random(3)
+    cents = spark.createDataFrame([(r.randrange(100_000) / 100,) for _ in range(2000)], "x double")
+    close = spark.createDataFrame([(1 + i * 2.0**-52,) for i in range(50)] + [(1e300,), (-1e300,)], "x double")
+    try:
+        quantile._narrow = lambda *a: (passes.append(1), real(*a))
+        quantile_values(cents, ["x"], 0.5)
+        assert len(passes) == 1
+        passes.clear()
+        assert quantile_values(close, ["x"], 0.5) == [1 + 24.5 * 2.0**-52]
+        assert 1 < len(passes) <= 4
+    finally:
+        quantile._narrow = real
 
 
 def test_auc_of_fine_scores(spark):
