@@ -44,6 +44,8 @@ class StarShop:
         self.spark = spark
         self.sf_dir = sf_dir
 
+    stored = False
+
     def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         return build()
 

@@ -2,8 +2,10 @@
 
     python -m stayline.plans.batch --input CSV_FOLDER --output FOLDER
 
-Every stage writes its table before the next one reads it, so a rerun replaces
-the output and a lost executor only repeats tasks of the running stage.
+Every run writes a version of its own below FOLDER, which is published when all of it
+is there: until then readers see the version before (``publish.published``). Every stage
+writes its tables before the next one reads them; a run that failed goes on, when it is
+started again with the same files and parameters, after the last finished stage.
 """
 
 from __future__ import annotations
@@ -19,21 +21,20 @@ from stayline.plans import churn, marts
 from stayline.plans.briefs import MAX_CUSTOMERS, ai_briefs, high_risk_topk, template_brief
 from stayline.plans.features import AS_OF, CHURN_DAYS, customer_features
 from stayline.session import build_session
-from stayline.sources.sinks import export_marts, write_csv, write_table, write_tables
+from stayline.sources.bucketed import BucketStore
+from stayline.sources.publish import KEEP, Folder, Version, open_version
+from stayline.sources.sinks import export_marts, write_csv, write_table
 from stayline.sources.staging import scratch
 from stayline.sources.tables import (
     CSV_FILES,
-    DATE_COLUMNS,
     MULTI_LINE_TABLES,
     ShopTables,
     StoredShop,
-    date_quality,
-    read_csv_folder,
     read_csv_text,
     read_parquet_folder,
+    typed_and_checked,
 )
 
-
 # Shuffled bytes a task should handle, and how much larger joined rows are than their files.
 TASK_BYTES = 128 << 20
 GROWTH = 4
@@ -41,6 +42,8 @@ GROWTH = 4
 
 @dataclass(frozen=True)
 class BatchResult:
+    """``skipped`` names the stages that an earlier run had finished; ``path`` holds the outputs."""
+
     table_rows: dict[str, int]
     unparsed_dates: dict[str, int]
     feature_rows: int
@@ -48,22 +51,23 @@ class BatchResult:
     scored_rows: int
     brief_rows: int
     mart_shapes: dict[str, tuple[int, int]]
+    path: str = ""
+    skipped: tuple[str, ...] = ()
 
 
-def load(spark: SparkSession, csv_folder: str, folder: str) -> tuple[ShopTables, dict[str, int]]:
-    """CSV files to Parquet tables; the tables and their row counts."""
-    rows = write_tables(read_csv_folder(spark, csv_folder).named(), folder)
-    return read_parquet_folder(spark, folder), rows
-
+def load(spark: SparkSession, csv_folder: str, folder: str) -> tuple[dict[str, int], dict[str, int]]:
+    """CSV files to Parquet tables; their row counts, and per date column the texts that name no moment.
 
-def unparsed_dates(spark: SparkSession, csv_folder: str) -> dict[str, int]:
-    """Per date column of the CSV files, the texts that name no moment."""
-    found = {}
+    Each file is read once: the dates are checked as the rows pass.
+    """
+    rows, unparsed = {}, {}
     for name, file in CSV_FILES.items():
         raw = read_csv_text(spark, f"{csv_folder.rstrip('/')}/{file}", name in MULTI_LINE_TABLES)
-        if any(c in DATE_COLUMNS for c in raw.columns):
-            found |= {r["date_column"]: r["unparsed_values"] for r in date_quality(raw).collect()}
-    return found
+        table, seen = typed_and_checked(raw)
+        rows[name] = write_table(table, f"{folder}/{name}")
+        if seen is not None:
+            unparsed |= seen.get
+    return rows, unparsed
 
 
 def size_shuffles(tables: ShopTables) -> int:
@@ -81,12 +85,11 @@ def size_shuffles(tables: ShopTables) -> int:
     return wanted
 
 
-def _stored(df: DataFrame, path: str) -> tuple[DataFrame, int]:
-    """Write a table and its CSV copy; the table as stored, and its rows."""
+def _stored(df: DataFrame, path: str) -> int:
+    """Write a table and its CSV copy; its rows."""
     rows = write_table(df, path)
-    stored = df.sparkSession.read.schema(df.schema).parquet(path)
-    write_csv(stored, f"{path}.csv")
-    return stored, rows
+    write_csv(df.sparkSession.read.schema(df.schema).parquet(path), f"{path}.csv")
+    return rows
 
 
 def build_marts(
@@ -115,18 +118,35 @@ def run_batch(
     generate: Callable[[str], str] = template_brief,
     pause_seconds: float = 0.0,
     brief_tasks: int = 1,
+    keep: int = KEEP,
 ) -> BatchResult:
-    """The whole batch; ``brief_tasks`` generator calls run side by side, each pausing on its own."""
+    """The whole batch into a new version of ``out_folder``, published at the end.
+
+    Stages that a failed run with the same files and parameters has finished are skipped.
+    ``brief_tasks`` generator calls run side by side, each pausing on its own. ``keep`` published
+    versions are kept, older ones removed.
+    """
+    # What changes the outputs. The generator is code: a rerun with another one keeps finished briefs.
+    run = {
+        "files": Folder(spark, csv_folder).listing(),
+        "as_of": as_of.isoformat(),
+        "churn_days": churn_days,
+        "trees": trees,
+        "max_customers": max_customers,
+    }
+    version = open_version(spark, out_folder, run)
     with scratch(spark):
-        return _run_batch(
-            spark, csv_folder, out_folder, as_of, churn_days, trees, max_customers, generate, pause_seconds, brief_tasks
+        result = _run_stages(
+            spark, version, csv_folder, as_of, churn_days, trees, max_customers, generate, pause_seconds, brief_tasks
         )
+    version.publish(keep)
+    return result
 
 
-def _run_batch(
+def _run_stages(
     spark: SparkSession,
+    version: Version,
     csv_folder: str,
-    out_folder: str,
     as_of: datetime,
     churn_days: float,
     trees: int,
@@ -135,34 +155,66 @@ def _run_batch(
     pause_seconds: float,
     brief_tasks: int,
 ) -> BatchResult:
-    out = out_folder.rstrip("/")
-    unparsed = unparsed_dates(spark, csv_folder)
-    tables, table_rows = load(spark, csv_folder, f"{out}/tables")
-    size_shuffles(tables)
-    # Features and marts start from the same joins and totals; each is made once.
-    tables = StoredShop(**tables.named())
+    out = version.path
 
-    features, feature_rows = _stored(
-        customer_features(tables, as_of, churn_days), f"{out}/customer_features"
-    )
+    def read(name: str) -> DataFrame:
+        return spark.read.parquet(f"{out}/{name}")
 
-    trained = churn.train(features, trees)
-    churn.save_model(trained.model, f"{out}/churn_model")
-    auc = trained.auc()
-    write_table(trained.report(), f"{out}/classification_report")
-    write_table(trained.confusion(), f"{out}/confusion_matrix")
-    write_table(trained.importance(), f"{out}/feature_importance")
-    scored, scored_rows = _stored(churn.score(trained.model, features), f"{out}/customer_scores")
-
-    selected = high_risk_topk(scored, max_customers)
-    briefs, brief_rows = _stored(
-        ai_briefs(selected, generate, pause_seconds, brief_tasks), f"{out}/churn_briefs"
-    )
+    def tables_stage() -> dict:
+        rows, unparsed = load(spark, csv_folder, f"{out}/tables")
+        tables = read_parquet_folder(spark, f"{out}/tables")
+        return {"rows": rows, "unparsed": unparsed, "buckets": size_shuffles(tables)}
 
-    shapes = export_marts(
-        build_marts(tables, scored, briefs, as_of, out), f"{out}/marts", marts.mart_order()
+    loaded = version.stage("tables", tables_stage)
+    # A rerun goes on with the buckets of the run before.
+    spark.conf.set("spark.sql.shuffle.partitions", str(loaded["buckets"]))
+    # Features and marts start from the same joins and totals; each is made once.
+    store = BucketStore(spark, f"{out}/base", "order_id", loaded["buckets"])
+    tables = StoredShop.over(read_parquet_folder(spark, f"{out}/tables"), store)
+
+    def features_stage() -> dict:
+        return {"rows": _stored(customer_features(tables, as_of, churn_days), f"{out}/customer_features")}
+
+    def model_stage() -> dict:
+        trained = churn.train(read("customer_features"), trees)
+        churn.save_model(trained.model, f"{out}/churn_model")
+        write_table(trained.report(), f"{out}/classification_report")
+        write_table(trained.confusion(), f"{out}/confusion_matrix")
+        write_table(trained.importance(), f"{out}/feature_importance")
+        return {"auc": trained.auc()}
+
+    def scores_stage() -> dict:
+        model = churn.load_model(f"{out}/churn_model")
+        return {"rows": _stored(churn.score(model, read("customer_features")), f"{out}/customer_scores")}
+
+    def briefs_stage() -> dict:
+        selected = high_risk_topk(read("customer_scores"), max_customers)
+        written = ai_briefs(selected, generate, pause_seconds, brief_tasks)
+        return {"rows": _stored(written, f"{out}/churn_briefs")}
+
+    def marts_stage() -> dict:
+        built = build_marts(tables, read("customer_scores"), read("churn_briefs"), as_of, out)
+        return {"shapes": export_marts(built, f"{out}/marts", marts.mart_order())}
+
+    try:
+        features = version.stage("features", features_stage)
+        model = version.stage("model", model_stage)
+        scores = version.stage("scores", scores_stage)
+        briefs = version.stage("briefs", briefs_stage)
+        exported = version.stage("marts", marts_stage)
+    finally:
+        store.close()
+    return BatchResult(
+        loaded["rows"],
+        loaded["unparsed"],
+        features["rows"],
+        model["auc"],
+        scores["rows"],
+        briefs["rows"],
+        {name: tuple(shape) for name, shape in exported["shapes"].items()},
+        out,
+        tuple(version.skipped),
     )
-    return BatchResult(table_rows, unparsed, feature_rows, auc, scored_rows, brief_rows, shapes)
 
 
 def main() -> None:

@@ -9,9 +9,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions import days_between, half_up, moment, ratio
-from stayline.operators.fanout import Weights, mark_first, payment_totals
+from stayline.operators.fanout import Weights, mark_first
 from stayline.operators.quantile import quantile_values
-from stayline.plans.purchases import category_lines, delivered, order_lines, order_reviews
+from stayline.plans.purchases import (
+    by_order,
+    category_lines,
+    delivered,
+    item_categories,
+    order_lines,
+    order_payments,
+    order_reviews,
+)
 from stayline.sources.staging import stage
 from stayline.sources.tables import ShopTables
 
@@ -52,17 +60,17 @@ def rfm_base(t: ShopTables, as_of: datetime = AS_OF, churn_days: float = CHURN_D
     w = Weights()
     quiet_days = days_since_last_order(as_of)
     late_share = ratio(w.rows(F.col("is_late")), w.rows())
-    orders = (
+    orders = by_order(
+        t,
         delivered(t)
         .where(F.col("order_delivered_customer_date").isNotNull())
-        .select("order_id", "customer_unique_id", "order_purchase_timestamp", "is_late")
-        .repartition("order_id")
+        .select("order_id", "customer_unique_id", "order_purchase_timestamp", "is_late"),
     )
     return (
         mark_first(orders, "new_order", "order_id", "customer_unique_id")
         .join(order_lines(t), "order_id")
         .join(order_reviews(t), "order_id", "left")
-        .join(payment_totals(t.payments), "order_id", "left")
+        .join(order_payments(t), "order_id", "left")
         .groupBy("customer_unique_id")
         .agg(
             quiet_days.cast("int").alias("recency_days"),
@@ -87,14 +95,17 @@ def rfm_base(t: ShopTables, as_of: datetime = AS_OF, churn_days: float = CHURN_D
 
 
 def category_counts(t: ShopTables) -> DataFrame:
-    """Delivered items per person and category (NULL where the translation is)."""
-    return (
-        delivered(t)
-        .select("order_id", "customer_unique_id")
-        .join(category_lines(t).select("order_id", "category", "line_rows"), "order_id")
-        .groupBy("customer_unique_id", "category")
-        .agg(F.sum("line_rows").alias("items"))
-    )
+    """Delivered items per person and category (NULL where the translation is).
+
+    From the stored totals per order and category where there are any. Else from single items:
+    totals would need a shuffle of their own for nearly as many rows.
+    """
+    orders = delivered(t).select("order_id", "customer_unique_id")
+    if t.stored:
+        lines, items = category_lines(t).select("order_id", "category", "line_rows"), F.sum("line_rows")
+    else:
+        lines, items = item_categories(t).select("order_id", "category"), F.count("*")
+    return orders.join(lines, "order_id").groupBy("customer_unique_id", "category").agg(items.alias("items"))
 
 
 def _diversity() -> Column:

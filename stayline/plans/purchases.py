@@ -1,6 +1,6 @@
 """Joins that several datasets start from.
 
-Both end in a plain join of two shuffled inputs followed by another shuffle,
+The first two end in a plain join of two shuffled inputs followed by another shuffle,
 which lets adaptive execution split a customer or product that owns a large
 part of all rows.
 """
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayline.operators.fanout import cents, line_totals, review_totals
+from stayline.operators.fanout import cents, line_totals, payment_totals, review_totals
 from stayline.sources.tables import ShopTables
 
 DELIVERED = "delivered"
@@ -44,6 +44,11 @@ def delivered(t: ShopTables) -> DataFrame:
     return purchases(t).where(F.col("order_status") == DELIVERED)
 
 
+def by_order(t: ShopTables, df: DataFrame) -> DataFrame:
+    """``df`` with all rows of an order in one partition; stored tables lie so already."""
+    return df if t.stored else df.repartition("order_id")
+
+
 def product_categories(t: ShopTables) -> DataFrame:
     """product_id and English category; untranslated products are left out."""
     return t.products.join(t.category_translation, "product_category_name").select(
@@ -65,6 +70,15 @@ def order_reviews(t: ShopTables) -> DataFrame:
     return t.shared("order_reviews", lambda: review_totals(t.reviews))
 
 
+def order_payments(t: ShopTables) -> DataFrame:
+    return t.shared("order_payments", lambda: payment_totals(t.payments))
+
+
+def payment_lines(t: ShopTables) -> DataFrame:
+    """Payments per order and payment type."""
+    return t.shared("payment_lines", lambda: payment_totals(t.payments, "payment_type"))
+
+
 def category_lines(t: ShopTables) -> DataFrame:
     """Totals per order and category, over items of translated products."""
     extra = [

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, fields
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.functions.dates import parse_date_text, to_date_text
-from stayline.sources.staging import stage
+from stayline.sources.bucketed import BucketStore
 
 # Input file names, date columns and the text read as missing.
 CSV_FILES = {
@@ -73,6 +73,11 @@ class ShopTables:
         """A table that several plans start from; here it is part of each plan."""
         return build()
 
+    @property
+    def stored(self) -> bool:
+        """Whether shared tables are made once and lie in buckets of their order."""
+        return False
+
     def register(self) -> None:
         """Make every table a temporary view, for ``spark.sql``."""
         for name, df in self.named().items():
@@ -80,13 +85,20 @@ class ShopTables:
 
 
 class StoredShop(ShopTables):
-    """Shop tables whose shared tables are made once and kept: for a batch of plans."""
+    """Shop tables whose shared tables are made once and kept in a store bucketed by order."""
+
+    @classmethod
+    def over(cls, tables: ShopTables, store: BucketStore) -> StoredShop:
+        shop = cls(**tables.named())
+        shop.__dict__["_store"] = store
+        return shop
 
     def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        kept = self.__dict__.setdefault("_kept", {})
-        if name not in kept:
-            kept[name] = stage(build(), name)
-        return kept[name]
+        return self.__dict__["_store"].keep(name, build)
+
+    @property
+    def stored(self) -> bool:
+        return True
 
 
 def _present(name: str) -> Column:
@@ -129,6 +141,20 @@ def typed(raw: DataFrame) -> DataFrame:
     return raw.select([column(c) for c in raw.columns])
 
 
+def typed_and_checked(raw: DataFrame) -> tuple[DataFrame, Observation | None]:
+    """``typed(raw)``, and per date column the texts that name no moment, counted as the rows are written.
+
+    None for a table without date columns.
+    """
+    dates = [c for c in raw.columns if c in DATE_COLUMNS]
+    if not dates:
+        return typed(raw), None
+    seen = Observation()
+    both = typed(raw.select("*", *[F.col(f"`{c}`").alias(f"{c} text") for c in dates]))
+    bad = [F.count_if(F.col(f"`{c} text`").isNotNull() & F.col(f"`{c}`").isNull()).alias(c) for c in dates]
+    return both.observe(seen, *bad).select(*[F.col(f"`{c}`") for c in raw.columns]), seen
+
+
 def read_csv_folder(spark: SparkSession, folder: str) -> ShopTables:
     """The nine tables from CSV files (or folders of part files) under ``folder``."""
     folder = folder.rstrip("/")

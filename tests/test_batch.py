@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import json
 from pathlib import Path
 from urllib.parse import urlparse
 
+import pytest
+
 from checks.compare import mismatch
 from checks.views import AS_OF
-from stayline.plans import churn, marts
-from stayline.plans.batch import run_batch
+from stayline.plans import batch, churn, marts
+from stayline.plans.batch import load, run_batch
+from stayline.sources.publish import Folder, open_version, published
 from stayline.sources.staging import checkpoint_root
+from stayline.sources.tables import CSV_FILES, date_quality, read_csv_text, typed_and_checked
 from tests.csv_shop import write_csv_shop
 from tests.shops import duckdb_tables, random_shop, sql_rows
 
@@ -38,6 +43,8 @@ def test_batch(spark, tmp_path):
     assert [columns for _, columns in result.mart_shapes.values()] == [11, 14, 16, 17]
     assert result.mart_shapes[marts.CHURN_FILE][0] == result.scored_rows
 
+    out = published(spark, str(out)).path
+    assert out == result.path and not result.skipped
     features = spark.read.parquet(f"{out}/customer_features")
     with duckdb_tables(rows) as con:
         assert mismatch(features.toPandas(), sql_rows(con, "customer_features")) is None
@@ -45,3 +52,106 @@ def test_batch(spark, tmp_path):
     assert exported.count() == result.mart_shapes[marts.SALES_FILE][0]
     model = churn.load_model(f"{out}/churn_model")
     assert churn.score(model, features).count() == result.feature_rows
+
+
+def marts_of(spark, out):
+    found = published(spark, out)
+    read = lambda file: spark.read.option("header", True).csv(f"{found.path}/marts/{file}")
+    return {file: sorted(map(str, read(file).collect())) for file in (marts.SALES_FILE, marts.CHURN_FILE)}
+
+
+def test_a_failed_run_hides_nothing_and_goes_on(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    write_csv_shop(random_shop(4, orders=200, hot=""), tmp_path / "old")
+    write_csv_shop(random_shop(5, orders=300, hot=""), tmp_path / "new")
+    run = lambda folder: run_batch(spark, str(tmp_path / folder), out, AS_OF, trees=2, max_customers=5)
+    run("old")
+    before, old = published(spark, out), marts_of(spark, out)
+
+    def killed(*args):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(churn, "score", killed)
+    with pytest.raises(KeyboardInterrupt):
+        run("new")
+    assert published(spark, out).path == before.path and marts_of(spark, out) == old
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("stayline_")]
+    monkeypatch.undo()
+
+    # The rerun neither loads nor trains: both would fail now.
+    monkeypatch.setattr(batch, "load", killed)
+    monkeypatch.setattr(churn, "train", killed)
+    again = run("new")
+    assert again.skipped == ("tables", "features", "model")
+    assert published(spark, out).path == again.path != before.path
+    monkeypatch.undo()
+
+    # Nothing of it differs from a run that never failed.
+    clean = str(tmp_path / "clean")
+    whole = run_batch(spark, str(tmp_path / "new"), clean, AS_OF, trees=2, max_customers=5)
+    assert not whole.skipped and marts_of(spark, clean) == marts_of(spark, out) != old
+    assert (whole.table_rows, whole.unparsed_dates, whole.mart_shapes) == (
+        again.table_rows, again.unparsed_dates, again.mart_shapes,
+    )
+
+
+def test_versions(spark, tmp_path):
+    out = str(tmp_path / "out")
+    assert published(spark, out) is None
+    first = open_version(spark, out, {"a": 1})
+    assert open_version(spark, out, {"a": 1}).name == first.name != open_version(spark, out, {"a": 2}).name
+    assert first.stage("one", lambda: {"n": 1}) == {"n": 1}
+    with pytest.raises(ZeroDivisionError):
+        first.stage("two", lambda: {"n": 1 / 0})
+    again = open_version(spark, out, {"a": 1})
+    assert again.stage("one", lambda: 1 / 0) == {"n": 1} and again.skipped == ["one"]
+    assert again.stage("two", lambda: {"n": 2}) == {"n": 2}
+    assert published(spark, out) is None
+    again.publish()
+    assert published(spark, out).name == first.name and published(spark, out).stages() == ["one", "two"]
+    # A published version is not written again; of older ones, only the last stay.
+    names = [first.name]
+    for _ in range(3):
+        v = open_version(spark, out, {"a": 1})
+        v.publish(keep=2)
+        names.append(v.name)
+    assert len(set(names)) == 4 and published(spark, out).name == names[-1]
+    left = Folder(spark, out).names("versions")
+    assert set(names[-2:]) <= set(left) and not set(names[:2]) & set(left)
+    assert len(left) == 3  # the unpublished one of {"a": 2} is not old enough
+    published(spark, out).publish(abandoned_days=0)
+    assert set(Folder(spark, out).names("versions")) == set(names[-2:])
+    # A commit cut off while it was written does not count, and is not written over.
+    (tmp_path / "out/commits/00000009.json").write_text('{"version": "')
+    assert published(spark, out).name == names[-1]
+    with pytest.raises(FileExistsError):
+        Folder(spark, out).create("commits/00000009.json", {})
+
+
+def test_new_inputs_or_parameters_start_a_new_version(spark, tmp_path):
+    write_csv_shop(random_shop(4, orders=20, hot=""), tmp_path / "csv")
+    files = Folder(spark, str(tmp_path / "csv"))
+    before = files.listing()
+    assert [f[0] for f in before] == sorted(f"/{f}" for f in CSV_FILES.values())
+    (tmp_path / "csv/_hidden").write_text("x")
+    assert files.listing() == before == json.loads(json.dumps(before))
+    with open(tmp_path / "csv" / CSV_FILES["sellers"], "a") as out:
+        out.write("s3\n")
+    assert files.listing() != before
+
+
+def test_dates_are_checked_in_the_pass_that_loads(spark, tmp_path):
+    rows = random_shop(4, orders=50, hot="")
+    write_csv_shop(rows, tmp_path / "csv")
+    path = tmp_path / "csv" / CSV_FILES["orders"]
+    lines = path.read_text().splitlines()
+    cells = lines[3].split(",")
+    cells[3] = "never"
+    path.write_text("\n".join([*lines[:3], ",".join(cells), *lines[4:]]) + "\n")
+    raw = read_csv_text(spark, str(path))
+    want = {r["date_column"]: r["unparsed_values"] for r in date_quality(raw).collect()}
+    table, _ = typed_and_checked(raw)
+    assert table._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+    counts, unparsed = load(spark, str(tmp_path / "csv"), str(tmp_path / "tables"))
+    assert unparsed == want and unparsed["order_purchase_timestamp"] == 1
+    assert counts["orders"] == len(rows["orders"])

@@ -17,6 +17,7 @@ from stayline.plans.purchases import (
     product_categories,
 )
 from stayline.sources import sinks
+from stayline.sources.bucketed import BucketStore
 from stayline.sources.tables import StoredShop, read_parquet_folder
 from tests.shops import duckdb_tables, random_shop, spark_tables, sql_rows
 
@@ -122,8 +123,18 @@ def test_hot_category_is_split_in_the_translation_of_products(spark):
         assert "SortMergeJoin(skew=true)" in plan_of(products)
 
 
-def test_a_batch_makes_its_base_tables_once(spark, tmp_path):
-    """Stored tables are scanned: one join of orders with customers, two scans of items."""
+BASED = {
+    "raw_features": lambda t: features.raw_features(t, AS_OF),
+    "executive_overview_mart": marts.executive_overview_mart,
+    "sales_product_mart": marts.sales_product_mart,
+    "customer_behavior_base": lambda t: marts.customer_behavior_base(t, AS_OF),
+}
+BASE = ["category_lines", "order_lines", "order_payments", "order_reviews", "payment_lines", "purchases"]
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    """A random shop, over a store that counts what it makes."""
     tables = spark_tables(spark, random_shop(4, orders=60, hot=""))
     made = []
 
@@ -131,16 +142,42 @@ def test_a_batch_makes_its_base_tables_once(spark, tmp_path):
         def shared(self, name, build):
             return super().shared(name, lambda: made.append(name) or build())
 
-    stored = Counted(**tables.named())
-    plain, kept = [], []
-    for t, out in ((tables, plain), (stored, kept)):
-        for build in (lambda t: features.raw_features(t, AS_OF), marts.executive_overview_mart, marts.sales_product_mart):
-            out.append(sorted(map(str, build(t).collect())))
-    assert plain == kept
-    assert sorted(made) == ["category_lines", "order_lines", "order_reviews", "purchases"]
-    for build in (lambda t: features.raw_features(t, AS_OF), marts.executive_overview_mart, marts.sales_product_mart):
-        files = {f for f in build(stored).inputFiles() if "/payments" not in f}
+    store = BucketStore(spark, str(tmp_path / "base"), "order_id", 8)
+    yield tables, Counted.over(tables, store), made
+    store.close()
+
+
+def test_a_batch_makes_its_base_tables_once(spark, stored, tmp_path):
+    """Stored tables are scanned: one join of orders with customers, two scans of items."""
+    tables, kept, made = stored
+    for build in BASED.values():
+        assert sorted(map(str, build(tables).collect())) == sorted(map(str, build(kept).collect()))
+        files = build(kept).inputFiles()
         assert files and all(any(f"/{name}/" in f for name in made) for f in files)
+    assert sorted(made) == BASE
+
+    # A later run takes the tables as they lie, buckets included.
+    again = BucketStore(spark, str(tmp_path / "base"), "order_id", 99)
+    try:
+        taken = StoredShop.over(tables, again)
+        for build in BASED.values():
+            assert sorted(map(str, build(tables).collect())) == sorted(map(str, build(taken).collect()))
+            assert "SelectedBucketsCount: 8 out of 8" in plan_of(build(taken)) or "SortMergeJoin" not in plan_of(build(taken))
+    finally:
+        again.close()
+
+
+@pytest.mark.parametrize("name", ["rfm_base", *BASED])
+def test_stored_tables_join_without_a_shuffle(spark, stored, name):
+    """Nothing is shuffled before the aggregate by the report's own keys."""
+    _, kept, _ = stored
+    build = {**BASED, "rfm_base": lambda t: features.rfm_base(t, AS_OF)}[name]
+    with settings(spark, **HOT_KEY_SETTINGS):
+        plan = plan_of(build(kept))
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert shuffles and plan.count("SortMergeJoin") >= 2
+    assert not [line for line in shuffles if "order_id" in line]
+    assert "Exchange RoundRobin" not in plan and plan.count("Bucketed: true") == plan.count("FileScan parquet")
 
 
 def test_hot_customer_and_hot_product_are_split(spark):
