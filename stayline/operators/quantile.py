@@ -125,32 +125,20 @@ def quantile_values(df: DataFrame, columns: Sequence[str], p: float) -> list[flo
     """
     if not 0 <= p <= 1:
         raise ValueError(f"no quantile: {p}")
-    keys = [sortable(F.col(f"`{c}`")) for c in columns]
-    # Per sign, as the distance of numbers of both signs may pass 64 bits.
-    negative = [k < 0 for k in keys]
-    facts = df.agg(
-        *[
-            f
-            for i, (k, neg) in enumerate(zip(keys, negative))
-            for f in (
-                F.count(k).alias(f"rows{i}"),
-                F.count_if(neg).alias(f"negative{i}"),
-                F.min(k).alias(f"low{i}"),
-                F.max(k).alias(f"high{i}"),
-                F.max(F.when(neg, k)).alias(f"last{i}"),
-                F.min(F.when(~neg, k)).alias(f"first{i}"),
-            )
-        ]
-    ).first()
-    numbers = df.select(
-        F.inline(
-            F.array(*[F.struct(F.lit(i).alias("column"), k.alias("number")) for i, k in enumerate(keys)])
-        )
+    keys = [f"key{i}" for i in range(len(columns))]
+    keyed = df.select(*[sortable(F.col(f"`{c}`")).alias(k) for c, k in zip(columns, keys)])
+    # Negative and other numbers apart: the distance between them may pass 64 bits.
+    least = [f for k in keys for f in (F.count(k), F.count_if(F.col(k) < 0), F.min(k), F.max(k))]
+    near_zero = [f for k in keys for f in (F.max(F.when(F.col(k) < 0, F.col(k))), F.min(F.when(F.col(k) >= 0, F.col(k))))]
+    facts = list(keyed.agg(*least, *near_zero).first())
+    numbers = keyed.select(
+        F.inline(F.array(*[F.struct(F.lit(i).alias("column"), F.col(k).alias("number")) for i, k in enumerate(keys)]))
     ).where(F.col("number").isNotNull())
 
     found: list[tuple[_Search, _Search, float] | None] = []
     for i in range(len(columns)):
-        rows, below = facts[f"rows{i}"], facts[f"negative{i}"]
+        rows, below, low, high = facts[4 * i : 4 * i + 4]
+        last, first = facts[4 * len(keys) + 2 * i :][:2]
         if not rows:
             found.append(None)
             continue
@@ -158,9 +146,9 @@ def quantile_values(df: DataFrame, columns: Sequence[str], p: float) -> list[flo
         sides = []
         for rank in (int(place), min(int(place) + (place > int(place)), rows - 1)):
             if rank < below:
-                sides.append(_Search(i, rank, facts[f"low{i}"], facts[f"last{i}"]))
+                sides.append(_Search(i, rank, low, last))
             else:
-                sides.append(_Search(i, rank - below, facts[f"first{i}"], facts[f"high{i}"]))
+                sides.append(_Search(i, rank - below, first, high))
         found.append((*sides, place - int(place)))
 
     searches = [s for f in found if f for s in f[:2]]
