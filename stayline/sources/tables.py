@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stayline.functions.dates import parse_date_text, to_date_text
 from stayline.sources.bucketed import BucketStore
+from stayline.sources.quoted_csv import read_quoted_csv
 
 # Input file names, date columns and the text read as missing.
 CSV_FILES = {
@@ -46,8 +47,7 @@ NUMBER_COLUMNS = {
     "review_score": "int",
 }
 
-# Review comments hold line breaks inside quotes. Such a file cannot be split,
-# so one file is one task: deliver large review exports as many files.
+# Review comments hold line breaks inside quotes.
 MULTI_LINE_TABLES = frozenset({"reviews"})
 
 
@@ -110,15 +110,14 @@ def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> D
     """CSV with all columns as text. Only the header line is read ahead.
 
     Quotes are escaped by doubling. A file whose header differs from the first
-    one's fails instead of shifting columns.
+    one's fails instead of shifting columns. ``multi_line`` files may have line breaks
+    inside quotes; they are read by many tasks too.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("enforceSchema", False)
-        .csv(path)
-    )
+    if multi_line:
+        raw = read_quoted_csv(spark, path)
+    else:
+        reader = spark.read.option("header", True).option("escape", '"').option("enforceSchema", False)
+        raw = reader.csv(path)
     return raw.select([_present(c).alias(c) for c in raw.columns])
 
 
