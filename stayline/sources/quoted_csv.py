@@ -37,16 +37,17 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def blocks_inside_quotes(lines: DataFrame) -> list[tuple[str, int]]:
-    """(path, start) of the blocks that begin inside quotes.
+def blocks_inside_quotes(lines: DataFrame) -> list[tuple[str, int, int]]:
+    """(path, start, start of the block before) of the blocks that begin inside quotes.
 
     At most one row per block comes to the driver, which has planned the same blocks.
     """
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     blocks = lines.groupBy("path", "start").agg(F.sum(quotes).alias("quotes"))
-    before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    inside = blocks.withColumn("before", F.sum("quotes").over(before)).where("before % 2 = 1")
-    return [(r["path"], r["start"]) for r in inside.select("path", "start").collect()]
+    order = Window.partitionBy("path").orderBy("start")
+    before = F.sum("quotes").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    inside = blocks.withColumns({"before": before, "last": F.lag("start").over(order)}).where("before % 2 = 1")
+    return [tuple(r) for r in inside.select("path", "start", "last").collect()]
 
 
 def _split(inside: set[tuple[str, int]]):
@@ -56,67 +57,59 @@ def _split(inside: set[tuple[str, int]]):
         block: tuple[str, int] | None = None
         held: list[str] = []  # lines of the record that is open
         odd = False  # inside quotes
-        # No record has ended in this block, and the block began inside one.
-        headless = False
-        fresh = True  # no record has begun in this block before the held lines
-        out: list[tuple] = []
-
-        def end_of_block() -> None:
-            nonlocal held
-            if block is not None and (held or headless):
-                out.append((*block, fresh and block[1] == 0, MIDDLE if headless else TAIL, "\n".join(held)))
-            held = []
-
-        def flush() -> pa.RecordBatch:
-            columns = zip(*out)
-            kinds = (pa.string(), pa.int64(), pa.bool_(), pa.int32(), pa.string())
-            made = pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], ["path", "start", "first", "kind", "text"]
+        headless = False  # the block began inside a record that has not ended yet
+        fresh = True  # no record has ended in this block
+
+        def rows(kind: int, texts: pa.Array) -> pa.RecordBatch:
+            n = len(texts)
+            first = np.zeros(n, bool)
+            first[:1] = fresh and block[1] == 0
+            columns = [pa.array([block[0]] * n, pa.string()), pa.array(np.full(n, block[1])), pa.array(first)]
+            return pa.RecordBatch.from_arrays(
+                [*columns, pa.array(np.full(n, kind, np.int32)), texts], ["path", "start", "first", "kind", "text"]
             )
-            out.clear()
-            return made
+
+        def rest_of_block() -> Iterator[pa.RecordBatch]:
+            if held or headless:
+                yield rows(MIDDLE if headless else TAIL, pa.array(["\n".join(held)]))
 
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             paths, starts, values = batch.columns
             counts = pc.count_substring(values, '"').to_numpy(zero_copy_only=False)
-            start = starts.to_numpy()
-            path = paths.dictionary_encode()
+            start, path = starts.to_numpy(), paths.dictionary_encode()
             codes = path.indices.to_numpy()
             new = np.flatnonzero((np.diff(start) != 0) | (np.diff(codes) != 0)) + 1
             for a, b in zip([0, *new.tolist()], [*new.tolist(), batch.num_rows]):
                 here = (path.dictionary[codes[a]].as_py(), int(start[a]))
                 if here != block:
-                    end_of_block()
-                    block, odd = here, here in inside
+                    if block is not None:
+                        yield from rest_of_block()
+                    block, held, odd = here, [], here in inside
                     headless, fresh = odd, True
-                # The state after each line; a line that leaves no quote open ends a record.
-                after = (np.cumsum(counts[a:b]) + odd) % 2 == 0
+                # A line that leaves no quote open ends a record.
+                even = (np.cumsum(counts[a:b]) + odd) % 2 == 0
+                odd = not even[-1]
                 texts = values.slice(a, b - a)
-                if after.all() and not held and not headless:
-                    n = b - a
-                    if out:
-                        yield flush()
-                    firsts = np.zeros(n, bool)
-                    firsts[0] = fresh and here[1] == 0
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([here[0]] * n), pa.array([here[1]] * n), pa.array(firsts), pa.array(np.zeros(n, np.int32)), texts],
-                        ["path", "start", "first", "kind", "text"],
-                    )
-                    fresh = False
+                ends = np.flatnonzero(even) + 1
+                if len(ends) == 0:
+                    held += texts.to_pylist()
                     continue
-                for text, done in zip(texts.to_pylist(), after.tolist()):
-                    held.append(text)
-                    if done:
-                        out.append((*here, fresh and here[1] == 0, HEAD if headless else RECORD, "\n".join(held)))
-                        held, headless, fresh = [], False, False
-                odd = not after[-1]
-                if len(out) >= 10_000:
-                    yield flush()
-        end_of_block()
-        if out:
-            yield flush()
+                if held or headless:
+                    line = "\n".join([*held, *texts.slice(0, ends[0]).to_pylist()])
+                    yield rows(HEAD if headless else RECORD, pa.array([line]))
+                    headless, fresh = False, False
+                    cuts = ends
+                else:
+                    cuts = np.append(0, ends)
+                if len(cuts) > 1:
+                    lines = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), texts)
+                    yield rows(RECORD, pc.binary_join(lines, "\n"))
+                    fresh = False
+                held = texts.slice(ends[-1]).to_pylist()
+        if block is not None:
+            yield from rest_of_block()
 
     return run
 
@@ -139,14 +132,19 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     Empty lines are no records; a carriage return at a record's end is dropped.
     """
     lines = _lines(spark, path)
-    inside = set(blocks_inside_quotes(lines))
-    rows = lines.mapInArrow(_split(inside), _SPLIT)
-    whole = rows.where(F.col("kind") == RECORD).select("first", "text")
-    # A file without quotes around breaks has no fragments, and no second reading for them.
-    parts = _stitched(rows.where(F.col("kind") != RECORD)).select("first", "text") if inside else whole.limit(0)
-    text = F.regexp_replace("text", r"\r\z", "")
-    text = F.when(F.col("first"), F.regexp_replace(text, "^﻿", "")).otherwise(text)
-    return whole.unionByName(parts).select("first", text.alias("text")).where("text <> ''")
+    blocks = blocks_inside_quotes(lines)
+    split = _split({(file, start) for file, start, _ in blocks})
+    found = lines.mapInArrow(split, _SPLIT).where(F.col("kind") == RECORD).select("first", "text")
+    if blocks:
+        # Fragments lie only in these blocks and in those before them: at most two rows per block.
+        touched = spark.createDataFrame(
+            sorted({(file, at) for file, start, last in blocks for at in (start, last)}), "path string, start long"
+        )
+        some = lines.join(F.broadcast(touched), ["path", "start"], "left_semi").mapInArrow(split, _SPLIT)
+        found = found.unionByName(_stitched(some.where(F.col("kind") != RECORD)).select("first", "text"))
+    text = F.when(F.endswith("text", F.lit("\r")), F.left("text", F.length("text") - 1)).otherwise(F.col("text"))
+    text = F.when(F.col("first"), F.regexp_replace(text, "^\ufeff", "")).otherwise(text)
+    return found.select("first", text.alias("text")).where("text <> ''")
 
 
 def read_quoted_csv(spark: SparkSession, path: str) -> DataFrame:
