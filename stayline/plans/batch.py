@@ -17,6 +17,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stayline.operators.generate import AnswerStore
 from stayline.plans import churn, marts
 from stayline.plans.briefs import MAX_CUSTOMERS, ai_briefs, high_risk_topk, template_brief
 from stayline.plans.features import AS_OF, CHURN_DAYS, customer_features
@@ -38,6 +39,8 @@ from stayline.sources.tables import (
 # Shuffled bytes a task should handle, and how much larger joined rows are than their files.
 TASK_BYTES = 128 << 20
 GROWTH = 4
+# Calls of the generator per brief, if they fail.
+BRIEF_ATTEMPTS = 3
 
 
 @dataclass(frozen=True)
@@ -123,8 +126,8 @@ def run_batch(
     """The whole batch into a new version of ``out_folder``, published at the end.
 
     Stages that a failed run with the same files and parameters has finished are skipped.
-    ``brief_tasks`` generator calls run side by side, each pausing on its own. ``keep`` published
-    versions are kept, older ones removed.
+    ``brief_tasks`` generator calls run side by side, ``pause_seconds`` apart over all of them; no
+    answer is asked for twice. ``keep`` published versions are kept, older ones removed.
     """
     # What changes the outputs. The generator is code: a rerun with another one keeps finished briefs.
     run = {
@@ -189,7 +192,9 @@ def _run_stages(
 
     def briefs_stage() -> dict:
         selected = high_risk_topk(read("customer_scores"), max_customers)
-        written = ai_briefs(selected, generate, pause_seconds, brief_tasks)
+        # A run that goes on finds the answers that this one has received.
+        answers = AnswerStore(f"{out}/answers")
+        written = ai_briefs(selected, generate, pause_seconds, brief_tasks, answers, BRIEF_ATTEMPTS)
         return {"rows": _stored(written, f"{out}/churn_briefs")}
 
     def marts_stage() -> dict:

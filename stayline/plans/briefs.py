@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions import fixed
-from stayline.operators.generate import add_generated_text
+from stayline.operators.generate import AnswerStore, add_generated_text
 
 # Selection, prompt text and fallback.
 HIGH_RISK = ("Critical", "High")
@@ -116,13 +116,16 @@ def ai_briefs(
     generate: Callable[[str], str] = template_brief,
     pause_seconds: float = 0.0,
     tasks: int = 1,
+    answers: AnswerStore | None = None,
+    attempts: int = 1,
+    backoff_seconds: float = 1.0,
 ) -> DataFrame:
     """Nine columns: the customer's figures and the brief.
 
-    The top-k arrives in one task; ``tasks`` spreads it when the generator is
-    slow. Write the result before reading it twice: every read generates anew.
+    The top-k arrives in one task; ``tasks`` spreads it when the generator is slow, at the same
+    pace of calls. Without a store of ``answers``, every read of the result generates anew.
     """
     rows = selected.select(*BRIEF_COLUMNS, prompt_text().alias("prompt"))
-    if tasks > 1:
-        rows = rows.repartition(tasks)
-    return add_generated_text(rows, "prompt", "ai_brief", generate, UNAVAILABLE, pause_seconds)
+    return add_generated_text(
+        rows, "prompt", "ai_brief", generate, UNAVAILABLE, pause_seconds, tasks, answers, attempts, backoff_seconds
+    )

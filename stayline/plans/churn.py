@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
@@ -36,6 +36,7 @@ MODEL_FEATURES = (
 FILLED = {
     c: f"{c}_input" for c in ("avg_freight_paid", "avg_review_score", "min_review_score", "monetary")
 }
+MISSING = {c: f"{c}_missing" for c in FILLED}
 TARGET = "is_churned"
 TREES = 300
 DEPTH = 5
@@ -71,16 +72,21 @@ def category_encoder(features: DataFrame) -> PipelineModel:
     return PipelineModel([indexer, as_number])
 
 
-def gap_filler(features: DataFrame) -> SQLTransformer:
-    """Adds a copy of every model input that may be NULL, its gaps filled with the median.
+class GapFiller(Estimator):
+    """Fits, on the rows it is given, what stands for a missing model input.
 
-    The learner needs a number everywhere; the columns themselves stay as they are.
+    The learner needs a number everywhere: the fitted stage adds a copy of every input that may be
+    NULL, gaps filled with the median of those rows. For inputs that have gaps there, it also adds a
+    0/1 column that says where, so that the trees can tell a missing value from a median one. The
+    columns themselves stay as they are.
     """
-    medians = quantile_values(features, list(FILLED), 0.5)
-    filled = ", ".join(
-        f"COALESCE(CAST({c} AS DOUBLE), {float(m or 0.0)!r}D) AS {name}" for (c, name), m in zip(FILLED.items(), medians)
-    )
-    return SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
+
+    def _fit(self, dataset: DataFrame) -> SQLTransformer:
+        medians = quantile_values(dataset, list(FILLED), 0.5)
+        counts = dataset.agg(*[F.count_if(F.col(c).isNull()) for c in FILLED]).first()
+        added = [f"COALESCE(CAST({c} AS DOUBLE), {float(m or 0.0)!r}D) AS {FILLED[c]}" for c, m in zip(FILLED, medians)]
+        added += [f"CAST({c} IS NULL AS INT) AS {MISSING[c]}" for c, n in zip(FILLED, counts) if n]
+        return SQLTransformer(statement=f"SELECT *, {', '.join(added)} FROM __THIS__")
 
 
 def category_codes(features: DataFrame) -> DataFrame:
@@ -113,8 +119,8 @@ class TrainedChurn:
 def train(features: DataFrame, trees: int = TREES, positive_weight: float | None = None) -> TrainedChurn:
     """Fit on 80 % of the rows. ``features`` is read several times: pass a stored table.
 
-    The encoder and the class weight come from all rows, the trees from the
-    training rows. Boosting cuts its lineage in the checkpoint folder.
+    The encoder's labels and the class weight come from all rows; what stands for gaps, and the
+    trees, from the training rows. Boosting cuts its lineage in the checkpoint folder.
     """
     spark = features.sparkSession
     checkpoint_root(spark)
@@ -124,14 +130,14 @@ def train(features: DataFrame, trees: int = TREES, positive_weight: float | None
     if not positive_weight:
         raise ValueError("training needs both churned and active customers")
 
-    filler = gap_filler(features)
-    assembler = VectorAssembler(
-        inputCols=[FILLED.get(c, c) for c in MODEL_FEATURES], outputCol="inputs"
-    )
     weight = F.when(F.col(TARGET) == 1, F.lit(float(positive_weight))).otherwise(F.lit(1.0))
     split = stratified_split(features, TARGET, "customer_unique_id", TEST_SHARE, SEED)
     split = stage(split, "split_features")
-    training = filler.transform(encoder.transform(split.where(~F.col("is_test"))))
+    encoded = encoder.transform(split.where(~F.col("is_test")))
+    filler = GapFiller().fit(encoded)
+    training = filler.transform(encoded)
+    inputs = [FILLED.get(c, c) for c in MODEL_FEATURES] + [c for c in MISSING.values() if c in training.columns]
+    assembler = VectorAssembler(inputCols=inputs, outputCol="inputs")
     training = assembler.transform(training)
     trees_model = GBTClassifier(
         featuresCol="inputs",
@@ -158,7 +164,7 @@ def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
         .withColumn("churn_probability", probability)
         .withColumn("predicted", (F.col("churn_probability") >= THRESHOLD).cast("int"))
         .drop("top_category_index", "inputs", "rawPrediction", "probability", "prediction")
-        .drop(*FILLED.values())
+        .drop(*FILLED.values(), *MISSING.values())
     )
 
 
@@ -173,10 +179,13 @@ def score(model: PipelineModel, features: DataFrame) -> DataFrame:
 
 
 def feature_importance(model: PipelineModel, k: int | None = None) -> DataFrame:
-    """Model inputs by importance, highest first."""
-    pairs = zip(MODEL_FEATURES, (float(v) for v in model.stages[-1].featureImportances))
+    """Model inputs by importance, highest first; an input and whether it is missing count as one."""
+    feature = {added: c for names in (FILLED, MISSING) for c, added in names.items()}
+    sums = dict.fromkeys(MODEL_FEATURES, 0.0)
+    for name, value in zip(model.stages[-2].getInputCols(), model.stages[-1].featureImportances):
+        sums[feature.get(name, name)] += float(value)
     spark = SparkSession.getActiveSession()
-    ranked = spark.createDataFrame(list(pairs), "feature string, importance double").orderBy(
+    ranked = spark.createDataFrame(list(sums.items()), "feature string, importance double").orderBy(
         F.desc("importance"), "feature"
     )
     return ranked if k is None else ranked.limit(k)

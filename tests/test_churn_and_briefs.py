@@ -147,6 +147,45 @@ def test_gaps_and_new_categories_are_scored(spark, feature_table, tmp_path):
     assert kept.count() == table.where("avg_freight_paid is null").count()
 
 
+def test_held_out_rows_do_not_change_the_model(feature_table):
+    """Medians, flags and trees see training rows only."""
+    rule = F.xxhash64("customer_unique_id") % 4 != 0
+    gaps = stage(feature_table.withColumn("monetary", F.when(rule, F.col("monetary"))), "gaps")
+    first = churn.train(gaps, trees=3)
+    held_out = first.held_out.select("customer_unique_id", F.lit(True).alias("out"))
+    other = gaps.join(held_out, "customer_unique_id", "left")
+    changed = [
+        F.when(F.col("out"), F.lit(v)).otherwise(F.col(c)).alias(c)
+        if (v := {"monetary": 1e9, "avg_freight_paid": None, "avg_review_score": -5.0}.get(c, 0)) != 0
+        else F.col(c)
+        for c in gaps.columns
+    ]
+    second = churn.train(stage(other.select(*changed), "changed"), trees=3)
+    assert second.model.stages[-1].toDebugString == first.model.stages[-1].toDebugString.replace(
+        first.model.stages[-1].uid, second.model.stages[-1].uid
+    )
+    assert second.model.stages[-3].getStatement() == first.model.stages[-3].getStatement()
+    assert "monetary_missing" in first.model.stages[-2].getInputCols()
+    assert "avg_freight_paid_missing" not in first.model.stages[-2].getInputCols()
+    importance = {r.feature: r.importance for r in first.importance().collect()}
+    assert set(importance) == set(churn.MODEL_FEATURES) and sum(importance.values()) == pytest.approx(1)
+
+
+def test_missing_values_are_seen_as_such(spark):
+    """Whether a value is missing decides the label: the model finds it, though the median hides it."""
+    rows = [(f"c{i}", i % 40, None if i % 3 == 0 else float(i % 40), int(i % 3 == 0)) for i in range(600)]
+    table = spark.createDataFrame(rows, "customer_unique_id string, recency_days int, monetary double, is_churned int")
+    for c in churn.MODEL_FEATURES:
+        if c not in ("monetary", "top_category_encoded"):
+            table = table.withColumn(c, F.lit(1.0))
+    table = stage(table.withColumn("top_category", F.lit("toys")), "missing")
+    trained = churn.train(table, trees=3)
+    assert trained.auc() == 1.0
+    scored = churn.score(trained.model, table)
+    assert scored.columns == [*table.columns, "top_category_encoded", "churn_risk_score", "risk_segment"]
+    assert trained.importance().first().feature == "monetary"
+
+
 def test_briefs_are_written_side_by_side(spark):
     columns = {c: F.lit(1.0) for c in briefs.BRIEF_COLUMNS if c != "customer_unique_id"}
     chosen = spark.range(40).select(F.concat(F.lit("c" * 9), "id").alias("customer_unique_id")).coalesce(1)

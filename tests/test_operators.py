@@ -4,6 +4,8 @@ import hashlib
 import math
 import random
 import struct
+import time
+import uuid
 
 import pandas as pd
 import pytest
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 
 from stayline.operators import metrics, quantile
 from stayline.operators.fanout import Weights, cents
-from stayline.operators.generate import add_generated_text
+from stayline.operators.generate import AnswerStore, add_generated_text, answer
 from stayline.operators.quantile import quantile_values, quantiles, sortable, unsorted
 from stayline.operators.split import stratified_split
 
@@ -202,3 +204,66 @@ def test_generator_failure_and_strip(spark):
     got = add_generated_text(df, "prompt", "text", generate, "Brief unavailable")
     assert got.columns == ["id", "text"]
     assert {r.id: r.text for r in got.collect()} == {1: "A", 2: "Brief unavailable", 3: "C"}
+
+
+def calls_in(folder) -> list[str]:
+    """Prompts that were asked for, in files of their own as workers share nothing else."""
+    return sorted(p.read_text() for p in folder.iterdir())
+
+
+def asked(folder, prompt: str) -> None:
+    (folder / f"{time.time_ns()}-{uuid.uuid4().hex}").write_text(prompt)
+
+
+def test_a_task_that_dies_repeats_no_answered_call(spark, tmp_path):
+    """The generator kills its task after three answers; the rerun asks for the others only."""
+    calls, store = tmp_path / "calls", AnswerStore(f"file://{tmp_path}/answers")
+    calls.mkdir()
+    df = spark.range(8).select("id", F.concat(F.lit("p"), "id").alias("prompt")).coalesce(1)
+
+    def dying(prompt: str) -> str:
+        asked(calls, prompt)
+        if len(list(calls.iterdir())) > 3:
+            raise SystemExit("lost")
+        return f" {prompt}! "
+
+    def sound(prompt: str) -> str:
+        asked(calls, prompt)
+        return f" {prompt}! "
+
+    with pytest.raises(PySparkException):
+        add_generated_text(df, "prompt", "text", dying, "none", answers=store).collect()
+    before = calls_in(calls)
+    assert before[:3] == ["p0", "p1", "p2"]
+    got = add_generated_text(df, "prompt", "text", sound, "none", answers=store)
+    assert {r.id: r.text for r in got.collect()} == {i: f"p{i}!" for i in range(8)}
+    after = calls_in(calls)
+    assert all(after.count(p) == 1 for p in ("p0", "p1", "p2"))
+    got.collect()
+    assert calls_in(calls) == after
+    assert not [p for p in (tmp_path / "answers").rglob("*") if "." in p.name]
+
+
+def test_failed_calls_are_tried_again_and_not_stored(tmp_path, monkeypatch):
+    store, waits, tries = AnswerStore(str(tmp_path / "answers")), [], []
+    monkeypatch.setattr(time, "sleep", waits.append)
+
+    def flaky(prompt: str) -> str:
+        tries.append(prompt)
+        if len(tries) < 3:
+            raise TimeoutError
+        return "done é\n"
+
+    assert answer("a", flaky, "none", 0.5, store, attempts=2, backoff_seconds=1.0) == "none"
+    assert waits == [1.0] and store.find("a") is None
+    assert answer("a", flaky, "none", 0.5, store, attempts=2) == "done é" and waits == [1.0, 0.5]
+    assert answer("a", flaky, "none", 0.5, store) == "done é" and len(tries) == 3
+    assert store.find("a") == "done é" and store.find("b") is None
+
+
+def test_the_pace_is_that_of_all_tasks(spark):
+    """Two tasks at a pause of 0.1 s: each waits 0.2 s after its calls."""
+    df = spark.range(6).select("id", F.lit("x").alias("prompt"))
+    start = time.time()
+    add_generated_text(df, "prompt", "text", lambda p: p, "none", pause_seconds=0.1, tasks=2).collect()
+    assert time.time() - start >= 0.59
