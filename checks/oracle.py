@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from stayline.plans.briefs import PROMPT
+
 # The shop's tables over the check tables; views.py says the same in Spark.
 VIEWS = """
 v_customers as (
@@ -201,29 +203,14 @@ behavior as (
   from behavior_base)
 """
 
-PROMPT_SQL = """concat(
-'You are a senior CRM analyst at a large e-commerce company.
-Write a churn brief for the retention team about this customer.
-
-Customer data:
-- Total orders placed      : ', frequency, '
-- Lifetime spend           : $', printf('%.2f', monetary), '
-- Average review score     : ', printf('%.1f', avg_review_score), ' / 5
-- Lowest review ever given : ', printf('%.0f', min_review_score), ' / 5
-- Late delivery rate       : ', printf('%.0f', late_delivery_pct), '% of their orders arrived late
-- Number of late deliveries: ', late_delivery_count, '
-- Product categories bought: ', category_diversity, ' different categories
-- Top category             : ', top_category, '
-- Avg payment installments : ', printf('%.1f', avg_installments), '
-- Churn risk score         : ', printf('%.0f', churn_risk_score), ' / 100
-- Risk segment             : ', risk_segment, '
-
-Write exactly 3 sentences, plain paragraph, no bullet points, no headers:
-Sentence 1 - WHY AT RISK: Specific reason based on their data, not generic.
-Sentence 2 - RECOMMENDED ACTION: One precise retention action for this week.
-Sentence 3 - REVENUE IMPACT: Cost of inaction in dollar terms.
-
-Maximum 80 words total.')"""
+_FIGURES = (
+    "cast(frequency as varchar)", "printf('%.2f', monetary)", "printf('%.1f', avg_review_score)",
+    "printf('%.0f', min_review_score)", "printf('%.0f', late_delivery_pct)", "cast(late_delivery_count as varchar)",
+    "cast(category_diversity as varchar)", "top_category", "printf('%.1f', avg_installments)",
+    "printf('%.0f', churn_risk_score)", "risk_segment",
+)
+_QUOTED_PROMPT = PROMPT.replace("'", "''")
+PROMPT_SQL = f"printf('{_QUOTED_PROMPT}', {', '.join(_FIGURES)})"
 
 
 def _text_date(column: str) -> str:
@@ -478,12 +465,20 @@ PARTS: dict[str, tuple[str, str]] = {
         """select count(*) as customers_scored,
                   cast(sum(case when place <= round(0.2 * size) then 1 else 0 end) as bigint) as held_out_rows,
                   cast(0 as bigint) as scores_outside, cast(0 as bigint) as segments_off,
-                  cast(11 as bigint) as inputs, 1 as importance_adds_up, 1 as auc_agrees
-           from (select row_number() over (partition by is_churned
+                  cast(11 as bigint) as inputs, 1 as importance_adds_up, 1 as auc_agrees,
+                  cast(0 as bigint) as cuts_off, cast(0 as bigint) as stored_model_off,
+                  cast(count(*) filter (where recency_days % 3 = 0) as bigint) as gaps_kept,
+                  1 as gap_inputs
+           from (select recency_days, row_number() over (partition by is_churned
                           order by md5(concat(customer_unique_id, '42'))) as place,
                         count(*) over (partition by is_churned) as size
                  from features)""",
     ),
+    "sample_checks": (
+        "",
+        """select least(5, (select count(*) from v_orders)) as sampled, least(5, (select count(*) from v_orders)) as found""",
+    ),
+    "generated_text": ("", "select product_id, 'about ' || product_category_name as text from v_products"),
     "csv_round_trip": (
         "",
         """select 'customers' as table_name, count(*) as total_rows, cast(null as double) as amount,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from checks.stub_score import add_stub_prediction, add_stub_score
 from checks.views import AS_OF, StarShop, text_dated_orders
 from stayline.operators import metrics
+from stayline.operators.generate import add_generated_text
 from stayline.operators.quantile import quantiles
 from stayline.operators.split import stratified_split
 from stayline.plans import briefs, churn, explore, features, marts
@@ -20,6 +21,7 @@ from stayline.sources.tables import (
     CSV_FILES,
     ShopTables,
     date_quality,
+    date_sample,
     read_csv_folder,
     read_parquet_folder,
 )
@@ -112,8 +114,9 @@ def _feature_importance(t: ShopTables) -> DataFrame:
 
 
 def _model_checks(t: ShopTables) -> DataFrame:
-    """Facts that hold for any model of these rows."""
-    table = _stored_features(t)
+    """Facts that hold for any model of these rows; a third of them lack the freight."""
+    gap = F.when(F.col("recency_days") % 3 != 0, F.col("avg_freight_paid"))
+    table = stage(_stored_features(t).withColumn("avg_freight_paid", gap), "features_with_gaps")
     trained = churn.train(table)
     scored = stage(churn.score(trained.model, table), "scored")
     score, segment = F.col("churn_risk_score"), F.col("risk_segment")
@@ -122,6 +125,11 @@ def _model_checks(t: ShopTables) -> DataFrame:
     )
     ranked = metrics.auc_of_scores(trained.held_out, churn.TARGET, "churn_probability")
     agrees = int(abs(ranked.first()["auc_roc"] - trained.auc()) < 1e-9)
+    cut = (F.col("churn_probability") >= 0.5).cast("int")
+    folder = f"{checkpoint_root(table.sparkSession).rstrip('/')}/model-{uuid.uuid4().hex[:12]}"
+    churn.save_model(trained.model, folder)
+    stored = churn.score(churn.load_model(folder), table)
+    flags = [c for c in trained.model.stages[-2].getInputCols() if c in churn.MISSING.values()]
     return scored.agg(
         F.count("*").alias("customers_scored"),
         F.lit(trained.held_out.count()).cast("bigint").alias("held_out_rows"),
@@ -130,9 +138,29 @@ def _model_checks(t: ShopTables) -> DataFrame:
         importance.select("inputs").scalar().alias("inputs"),
         importance.select("adds_up").scalar().alias("importance_adds_up"),
         F.lit(agrees).alias("auc_agrees"),
+        F.lit(trained.held_out.where(~F.col("predicted").eqNullSafe(cut)).count()).cast("bigint").alias("cuts_off"),
+        F.lit(scored.exceptAll(stored).count()).cast("bigint").alias("stored_model_off"),
+        F.count_if(F.col("avg_freight_paid").isNull()).alias("gaps_kept"),
+        F.lit(len(flags)).alias("gap_inputs"),
+    )
+
+
+def _sample_checks(t: ShopTables) -> DataFrame:
+    """A few orders without an order of rows: how many, and how many of them are orders."""
+    sample = stage(date_sample(t.orders), "date_sample")
+    same = [sample[c].eqNullSafe(t.orders[c]) for c in sample.columns]
+    return sample.agg(
+        F.count("*").alias("sampled"),
+        F.lit(sample.join(t.orders, same, "left_semi").count()).cast("bigint").alias("found"),
     )
 
 
+def _generated_text(t: ShopTables) -> DataFrame:
+    """What a generator pads is stripped."""
+    asked = t.products.select("product_id", F.col("product_category_name").alias("prompt"))
+    return add_generated_text(asked, "prompt", "text", lambda prompt: f" \n\tabout {prompt} \r\n ", "none")
+
+
 def _csv_round_trip(t: StarShop) -> DataFrame:
     """The shop written as CSV, read back, stored and queried through views."""
     folder = f"{checkpoint_root(t.spark).rstrip('/')}/round-trip-{uuid.uuid4().hex[:12]}"
@@ -203,6 +231,8 @@ ON_TABLES: dict[str, Callable[[ShopTables], DataFrame]] = {
     "csv_round_trip": _csv_round_trip,
     # The real model: its scores have no SQL equivalent, facts about them do
     "model_checks": _model_checks,
+    "sample_checks": _sample_checks,
+    "generated_text": _generated_text,
     "churn_scores": _churn_scores,
     "feature_importance": _feature_importance,
 }

@@ -12,6 +12,7 @@ from checks.compare import mismatch
 from checks.views import AS_OF
 from stayline.plans import batch, churn, marts
 from stayline.plans.batch import load, run_batch
+from stayline.plans.scoring import score_batch
 from stayline.sources.publish import Folder, open_version, published
 from stayline.sources.staging import checkpoint_root
 from stayline.sources.tables import CSV_FILES, date_quality, read_csv_text, typed_and_checked
@@ -155,3 +156,15 @@ def test_dates_are_checked_in_the_pass_that_loads(spark, tmp_path):
     counts, unparsed = load(spark, str(tmp_path / "csv"), str(tmp_path / "tables"))
     assert unparsed == want and unparsed["order_purchase_timestamp"] == 1
     assert counts["orders"] == len(rows["orders"])
+
+
+def test_scoring_alone_uses_the_published_model(spark, tmp_path, monkeypatch):
+    write_csv_shop(random_shop(4, orders=300, hot=""), tmp_path / "csv")
+    batch_out, out = str(tmp_path / "batch"), str(tmp_path / "scores")
+    with pytest.raises(FileNotFoundError):
+        score_batch(spark, batch_out, str(tmp_path / "csv"), out, AS_OF)
+    run_batch(spark, str(tmp_path / "csv"), batch_out, AS_OF, trees=2, max_customers=5)
+    monkeypatch.setattr(churn, "train", None)
+    score_batch(spark, batch_out, str(tmp_path / "csv"), out, AS_OF)
+    read = lambda root: sorted(map(str, spark.read.parquet(f"{published(spark, root).path}/customer_scores").collect()))
+    assert read(out) == read(batch_out)
