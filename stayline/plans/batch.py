@@ -14,8 +14,10 @@ import argparse
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stayline.operators.generate import AnswerStore
 from stayline.plans import churn, marts
@@ -23,7 +25,7 @@ from stayline.plans.briefs import MAX_CUSTOMERS, ai_briefs, high_risk_topk, temp
 from stayline.plans.features import AS_OF, CHURN_DAYS, customer_features
 from stayline.session import build_session
 from stayline.sources.bucketed import BucketStore
-from stayline.sources.publish import KEEP, Folder, Version, open_version
+from stayline.sources.publish import KEEP, Folder, Version, open_version, published
 from stayline.sources.sinks import export_marts, write_csv, write_table
 from stayline.sources.staging import scratch
 from stayline.sources.tables import (
@@ -110,6 +112,12 @@ def build_marts(
     }
 
 
+def changed_orders(t: ShopTables) -> DataFrame:
+    """The orders that any of the tables names."""
+    named = [df.select("order_id") for df in (t.orders, t.order_items, t.payments, t.reviews)]
+    return reduce(DataFrame.unionByName, named).where(F.col("order_id").isNotNull()).distinct()
+
+
 def run_batch(
     spark: SparkSession,
     csv_folder: str,
@@ -122,12 +130,18 @@ def run_batch(
     pause_seconds: float = 0.0,
     brief_tasks: int = 1,
     keep: int = KEEP,
+    changes_only: bool = False,
 ) -> BatchResult:
     """The whole batch into a new version of ``out_folder``, published at the end.
 
     Stages that a failed run with the same files and parameters has finished are skipped.
     ``brief_tasks`` generator calls run side by side, ``pause_seconds`` apart over all of them; no
     answer is asked for twice. ``keep`` published versions are kept, older ones removed.
+
+    With ``changes_only`` the CSV files hold new and changed orders only, each with all its items,
+    payments and reviews, and the customers, products and categories that these name. Their totals
+    are added to those of the published version, whose files are read where they lie; an order
+    that a delivery names replaces the earlier one. The version's ``tables`` are then the delivery's.
     """
     # What changes the outputs. The generator is code: a rerun with another one keeps finished briefs.
     run = {
@@ -137,10 +151,16 @@ def run_batch(
         "trees": trees,
         "max_customers": max_customers,
     }
+    earlier = None
+    if changes_only:
+        earlier = published(spark, out_folder)
+        if earlier is None:
+            raise FileNotFoundError(f"no published batch in {out_folder} to add changes to")
+        run["uses"] = [*earlier.uses(), earlier.name]
     version = open_version(spark, out_folder, run)
     with scratch(spark):
         result = _run_stages(
-            spark, version, csv_folder, as_of, churn_days, trees, max_customers, generate, pause_seconds, brief_tasks
+            spark, version, earlier, csv_folder, as_of, churn_days, trees, max_customers, generate, pause_seconds, brief_tasks
         )
     version.publish(keep)
     return result
@@ -149,6 +169,7 @@ def run_batch(
 def _run_stages(
     spark: SparkSession,
     version: Version,
+    earlier: Version | None,
     csv_folder: str,
     as_of: datetime,
     churn_days: float,
@@ -159,21 +180,33 @@ def _run_stages(
     brief_tasks: int,
 ) -> BatchResult:
     out = version.path
+    before = earlier.facts("tables") if earlier else None
 
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{out}/{name}")
 
     def tables_stage() -> dict:
         rows, unparsed = load(spark, csv_folder, f"{out}/tables")
-        tables = read_parquet_folder(spark, f"{out}/tables")
-        return {"rows": rows, "unparsed": unparsed, "buckets": size_shuffles(tables)}
+        facts = {"rows": rows, "unparsed": unparsed}
+        if before:
+            return {**facts, "buckets": before["buckets"], "delivery": before["delivery"] + 1}
+        return {**facts, "buckets": size_shuffles(read_parquet_folder(spark, f"{out}/tables")), "delivery": 0}
 
     loaded = version.stage("tables", tables_stage)
-    # A rerun goes on with the buckets of the run before.
+    # A rerun, or a run on changes, goes on with the buckets of the run before.
     spark.conf.set("spark.sql.shuffle.partitions", str(loaded["buckets"]))
+    tables = read_parquet_folder(spark, f"{out}/tables")
     # Features and marts start from the same joins and totals; each is made once.
-    store = BucketStore(spark, f"{out}/base", "order_id", loaded["buckets"])
-    tables = StoredShop.over(read_parquet_folder(spark, f"{out}/tables"), store)
+    store = BucketStore(
+        spark,
+        f"{out}/base",
+        "order_id",
+        loaded["buckets"],
+        loaded["delivery"],
+        f"{earlier.path}/base" if earlier else None,
+        partial(changed_orders, tables) if earlier else None,
+    )
+    tables = StoredShop.over(tables, store)
 
     def features_stage() -> dict:
         return {"rows": _stored(customer_features(tables, as_of, churn_days), f"{out}/customer_features")}
@@ -230,6 +263,7 @@ def main() -> None:
     parser.add_argument("--churn-days", type=float, default=CHURN_DAYS)
     parser.add_argument("--trees", type=int, default=churn.TREES)
     parser.add_argument("--max-customers", type=int, default=MAX_CUSTOMERS)
+    parser.add_argument("--changes-only", action="store_true", help="input holds new and changed orders only")
     parser.add_argument("--brief-tasks", type=int, default=1, help="generator calls side by side")
     args = parser.parse_args()
     spark = build_session("retention batch")
@@ -242,6 +276,7 @@ def main() -> None:
         args.trees,
         args.max_customers,
         brief_tasks=args.brief_tasks,
+        changes_only=args.changes_only,
     )
     print(result)
 

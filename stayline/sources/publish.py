@@ -110,12 +110,20 @@ class Version:
         """Names of the finished stages."""
         return [n.removesuffix(".json") for n in self.folder.names(f"{VERSIONS}/{self.name}/{STAGES}")]
 
+    def facts(self, stage: str) -> dict | None:
+        """What a finished stage has returned."""
+        return self.folder.read(self._manifest(stage))
+
+    def uses(self) -> list[str]:
+        """Versions whose files this one reads: they stay as long as it does."""
+        return (self.folder.read(f"{VERSIONS}/{self.name}/{RUN}") or {}).get("uses", [])
+
     def stage(self, name: str, work: Callable[[], dict]) -> dict:
         """The facts that ``work`` returns, or that it returned to an earlier run of this version.
 
         ``work`` writes its outputs below ``path`` and may find half of them there.
         """
-        done = self.folder.read(self._manifest(name))
+        done = self.facts(name)
         if done is not None:
             self.skipped.append(name)
             return done
@@ -136,6 +144,7 @@ class Version:
             self.folder.create(f"{COMMITS}/{last:08d}.json", entry)
             commits[last] = self.name
         held = {commits[n] for n in sorted(commits)[-max(keep, 1) :]}
+        held |= {used for name in held for used in Version(self.folder, name).uses()}
         published = set(commits.values())
         for name in self.folder.names(VERSIONS):
             run = f"{VERSIONS}/{name}/{RUN}"
@@ -168,7 +177,8 @@ def published(spark: SparkSession, path: str) -> Version | None:
 def open_version(spark: SparkSession, path: str, run: dict) -> Version:
     """The unpublished version below ``path`` that was started with an equal ``run``, else a new one.
 
-    ``run`` tells inputs and parameters (JSON values): outputs of other ones are never mixed.
+    ``run`` tells inputs and parameters (JSON values): outputs of other ones are never mixed. Its
+    entry ``uses`` names the versions whose files the new one will read.
     """
     folder = Folder(spark, path)
     done = set(_commits(folder).values())

@@ -7,16 +7,19 @@ from pathlib import Path
 from urllib.parse import urlparse
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks.compare import mismatch
 from checks.views import AS_OF
 from stayline.plans import batch, churn, marts
 from stayline.plans.batch import load, run_batch
 from stayline.plans.scoring import score_batch
+from stayline.sources.bucketed import BucketStore
 from stayline.sources.publish import Folder, open_version, published
 from stayline.sources.staging import checkpoint_root
 from stayline.sources.tables import CSV_FILES, date_quality, read_csv_text, typed_and_checked
 from tests.csv_shop import write_csv_shop
+from tests.test_plans import HOT_KEY_SETTINGS, plan_of, settings
 from tests.shops import duckdb_tables, random_shop, sql_rows
 
 
@@ -168,3 +171,85 @@ def test_scoring_alone_uses_the_published_model(spark, tmp_path, monkeypatch):
     score_batch(spark, batch_out, str(tmp_path / "csv"), out, AS_OF)
     read = lambda root: sorted(map(str, spark.read.parquet(f"{published(spark, root).path}/customer_scores").collect()))
     assert read(out) == read(batch_out)
+
+
+def deliveries(rows, first: set, changed: set):
+    """The shop as a first delivery of ``first`` orders, some of them differing, and all rows of ``changed``."""
+    of_orders = ("orders", "order_items", "payments", "reviews")
+    whole, delta = {}, {}
+    for name, body in rows.items():
+        if name not in of_orders:
+            whole[name] = delta[name] = body
+            continue
+        at = 0  # order_id is the first column of all four
+        whole[name] = [r for r in body if r[at] in first]
+        delta[name] = [r for r in body if r[at] in changed]
+    # What the first delivery said of the changed orders was different.
+    whole["reviews"] = [r for r in whole["reviews"] if r[0] not in changed]
+    whole["orders"] = [(*r[:2], "shipped", *r[3:]) if r[0] in changed else r for r in whole["orders"]]
+    whole["payments"] += [(o, "voucher", 7) for o in sorted(changed & first)]
+    return whole, delta
+
+
+def test_changed_orders_give_the_results_of_a_whole_run(spark, tmp_path):
+    rows = random_shop(6, orders=400, hot="")
+    ids = [f"o{i}" for i in range(400)]
+    # The second delivery has new and changed orders, the third changes some of these again.
+    second, third = {*ids[370:385], "o1", "o7", "o25"}, {*ids[380:400], "o7", "o371"}
+    whole, _ = deliveries(rows, set(ids[:370]), second | third)
+    _, two = deliveries(rows, set(), second)
+    two["reviews"] = [r for r in two["reviews"] if r[0] not in third]
+    _, three = deliveries(rows, set(), third)
+    out = str(tmp_path / "out")
+    with pytest.raises(FileNotFoundError):
+        write_csv_shop(whole, tmp_path / "csv0")
+        run_batch(spark, str(tmp_path / "csv0"), out, AS_OF, trees=1, changes_only=True)
+    run_batch(spark, str(tmp_path / "csv0"), out, AS_OF, trees=1)
+    names = [published(spark, out).name]
+    for i, delta in enumerate((two, three)):
+        write_csv_shop(delta, tmp_path / f"csv{i + 1}")
+        run_batch(spark, str(tmp_path / f"csv{i + 1}"), out, AS_OF, trees=1, keep=1, changes_only=True)
+        found = published(spark, out)
+        assert found.uses() == names
+        names.append(found.name)
+        # Only the delivery's own rows are written.
+        for name in ("order_lines", "purchases"):
+            assert [n for n in found.folder.names(f"versions/{found.name}/base/{name}") if "=" in n] == [f"delivery={i + 1}"]
+    # The versions whose files are read stay, though one version is kept.
+    assert Folder(spark, out).names("versions") == sorted(names)
+
+    everything = {n: [r for r in body if r[0] in set(ids)] if n in ("orders", "order_items", "payments", "reviews") else body for n, body in rows.items()}
+    write_csv_shop(everything, tmp_path / "all")
+    clean = str(tmp_path / "clean")
+    run_batch(spark, str(tmp_path / "all"), clean, AS_OF, trees=1)
+    read = lambda root, name: sorted(map(str, spark.read.parquet(f"{published(spark, root).path}/{name}").collect()))
+    assert read(out, "customer_features") == read(clean, "customer_features")
+    assert read(out, "sales_facts") == read(clean, "sales_facts")
+    csv_rows = lambda root, file: sorted(
+        map(str, spark.read.option("header", True).csv(f"{published(spark, root).path}/marts/{file}").collect())
+    )
+    for file in (marts.EXECUTIVE_FILE, marts.SALES_FILE, marts.BEHAVIOR_FILE):
+        assert csv_rows(out, file) == csv_rows(clean, file) != []
+
+
+def test_later_deliveries_hide_earlier_rows_without_a_shuffle(spark, tmp_path):
+    def store(number, changed=None):
+        path = lambda n: str(tmp_path / f"base{n}")
+        return BucketStore(spark, path(number), "k", 4, number, path(number - 1) if changed else None, changed)
+
+    frame = lambda rows: spark.createDataFrame(rows, "k string, v int")
+    opened = [store(0)]
+    assert opened[0].keep("t", lambda: frame([("a", 1), ("a", 2), ("b", 3), (None, 4)])).count() == 4
+    # A delivery without rows for a table still hides what it replaces; the next number goes on.
+    opened.append(store(1, lambda: frame([("a", 0), ("c", 0)])))
+    assert sorted(map(str, opened[1].keep("t", lambda: frame([])).collect())) == ["Row(k='b', v=3)", "Row(k=None, v=4)"]
+    opened.append(store(2, lambda: frame([("b", 0), ("d", 0)])))
+    with settings(spark, **HOT_KEY_SETTINGS):
+        t = opened[2].keep("t", lambda: frame([("b", 5), ("d", 6)]))
+        summed = t.groupBy("k").agg(F.sum("v").alias("v"))
+        assert sorted(map(str, summed.collect())) == ["Row(k='b', v=5)", "Row(k='d', v=6)", "Row(k=None, v=4)"]
+        assert "Exchange" not in plan_of(summed) and "LeftAnti" in plan_of(summed)
+    for s in opened:
+        s.close()
+    with pytest.raises(ValueError):
+        BucketStore(spark, str(tmp_path / "x"), "k", 4, 1)
