@@ -4,13 +4,16 @@ For each language a tree of byte contexts up to ORDER bytes long holds how often
 each byte followed. The probability of a byte comes from the longest context
 that has seen it; every shorter step pays an escape (method C: with T symbols of
 q kinds seen, an escape costs q / (T + q)). Statistics are frozen after training,
-so the code length of a byte depends only on the tree node and the byte, and is
-kept in one table: nodes x byte classes x languages. A text gets the language
-with the shortest code for all its bytes.
+so the code length of a byte depends only on its context and itself. A text gets
+the language with the shortest code for all its bytes.
+
+A language's tree is one file of sorted arrays in the shared folder, made by one
+task, that workers map: all contexts of the sample are kept, and none pass the driver.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,28 +24,77 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from stayline.llm.arrow import pieces, small_batches
+from stayline.llm.files import load, save
+from stayline.llm.names import unused
 from stayline.llm.words import chunks, flat
+from stayline.sources.staging import checkpoint_root, stage
 
 ORDER = 3
 #: Training texts per language (whole texts, chosen by a hash of the id).
 PER_LANGUAGE = 2000
 #: Languages a model may have; more in the labels is an error.
 MAX_LANGUAGES = 128
-#: Frequent context + byte runs kept, and the size limit of the code-length table.
-MAX_RUNS = 400_000
-MAX_TABLE_BYTES = 24 << 20
 UNKNOWN = "und"
-_CLASSES = 128
-_UNSEEN, _START = 0, 1
+#: Bits of a byte in a run of context and byte: a byte is written as byte + 1, the start of a text as 0.
+_DIGIT = 9
 
 
 @dataclass
 class Model:
     languages: list[str]
-    classes: np.ndarray  # byte -> class
-    nodes: np.ndarray  # three classes, oldest first -> deepest node
-    bits: np.ndarray  # node * classes + class -> code length per language
-    width: int
+    files: list[str]
+
+
+class Tree:
+    """The context tree of one language.
+
+    Per order, longest first: sorted runs (context and byte) with their code lengths, and sorted
+    contexts with the code lengths of their escapes.
+    """
+
+    def __init__(self, orders: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]):
+        self.orders = orders
+
+    @classmethod
+    def of(cls, run: np.ndarray, n: np.ndarray) -> Tree:
+        """From the counts of runs of the longest order."""
+        orders = []
+        for size in range(ORDER, -1, -1):
+            keys, at = np.unique(run & ((1 << _DIGIT * (size + 1)) - 1), return_inverse=True)
+            seen = np.bincount(at, n, len(keys))
+            contexts, first, own = np.unique(keys >> _DIGIT, return_index=True, return_inverse=True)
+            kinds = np.diff(np.append(first, len(keys)))
+            whole = np.add.reduceat(seen, first) + kinds
+            orders.append((keys, -np.log2(seen / whole[own]), contexts, -np.log2(kinds / whole)))
+        return cls(orders)
+
+    def parts(self) -> list[np.ndarray]:
+        """Arrays to write one after the other: their sizes, then they themselves."""
+        arrays = [x for order in self.orders for x in order]
+        return [np.array([len(x) for x in arrays], np.int64), *arrays]
+
+    @classmethod
+    def read(cls, raw: np.ndarray) -> Tree:
+        n = 4 * (ORDER + 1)
+        edges = np.cumsum([n, *raw[: 8 * n].view(np.int64).tolist()]) * 8
+        arrays = [raw[a:b].view(np.float64 if i % 2 else np.int64) for i, (a, b) in enumerate(zip(edges, edges[1:]))]
+        return cls([tuple(arrays[i : i + 4]) for i in range(0, n, 4)])
+
+    def bits(self, run: np.ndarray) -> np.ndarray:
+        """Code length of the byte of each run after its context."""
+        total = np.zeros(len(run))
+        left = np.arange(len(run))
+        for size, (keys, lengths, contexts, escapes) in zip(range(ORDER, -1, -1), self.orders):
+            key = run[left] & ((1 << _DIGIT * (size + 1)) - 1)
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            hit = keys[at] == key
+            total[left[hit]] += lengths[at[hit]]
+            left, context = left[~hit], key[~hit] >> _DIGIT
+            at = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
+            met = contexts[at] == context
+            total[left[met]] += escapes[at[met]]
+        total[left] += 8
+        return total
 
 
 def _bucket(doc_id: Column) -> Column:
@@ -96,8 +148,17 @@ def _histories(symbols: np.ndarray, offs: np.ndarray, start: int) -> list[np.nda
     return out
 
 
+def _runs(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Each byte with the ORDER before it, as one number, the oldest first."""
+    symbols = data.astype(np.int64) + 1
+    run = symbols.copy()
+    for back, before in enumerate(_histories(symbols, offs, 0), 1):
+        run |= before << (_DIGIT * back)
+    return run
+
+
 def _count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of (context, byte) per language; a byte is written as byte + 1, the start as 0."""
+    """Counts of (context, byte) per language."""
     for batch in pieces(batches, "text"):
         langs = np.array(batch.column("lang").to_pylist(), dtype=object)
         for lang in sorted(set(langs)):
@@ -105,9 +166,7 @@ def _count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data, offs = flat(chosen.column("text"))
             if len(data) == 0:
                 continue
-            symbols = data.astype(np.int64) + 1
-            one, two, three = _histories(symbols, offs, 0)
-            runs, counts = np.unique(((three * 512 + two) * 512 + one) * 512 + symbols, return_counts=True)
+            runs, counts = np.unique(_runs(data, offs), return_counts=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(runs)), pa.array(runs), pa.array(counts)], ["lang", "run", "n"]
             )
@@ -116,81 +175,34 @@ def _count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Learn from text and lang of documents that are not held out.
 
-    No labelled document gives a model without languages, which answers ``und``.
+    All contexts of all sampled texts are kept, however few a language has. No labelled document
+    gives a model without languages, which answers ``und``.
     """
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
+    folder = f"{checkpoint_root(spark).rstrip('/')}/languages-{uuid.uuid4().hex[:12]}"
+
+    def write(table: pa.Table) -> pa.Table:
+        tree = Tree.of(table.column("run").to_numpy(), table.column("n").to_numpy().astype(np.float64))
+        return pa.table([table.column("lang").slice(0, 1), pa.array([save(folder, tree.parts())])], ["lang", "file"])
+
     runs = training_sample(docs, per_language).mapInArrow(_count_runs, "lang string, run long, n long")
     counted = runs.groupBy("lang", "run").agg(F.sum("n").alias("n"))
-    found = counted.orderBy(F.desc("n"), "lang", "run").limit(MAX_RUNS).toPandas()
-    return _build(found["lang"].to_numpy(), found["run"].to_numpy(np.int64), found["n"].to_numpy(np.float64))
-
-
-def _build(lang: np.ndarray, run: np.ndarray, n: np.ndarray) -> Model:
-    languages = sorted(set(lang))
-    parts = [(run >> shift) & 511 for shift in (27, 18, 9, 0)]  # oldest first, the byte last
-    classes = np.zeros(256, np.uint8)
-    if not languages:
-        return Model([], classes, np.zeros(8, np.int32), np.zeros((2, 0), np.float32), 2)
-    seen, inverse = np.unique(parts[3], return_inverse=True)
-    common = seen[np.argsort(-np.bincount(inverse, n), kind="stable")[: _CLASSES - 2]]
-    to_class = np.zeros(257, np.int64)
-    to_class[0] = _START
-    to_class[np.sort(common)] = np.arange(len(common)) + 2
-    classes[:] = to_class[1:]
-    width = len(common) + 2
-    three, two, one, symbol = (to_class[p] for p in parts)
-    which = np.searchsorted(languages, lang.astype(str))
-
-    # Contexts of each length, most frequent first, as many as the table may hold.
-    room = max(1, MAX_TABLE_BYTES // (4 * width * len(languages)))
-    keys = [one, two * width + one, (three * width + two) * width + one]
-    tables = [np.full(width**k, -1, np.int64) for k in range(1, ORDER + 1)]
-    parent, used = [np.zeros(1, np.int64)], 1
-    rows = [np.zeros(len(run), np.int64)]
-    for k, (key, lookup) in enumerate(zip(keys, tables, strict=True)):
-        weight = np.bincount(key, n, len(lookup))
-        kinds = np.flatnonzero(weight)
-        kinds = np.sort(kinds[np.argsort(-weight[kinds], kind="stable")[: max(0, room - used)]])
-        shorter = np.zeros(1, np.int64) if k == 0 else tables[k - 1]
-        up = np.tile(shorter, width) if k else np.zeros(len(lookup), np.int64)
-        parent.append(up[kinds])
-        lookup[:] = up
-        lookup[kinds] = np.arange(used, used + len(kinds))
-        is_own = np.zeros(len(lookup), bool)
-        is_own[kinds] = True
-        rows.append(np.where(is_own[key], lookup[key], -1))
-        used += len(kinds)
-    counts = np.zeros((used, width, len(languages)), np.float32)
-    for at in rows:
-        own = at >= 0
-        np.add.at(counts, (at[own], symbol[own], which[own]), n[own])
-    # Chances take the place of the counts, a part of a level at a time: the driver holds one table.
-    begin = 0
-    for level, up in enumerate(parent):
-        for a in range(0, len(up), 1000):
-            c = counts[begin + a : begin + min(a + 1000, len(up))]
-            t, q = c.sum(axis=1)[:, None, :], (c > 0).sum(axis=1, dtype=np.float32)[:, None, :]
-            less = np.full(c.shape, 1 / 256, np.float32) if level == 0 else counts[up[a : a + 1000]]
-            whole = np.maximum(t + q, 1)
-            p = np.where(c > 0, c / whole, less * (q / whole))
-            c[:] = np.where(t > 0, p, less)
-        begin += len(up)
-    bits = -np.log2(counts, out=counts)
-    bits = bits.reshape(used * width, len(languages))
-    return Model(languages, classes, tables[-1].astype(np.int32), bits, width)
-
-
-def code_lengths(model: Model, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    # A language's counts are bounded by its sample.
+    written = stage(counted.groupBy("lang").applyInArrow(write, "lang string, file string"), "languages")
+    found = sorted((r["lang"], r["file"]) for r in written.collect())
+    return Model([lang for lang, _ in found], [file for _, file in found])
+
+
+def code_lengths(trees: list[Tree], data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """Bits of each text (row) under each language (column)."""
-    out = np.zeros((len(offs) - 1, len(model.languages)))
-    symbols = model.classes[data].astype(np.int32)
-    if len(symbols) == 0:
+    out = np.zeros((len(offs) - 1, len(trees)))
+    if len(data) == 0:
         return out
-    one, two, three = _histories(symbols, offs, _START)
-    node = model.nodes[(three * model.width + two) * model.width + one]
-    bits = model.bits[node * model.width + symbols]
     full = np.flatnonzero(offs[1:] > offs[:-1])
-    out[full] = np.add.reduceat(bits, offs[:-1][full], axis=0, dtype=np.float64)
+    runs, at = np.unique(_runs(data, offs), return_inverse=True)
+    for i, tree in enumerate(trees):
+        out[full, i] = np.add.reduceat(tree.bits(runs)[at], offs[:-1][full])
     return out
 
 
@@ -204,26 +216,25 @@ def predict(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Dat
     """
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(model)  # at most MAX_TABLE_BYTES and a node table of 8 MB
-    lettered, text = "_lettered", "_text"
+    lettered, text = unused(docs, "lettered"), unused(docs, "source_text")
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
     fields = [docs.schema[c] for c in kept]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "lang_pred string", "score double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        names = np.array([*m.languages, UNKNOWN], dtype=object)
+        trees = [Tree.read(load(file)) for file in model.files]
+        names = np.array([*model.languages, UNKNOWN], dtype=object)
         for batch in pieces(batches, text):
             data, offs = flat(batch.column(text))
-            best = np.full(batch.num_rows, len(m.languages))
+            best = np.full(batch.num_rows, len(trees))
             score = np.zeros(batch.num_rows)
-            if m.languages:
+            if trees:
                 for a, b, part, cuts in chunks(data, offs):
-                    bits = code_lengths(m, part, cuts)
+                    bits = code_lengths(trees, part, cuts)
                     best[a:b] = bits.argmin(axis=1)
                     score[a:b] = 1 / np.exp2(bits.min(axis=1, keepdims=True) - bits).sum(axis=1)
                 known = pa.compute.fill_null(batch.column(lettered), False).to_numpy(zero_copy_only=False)
-                best[~known], score[~known] = len(m.languages), 0
+                best[~known], score[~known] = len(trees), 0
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept), pa.array(names[best], pa.string()), pa.array(score)],
                 [*kept, "lang_pred", "score"],

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def unused(df: DataFrame, name: str) -> str:
@@ -11,3 +14,19 @@ def unused(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def aside(df: DataFrame, kept: Sequence[str], needed: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Only ``needed`` and ``kept`` of ``df``, the latter under names that no operator uses, and these names.
+
+    Operators then join and group tables whose columns are all their own. A needed column is not
+    sent twice: it keeps its name.
+    """
+    names = [c if c in needed else f"_kept_{i}" for i, c in enumerate(kept)]
+    own = [F.col(f"`{c}`").alias(n) for c, n in zip(kept, names) if n not in needed]
+    return df.select(*[F.col(f"`{c}`") for c in needed], *own), names
+
+
+def back(kept: Sequence[str], names: Sequence[str]) -> list[Column]:
+    """The kept columns under the names they had."""
+    return [F.col(f"`{n}`").alias(c) for c, n in zip(kept, names)]

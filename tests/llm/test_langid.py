@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from stayline.llm import langid
 from tests.llm import brute
@@ -66,9 +67,12 @@ def test_code_lengths_follow_the_escapes():
                 run = [t[j] + 1 if j >= 0 else 0 for j in (i - 3, i - 2, i - 1)] + [b + 1]
                 key = (lang, sum(x << s for x, s in zip(run, (27, 18, 9, 0), strict=True)))
                 counts[key] = counts.get(key, 0) + 1
-    model = langid._build(
-        np.array([k[0] for k in counts], object), np.array([k[1] for k in counts]), np.array(list(counts.values()), float)
-    )
+    trees = []
+    for lang in ("p", "q"):
+        own = {run: n for (x, run), n in counts.items() if x == lang}
+        tree = langid.Tree.of(np.array(list(own)), np.array(list(own.values()), float))
+        raw = b"".join(x.tobytes() for x in tree.parts())
+        trees.append(langid.Tree.read(np.frombuffer(raw, np.uint8)))
 
     def bits(lang: str, text: bytes) -> float:
         total = 0.0
@@ -96,8 +100,80 @@ def test_code_lengths_follow_the_escapes():
         return total
 
     for text in (b"abra", b"zzz", b"cabz", b"a"):
-        got = langid.code_lengths(model, np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0]
-        assert np.allclose(got, [bits("p", text), bits("q", text)], atol=1e-3), text
+        got = langid.code_lengths(trees, np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0]
+        assert np.allclose(got, [bits("p", text), bits("q", text)], atol=1e-9), text
+
+
+def plain_prediction(rows, text):
+    """Language and probability from contexts counted in dictionaries, over all training rows."""
+    best = []
+    for lang in sorted({r[2] for r in rows}):
+        seen: dict[bytes, dict[int, int]] = {}
+        for t in (r[1].encode() for r in rows if r[2] == lang):
+            padded = [-1, -1, -1, *t]
+            for i in range(3, len(padded)):
+                for size in range(4):
+                    follow = seen.setdefault(tuple(padded[i - size : i]), {})
+                    follow[padded[i]] = follow.get(padded[i], 0) + 1
+        padded, bits = [-1, -1, -1, *text.encode()], 0.0
+        for i in range(3, len(padded)):
+            for size in (3, 2, 1, 0):
+                follow = seen.get(tuple(padded[i - size : i]))
+                if follow is None:
+                    continue
+                whole = sum(follow.values()) + len(follow)
+                if padded[i] in follow:
+                    bits -= np.log2(follow[padded[i]] / whole)
+                    break
+                bits -= np.log2(len(follow) / whole)
+            else:
+                bits += 8
+        best.append((bits, lang))
+    least = min(best)
+    return least[1], 1 / sum(2 ** (least[0] - b) for b, _ in best)
+
+
+def test_predictions_equal_plain_counting(spark):
+    rows = [(i, " ".join(t.split()[:4]), lang, 0) for i, t, lang, _ in sample(90)]
+    docs = texts(spark, rows)
+    learned = [tuple(r) for r in docs.filter(~langid.held_out(docs.doc_id)).collect()]
+    for r in langid.predict(docs, langid.train(docs)).collect():
+        lang, score = plain_prediction(learned, r["text"])
+        assert (r["lang_pred"], round(r["score"], 9)) == (lang, round(score, 9))
+
+
+def test_a_language_of_three_texts_is_learned(spark):
+    """Two languages of hundreds of texts leave room for a third with hardly any, in a script of its own."""
+    rows = [r for r in sample(900) if r[2] != "cc"]
+    rare = [(5000 + i, "дом лес река", "zz", 0) for i in range(12)]
+    held = {r["doc_id"] for r in texts(spark, rare).filter(langid.held_out(F.col("doc_id"))).collect()}
+    known = [r for r in rare if r[0] not in held][:3]
+    model = langid.train(texts(spark, rows + known))
+    assert model.languages == ["aa", "bb", "zz"]
+    asked = [(1, "река лес", None, 0), (2, "дом", None, 0), (3, "balo mi", None, 0)]
+    found = {r["doc_id"]: r["lang_pred"] for r in langid.predict(texts(spark, asked), model).collect()}
+    assert found == {1: "zz", 2: "zz", 3: "aa"}
+
+
+def test_forty_languages(spark):
+    rng = random.Random(3)
+    alphabet = [chr(0x61 + i) for i in range(26)] + [chr(0x430 + i) for i in range(32)]
+    own = {f"l{i:02}": rng.sample(alphabet, 6) for i in range(40)}
+    text = lambda lang, n: " ".join("".join(rng.choice(own[lang]) for _ in range(rng.randint(2, 6))) for _ in range(n))
+    rows = [(i, text(f"l{i % 40:02}", 12), f"l{i % 40:02}", 0) for i in range(800)]
+    model = langid.train(texts(spark, rows))
+    assert model.languages == sorted(own)
+    asked = [(i, text(lang, 15), lang, 0) for i, lang in enumerate(sorted(own))]
+    found = langid.predict(texts(spark, asked), model).collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in found) >= 39
+
+
+def test_columns_with_the_names_of_internal_ones(spark):
+    rows = sample(60)
+    names = ["lettered", "source_text", "_text", "_lettered", "run", "n", "_h", "_n"]
+    docs = texts(spark, rows).select("doc_id", "text", "lang", *[F.lit(c).alias(c) for c in names])
+    found = langid.predict(docs, langid.train(docs)).collect()
+    assert len(found) == 60 and all(r[c] == c for r in found for c in names)
 
 
 def test_documents_of_brute_table_keep_their_columns(spark):
