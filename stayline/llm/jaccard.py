@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from stayline.llm.arrow import pieces, small_batches
 from stayline.llm.components import components
 from stayline.llm.files import Shelf, key_files
+from stayline.llm.names import aside, back
 from stayline.llm.words import U64, chunks, flat, gram_hashes, mix, spans, word_hashes
 from stayline.sources.staging import stage
 
@@ -596,10 +597,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, keep: list[s
     of nothing else has none. Columns called n_shingles or component_id are replaced.
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("n_shingles", "component_id")]
+    docs, names = aside(docs, kept, ["doc_id", "text"])
     named, classes = _classes(docs, k, percent)
     least = F.coalesce("least", "id")
-    return _with_sets(docs, named, k, kept).join(classes, "set_name", "left").select(
-        *[F.col(f"`{c}`") for c in kept],
+    return _with_sets(docs, named, k, names).join(classes, "set_name", "left").select(
+        *back(kept, names),
         "n_shingles",
         F.when(least != _LAST, least).alias("component_id"),
     )
@@ -611,16 +613,17 @@ def one_per_class(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     Documents without words stay. Where the least doc_id of a class is on several
     rows, or all its documents have none, one of these rows stays.
     """
-    kept = [c for c in docs.columns if c not in ("n_shingles", "component_id")]
+    kept = docs.columns
+    docs, names = aside(docs, kept, ["doc_id", "text"])
     named, classes = _classes(docs, k, percent)
     first = F.col("least").isNull() | (F.col("id") == F.col("least"))
     several = (
         named.join(classes, "set_name").filter(first).groupBy("label").count().filter("count > 1").select("label")
     )
     several = stage(several, "several_firsts")
-    rows = _with_sets(docs.select(*[f"`{c}`" for c in kept]), named, k, kept)
+    rows = _with_sets(docs, named, k, names)
     rows = rows.join(classes, "set_name", "left").filter(first)
     alone = rows.join(several, "label", "left_anti")
     if not several.isEmpty():
         alone = alone.unionByName(rows.join(several, "label", "left_semi").dropDuplicates(["label"]))
-    return alone.select(*[F.col(f"`{c}`") for c in kept])
+    return alone.select(*back(kept, names))

@@ -5,6 +5,8 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from stayline.llm import jaccard
 from stayline.llm.components import components
 from tests.llm import brute
@@ -85,3 +87,17 @@ def test_components_of_a_long_path(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1001), (1001, 1000), (7, 7)]
     found = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {(r["node"], r["label"]) for r in found} == {(i, 0) for i in range(301)} | {(1000, 1000), (1001, 1000)}
+
+
+def test_columns_with_the_names_of_internal_ones(spark):
+    rows = brute.documents()[:70]
+    names = ["id", "label", "least", "set_name", "node", "set", "n_shingles", "component_id", "_kept_0"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select("*", *[F.lit(c).alias(c) for c in names])
+    plain = spark.createDataFrame(rows, "doc_id long, text string")
+    stays = jaccard.one_per_class(docs).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"], r["text"] or "") for r in stays) == sorted(
+        (r["doc_id"] is None, r["doc_id"], r["text"] or "") for r in jaccard.one_per_class(plain).collect()
+    )
+    assert all(r[c] == c for r in stays for c in names)
+    found = jaccard.near_duplicates(docs).collect()
+    assert len(found) == len(rows) and all(r[c] == c for r in found for c in names if c not in ("n_shingles", "component_id"))
