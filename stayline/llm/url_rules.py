@@ -116,6 +116,8 @@ def file_rules(rules: DataFrame, pages: DataFrame, url: str = "url") -> DataFram
     A token in no row is the rarest; a rule without tokens gets the empty one. Stored, so that
     what joins it knows its size.
     """
+    # Stored first, so that the look-up below knows how few they are and moves no URLs.
+    rules = stage(rules, "url_rules")
     asked = rules.select(F.explode("tokens").alias("token")).distinct()
     met = pages.select(F.explode(_looked_up(F.col(f"`{url}`"))).alias("token"))
     counts = met.join(asked, "token", "left_semi").groupBy("token").agg(F.count("*").alias("urls"))
@@ -126,7 +128,7 @@ def file_rules(rules: DataFrame, pages: DataFrame, url: str = "url") -> DataFram
         .agg(F.min(F.struct(F.coalesce("urls", F.lit(0)).alias("urls"), "token"))["token"].alias("token"))
     )
     filed = rules.join(rarest, ["rule", "kind"], "left").withColumn("token", F.coalesce("token", F.lit("")))
-    return stage(filed.drop("tokens"), "url_rules")
+    return stage(filed.drop("tokens"), "filed_url_rules")
 
 
 def judge(pages: DataFrame, rules: DataFrame, url: str = "url", keep: Sequence[str] | None = None) -> DataFrame:
