@@ -9,6 +9,7 @@ pointers from the end gives the ids that merging in rank order would give.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import unicodedata
@@ -243,11 +244,18 @@ def _mapped(df: DataFrame, source: str, target: str, kind: str, tokenizer: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = getattr(codec(spec.value), method)
         empty = "" if method == "encode" else b""
-        for batch in pieces(batches, source):
-            done = [one(x or empty) for x in batch.column(source).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array(done, arrow)], [*kept, target]
-            )
+        try:
+            for batch in pieces(batches, source):
+                done = [one(x or empty) for x in batch.column(source).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c) for c in kept), pa.array(done, arrow)], [*kept, target]
+                )
+        finally:
+            # Workers live on: what they hold here would lie below all that later stages need.
+            del one
+            _codecs.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
 
     columns = list(dict.fromkeys([*kept, source]))
     return df.select(*[f"`{c}`" for c in columns]).mapInArrow(run, schema)
