@@ -21,7 +21,16 @@ may lack and SHARED more; two linked documents then share SHARED regions, and
 pairs that share fewer are not compared. Shingles that are frequent in the sample
 come last in the order.
 
-Both levels end in exact set intersections, so every link is found whichever
+A region of {s} with more than CROWDED documents is parted further: a few of its
+members become document pivots, as on level one, and all members are measured
+against them. A ball leaves the region, its window is compared with it, and the
+rest is parted again. Removal is a matter of one region, so a pair that still
+shares a region afterwards has lost none of those that it shares. So a group of
+near copies that the sample missed makes a row per member and region, not its pairs.
+What is still crowded after the last step shares single shingles only, not balls,
+and is paired as it is.
+
+All levels end in exact set intersections, so every link is found whichever
 documents are sampled.
 """
 
@@ -51,6 +60,9 @@ FREQUENT = 3
 SHARED = 5
 #: Sets that one verification task compares.
 BLOCK = 1024
+#: Sets from which a region of one shingle is parted, and pivots per region in each step.
+CROWDED = 32
+STEPS = (1, 4, 16)
 _LAST = (1 << 63) - 1
 
 
@@ -353,13 +365,56 @@ def _front_rows(docs: DataFrame, pivots, k: int, percent: int, buckets: int) ->
     )
 
 
-def _pairs_in_regions(percent: int):
+def _region_pairs(shingle: np.ndarray, node: np.ndarray, size: np.ndarray, rest: np.ndarray, percent: int):
     """Pairs that may be similar, with the number of regions they share here and have to share in all.
 
-    In the j-th region that two sets share, the shingles from there on bound their
-    intersection but for the j - 1 before. So each of the first SHARED regions of a
-    similar pair passes the test with SHARED - 1 more; others need not be counted.
+    The entries are sorted by shingle. In the j-th region that two sets share, the
+    shingles from there on bound their intersection but for the j - 1 before. So each
+    of the first SHARED regions of a similar pair passes the test with SHARED - 1
+    more; others need not be counted.
     """
+    _, starts, counts = np.unique(shingle, return_index=True, return_counts=True)
+    last = np.repeat(starts + counts, counts)
+    names, row = np.unique(node, return_inverse=True)
+    sizes = np.zeros(len(names), np.int64)
+    sizes[row] = size
+    width = max(1, len(names))
+    keys, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    found: list[np.ndarray] = []
+
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        more, n = np.unique(np.concatenate([np.zeros(0, np.int64), *found]), return_counts=True)
+        every, at = np.unique(np.concatenate([keys, more]), return_inverse=True)
+        return every, np.bincount(at, np.concatenate([times, n]), len(every)).astype(np.int64)
+
+    step, at = 1, np.arange(len(node))
+    # All pairs of neighbours 1, 2, 3, ... places apart in a region.
+    while True:
+        at = at[at + step < last[at]]
+        if not len(at):
+            break
+        a, b = size[at], size[at + step]
+        most = np.minimum(np.minimum(rest[at], rest[at + step]) + SHARED - 1, np.minimum(a, b))
+        good = at[_similar(most, a, b, percent)]
+        found.append(row[good] * width + row[good + step])
+        if sum(map(len, found)) > 4_000_000:
+            (keys, times), found = merged(), []
+        step += 1
+    keys, times = merged()
+    x, y = np.divmod(keys, width)
+    wanted = np.minimum(SHARED, needed(np.maximum(sizes[x], sizes[y]), percent))
+    return names[x], names[y], times, wanted
+
+
+_MET = "a long, b long, times int, wanted int"
+
+
+def _met(a: np.ndarray, b: np.ndarray, times: np.ndarray, wanted: np.ndarray) -> list[pa.Array]:
+    return [pa.array(a), pa.array(b), pa.array(times.astype(np.int32)), pa.array(wanted.astype(np.int32))]
+
+
+def _pairs_in_regions(percent: int):
+    """Pairs of the regions of a bucket; of crowded regions the entries: shingle, node, size and rest."""
 
     def run(table: pa.Table) -> pa.Table:
         blob = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
@@ -369,41 +424,44 @@ def _pairs_in_regions(percent: int):
         shingle, node, size, rest = shingle[order], node[order], size[order], rest[order]
         new = np.ones(len(node), bool)  # one entry per set, however many tasks sent it
         new[1:] = (shingle[1:] != shingle[:-1]) | (node[1:] != node[:-1])
-        shingle, node, size, rest = shingle[new], node[new], size[new], rest[new]
-        _, starts, counts = np.unique(shingle, return_index=True, return_counts=True)
-        last = np.repeat(starts + counts, counts)
-        names, row = np.unique(node, return_inverse=True)
-        sizes = np.zeros(len(names), np.int64)
-        sizes[row] = size
-        width = max(1, len(names))
-        keys, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        found: list[np.ndarray] = []
-
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            more, n = np.unique(np.concatenate([np.zeros(0, np.int64), *found]), return_counts=True)
-            every, at = np.unique(np.concatenate([keys, more]), return_inverse=True)
-            return every, np.bincount(at, np.concatenate([times, n]), len(every)).astype(np.int64)
-
-        step, at = 1, np.arange(len(node))
-        # All pairs of neighbours 1, 2, 3, ... places apart in a region.
-        while True:
-            at = at[at + step < last[at]]
-            if not len(at):
-                break
-            a, b = size[at], size[at + step]
-            most = np.minimum(np.minimum(rest[at], rest[at + step]) + SHARED - 1, np.minimum(a, b))
-            good = at[_similar(most, a, b, percent)]
-            found.append(row[good] * width + row[good + step])
-            if sum(map(len, found)) > 4_000_000:
-                (keys, times), found = merged(), []
-            step += 1
-        keys, times = merged()
-        x, y = np.divmod(keys, width)
-        wanted = np.minimum(SHARED, needed(np.maximum(sizes[x], sizes[y]), percent))
-        return pa.table(
-            [pa.array(names[x]), pa.array(names[y]), pa.array(times.astype(np.int32)), pa.array(wanted.astype(np.int32))],
-            ["a", "b", "times", "wanted"],
-        )
+        entries = [x[new] for x in (shingle, node, size, rest)]
+        _, at, counts = np.unique(entries[0], return_inverse=True, return_counts=True)
+        full = counts[at] > CROWDED
+        pairs = _met(*_region_pairs(*(x[~full] for x in entries), percent))
+        crowd = _met(entries[0][full].view(np.int64), *(x[full] for x in entries[1:]))
+        mark = np.arange(len(pairs[0]) + len(crowd[0])) >= len(pairs[0])
+        columns = [pa.concat_arrays(two) for two in zip(pairs, crowd, strict=True)]
+        return pa.table([*columns, pa.array(mark)], ["a", "b", "times", "wanted", "crowded"])
+
+    return run
+
+
+def _pairs_left(percent: int):
+    """Pairs of regions that have been parted."""
+
+    def run(table: pa.Table) -> pa.Table:
+        columns = [table.column(c).to_numpy() for c in ("shingle", "node", "size", "rest")]
+        order = np.lexsort((columns[1], columns[0]))
+        found = _region_pairs(*(c[order].astype(np.int64) for c in columns), percent)
+        return pa.table(_met(*found), ["a", "b", "times", "wanted"])
+
+    return run
+
+
+def _near_pivot(percent: int):
+    """node and pivot of the pairs in a ball (inside) or boundary window, by their exact intersection."""
+    wide = 2 * percent - 100
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column("set"), batch.column("centre"), strict=True)
+            sets = ([np.frombuffer(x.as_buffer(), U64) for x in pair] for pair in pairs)
+            sizes = np.array([(_common(x, q), len(x), len(q)) for x, q in sets], np.int64).reshape(-1, 3).T
+            near = pa.array(_similar(*sizes, wide))
+            inside = pa.array(_similar(*sizes, percent))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("pivot"), inside, inside], ["node", "pivot", "inside", "link"]
+            ).filter(near)
 
     return run
 
@@ -474,8 +532,13 @@ def _verify_windows(percent: int):
     return run
 
 
-def _window_links(docs: DataFrame, regions: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links from boundary windows into balls, between classes that no ball connects."""
+def _window_links(
+    docs: DataFrame, regions: DataFrame, k: int, percent: int, sets: DataFrame | None = None
+) -> DataFrame:
+    """Links from boundary windows into balls, between classes that no ball connects.
+
+    ``sets`` holds the sets of all nodes in ``regions``; where it is None they are read from ``docs``.
+    """
     spark = docs.sparkSession
     balls = regions.filter("link").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     label = components(balls)
@@ -511,16 +574,63 @@ def _window_links(docs: DataFrame, regions: DataFrame, k: int, percent: int) ->
         columns.withColumnsRenamed({"_mine": "_column", "_other": "_row"})
     )
     placed = stage(placed, "placed")
-    full = placed.join(_sets_of(docs, placed.select("node"), k), "node")
+    full = placed.join(_sets_of(docs, placed.select("node"), k) if sets is None else sets, "node")
     return full.groupBy("pivot", "_row", "_column").applyInArrow(_verify_windows(percent), "a long, b long")
 
 
+def _crowded_links(docs: DataFrame, entries: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links of the balls in crowded regions and of their windows, and the entries in no ball of their region."""
+    links = docs.sparkSession.createDataFrame([], "a long, b long")
+    sets = None
+    for step, pivots in enumerate(STEPS):
+        seeds = [F.min_by("node", F.xxhash64("node", F.lit(step), F.lit(i))) for i in range(pivots)]
+        chosen = (
+            entries.groupBy("shingle")
+            .agg(F.count("*").alias("_n"), F.array_distinct(F.array(*seeds)).alias("_pivots"))
+            .filter(F.col("_n") > CROWDED)
+            .select("shingle", F.explode("_pivots").alias("pivot"))
+        )
+        chosen = stage(chosen, "region_pivots")
+        if chosen.isEmpty():
+            break
+        if sets is None:
+            sets = _sets_of(docs, entries.select("node"), k).groupBy("node").agg(F.first("set").alias("set"))
+            sets = stage(sets, "crowded_sets")
+        placed = entries.join(chosen, "shingle").select("shingle", "node", "pivot")
+        centres = sets.select(F.col("node").alias("pivot"), F.col("set").alias("centre"))
+        both = placed.select("node", "pivot").distinct().join(sets, "node").join(centres, "pivot")
+        regions = both.mapInArrow(_near_pivot(percent), "node long, pivot long, inside boolean, link boolean")
+        regions = stage(regions, "crowded_regions")
+        inside = regions.filter("inside").select("node", "pivot")
+        links = stage(
+            links.unionByName(inside.select(F.col("node").alias("a"), F.col("pivot").alias("b")))
+            .unionByName(_window_links(docs, regions, k, percent, sets)),
+            "crowded_links",
+        )
+        gone = placed.join(inside, ["node", "pivot"]).select("shingle", "node").distinct()
+        entries = stage(entries.join(gone, ["shingle", "node"], "left_anti"), "crowded_entries")
+    return links, entries
+
+
 def _sparse_links(docs: DataFrame, pivots, k: int, percent: int) -> DataFrame:
-    """Links between sets that no ball holds."""
-    spark = docs.sparkSession
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Links between sets that no ball of a sampled pivot holds."""
+    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fronts = _front_rows(docs, pivots, k, percent, buckets)
-    met = fronts.groupBy("bucket").applyInArrow(_pairs_in_regions(percent), "a long, b long, times int, wanted int")
+    met = fronts.groupBy("bucket").applyInArrow(_pairs_in_regions(percent), f"{_MET}, crowded boolean")
+    met = stage(met, "met")
+    entries = met.filter("crowded").select(
+        F.col("a").alias("shingle"), F.col("b").alias("node"), F.col("times").alias("size"), F.col("wanted").alias("rest")
+    )
+    met = met.filter("not crowded").drop("crowded")
+    links, entries = _crowded_links(docs, entries, k, percent)
+    bucket = F.pmod("shingle", F.lit(buckets)).alias("bucket")
+    met = met.unionByName(entries.groupBy(bucket).applyInArrow(_pairs_left(percent), _MET))
+    return links.unionByName(_pair_links(docs, met, k, percent))
+
+
+def _pair_links(docs: DataFrame, met: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links among the pairs that share enough regions."""
+    spark = docs.sparkSession
     enough = met.groupBy("a", "b", "wanted").agg(F.sum("times").alias("times")).filter("times >= wanted")
     pairs = stage(enough.select("a", "b"), "pairs")
     if pairs.isEmpty():

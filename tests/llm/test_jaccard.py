@@ -47,6 +47,43 @@ def test_crowded_space_is_joined_through_pivots_and_windows(spark, monkeypatch):
     assert result(jaccard.near_duplicates(docs, 4, 85)) == expected(rows, 4, 85)
 
 
+@pytest.mark.parametrize("steps", [(1, 4, 16), (1,)])
+def test_crowded_regions_are_parted_without_sampled_pivots(spark, monkeypatch, steps):
+    """Chains of edits that no sampled pivot holds, and texts that share one passage only."""
+    rng = random.Random(11)
+    rows, number = [], 0
+    for group in range(3):
+        text = brute.prose(random.Random(group + 50), 120)
+        for _ in range(50):
+            rows.append((number, text))
+            number += 1
+            if rng.random() < 0.7:
+                text = brute.edited(rng, text, 2)
+    passage = brute.prose(random.Random(99), 12)
+    rows += [(number + i, f"{brute.prose(random.Random(1000 + i), 14)} {passage}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    monkeypatch.setattr(jaccard, "SAMPLE", 1)
+    monkeypatch.setattr(jaccard, "CROWDED", 4)
+    monkeypatch.setattr(jaccard, "STEPS", steps)
+    assert result(jaccard.near_duplicates(docs, 4, 85)) == expected(rows, 4, 85)
+
+
+def test_a_missed_group_makes_no_pairs(spark, monkeypatch):
+    """Candidate pairs of a group grow with its members, not with their square."""
+    monkeypatch.setattr(jaccard, "SAMPLE", 1)
+    counted = []
+    real = jaccard._pair_links
+    monkeypatch.setattr(jaccard, "_pair_links", lambda d, met, *a: counted.append(met.count()) or real(d, met, *a))
+    for copies in (100, 400):
+        text = brute.prose(random.Random(1), 200).split()
+        rows = [(i, " ".join([*text[:150], f"x{i}", *text[150:]])) for i in range(copies)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        found = jaccard.near_duplicates(docs, 5, 80)
+        assert {r["component_id"] for r in found.collect()} == {0}
+    assert counted[1] <= 5 * counted[0] + 400
+
+
 def test_pivots_report_all_sets_in_their_window():
     rng = np.random.default_rng(3)
     pool = np.sort(rng.integers(0, 1 << 63, 300).astype(np.uint64))
