@@ -1,16 +1,20 @@
-"""An interpolated modified Kneser-Ney bigram model, counted and applied in Spark.
-
-Counting: each task turns its texts into sorted arrays of (word, next word)
-hashes with counts and deals them out by the hash of the pair, so a frequent
-word is spread over all buckets. A bucket merges its arrays, writes the sorted
-pair hashes and counts as one file, and passes on per word how often it was a
-context, how many followers it had once, twice and more, and how many words it
-followed. These are summed per word bucket and written as sorted arrays too.
-
-Scoring: workers map the files and look up the sorted distinct pairs and words
-of a batch. p(w | h) = (max(c(hw) - D, 0) + g(h) p(w)) / c(h), where p(w) is made
-in the same way from the numbers of words that w follows, down to a uniform
-chance for unseen words.
+"""An interpolated modified Kneser-Ney n-gram model, counted and applied in Spark.
+
+Vocabulary: words are counted by hash and numbered in sorted files that workers map.
+
+Counting: each task turns its texts into distinct n-grams of word numbers with
+counts and deals them out by their context, or by the whole n-gram where all words
+of the context are so frequent that the context could fill a bucket. A bucket merges
+what it got, writes sorted hashes and counts as one file, and passes on, level by
+level, what the next lower order needs: of each n-gram without its first word how
+many words precede it (how often it occurs, where a text begins with it), and of
+each context how often it was used and how many followers it had once, twice and
+more. Numbers travel and lie in the narrowest unsigned type that holds them, so
+counts are exact.
+
+Scoring: workers map the files and look up the distinct n-grams of a batch.
+p(w | h) = (max(c(hw) - D, 0) + g(h) p(w | h without its first word)) / c(h), down to
+a uniform chance for unseen words.
 """
 
 from __future__ import annotations
@@ -29,19 +33,26 @@ from stayline.llm.files import Shelf, save
 from stayline.llm.words import U64, flat, mix, spans, word_hashes
 from stayline.sources.staging import checkpoint_root, stage
 
-#: Hashes of the marks before the first and after the last word (fixed values).
-BEGIN = U64(0x5BD1E9955BD1E995)
+#: Hash of the mark after the last word (fixed value); it is a word of the vocabulary.
 END = U64(0x27D4EB2F165667C5)
-#: Tokens that a task collects before it sorts and sends them.
-CHUNK = 6_000_000
-MAX_BUCKETS = 4096
-
-_PAIRS = "bucket int, heads binary, lengths binary, words binary, counts binary"
-_WORDS = (
-    "bucket int, words binary, used binary, once binary, twice binary, more binary, follows binary, "
-    "path string, size long, tally array<long>"
+#: Numbers of the mark before the first word, of words that training lacks, and of the first word.
+BEGIN, UNSEEN, FIRST = 0, 1, 2
+#: Tokens that a task collects before it sorts and sends them, and tokens per bucket.
+CHUNK = 3_000_000
+PER_BUCKET = 4_000_000
+
+_KINDS = "bucket int, words binary, counts binary, path string, size long, width int, total long"
+_STATISTICS = ("used", "once", "twice", "more")
+_GRAMS = pa.schema(
+    [("bucket", pa.int32())]
+    + [(c, pa.binary()) for c in ("grams", "counts", "contexts", *_STATISTICS)]
+    + [("level", pa.int32()), ("path", pa.string()), ("size", pa.int64())]
+    + [("widths", pa.list_(pa.int32())), ("tally", pa.list_(pa.int64()))]
+)
+_GRAM_ROWS = (
+    "bucket int, grams binary, counts binary, contexts binary, used binary, once binary, twice binary, more binary, "
+    "level int, path string, size long, widths array<int>, tally array<long>"
 )
-_FILES = "kind string, bucket int, path string, size long, tally array<long>"
 
 
 def in_training(doc_id: Column) -> Column:
@@ -49,27 +60,39 @@ def in_training(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 7 != 2
 
 
-def _tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Token hashes of all texts, each text ending in END; the token before each; first token of each text."""
+def narrow(x: np.ndarray) -> np.ndarray:
+    """Whole numbers from 0 on in the narrowest unsigned type that holds them all."""
+    most = int(x.max()) if len(x) else 0
+    return x.astype(next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if most <= np.iinfo(k).max))
+
+
+def _pack(x: np.ndarray) -> bytes:
+    x = narrow(x)
+    return bytes([x.itemsize]) + x.tobytes()
+
+
+def _unpack(table: pa.Table, name: str, rows: int = 1) -> np.ndarray:
+    """All packed numbers of a column, each value a matrix of ``rows`` rows."""
+    parts = [
+        np.frombuffer(x, f"u{x[0]}", offset=1).astype(np.int64).reshape(rows, -1)
+        for x in table.column(name).to_pylist()
+        if x is not None
+    ]
+    return np.concatenate([np.zeros((rows, 0), np.int64), *parts], axis=1)
+
+
+def _tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Token hashes of all texts, each text ending in END; first token of each text."""
     data, offs = flat(batch.column("text"))
     starts, ends, cuts = spans(data, offs)
     n = len(offs) - 1
     at = np.arange(n)
     tokens = np.empty(len(starts) + n, U64)
-    ends_at = cuts[1:] + at
     is_end = np.zeros(len(tokens), bool)
-    is_end[ends_at] = True
+    is_end[cuts[1:] + at] = True
     tokens[is_end] = END
     tokens[~is_end] = word_hashes(data, starts, ends, lower=True)
-    heads = cuts[:-1] + at
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[heads] = BEGIN
-    return tokens, before, heads
-
-
-def pair_hashes(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    return mix(before * U64(0x9FB21C651E98DF25) + tokens)
+    return tokens, cuts[:-1] + at
 
 
 def _by_bucket(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -78,134 +101,201 @@ def _by_bucket(keys: np.ndarray, bits: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
 
-def _sorted_pairs(before: np.ndarray, tokens: np.ndarray, counts: np.ndarray | None = None):
-    """Distinct pairs by hash: hashes, heads, words, counts."""
-    keys = pair_hashes(before, tokens)
-    order = np.argsort(keys)
+def _summed(keys: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Distinct keys, a place of each, and the sums of the columns."""
+    order = np.argsort(keys, kind="stable")
     keys = keys[order]
     new = np.ones(len(keys), bool)
     new[1:] = keys[1:] != keys[:-1]
     at = np.flatnonzero(new)
-    if counts is None:
-        total = np.diff(np.append(at, len(keys)))
-    else:
-        total = np.add.reduceat(counts[order], at) if len(at) else counts[:0]
-    first = order[at]
-    return keys[at], before[first], tokens[first], total.astype(np.uint64)
+    return keys[at], order[at], [np.add.reduceat(c[order], at) if len(at) else c[:0] for c in columns]
+
+
+@dataclass
+class Words:
+    """The vocabulary: per bucket a file of sorted hashes and counts."""
+
+    bits: int
+    files: dict[int, tuple[str, int, int]]  # bucket -> file, words, width of a count
+    tokens: int
+
+    def __post_init__(self) -> None:
+        self.first, self.kinds = {}, 0
+        for bucket in sorted(self.files):
+            self.first[bucket] = FIRST + self.kinds
+            self.kinds += self.files[bucket][1]
+
+    def find(self, tokens: np.ndarray, shelf: Shelf) -> tuple[np.ndarray, np.ndarray]:
+        """Number and count of each token; UNSEEN and 0 for those that training lacks."""
+        keys, back = np.unique(tokens, return_inverse=True)
+        number, count = np.full(len(keys), UNSEEN, np.int64), np.zeros(len(keys), np.int64)
+        cuts = _by_bucket(keys, self.bits)
+        for bucket, (path, n, width) in self.files.items():
+            a, b = cuts[bucket], cuts[bucket + 1]
+            if a == b:
+                continue
+            raw = shelf.get(path)
+            stored = raw[: 8 * n].view(U64)
+            at = np.searchsorted(stored, keys[a:b])
+            hit = np.flatnonzero(stored[np.minimum(at, n - 1)] == keys[a:b])
+            number[a + hit] = self.first[bucket] + at[hit]
+            count[a + hit] = raw[8 * n : (8 + width) * n].view(f"u{width}")[at[hit]]
+        return number[back], count[back]
 
 
-def _pair_rows(bits: int):
+def _word_rows(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def send(parts: list) -> Iterator[pa.RecordBatch]:
-            before = np.concatenate([p[0] for p in parts])
-            tokens = np.concatenate([p[1] for p in parts])
-            keys, heads, words, counts = _sorted_pairs(before, tokens)
-            cuts = _by_bucket(keys, bits)
-            for bucket in range(1 << bits):
-                a, b = cuts[bucket], cuts[bucket + 1]
-                if a == b:
-                    continue
-                order = np.argsort(heads[a:b], kind="stable")
-                kinds, lengths = np.unique(heads[a:b], return_counts=True)
-                blobs = (kinds, lengths.astype(np.uint32), words[a:b][order], counts[a:b][order].astype(np.uint32))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([bucket], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in blobs)],
-                    ["bucket", "heads", "lengths", "words", "counts"],
-                )
-
-        parts, size = [], 0
+            kinds, _, (counts,) = _summed(*(np.concatenate(c) for c in zip(*parts, strict=True)))
+            cuts = _by_bucket(kinds, bits)
+            for b in np.flatnonzero(np.diff(cuts)).tolist():
+                at = slice(cuts[b], cuts[b + 1])
+                row = {"bucket": b, "words": kinds[at].tobytes(), "counts": _pack(counts[at])}
+                yield pa.RecordBatch.from_pylist([row], _KINDS_ARROW)
+
+        parts, held = [], 0
         for batch in pieces(batches, "text"):
-            tokens, before, _ = _tokens(batch)
-            parts.append((before, tokens))
-            size += len(tokens)
-            if size >= CHUNK:
+            parts.append(np.unique(_tokens(batch)[0], return_counts=True))
+            held += len(parts[-1][0])
+            if held >= CHUNK:
                 yield from send(parts)
-                parts, size = [], 0
+                parts, held = [], 0
         if parts:
             yield from send(parts)
 
     return run
 
 
-def _joined(table: pa.Table, name: str, kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(x for x in table.column(name).to_pylist() if x is not None), kind)
+_KINDS_ARROW = pa.schema(
+    [("bucket", pa.int32()), ("words", pa.binary()), ("counts", pa.binary()), ("path", pa.string()),
+     ("size", pa.int64()), ("width", pa.int32()), ("total", pa.int64())]
+)
 
 
-def _tally(counts: np.ndarray) -> list[int]:
-    """How many are 1, 2, 3 and 4."""
-    return [int((counts == i).sum()) for i in range(1, 5)]
+def _merge_words(folder: str):
+    def run(table: pa.Table) -> pa.Table:
+        words = np.frombuffer(b"".join(table.column("words").to_pylist()), U64)
+        kinds, _, (counts,) = _summed(words, _unpack(table, "counts")[0])
+        stored = narrow(counts)
+        row = {"bucket": table.column("bucket")[0].as_py(), "path": save(folder, [kinds, stored])}
+        row |= {"size": len(kinds), "width": stored.itemsize, "total": int(counts.sum())}
+        return pa.Table.from_pylist([row], _KINDS_ARROW)
 
+    return run
 
-_WORDS_ARROW = pa.schema(
-    [("bucket", pa.int32())]
-    + [(n, pa.binary()) for n in ("words", "used", "once", "twice", "more", "follows")]
-    + [("path", pa.string()), ("size", pa.int64()), ("tally", pa.list_(pa.int64()))]
-)
-_FILES_ARROW = pa.schema(
-    [("kind", pa.string()), ("bucket", pa.int32()), ("path", pa.string()), ("size", pa.int64()),
-     ("tally", pa.list_(pa.int64()))]
-)
 
+def _vocabulary(docs: DataFrame, folder: str, bits: int) -> Words:
+    rows = docs.select("text").mapInArrow(_word_rows(bits), _KINDS)
+    files = rows.groupBy("bucket").applyInArrow(_merge_words(folder), _KINDS)
+    found = stage(files, "word_files").collect()  # one row per bucket
+    return Words(bits, {r["bucket"]: (r["path"], r["size"], r["width"]) for r in found}, sum(r["total"] for r in found))
 
-def _merge_pairs(folder: str, bits: int):
-    """One bucket: its file, and what it knows of each word, dealt out by word."""
 
-    def run(table: pa.Table) -> pa.Table:
-        bucket = table.column("bucket")[0].as_py()
-        heads = np.repeat(_joined(table, "heads", U64), _joined(table, "lengths", np.uint32))
-        counts = _joined(table, "counts", np.uint32).astype(np.uint64)
-        keys, heads, words, counts = _sorted_pairs(heads, _joined(table, "words", U64), counts)
-        path = save(folder, [keys, counts.astype(np.float32)])
-        kinds = np.union1d(heads, words)
-        h, n = np.searchsorted(kinds, heads), len(kinds)
-        found = {
-            "used": np.bincount(h, counts, n),
-            "once": np.bincount(h[counts == 1], minlength=n),
-            "twice": np.bincount(h[counts == 2], minlength=n),
-            "more": np.bincount(h[counts > 2], minlength=n),
-            "follows": np.bincount(np.searchsorted(kinds, words), minlength=n),
-        }
-        cuts = _by_bucket(kinds, bits)
-        rows = [{"bucket": bucket, "path": path, "size": len(keys), "tally": _tally(counts)}]
-        for b in range(1 << bits):
-            x = slice(cuts[b], cuts[b + 1])
-            if cuts[b] < cuts[b + 1]:
-                rows.append(
-                    {"bucket": b, "words": kinds[x].tobytes()}
-                    | {k: v[x].astype(np.uint64).tobytes() for k, v in found.items()}
-                )
-        return pa.Table.from_pylist(rows, _WORDS_ARROW)
+def gram_hashes(grams: np.ndarray) -> np.ndarray:
+    """Hash of each column of a matrix of word numbers."""
+    out = np.zeros(grams.shape[1], U64)
+    for row in grams:
+        out = mix((out + row.astype(U64)) * U64(0x9FB21C651E98DF25) + U64(0x632BE59BD9B4E019))
+    return out
+
+
+def _grams(numbers: np.ndarray, counts: np.ndarray, heads: np.ndarray, order: int, begins: int):
+    """The n-gram that ends at each token as a column of numbers, and the least count of its context's words."""
+    place = np.arange(len(numbers)) - np.repeat(heads, np.diff(np.append(heads, len(numbers))))
+    rows, least = [numbers], np.full(len(numbers), np.iinfo(np.int64).max)
+    for back in range(1, order):
+        inside = np.flatnonzero(place >= back)
+        before, count = np.full(len(numbers), BEGIN, np.int64), np.full(len(numbers), begins)
+        before[inside], count[inside] = numbers[inside - back], counts[inside - back]
+        rows.append(before)
+        least = np.minimum(least, count)
+    return np.stack(rows[::-1]), least
+
+
+def _dealt(grams: np.ndarray, least: np.ndarray, limit: int) -> np.ndarray:
+    """What decides the bucket of each n-gram of the highest order."""
+    if len(grams) == 1:
+        return gram_hashes(grams)
+    return np.where(least > limit, gram_hashes(grams), gram_hashes(grams[:-1]))
+
+
+def _gram_rows(shared, order: int, bits: int, limit: int, begins: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shelf = Shelf()
+
+        def send(parts: list) -> Iterator[pa.RecordBatch]:
+            grams = np.concatenate([p[0] for p in parts], axis=1)
+            least = np.concatenate([p[1] for p in parts])
+            _, at, (counts,) = _summed(gram_hashes(grams), np.ones(len(least), np.int64))
+            grams, least = grams[:, at], least[at]
+            bucket = (_dealt(grams, least, limit) >> U64(64 - bits)).astype(np.int64)
+            # In the order of the words, equal numbers lie together and compress.
+            at = np.lexsort((*grams[::-1], bucket))
+            edges = np.searchsorted(bucket[at], np.arange((1 << bits) + 1))
+            for b in np.flatnonzero(np.diff(edges)).tolist():
+                mine = at[edges[b] : edges[b + 1]]
+                row = {"bucket": b, "grams": _pack(grams[:, mine].ravel()), "counts": _pack(counts[mine])}
+                yield pa.RecordBatch.from_pylist([row], _GRAMS)
+
+        parts, held = [], 0
+        for batch in pieces(batches, "text"):
+            tokens, heads = _tokens(batch)
+            parts.append(_grams(*shared.value.find(tokens, shelf), heads, order, begins))
+            held += len(tokens)
+            if held >= CHUNK:
+                yield from send(parts)
+                parts, held = [], 0
+        if parts:
+            yield from send(parts)
 
     return run
 
 
-def _merge_words(folder: str):
-    """One word bucket: its file and its share of the totals; rows about pair files pass through."""
+def _merge(level: int, folder: str, bits: int):
+    """One bucket of n-grams with ``level`` words: its file, and what the level below needs."""
 
     def run(table: pa.Table) -> pa.Table:
-        rows = [
-            {"kind": "pairs", "bucket": x["bucket"], "path": x["path"], "size": x["size"], "tally": x["tally"]}
-            for x in table.select(["bucket", "path", "size", "tally"]).to_pylist()
-            if x["path"] is not None
-        ]
-        words = _joined(table, "words", U64)
-        if len(words):
-            kinds, at = np.unique(words, return_inverse=True)
-            sums = {
-                k: np.bincount(at, _joined(table, k, np.uint64).astype(np.float64), len(kinds))
-                for k in ("used", "once", "twice", "more", "follows")
-            }
-            # Every token but END is the context of the next one; texts begin and end equally often.
-            seen = np.where(kinds == BEGIN, 0, sums["used"])
-            ends = float(sums["used"][kinds == BEGIN].sum())
-            small = [sums[k].astype(np.float32) for k in ("once", "twice", "more", "follows")]
-            path = save(folder, [kinds, sums["used"], *small])
-            follows = sums["follows"]
-            tally = [int(seen.sum()), int((seen > 0).sum()), int(ends), int(follows.sum()), *_tally(follows), int((follows > 2).sum())]
-            rows.append(
-                {"kind": "words", "bucket": table.column("bucket")[0].as_py(), "path": path, "size": len(kinds), "tally": tally}
+        bucket = table.column("bucket")[0].as_py()
+        done = table.select(["bucket", "level", "path", "size", "widths", "tally"]).to_pylist()
+        rows = [x for x in done if x["path"] is not None]  # files of the levels above stay with their bucket
+        grams, counts = _unpack(table, "grams", level), _unpack(table, "counts")[0]
+        contexts = _unpack(table, "contexts")[0].view(U64)
+        known, _, statistics = _summed(contexts, *(_unpack(table, c)[0] for c in _STATISTICS))
+        keys, at, (counts,) = _summed(gram_hashes(grams), counts)
+        grams = grams[:, at]
+        every = np.union1d(keys, known)
+        if not len(every):
+            return pa.Table.from_pylist(rows, _GRAMS)
+        columns = [(keys, counts), *((known, x) for x in statistics if len(known))]
+        stored = []
+        for where, values in columns:
+            full = np.zeros(len(every), np.int64)
+            full[np.searchsorted(every, where)] = values
+            stored.append(narrow(full))
+        tally = [int((counts == i).sum()) for i in range(1, 5)] + [int((counts > 2).sum()), int(counts.sum())]
+        rows.append(
+            {"bucket": bucket, "level": level, "path": save(folder, [every, *stored]), "size": len(every),
+             "widths": [x.itemsize for x in stored], "tally": tally}
+        )
+        if level > 1:
+            weight = np.where(grams[1] == BEGIN, counts, 1)
+            lower, at, (weight,) = _summed(gram_hashes(grams[1:]), weight)
+            tails = grams[1:, at]
+            heads, _, sums = _summed(
+                gram_hashes(grams[:-1]), counts, *(x.astype(np.int64) for x in (counts == 1, counts == 2, counts > 2))
             )
-        return pa.Table.from_pylist(rows, _FILES_ARROW)
+            a, b = _by_bucket(lower, bits), _by_bucket(heads, bits)
+            for i in range(1 << bits):
+                x, y = slice(a[i], a[i + 1]), slice(b[i], b[i + 1])
+                row = {}
+                if a[i] < a[i + 1]:
+                    row |= {"grams": _pack(tails[:, x].ravel()), "counts": _pack(weight[x])}
+                if b[i] < b[i + 1]:
+                    row |= {"contexts": _pack(heads[y].view(U64))}
+                    row |= {c: _pack(v[y]) for c, v in zip(_STATISTICS, sums, strict=True)}
+                if row:
+                    rows.append({"bucket": i, **row})
+        return pa.Table.from_pylist(rows, _GRAMS)
 
     return run
 
@@ -213,57 +303,61 @@ def _merge_words(folder: str):
 def discounts(tally: list[int]) -> np.ndarray:
     """Discounts for counts 0, 1, 2, 3 and more from the numbers of counts 1 to 4.
 
-    Where a number is 0 the formula has no value and half, one and one and a half are taken.
+    Where the formula has no value (a number is 0), or one that is not above 0 and at
+    most the count, half, one and one and a half are taken: with a discount of 0 an
+    unseen follower would have no chance.
     """
     n1, n2, n3, n4 = tally
     out = np.array([0, 0.5, 1.0, 1.5])
     if n1 and n2:
         y = n1 / (n1 + 2 * n2)
-        out[1] = 1 - 2 * y * n2 / n1
-        out[2] = 2 - 3 * y * n3 / n2
-        if n3:
-            out[3] = 3 - 4 * y * n4 / n3
-    return np.clip(out, 0, [0, 1, 2, 3])
+        found = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3 if n3 else 0]
+        for count, d in enumerate(found, 1):
+            if 0 < d <= count:
+                out[count] = d
+    return out
 
 
 @dataclass
 class Model:
+    order: int
     bits: int
-    pairs: dict[int, tuple[str, int]]  # bucket -> file, entries
-    words: dict[int, tuple[str, int]]
-    tokens: int
-    kinds: int
-    ends: int
-    follows: int
-    pair_discounts: np.ndarray
-    word_discounts: np.ndarray
-    word_rest: float  # weight of the uniform chance
+    limit: int  # count above which all words of a context are frequent
+    begins: int  # training texts
+    words: Words
+    files: dict[int, dict[int, tuple[str, int, list[int]]]]  # level -> bucket -> file, entries, widths
+    tallies: dict[int, list[int]]
 
+    def discounts(self, level: int) -> np.ndarray:
+        return discounts(self.tallies[level][:4])
 
-def train(docs: DataFrame, folder: str | None = None) -> Model:
-    """Count all words of ``text`` in ``docs`` (null: empty) and write the model's files.
 
-    There are about as many buckets as shuffle partitions, so they grow with
-    the session's setting for the data.
+def train(docs: DataFrame, folder: str | None = None, order: int = 3) -> Model:
+    """Count all n-grams of up to ``order`` words of ``text`` in ``docs`` (null: empty), 2 or more; write the files.
+
+    Buckets grow with the tokens and with the session's shuffle partitions. Before
+    a text stand order - 1 marks; an n-gram that begins with a mark keeps its count
+    on all levels, as nothing else can precede it.
     """
+    if order < 2:
+        raise ValueError("order must be 2 or more")
     spark = docs.sparkSession
     small_batches(spark)
     folder = folder or f"{checkpoint_root(spark).rstrip('/')}/ngrams-{uuid.uuid4().hex[:12]}"
-    wanted = min(MAX_BUCKETS, max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    bits = max(1, (wanted - 1).bit_length())
-    pairs = docs.select("text").mapInArrow(_pair_rows(bits), _PAIRS)
-    words = pairs.groupBy("bucket").applyInArrow(_merge_pairs(folder, bits), _WORDS)
-    files = words.groupBy("bucket").applyInArrow(_merge_words(folder), _FILES)
-    found = stage(files, "ngram_files").collect()  # two rows per bucket
-    tally = lambda kind, n: np.sum([[0] * n, *(x["tally"] for x in found if x["kind"] == kind)], axis=0).tolist()
-    place = lambda kind: {x["bucket"]: (x["path"], x["size"]) for x in found if x["kind"] == kind}
-    tokens, kinds, ends, follows, *n1234, more = tally("words", 9)
-    d = discounts(n1234)
-    rest = d[1] * n1234[0] + d[2] * n1234[1] + d[3] * more
-    return Model(
-        bits, place("pairs"), place("words"), tokens + ends, kinds + (ends > 0), ends, follows,
-        discounts(tally("pairs", 4)), d, float(rest),
-    )
+    least = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    words = _vocabulary(docs, folder, (least - 1).bit_length())
+    begins = int(words.find(np.array([END]), Shelf())[1][0])
+    bits = (max(least, words.tokens // PER_BUCKET) - 1).bit_length()
+    limit = words.tokens >> (bits + 2)
+    shared = spark.sparkContext.broadcast(words)  # a path per bucket
+    rows = docs.select("text").mapInArrow(_gram_rows(shared, order, bits, limit, begins), _GRAM_ROWS)
+    for level in range(order, 0, -1):
+        rows = rows.groupBy("bucket").applyInArrow(_merge(level, folder, bits), _GRAM_ROWS)
+    files, tallies = {k: {} for k in range(1, order + 1)}, {k: [0] * 6 for k in range(1, order + 1)}
+    for r in stage(rows, "ngram_files").collect():  # a row per level and bucket
+        files[r["level"]][r["bucket"]] = (r["path"], r["size"], r["widths"])
+        tallies[r["level"]] = [x + y for x, y in zip(tallies[r["level"]], r["tally"], strict=True)]
+    return Model(order, bits, limit, begins, words, files, tallies)
 
 
 class Scorer:
@@ -272,51 +366,55 @@ class Scorer:
     def __init__(self, model: Model):
         self.model, self.shelf = model, Shelf()
 
-    def _find(self, places: dict, keys: np.ndarray, columns: list[type]) -> list[np.ndarray]:
-        """The columns stored for sorted distinct ``keys``; 0 where a key is not stored."""
+    def _find(self, level: int, keys: np.ndarray, dealt: np.ndarray, columns: list[int]) -> list[np.ndarray]:
+        """Stored columns of n-grams with ``level`` words; 0 where one is not stored."""
+        keys, first, back = np.unique(keys, return_index=True, return_inverse=True)
+        bucket = (dealt[first] >> U64(64 - self.model.bits)).astype(np.int64)
         out = [np.zeros(len(keys), np.float64) for _ in columns]
-        cuts = _by_bucket(keys, self.model.bits)
-        for bucket, (path, n) in places.items():
-            a, b = cuts[bucket], cuts[bucket + 1]
-            if a == b:
+        order = np.argsort(bucket, kind="stable")
+        edges = np.searchsorted(bucket[order], np.arange((1 << self.model.bits) + 1))
+        for b, (path, n, widths) in self.model.files[level].items():
+            mine = order[edges[b] : edges[b + 1]]
+            if not len(mine):
                 continue
             raw = self.shelf.get(path)
             stored = raw[: 8 * n].view(U64)
-            at = np.searchsorted(stored, keys[a:b])
-            hit = np.flatnonzero(stored[np.minimum(at, n - 1)] == keys[a:b])
-            begin = 8 * n
-            for column, kind in zip(out, columns, strict=True):
-                width = np.dtype(kind).itemsize
-                column[a + hit] = raw[begin : begin + width * n].view(kind)[at[hit]]
-                begin += width * n
-        return out
-
-    def score(self, tokens: np.ndarray, before: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, ...]:
+            at = np.searchsorted(stored, keys[mine])
+            hit = np.flatnonzero(stored[np.minimum(at, n - 1)] == keys[mine])
+            begin = 8 * n + n * np.concatenate([[0], np.cumsum(widths)])
+            for values, c in zip(out, columns, strict=True):
+                if c < len(widths):
+                    values[mine[hit]] = raw[begin[c] : begin[c + 1]].view(f"u{widths[c]}")[at[hit]]
+        return [x[back] for x in out]
+
+    def chances(self, grams: np.ndarray, least: np.ndarray) -> np.ndarray:
+        """Chance of the last word of each column of ``grams`` after those before it."""
+        m = self.model
+        own = gram_hashes(grams[-1:])
+        (count,) = self._find(1, own, own, [0])
+        d, (n1, n2, _, _, more, total) = m.discounts(1), m.tallies[1]
+        p = np.full(len(own), 1 / (m.words.kinds + 1))
+        if total:
+            spare = d[1] * n1 + d[2] * n2 + d[3] * more
+            p = (np.maximum(count - d[np.minimum(count, 3).astype(int)], 0) + spare * p) / total
+        for level in range(2, m.order + 1):
+            gram, context = grams[-level:], gram_hashes(grams[-level:-1])
+            own, d = gram_hashes(gram), m.discounts(level)
+            (count,) = self._find(level, own, _dealt(gram, least, m.limit) if level == m.order else own, [0])
+            used, once, twice, more = self._find(level - 1, context, context, [1, 2, 3, 4])
+            held = np.maximum(count - d[np.minimum(count, 3).astype(int)], 0)
+            spare = d[1] * once + d[2] * twice + d[3] * more
+            p = np.where(used > 0, (held + spare * p) / np.maximum(used, 1), p)
+        return p
+
+    def score(self, tokens: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, ...]:
         """Known tokens, base score and log10 probability of each text."""
         m = self.model
-        kinds, at = np.unique(np.concatenate([tokens, before]), return_inverse=True)
-        w, h = at[: len(tokens)], at[len(tokens) :]
-        used, once, twice, more, follows = self._find(
-            m.words, kinds, [np.float64, np.float32, np.float32, np.float32, np.float32]
-        )
-        seen = np.where(kinds == BEGIN, 0, used)
-        seen[kinds == END] = m.ends
-        uniform = 1 / (m.kinds + 1)
-        d = m.word_discounts
-        if m.follows:
-            low = (np.maximum(follows - d[np.minimum(follows, 3).astype(int)], 0) + m.word_rest * uniform) / m.follows
-        else:
-            low = np.full(len(kinds), uniform)
-        d = m.pair_discounts
-        rest = d[1] * once + d[2] * twice + d[3] * more
-        pairs, pair_at = np.unique(pair_hashes(before, tokens), return_inverse=True)
-        (count,) = self._find(m.pairs, pairs, [np.float32])
-        own = np.maximum(count - d[np.minimum(count, 3).astype(int)], 0)[pair_at]
-        context = used[h]
-        p = np.where(context > 0, (own + rest[h] * low[w]) / np.maximum(context, 1), low[w])
-        base = np.log10((seen[w] + 1) / (m.tokens + (m.kinds + 1)))
+        numbers, counts = m.words.find(tokens, self.shelf)
+        base = np.log10((counts + 1) / (m.words.tokens + (m.words.kinds + 1)))
+        p = self.chances(*_grams(numbers, counts, heads, m.order, m.begins))
         return (
-            np.add.reduceat((seen[w] > 0).astype(np.int64), heads),
+            np.add.reduceat((counts > 0).astype(np.int64), heads),
             np.add.reduceat(base, heads),
             np.add.reduceat(np.log10(p), heads),
         )
@@ -331,17 +429,17 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(model)  # a path per bucket: at most 2 * MAX_BUCKETS
+    shared = spark.sparkContext.broadcast(model)  # a path per level and bucket
     fields = [docs.schema[c] for c in keep]
     added = ["n_tokens long", "n_known long", "base_score double", "score double"]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        for batch in pieces(batches, "text", 16 << 20):
-            tokens, before, heads = _tokens(batch)
+        for batch in pieces(batches, "text", 12 << 20):
+            tokens, heads = _tokens(batch)
             n = np.diff(np.append(heads, len(tokens)))
-            found = scorer.score(tokens, before, heads)
+            found = scorer.score(tokens, heads)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in keep), pa.array(n), *map(pa.array, found)],
                 [*keep, *(x.split()[0] for x in added)],

@@ -144,7 +144,7 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~training).alias("held_out"),
         "n_tokens",
         "n_known",
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        F.lit(model.words.tokens).cast("long").alias("train_tokens"),
         "base_score",
         "score",
     )

@@ -92,45 +92,51 @@ def quality(text: str | None) -> tuple:
     )
 
 
-def kneser_ney(train: list[str | None], texts: list[str | None]) -> tuple[int, list[tuple]]:
+def kneser_ney(train: list[str | None], texts: list[str | None], order: int = 3) -> tuple[int, list[tuple]]:
     """Training tokens, and (tokens, known, base score, score) of each text."""
+    begin = "<begin>"
     tokens = lambda t: [*words(lower(t)), None]
+    grams = lambda x, n: list(zip(*([*[begin] * (n - 1), *x][i:] for i in range(n)), strict=False))
     learned = [tokens(t) for t in train]
     one = Counter(w for x in learned for w in x)
     total, kinds = sum(one.values()), len(one)
-    pairs = Counter(p for x in learned for p in zip(["<begin>", *x], x, strict=False))
+    counts = {order: Counter(g for x in learned for g in grams(x, order))}
+    for n in range(order - 1, 0, -1):
+        counts[n] = Counter()
+        for g, c in counts[n + 1].items():
+            counts[n][g[1:]] += c if g[1] == begin else 1
 
     def discounts(counts) -> list[float]:
         n = [sum(1 for c in counts if c == i) for i in range(5)]
         d = [0, 0.5, 1.0, 1.5]
-        if n[1] and n[2]:
-            y = n[1] / (n[1] + 2 * n[2])
-            d[1], d[2] = 1 - 2 * y * n[2] / n[1], 2 - 3 * y * n[3] / n[2]
-            if n[3]:
-                d[3] = 3 - 4 * y * n[4] / n[3]
-        return [min(max(x, 0), i) for i, x in enumerate(d)]
-
-    follows = Counter(w for _, w in pairs)
-    high, low = discounts(pairs.values()), discounts(follows.values())
-    context, rest = Counter(), defaultdict(float)
-    for (h, _), c in pairs.items():
-        context[h] += c
-        rest[h] += high[min(c, 3)]
-    spare = sum(low[min(c, 3)] for c in follows.values())
-
-    def chance(w) -> float:
-        if not pairs:
+        for i in (1, 2, 3):
+            if n[1] and n[2] and n[i]:
+                x = i - (i + 1) * n[1] / (n[1] + 2 * n[2]) * n[i + 1] / n[i]
+                d[i] = x if 0 < x <= i else d[i]
+        return d
+
+    cut = {n: discounts(counts[n].values()) for n in counts}
+    used, spare = Counter(), defaultdict(float)
+    for n in counts:
+        for g, c in counts[n].items():
+            used[n, g[:-1]] += c
+            spare[n, g[:-1]] += cut[n][min(c, 3)]
+
+    def chance(g: tuple) -> float:
+        n = len(g)
+        if not n:
             return 1 / (kinds + 1)
-        return (max(follows[w] - low[min(follows[w], 3)], 0) + spare / (kinds + 1)) / len(pairs)
+        low = chance(g[1:])
+        if not used[n, g[:-1]]:
+            return low
+        c = counts[n][g]
+        return (max(c - cut[n][min(c, 3)], 0) + spare[n, g[:-1]] * low) / used[n, g[:-1]]
 
     out = []
     for t in texts:
-        x, base, score = tokens(t), 0.0, 0.0
-        for h, w in zip(["<begin>", *x], x, strict=False):
-            base += math.log10((one[w] + 1) / (total + kinds + 1))
-            c = pairs[h, w]
-            p = (max(c - high[min(c, 3)], 0) + rest[h] * chance(w)) / context[h] if context[h] else chance(w)
-            score += math.log10(p)
+        x = tokens(t)
+        base = sum(math.log10((one[w] + 1) / (total + kinds + 1)) for w in x)
+        score = sum(math.log10(chance(g)) for g in grams(x, order))
         out.append((len(x), sum(one[w] > 0 for w in x), base, score))
     return total, out
 
