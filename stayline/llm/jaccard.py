@@ -27,8 +27,8 @@ against them. A ball leaves the region, its window is compared with it, and the
 rest is parted again. Removal is a matter of one region, so a pair that still
 shares a region afterwards has lost none of those that it shares. So a group of
 near copies that the sample missed makes a row per member and region, not its pairs.
-What is still crowded after the last step shares single shingles only, not balls,
-and is paired as it is.
+A region whose balls hold next to nothing shares single shingles only, as texts with
+a common passage do, and is paired as it is.
 
 All levels end in exact set intersections, so every link is found whichever
 documents are sampled.
@@ -61,8 +61,10 @@ SHARED = 5
 #: Sets that one verification task compares.
 BLOCK = 1024
 #: Sets from which a region of one shingle is parted, and pivots per region in each step.
-CROWDED = 32
+CROWDED = 256
 STEPS = (1, 4, 16)
+#: Share of a region (one in so many) that its balls must take for a further step.
+PROGRESS = 16
 _LAST = (1 << 63) - 1
 
 
@@ -581,34 +583,45 @@ def _window_links(
 def _crowded_links(docs: DataFrame, entries: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Links of the balls in crowded regions and of their windows, and the entries in no ball of their region."""
     links = docs.sparkSession.createDataFrame([], "a long, b long")
-    sets = None
+    sets = stuck = None
     for step, pivots in enumerate(STEPS):
-        seeds = [F.min_by("node", F.xxhash64("node", F.lit(step), F.lit(i))) for i in range(pivots)]
-        chosen = (
+        least = [F.min_by(F.struct("node", "size"), F.xxhash64("node", F.lit(step), F.lit(i))) for i in range(pivots)]
+        full = (
             entries.groupBy("shingle")
-            .agg(F.count("*").alias("_n"), F.array_distinct(F.array(*seeds)).alias("_pivots"))
+            .agg(F.count("*").alias("_n"), F.array_distinct(F.array(*least)).alias("_pivots"))
             .filter(F.col("_n") > CROWDED)
-            .select("shingle", F.explode("_pivots").alias("pivot"))
         )
-        chosen = stage(chosen, "region_pivots")
-        if chosen.isEmpty():
+        full = stage(full if stuck is None else full.join(stuck, "shingle", "left_anti"), "crowded_regions")
+        if full.isEmpty():
             break
+        chosen = full.select("shingle", F.explode("_pivots").alias("_p")).select(
+            "shingle", F.col("_p.node").alias("pivot"), F.col("_p.size").alias("_size")
+        )
+        # Sets of too different sizes cannot lie in each other's window.
+        fits = 100 * F.least("size", "_size") >= (2 * percent - 100) * F.greatest("size", "_size")
+        placed = entries.join(chosen, "shingle").filter(fits).select("shingle", "node", "pivot")
+        pairs = placed.select("node", "pivot").distinct()
         if sets is None:
-            sets = _sets_of(docs, entries.select("node"), k).groupBy("node").agg(F.first("set").alias("set"))
-            sets = stage(sets, "crowded_sets")
-        placed = entries.join(chosen, "shingle").select("shingle", "node", "pivot")
-        centres = sets.select(F.col("node").alias("pivot"), F.col("set").alias("centre"))
-        both = placed.select("node", "pivot").distinct().join(sets, "node").join(centres, "pivot")
-        regions = both.mapInArrow(_near_pivot(percent), "node long, pivot long, inside boolean, link boolean")
-        regions = stage(regions, "crowded_regions")
-        inside = regions.filter("inside").select("node", "pivot")
+            wanted = entries.join(full.select("shingle"), "shingle", "left_semi").select("node")
+            sets = stage(_sets_of(docs, wanted, k), "crowded_sets")
+        centres = sets.join(chosen.select(F.col("pivot").alias("node")).distinct(), "node", "left_semi")
+        centres = centres.dropDuplicates(["node"]).select(F.col("node").alias("pivot"), F.col("set").alias("centre"))
+        # The few centres are stored first, so that Spark sends them to all tasks only where their size allows it.
+        both = pairs.join(sets, "node").join(stage(centres, "centres"), "pivot")
+        near = both.mapInArrow(_near_pivot(percent), "node long, pivot long, inside boolean, link boolean")
+        near = stage(near.distinct(), "near_pivots")
+        inside = near.filter("inside").select("node", "pivot")
         links = stage(
             links.unionByName(inside.select(F.col("node").alias("a"), F.col("pivot").alias("b")))
-            .unionByName(_window_links(docs, regions, k, percent, sets)),
+            .unionByName(_window_links(docs, near, k, percent, sets)),
             "crowded_links",
         )
-        gone = placed.join(inside, ["node", "pivot"]).select("shingle", "node").distinct()
+        gone = stage(placed.join(inside, ["node", "pivot"]).select("shingle", "node").distinct(), "parted")
         entries = stage(entries.join(gone, ["shingle", "node"], "left_anti"), "crowded_entries")
+        taken = gone.groupBy("shingle").agg(F.count("*").alias("_taken"))
+        slow = full.join(taken, "shingle", "left").filter(PROGRESS * F.coalesce("_taken", F.lit(0)) < F.col("_n"))
+        slow = slow.select("shingle")
+        stuck = slow if stuck is None else stuck.unionByName(slow)
     return links, entries
 
 
