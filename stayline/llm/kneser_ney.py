@@ -9,8 +9,8 @@ what it got, writes sorted hashes and counts as one file, and passes on, level b
 level, what the next lower order needs: of each n-gram without its first word how
 many words precede it (how often it occurs, where a text begins with it), and of
 each context how often it was used and how many followers it had once, twice and
-more. Numbers travel and lie in the narrowest unsigned type that holds them, so
-counts are exact.
+more. Numbers lie in the narrowest unsigned type that holds them, so counts are
+exact, and travel in the order of the words, byte by byte and compressed.
 
 Scoring: workers map the files and look up the distinct n-grams of a batch.
 p(w | h) = (max(c(hw) - D, 0) + g(h) p(w | h without its first word)) / c(h), down to
@@ -67,17 +67,22 @@ def narrow(x: np.ndarray) -> np.ndarray:
 
 
 def _pack(x: np.ndarray) -> bytes:
-    x = narrow(x)
-    return bytes([x.itemsize]) + x.tobytes()
+    """Width, number and compressed bytes of narrow numbers: all lowest bytes first, then the next ones."""
+    x = narrow(x.ravel())
+    planes = np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T)
+    return bytes([x.itemsize]) + len(x).to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _numbers(packed: bytes) -> np.ndarray:
+    width, n = packed[0], int.from_bytes(packed[1:9], "little")
+    raw = pa.decompress(packed[9:], width * n, "zstd", asbytes=True)
+    planes = np.frombuffer(raw, np.uint8).reshape(width, n)
+    return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.int64)
 
 
 def _unpack(table: pa.Table, name: str, rows: int = 1) -> np.ndarray:
     """All packed numbers of a column, each value a matrix of ``rows`` rows."""
-    parts = [
-        np.frombuffer(x, f"u{x[0]}", offset=1).astype(np.int64).reshape(rows, -1)
-        for x in table.column(name).to_pylist()
-        if x is not None
-    ]
+    parts = [_numbers(x).reshape(rows, -1) for x in table.column(name).to_pylist() if x is not None]
     return np.concatenate([np.zeros((rows, 0), np.int64), *parts], axis=1)
 
 
@@ -103,7 +108,7 @@ def _by_bucket(keys: np.ndarray, bits: int) -> np.ndarray:
 
 def _summed(keys: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """Distinct keys, a place of each, and the sums of the columns."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     new = np.ones(len(keys), bool)
     new[1:] = keys[1:] != keys[:-1]
@@ -234,7 +239,7 @@ def _gram_rows(shared, order: int, bits: int, limit: int, begins: int):
             edges = np.searchsorted(bucket[at], np.arange((1 << bits) + 1))
             for b in np.flatnonzero(np.diff(edges)).tolist():
                 mine = at[edges[b] : edges[b + 1]]
-                row = {"bucket": b, "grams": _pack(grams[:, mine].ravel()), "counts": _pack(counts[mine])}
+                row = {"bucket": b, "grams": _pack(grams[:, mine]), "counts": _pack(counts[mine])}
                 yield pa.RecordBatch.from_pylist([row], _GRAMS)
 
         parts, held = [], 0
@@ -259,8 +264,8 @@ def _merge(level: int, folder: str, bits: int):
         done = table.select(["bucket", "level", "path", "size", "widths", "tally"]).to_pylist()
         rows = [x for x in done if x["path"] is not None]  # files of the levels above stay with their bucket
         grams, counts = _unpack(table, "grams", level), _unpack(table, "counts")[0]
-        contexts = _unpack(table, "contexts")[0].view(U64)
-        known, _, statistics = _summed(contexts, *(_unpack(table, c)[0] for c in _STATISTICS))
+        contexts = _unpack(table, "contexts", level)
+        known, _, statistics = _summed(gram_hashes(contexts), *(_unpack(table, c)[0] for c in _STATISTICS))
         keys, at, (counts,) = _summed(gram_hashes(grams), counts)
         grams = grams[:, at]
         every = np.union1d(keys, known)
@@ -281,18 +286,20 @@ def _merge(level: int, folder: str, bits: int):
             weight = np.where(grams[1] == BEGIN, counts, 1)
             lower, at, (weight,) = _summed(gram_hashes(grams[1:]), weight)
             tails = grams[1:, at]
-            heads, _, sums = _summed(
+            heads, at, sums = _summed(
                 gram_hashes(grams[:-1]), counts, *(x.astype(np.int64) for x in (counts == 1, counts == 2, counts > 2))
             )
+            used = grams[:-1, at]
             a, b = _by_bucket(lower, bits), _by_bucket(heads, bits)
             for i in range(1 << bits):
-                x, y = slice(a[i], a[i + 1]), slice(b[i], b[i + 1])
                 row = {}
                 if a[i] < a[i + 1]:
-                    row |= {"grams": _pack(tails[:, x].ravel()), "counts": _pack(weight[x])}
+                    x = a[i] + np.lexsort(tails[::-1, a[i] : a[i + 1]])
+                    row |= {"grams": _pack(tails[:, x]), "counts": _pack(weight[x])}
                 if b[i] < b[i + 1]:
-                    row |= {"contexts": _pack(heads[y].view(U64))}
-                    row |= {c: _pack(v[y]) for c, v in zip(_STATISTICS, sums, strict=True)}
+                    x = b[i] + np.lexsort(used[::-1, b[i] : b[i + 1]])
+                    row |= {"contexts": _pack(used[:, x])}
+                    row |= {c: _pack(v[x]) for c, v in zip(_STATISTICS, sums, strict=True)}
                 if row:
                     rows.append({"bucket": i, **row})
         return pa.Table.from_pylist(rows, _GRAMS)
