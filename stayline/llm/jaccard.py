@@ -63,6 +63,8 @@ BLOCK = 1024
 #: Sets from which a region of one shingle is parted, and pivots per region in each step.
 CROWDED = 256
 STEPS = (1, 4, 16)
+#: Pairs that are held before they are counted.
+PAIRS = 2_000_000
 #: Share of a region (one in so many) that its balls must take for a further step.
 PROGRESS = 16
 _LAST = (1 << 63) - 1
@@ -367,13 +369,15 @@ def _front_rows(docs: DataFrame, pivots, k: int, percent: int, buckets: int) ->
     )
 
 
-def _region_pairs(shingle: np.ndarray, node: np.ndarray, size: np.ndarray, rest: np.ndarray, percent: int):
+def _region_pairs(
+    shingle: np.ndarray, node: np.ndarray, size: np.ndarray, rest: np.ndarray, percent: int, side: np.ndarray | None = None
+):
     """Pairs that may be similar, with the number of regions they share here and have to share in all.
 
     The entries are sorted by shingle. In the j-th region that two sets share, the
     shingles from there on bound their intersection but for the j - 1 before. So each
     of the first SHARED regions of a similar pair passes the test with SHARED - 1
-    more; others need not be counted.
+    more; others need not be counted. With ``side`` only pairs of two sides are made.
     """
     _, starts, counts = np.unique(shingle, return_index=True, return_counts=True)
     last = np.repeat(starts + counts, counts)
@@ -398,8 +402,10 @@ def _region_pairs(shingle: np.ndarray, node: np.ndarray, size: np.ndarray, rest:
         a, b = size[at], size[at + step]
         most = np.minimum(np.minimum(rest[at], rest[at + step]) + SHARED - 1, np.minimum(a, b))
         good = at[_similar(most, a, b, percent)]
+        if side is not None:
+            good = good[side[good] != side[good + step]]
         found.append(row[good] * width + row[good + step])
-        if sum(map(len, found)) > 4_000_000:
+        if sum(map(len, found)) > PAIRS:
             (keys, times), found = merged(), []
         step += 1
     keys, times = merged()
@@ -439,12 +445,14 @@ def _pairs_in_regions(percent: int):
 
 
 def _pairs_left(percent: int):
-    """Pairs of regions that have been parted."""
+    """Pairs of regions that have been parted: of one block, or between two blocks of a region."""
 
     def run(table: pa.Table) -> pa.Table:
-        columns = [table.column(c).to_numpy() for c in ("shingle", "node", "size", "rest")]
+        columns = [table.column(c).to_numpy() for c in ("shingle", "node", "size", "rest", "_mine")]
         order = np.lexsort((columns[1], columns[0]))
-        found = _region_pairs(*(c[order].astype(np.int64) for c in columns), percent)
+        shingle, node, size, rest, mine = (c[order].astype(np.int64) for c in columns)
+        one = table.column("_p")[0].as_py() == table.column("_q")[0].as_py()
+        found = _region_pairs(shingle, node, size, rest, percent, None if one else mine)
         return pa.table(_met(*found), ["a", "b", "times", "wanted"])
 
     return run
@@ -627,7 +635,7 @@ def _crowded_links(docs: DataFrame, entries: DataFrame, k: int, percent: int) ->
 
 def _sparse_links(docs: DataFrame, pivots, k: int, percent: int) -> DataFrame:
     """Links between sets that no ball of a sampled pivot holds."""
-    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 16 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fronts = _front_rows(docs, pivots, k, percent, buckets)
     met = fronts.groupBy("bucket").applyInArrow(_pairs_in_regions(percent), f"{_MET}, crowded boolean")
     met = stage(met, "met")
@@ -636,8 +644,15 @@ def _sparse_links(docs: DataFrame, pivots, k: int, percent: int) -> DataFrame:
     )
     met = met.filter("not crowded").drop("crowded")
     links, entries = _crowded_links(docs, entries, k, percent)
-    bucket = F.pmod("shingle", F.lit(buckets)).alias("bucket")
-    met = met.unionByName(entries.groupBy(bucket).applyInArrow(_pairs_left(percent), _MET))
+    # Large regions are paired block by block, so that no task holds all pairs of a region.
+    sizes = entries.groupBy("shingle").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
+    placed = entries.join(sizes, "shingle").withColumn("_mine", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
+    placed = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")).select(
+        "shingle", "node", "size", "rest", "_mine",
+        F.least("_mine", "_other").alias("_p"), F.greatest("_mine", "_other").alias("_q"),
+    )
+    bucket = F.when(F.col("_q") == 0, F.pmod("shingle", F.lit(buckets))).otherwise(F.col("shingle")).alias("_bucket")
+    met = met.unionByName(placed.groupBy(bucket, "_p", "_q").applyInArrow(_pairs_left(percent), _MET))
     return links.unionByName(_pair_links(docs, met, k, percent))
 
 
