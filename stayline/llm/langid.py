@@ -35,6 +35,12 @@ PER_LANGUAGE = 2000
 #: Languages a model may have; more in the labels is an error.
 MAX_LANGUAGES = 128
 UNKNOWN = "und"
+#: A text is strange to its language with more than so many times the bits a byte that USUAL of the held-out
+#: texts stay under. Shorter texts (in bytes), and languages with fewer such texts, say too little for that.
+STRANGE = 3.0
+USUAL = 0.99
+LEAST_BYTES = 40
+LEAST_TEXTS = 20
 #: Bits of a byte in a run of context and byte: a byte is written as byte + 1, the start of a text as 0.
 _DIGIT = 9
 
@@ -206,20 +212,23 @@ def code_lengths(trees: list[Tree], data: np.ndarray, offs: np.ndarray) -> np.nd
     return out
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
+def predict(docs: DataFrame, model: Model, keep: list[str] | None = None, bits: str | None = None) -> DataFrame:
     """Columns ``keep`` (all where None), lang_pred and score of each document.
 
+    ``bits`` names a further column: the code length a byte under that language, null for ``und``.
+
     ``score`` is the probability of the language given equal chances beforehand.
     A text that is null or has no letter is ``und`` with score 0. Of equal code
-    lengths the first language in the alphabet wins. Columns called lang_pred or
-    score are replaced.
+    lengths the first language in the alphabet wins. Columns called lang_pred, score or
+    like ``bits`` are replaced.
     """
     spark = docs.sparkSession
     small_batches(spark)
     lettered, text = unused(docs, "lettered"), unused(docs, "source_text")
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score", bits)]
     fields = [docs.schema[c] for c in kept]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "lang_pred string", "score double"])
+    schema += f", `{bits}` double" if bits else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = [Tree.read(load(file)) for file in model.files]
@@ -227,20 +236,45 @@ def predict(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Dat
         for batch in pieces(batches, text):
             data, offs = flat(batch.column(text))
             best = np.full(batch.num_rows, len(trees))
-            score = np.zeros(batch.num_rows)
+            score, rate = np.zeros((2, batch.num_rows))
             if trees:
                 for a, b, part, cuts in chunks(data, offs):
-                    bits = code_lengths(trees, part, cuts)
-                    best[a:b] = bits.argmin(axis=1)
-                    score[a:b] = 1 / np.exp2(bits.min(axis=1, keepdims=True) - bits).sum(axis=1)
+                    length = code_lengths(trees, part, cuts)
+                    best[a:b] = length.argmin(axis=1)
+                    score[a:b] = 1 / np.exp2(length.min(axis=1, keepdims=True) - length).sum(axis=1)
+                    rate[a:b] = length.min(axis=1) / np.maximum(np.diff(cuts), 1)
                 known = pa.compute.fill_null(batch.column(lettered), False).to_numpy(zero_copy_only=False)
                 best[~known], score[~known] = len(trees), 0
+            found = [pa.array(names[best], pa.string()), pa.array(score)]
+            if bits:
+                found.append(pa.array(rate, mask=best == len(trees)))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array(names[best], pa.string()), pa.array(score)],
-                [*kept, "lang_pred", "score"],
+                [*(batch.column(c) for c in kept), *found],
+                [*kept, "lang_pred", "score", *([bits] if bits else [])],
             )
 
     columns = [F.col(f"`{c}`") for c in kept]
     return docs.select(
         *columns, F.col("text").alias(text), F.col("text").rlike(r"\p{L}").alias(lettered)
     ).mapInArrow(run, schema)
+
+
+def strange_from(docs: DataFrame, model: Model) -> dict[str, float]:
+    """Per language the bits a byte from which a text is strange to it, by all held-out texts with its label.
+
+    Only texts that get their label again count. A language with fewer than LEAST_TEXTS
+    of them has no entry; without labels there is none at all.
+    """
+    held = docs.filter(F.col("lang").isNotNull() & held_out(F.col("doc_id")) & (F.octet_length("text") >= LEAST_BYTES))
+    found = predict(held.select("lang", "text"), model, keep=["lang"], bits="bits").filter("lang = lang_pred")
+    usual = found.groupBy("lang").agg(F.percentile_approx("bits", USUAL, 10_000).alias("bits"), F.count("*").alias("n"))
+    # At most as many rows as the model has languages.
+    return {r["lang"]: STRANGE * r["bits"] for r in usual.filter(F.col("n") >= LEAST_TEXTS).collect()}
+
+
+def is_strange(bits: Column, lang_pred: Column, text: Column, limits: dict[str, float]) -> Column:
+    """Whether a text of LEAST_BYTES or more has more bits a byte than its language allows; never null."""
+    out = F.lit(False)
+    for lang, limit in sorted(limits.items()):
+        out = out | ((lang_pred == lang) & (bits > limit))
+    return F.coalesce(out & (F.octet_length(text) >= LEAST_BYTES), F.lit(False))

@@ -181,3 +181,30 @@ def test_documents_of_brute_table_keep_their_columns(spark):
     found = langid.predict(docs, langid.train(docs))
     assert found.columns == ["doc_id", "text", "lang", "source", "n_chars", "lang_pred", "score"]
     assert found.count() == docs.count()
+
+
+def test_texts_of_no_learned_language_are_strange(spark):
+    rows = sample(600)
+    docs = texts(spark, rows)
+    model = langid.train(docs)
+    limits = langid.strange_from(docs, model)
+    assert sorted(limits) == ["aa", "bb", "cc"]
+    asked = [*rows, (9001, "дом лес река поле снег " * 4, None, 0), (9002, "def f(x): return {y: 2}; " * 4, None, 0), (9003, "дом", None, 0), (9004, None, None, 0), (9005, "", None, 0)]
+    found = langid.predict(texts(spark, asked), model, bits="score bits")
+    strange = langid.is_strange(F.col("score bits"), F.col("lang_pred"), F.col("text"), limits)
+    got = {r["doc_id"]: r for r in found.select("*", strange.alias("strange")).collect()}
+    assert {d for d, r in got.items() if r["strange"]} == {9001, 9002}
+    assert got[9004]["score bits"] is None and got[9005]["score bits"] is None
+    few = langid.strange_from(docs.limit(30), model)
+    assert few == {} and not any(r[0] for r in found.select(langid.is_strange(F.col("score bits"), F.col("lang_pred"), F.col("text"), few)).collect())
+
+
+def test_bits_per_byte_are_the_code_length(spark):
+    rows = [(i, " ".join(t.split()[:4]), lang, 0) for i, t, lang, _ in sample(60)]
+    docs = texts(spark, rows)
+    model = langid.train(docs)
+    trees = [langid.Tree.read(langid.load(f)) for f in model.files]
+    for r in langid.predict(docs, model, keep=["text"], bits="b").collect():
+        raw = np.frombuffer(r["text"].encode(), np.uint8)
+        own = langid.code_lengths(trees, raw, np.array([0, len(raw)]))[0].min()
+        assert abs(r["b"] - own / len(raw)) < 1e-9
