@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +21,15 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+def release() -> None:
+    """Give free memory back to the system: workers live on, and theirs would lie below what later stages need."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim:
+        trim(0)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str, size: int = PIECE) -> Iterator[pa.RecordBatch]:
     """The batches again, cut so that ``column`` holds about ``size`` bytes in each."""
     for batch in batches:
@@ -31,3 +42,5 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, size: int = PIECE) ->
             to = max(at + 1, int(np.searchsorted(ends, done + size, side="right")))
             yield batch.slice(at, to - at)
             at, done = to, int(ends[to - 1])
+    batch = lengths = ends = None
+    release()

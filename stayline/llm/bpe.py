@@ -9,7 +9,6 @@ pointers from the end gives the ids that merging in rank order would give.
 
 from __future__ import annotations
 
-import gc
 import json
 import re
 import unicodedata
@@ -22,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from stayline.llm.arrow import pieces, small_batches
+from stayline.llm.arrow import pieces, release, small_batches
 
 #: Words and pairs a worker remembers before it starts afresh.
 CACHE = 400_000
@@ -251,11 +250,9 @@ def _mapped(df: DataFrame, source: str, target: str, kind: str, tokenizer: str,
                     [*(batch.column(c) for c in kept), pa.array(done, arrow)], [*kept, target]
                 )
         finally:
-            # Workers live on: what they hold here would lie below all that later stages need.
             del one
             _codecs.clear()
-            gc.collect()
-            pa.default_memory_pool().release_unused()
+            release()
 
     columns = list(dict.fromkeys([*kept, source]))
     return df.select(*[f"`{c}`" for c in columns]).mapInArrow(run, schema)
