@@ -172,7 +172,9 @@ def _count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data, offs = flat(chosen.column("text"))
             if len(data) == 0:
                 continue
-            runs, counts = np.unique(_runs(data, offs), return_counts=True)
+            found = [np.unique(_runs(part, cuts), return_counts=True) for _, _, part, cuts in chunks(data, offs) if len(part)]
+            runs, at = np.unique(np.concatenate([r for r, _ in found]), return_inverse=True)
+            counts = np.bincount(at, np.concatenate([n for _, n in found]), len(runs)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(runs)), pa.array(runs), pa.array(counts)], ["lang", "run", "n"]
             )
