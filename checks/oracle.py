@@ -90,6 +90,25 @@ rfm as (
   group by customer_unique_id)
 """
 
+# Totals per order, for reports in which nothing counts more than once.
+ORDER_TOTALS = """
+item_totals as (
+  select order_id, count(*) as items, sum(price) as price, count(price) as prices,
+         sum(freight_value) as freight, count(freight_value) as freights
+  from v_items group by order_id),
+review_totals as (
+  select order_id, sum(review_score) as score, count(review_score) as scores, min(review_score) as least
+  from v_reviews group by order_id),
+payment_totals as (
+  select order_id, sum(payment_installments) as parts, count(payment_installments) as payments
+  from v_payments group by order_id)
+"""
+
+
+def _share(total: str, rows: str) -> str:
+    return f"(cast(sum({total}) as double) / nullif(sum({rows}), 0))"
+
+
 DELIVERED_CATEGORIES = """
 delivered_categories as (
   select customer_unique_id, product_category_name_english as category
@@ -336,6 +355,60 @@ PARTS: dict[str, tuple[str, str]] = {
             where order_status = 'delivered' and order_delivered_customer_date is not null""",
     ),
     "rfm_base": (RFM, "select * from rfm"),
+    "rfm_base_dedupe": (
+        ORDER_TOTALS,
+        f"""select customer_unique_id,
+                   cast(trunc({_days("max(order_purchase_timestamp)")}) as int) as recency_days,
+                   count(distinct o.order_id) as frequency,
+                   cast(sum(price) as double) as monetary,
+                   {_round(_share("freight", "freights"), 2)} as avg_freight_paid,
+                   {_round(_mean("items"), 2)} as avg_items_per_order,
+                   {_round(_share("score", "scores"), 2)} as avg_review_score,
+                   cast(min(least) as double) as min_review_score,
+                   {_late_pct()} as late_delivery_pct,
+                   cast(sum(case when {LATE} then 1 else 0 end) as bigint) as late_delivery_count,
+                   {_round(_share("parts", "payments"), 2)} as avg_installments,
+                   case when {_days("max(order_purchase_timestamp)")} > 90 then 1 else 0 end as is_churned
+            from v_customers c
+            join v_orders o on c.customer_id = o.customer_id and order_status = 'delivered'
+              and order_delivered_customer_date is not null
+            join item_totals i on o.order_id = i.order_id
+            left join review_totals r on o.order_id = r.order_id
+            left join payment_totals p on o.order_id = p.order_id
+            group by customer_unique_id""",
+    ),
+    "executive_overview_dedupe": (
+        ORDER_TOTALS,
+        f"""select strftime(order_purchase_timestamp, '%Y') as year,
+                   strftime(order_purchase_timestamp, '%m') as month,
+                   strftime(order_purchase_timestamp, '%Y-%m') as year_month,
+                   count(distinct o.order_id) as total_orders,
+                   count(distinct customer_unique_id) as unique_customers,
+                   cast(sum(price) as double) as total_revenue,
+                   {_round(_share("price", "prices"), 2)} as avg_order_value,
+                   cast(sum(freight) as double) as total_freight,
+                   {_late_pct()} as late_delivery_pct,
+                   {_round(_share("score", "scores"), 2)} as avg_review_score,
+                   cast(sum(case when order_status = 'canceled' then 1 else 0 end) as bigint) as cancelled_orders
+            from v_orders o join v_customers c on o.customer_id = c.customer_id
+            join item_totals i on o.order_id = i.order_id
+            left join review_totals r on o.order_id = r.order_id
+            where order_status in ('delivered', 'canceled')
+            group by 1, 2, 3""",
+    ),
+    "preferred_payment": (
+        "",
+        """select customer_unique_id, payment_type as preferred_payment, payments
+           from (select customer_unique_id, payment_type, count(*) as payments,
+                        row_number() over (partition by customer_unique_id
+                                           order by count(*) desc, payment_type) as place
+                 from v_customers c
+                 join v_orders o on c.customer_id = o.customer_id and order_status = 'delivered'
+                 join v_payments p on o.order_id = p.order_id
+                 where payment_type is not null
+                 group by customer_unique_id, payment_type)
+           where place = 1""",
+    ),
     "category_diversity": (DELIVERED_CATEGORIES, "select * from diversity"),
     "top_category": (DELIVERED_CATEGORIES, "select * from top_cat"),
     "median_impute": (RFM, f"select {_GAPS} from rfm"),

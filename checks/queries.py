@@ -198,12 +198,15 @@ ON_TABLES: dict[str, Callable[[ShopTables], DataFrame]] = {
     "late_delivery_rate": explore.late_delivery_rate,
     # Features
     "rfm_base": lambda t: features.rfm_base(t, AS_OF),
+    "rfm_base_dedupe": lambda t: features.rfm_base(t, AS_OF, dedupe=True),
     "category_diversity": features.category_diversity,
     "top_category": features.top_category,
     "median_impute": _median_impute,
     "customer_features": customer_features,
     # Marts
     "executive_overview_mart": marts.executive_overview_mart,
+    "executive_overview_dedupe": lambda t: marts.executive_overview_mart(t, dedupe=True),
+    "preferred_payment": marts.preferred_payment,
     "sales_product_mart": marts.sales_product_mart,
     "customer_behavior_mart": lambda t: marts.customer_behavior_mart(t, AS_OF),
     "rfm_segments": _rfm_segments,

@@ -78,18 +78,24 @@ def mark_first(df: DataFrame, mark: str, *keys: str) -> DataFrame:
 class Weights:
     """Sums over the joined rows, written on one row per order.
 
-    ``paid`` is False where payments are not part of the join.
+    ``paid`` is False where payments are not part of the join. With ``dedupe`` nothing
+    counts more than once: each item, review and payment is one, and so is each order
+    wherever the report counts joined rows.
     """
 
-    def __init__(self, paid: bool = True):
+    def __init__(self, paid: bool = True, dedupe: bool = False):
         def rows(column: str) -> Column:
             # A left join keeps one row where the order has no review or payment.
             return F.coalesce(F.col(column), F.lit(1)).cast(WHOLE)
 
         self.n = rows("line_rows")
         self.r = rows("review_rows")
-        self.p = rows("payment_rows") if paid else F.lit(1).cast(WHOLE)
-        self.joined = self.n * self.r * self.p
+        one = F.lit(1).cast(WHOLE)
+        self.p = rows("payment_rows") if paid else one
+        self.joined = one if dedupe else self.n * self.r * self.p
+        self.per_line = one if dedupe else self.r * self.p
+        self.per_score = one if dedupe else self.n * self.p
+        self.per_installment = one if dedupe else self.n * self.r
 
     def rows(self, when: Column | None = None) -> Column:
         """Joined rows; with ``when``, those of the orders it holds for."""
@@ -98,13 +104,13 @@ class Weights:
         return total(F.when(when, self.joined).otherwise(F.lit(0).cast(WHOLE)))
 
     def lines(self, column: str) -> Column:
-        return total(F.col(column).cast(WHOLE) * (self.r * self.p))
+        return total(F.col(column).cast(WHOLE) * self.per_line)
 
     def scores(self, column: str) -> Column:
-        return total(F.col(column).cast(WHOLE) * (self.n * self.p))
+        return total(F.col(column).cast(WHOLE) * self.per_score)
 
     def installments(self, column: str) -> Column:
-        return total(F.col(column).cast(WHOLE) * (self.n * self.r))
+        return total(F.col(column).cast(WHOLE) * self.per_installment)
 
     def line_rows_total(self) -> Column:
         """Sum of the order's item count over the joined rows."""

@@ -50,14 +50,16 @@ def days_since_last_order(as_of: datetime) -> Column:
     return days_between(F.max("order_purchase_timestamp"), moment(as_of))
 
 
-def rfm_base(t: ShopTables, as_of: datetime = AS_OF, churn_days: float = CHURN_DAYS) -> DataFrame:
+def rfm_base(
+    t: ShopTables, as_of: datetime = AS_OF, churn_days: float = CHURN_DAYS, dedupe: bool = False
+) -> DataFrame:
     """One row per person with a delivered order: 12 columns.
 
     Prices, scores and instalments count once per row of the order's items x
-    reviews x payments. ``recency_days`` drops the fraction of a day, the churn
-    test does not.
+    reviews x payments, or once with ``dedupe``. ``recency_days`` drops the fraction
+    of a day, the churn test does not.
     """
-    w = Weights()
+    w = Weights(dedupe=dedupe)
     quiet_days = days_since_last_order(as_of)
     late_share = ratio(w.rows(F.col("is_late")), w.rows())
     orders = by_order(
@@ -128,10 +130,10 @@ def top_category(t: ShopTables) -> DataFrame:
 
 
 def raw_features(
-    t: ShopTables, as_of: datetime = AS_OF, churn_days: float = CHURN_DAYS
+    t: ShopTables, as_of: datetime = AS_OF, churn_days: float = CHURN_DAYS, dedupe: bool = False
 ) -> DataFrame:
     """``rfm_base`` with category columns, gaps not yet filled."""
-    rfm = rfm_base(t, as_of, churn_days).alias("rfm")
+    rfm = rfm_base(t, as_of, churn_days, dedupe).alias("rfm")
     habits = category_counts(t).groupBy("customer_unique_id").agg(_diversity(), _top()).alias("cat")
     # The person without an id is a group too and must find its partner.
     same = F.col("rfm.customer_unique_id").eqNullSafe(F.col("cat.customer_unique_id"))
@@ -161,11 +163,11 @@ def impute(raw: DataFrame) -> DataFrame:
 
 
 def customer_features(
-    t: ShopTables, as_of: datetime = AS_OF, churn_days: float = CHURN_DAYS
+    t: ShopTables, as_of: datetime = AS_OF, churn_days: float = CHURN_DAYS, dedupe: bool = False
 ) -> DataFrame:
-    """The feature table, 14 columns, one row per person.
+    """The feature table, 14 columns, one row per person; ``dedupe`` as in ``rfm_base``.
 
     The joined features are staged: the medians need them before the fill, and
     computing them twice would scan every input twice.
     """
-    return impute(stage(raw_features(t, as_of, churn_days), "raw_features"))
+    return impute(stage(raw_features(t, as_of, churn_days, dedupe), "raw_features"))

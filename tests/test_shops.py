@@ -17,6 +17,9 @@ PLANS = {
     "repeat_vs_one_time": explore.repeat_vs_one_time,
     "late_delivery_rate": explore.late_delivery_rate,
     "rfm_base": lambda t: features.rfm_base(t, AS_OF),
+    "rfm_base_dedupe": lambda t: features.rfm_base(t, AS_OF, dedupe=True),
+    "executive_overview_dedupe": lambda t: marts.executive_overview_mart(t, dedupe=True),
+    "preferred_payment": marts.preferred_payment,
     "category_diversity": features.category_diversity,
     "top_category": features.top_category,
     "customer_features": lambda t: features.customer_features(t, AS_OF),
