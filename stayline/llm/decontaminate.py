@@ -3,11 +3,12 @@
 Benchmark items and documents are cut into passages of 24 words, one every 12, so
 that a passage of an item meets one that has 18 of its words at least. Passages
 are weighted by TF-IDF with document frequencies of the whole corpus. A randomised
-SVD of a bounded sample of corpus passages together with all benchmark passages
-gives the latent space; every passage of every document is projected and compared
-with the benchmark passages by cosine. A leak shares a longest common subsequence
-of SURE of the item's words in a stretch little longer than the item, or of LIKELY
-of them together with the item's answer.
+SVD of all corpus passages together with all benchmark passages gives the latent
+space: the pairs of benchmark words that share a passage are summed once over the
+corpus, and the steps of the SVD work on these sums. Every passage of every document
+is projected and compared with the benchmark passages by cosine. A leak shares a
+longest common subsequence of SURE of the item's words in a stretch little longer
+than the item, or of LIKELY of them together with the item's answer.
 
 No cosine decides what is found: a stretch that shares LIKELY of the words must
 hold some of the item's rarest ones, so all stretches that hold enough of those go
@@ -41,8 +42,9 @@ CORPUS_WEIGHT = 0.1
 DIMENSIONS = 128
 OVERSAMPLE = 16
 POWER_STEPS = 2
-#: Documents the latent space is fitted on, beside the whole benchmark.
-SAMPLE = 4096
+#: Sums that a task holds at least before it passes them on, and columns of a band of them.
+SMALL = 1 << 22
+BAND = 64
 #: Least cosine in the latent space, as a share of what the item's passage has with itself there,
 #: and least cosine in the full space.
 LATENT_COSINE = 0.4
@@ -162,6 +164,43 @@ class Space:
         vector /= np.sqrt(np.maximum(square[start] + square[after], 1e-9))[:, None]
         return row[start], place[start] * STRIDE, vector
 
+    def pairs(self, h: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """A^T A for the passages A of some texts, before the weights of columns, and the number of passages.
+
+        Keys (column * columns + other column, not smaller), values to add to both orders of the pair.
+        """
+        if len(h) == 0:
+            return np.zeros(0, np.int64), np.zeros(0), 0
+        n = np.diff(cuts)
+        blocks = -(-n // STRIDE)
+        row = np.repeat(np.arange(len(n)), blocks)
+        place = np.arange(len(row)) - (np.cumsum(blocks) - blocks)[row]
+        begin = cuts[row] + place * STRIDE
+        at = self.places(h)
+        square = np.add.reduceat(np.where(at >= 0, self.weight[at], self.other) ** 2, begin)
+        more = place + 1 < blocks[row]
+        start = more | (place == 0)
+        # What the passage that begins with a block weighs, and all passages with the block.
+        own = np.where(start, 1 / np.maximum(square + np.where(more, np.append(square[1:], 0), 0), 1e-9), 0)
+        whole = own + np.where(place > 0, np.append(0, own[:-1]), 0)
+        known = np.flatnonzero(at >= 0)
+        column = at[known]
+        block = np.repeat(np.arange(len(row)), np.diff(np.append(begin, len(h))))[known]
+        keys, values = [column * len(self.vocabulary) + column], [whole[block] / 2]
+        left = np.arange(len(known))
+        for step in range(1, 2 * STRIDE):
+            left = left[left + step < len(known)]
+            a, b = block[left], block[left + step]
+            # Words of one block or of a passage's two blocks.
+            near = (b == a) | ((b == a + 1) & (row[b] == row[a]))
+            left, a, b = left[near], a[near], b[near]
+            if len(left) == 0:
+                break
+            one, other = column[left], column[left + step]
+            keys.append(np.minimum(one, other) * len(self.vocabulary) + np.maximum(one, other))
+            values.append(np.where(a == b, whole[a], own[a]))
+        return np.concatenate(keys), np.concatenate(values), int(start.sum())
+
     def gram(self, h: np.ndarray, cuts: np.ndarray, test: np.ndarray) -> tuple[np.ndarray, int]:
         """A^T (A test) for the passages A of some texts, and their number."""
         row, start, image = self.passages(h, cuts, (test * self.weight[:, None]).astype(np.float32))
@@ -216,38 +255,130 @@ def _weights(docs: DataFrame, vocabulary: np.ndarray) -> Space:
     return Space(vocabulary, weight, float(np.log(total + 1) + 1))
 
 
-def _fit(docs: DataFrame, space: Space, items: list[Item], total: int) -> Space:
-    """The latent space, by subspace iteration on a random start."""
+class Sums:
+    """Sums of values by key; keys below ``n``, in a table where that is small."""
+
+    def __init__(self, n: int):
+        self.table = np.zeros(n) if n <= SMALL else None
+        self.keys, self.values = [np.zeros(0, np.int64)], [np.zeros(0)]
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> int:
+        """Keys held now, about."""
+        if self.table is not None:
+            self.table += np.bincount(keys, values, len(self.table))
+            return 0
+        self.keys.append(keys)
+        self.values.append(values)
+        if sum(map(len, self.keys)) > 2 * max(SMALL, len(self.keys[0])):
+            self.found()
+        return len(self.keys[0])
+
+    def found(self) -> tuple[np.ndarray, np.ndarray]:
+        """The keys, sorted, and their sums."""
+        if self.table is not None:
+            keys = np.flatnonzero(self.table)
+            return keys, self.table[keys]
+        keys, at = np.unique(np.concatenate(self.keys), return_inverse=True)
+        self.keys, self.values = [keys], [np.bincount(at, np.concatenate(self.values), len(keys))]
+        return keys, self.values[0]
+
+
+def _corpus_gram(docs: DataFrame, space: Space) -> DataFrame:
+    """A^T A for the passages A of all documents: rows of keys and values as ``Space.pairs`` gives them, and passages n.
+
+    The keys of a row lie in one band of columns, and no key is in two rows.
+    """
+    columns = len(space.vocabulary)
+    width = columns * min(BAND, max(1, SMALL // columns))
+    shared = docs.sparkSession.sparkContext.broadcast(space)
+    names = ["band", "keys", "sums", "n"]
+
+    def rows(keys: np.ndarray, values: np.ndarray, n: int) -> pa.RecordBatch:
+        bands, first = np.unique(keys // width, return_index=True)
+        cuts = [*first.tolist(), len(keys)]
+        packs = [(keys[a:b].tobytes(), values[a:b].astype(np.float32).tobytes()) for a, b in zip(cuts, cuts[1:])]
+        number = np.zeros(len(bands) + 1, np.int64)
+        number[-1] = n  # the passages travel beside the pairs, in a band of their own
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.append(bands, -1).astype(np.int32)), pa.array([*(k for k, _ in packs), b""], pa.binary()),
+             pa.array([*(v for _, v in packs), b""], pa.binary()), pa.array(number)], names
+        )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, n = Sums(columns * columns), 0
+        for batch in pieces(batches, "text"):
+            data, offs = flat(batch.column("text"))
+            for _, _, part, cut in chunks(data, offs):
+                keys, values, more = shared.value.pairs(*_words(part, cut))
+                n += more
+                if sums.add(keys, values) > SMALL:
+                    yield rows(*sums.found(), n)
+                    sums, n = Sums(columns * columns), 0
+        yield rows(*sums.found(), n)
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, n = Sums(columns * columns), 0
+        for batch in batches:
+            for keys, values, more in zip(*(batch.column(c).to_pylist() for c in names[1:])):
+                sums.add(np.frombuffer(keys, np.int64), np.frombuffer(values, np.float32))
+                n += more
+        yield rows(*sums.found(), n)
+
+    schema = "band int, keys binary, sums binary, n long"
+    counted = docs.select("text").mapInArrow(count, schema)
+    return stage(counted.repartition("band").mapInArrow(unite, schema), "passage_pairs")
+
+
+def _fit(docs: DataFrame, space: Space, items: list[Item], total: int | None = None) -> Space:
+    """The latent space of all documents and the items, by subspace iteration on a random start.
+
+    ``total``, the number of documents, is not needed.
+    """
     spark = docs.sparkSession
-    rate = min(1.0, SAMPLE / max(total, 1))
-    picked = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < int(rate * 1_000_000) + 1)
-    # About SAMPLE texts; equal rows, which are picked together, count once.
-    sample = stage(picked.select("text").distinct().repartition(8), "passage_sample")
+    gram = _corpus_gram(docs, space)
+    corpus_passages = gram.agg(F.sum("n")).first()[0] or 0
     size = min(DIMENSIONS + OVERSAMPLE, len(space.vocabulary))
     test = np.random.default_rng(7).standard_normal((len(space.vocabulary), size)).astype(np.float32)
     h = np.array([w for i in items for w in i.words], U64)
     cuts = np.concatenate([[0], np.cumsum([len(i.words) for i in items])])
 
     def image(test: np.ndarray) -> np.ndarray:
-        shared = spark.sparkContext.broadcast((space, test))
+        shared = spark.sparkContext.broadcast((space.weight, test))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own, start = shared.value
-            out, n = np.zeros(start.shape), 0
-            for batch in pieces(batches, "text", 1 << 18):
-                data, offs = flat(batch.column("text"))
-                words, texts = _words(data, offs)
-                part, more = own.gram(words, texts, start)
-                out, n = out + part, n + more
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([out.astype(np.float32).tobytes()], pa.binary()), pa.array([n])], ["part", "n"]
-            )
-
-        parts = sample.mapInArrow(run, "part binary, n long").collect()  # one per partition of the sample
+            weight, start = shared.value
+            columns, out = len(weight), np.zeros(start.shape)
+            for batch in batches:
+                for packed, sums in zip(batch.column("keys").to_pylist(), batch.column("sums").to_pylist()):
+                    if not packed:
+                        continue
+                    a, b = np.divmod(np.frombuffer(packed, np.int64), columns)
+                    low, rows = a[0], a[-1] - a[0] + 1
+                    values = np.frombuffer(sums, np.float32) * weight[a] * weight[b]
+                    block = np.bincount((a - low) * columns + b, values, rows * columns).reshape(rows, columns)
+                    block = block.astype(np.float32)
+                    # Each pair stands for both of its orders.
+                    out[low : low + rows] += block @ start
+                    out += block.T @ start[low : low + rows]
+            yield pa.RecordBatch.from_arrays([pa.array(range(columns), pa.int32()), pa.array(
+                [x.tobytes() for x in out.astype(np.float32)], pa.binary())], ["at", "part"])
+
+        def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for at, part in zip(batch.column("at").to_pylist(), batch.column("part").to_pylist()):
+                    out[at] = out.get(at, 0) + np.frombuffer(part, np.float32).astype(np.float64)
+            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int32()), pa.array(
+                [x.astype(np.float32).tobytes() for x in out.values()], pa.binary())], ["at", "part"])
+
+        schema = "at int, part binary"
+        parts = gram.mapInArrow(run, schema).repartition("at").mapInArrow(total, schema).collect()  # one per column
+        corpus = np.zeros(test.shape)
+        for p in parts:
+            corpus[p["at"]] = np.frombuffer(p["part"], np.float32)
         own, n = space.gram(h, cuts, test)
-        corpus = sum((np.frombuffer(p["part"], np.float32).reshape(test.shape) for p in parts), np.zeros(test.shape))
-        # The weights are of all passages of a kind, so the sample's size does not shape the space.
-        return own + corpus * (CORPUS_WEIGHT * n / max(1, sum(p["n"] for p in parts)))
+        # The weights are of all passages of a kind, so the corpus' size does not shape the space.
+        return own + corpus * (CORPUS_WEIGHT * n / max(1, corpus_passages))
 
     for _ in range(POWER_STEPS):
         test = np.linalg.qr(image(test))[0].astype(np.float32)
@@ -433,7 +564,7 @@ def _search(docs: DataFrame, items: list[Item], keep: list[str], target: str) ->
     space = None
     if items:
         weighted = _weights(docs, vocabulary)
-        space = _fit(docs, weighted, items, round(np.exp(weighted.other - 1)) - 1)
+        space = _fit(docs, weighted, items)
         h = np.array([w for i in items for w in i.words], U64)
         cuts = np.concatenate([[0], np.cumsum([len(i.words) for i in items])])
         values = (space.basis * space.weight[:, None]).astype(np.float32)

@@ -160,3 +160,33 @@ def test_short_items_are_found_word_for_word(spark):
     assert all(x["shared_words"] == x["item_words"] == i - 200 and x["start"] == d % 7 for (d, i), x in got.items() if 200 < i < 300 and d == 2000 + i - 201)
     only = decontaminate.find_leaks(docs, spark.createDataFrame(short, "item_id long, text string"), keep=["doc_id"])
     assert {(r["doc_id"], x["item_id"]) for r in only.collect() for x in r["leaks"]} == plain
+
+
+def test_the_latent_space_is_fitted_on_every_document(spark, monkeypatch):
+    """More documents than any sample had; the same from pairs held in a table and in sorted arrays."""
+    rng = random.Random(5)
+    items = [(i, brute.prose(rng, 30, 60)) for i in range(12)]
+    rows = [(d, brute.prose(rng, rng.randint(0, 60), 90)) for d in range(6000)] + [(6000, None), (6001, "")]
+    docs, _ = tables(spark, rows, items)
+    wanted = decontaminate.read_items([{"item_id": i, "text": t} for i, t in items])
+    space = decontaminate._weights(docs, np.unique(np.array([w for i in wanted for w in i.words], np.uint64)))
+    data, offs = decontaminate.flat(decontaminate.pa.array([t for _, t in rows]))
+    h, cuts = decontaminate._words(data, offs)
+    test = np.random.default_rng(1).standard_normal((len(space.vocabulary), 5)).astype(np.float32)
+    want, passages = space.gram(h, cuts, test)
+    fitted = []
+    for small in (1 << 22, 500):
+        monkeypatch.setattr(decontaminate, "SMALL", small)
+        got, n, keys = np.zeros(want.shape), 0, []
+        for r in decontaminate._corpus_gram(docs, space).collect():
+            n += r["n"]
+            keys += np.frombuffer(r["keys"], np.int64).tolist()
+            a, b = np.divmod(np.frombuffer(r["keys"], np.int64), len(space.vocabulary))
+            v = np.frombuffer(r["sums"], np.float32) * space.weight[a] * space.weight[b]
+            np.add.at(got, a, v[:, None] * test[b])
+            np.add.at(got, b, v[:, None] * test[a])
+        assert n == passages and len(set(keys)) == len(keys)
+        assert np.allclose(got, want, rtol=1e-3, atol=1e-3 * np.abs(want).max())
+        basis = decontaminate._fit(docs, space, wanted).basis
+        fitted.append(basis @ basis.T)
+    assert np.allclose(*fitted, atol=1e-3)
