@@ -8,7 +8,7 @@ so the code length of a byte depends only on its context and itself. A text gets
 the language with the shortest code for all its bytes.
 
 A language's tree is one file of sorted arrays in the shared folder, made by one
-task, that workers map: all contexts of the sample are kept, and none pass the driver.
+task, that workers map: all contexts of all training texts are kept, and none pass the driver.
 """
 
 from __future__ import annotations
@@ -30,8 +30,6 @@ from stayline.llm.words import chunks, flat
 from stayline.sources.staging import checkpoint_root, stage
 
 ORDER = 3
-#: Training texts per language (whole texts, chosen by a hash of the id).
-PER_LANGUAGE = 2000
 #: Languages a model may have; more in the labels is an error.
 MAX_LANGUAGES = 128
 UNKNOWN = "und"
@@ -112,12 +110,12 @@ def held_out(doc_id: Column) -> Column:
     return _bucket(doc_id) % 5 == 0
 
 
-def training_sample(docs: DataFrame, per_language: int) -> DataFrame:
-    """lang and text of at most ``per_language`` labelled documents a language.
+def training_sample(docs: DataFrame, per_language: int | None = None) -> DataFrame:
+    """lang and text of all labelled documents that are not held out; equal rows count once.
 
-    A first cut by hash, in which equal rows count once, leaves few more than
-    that, so the ranking that makes the bound exact sees a bounded number of rows
-    per language.
+    With ``per_language`` at most so many a language: a first cut by hash leaves few
+    more than that, so the ranking that makes the bound exact sees a bounded number of
+    rows per language.
     """
     known = docs.filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
@@ -127,6 +125,8 @@ def training_sample(docs: DataFrame, per_language: int) -> DataFrame:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not sizes:
         return known.select("lang", "text")
+    if per_language is None:
+        return known.distinct().select("lang", "text")
     share = F.lit(0.0)
     for row in sizes:
         rate = min(1.0, (1.2 * per_language + 100) / row["count"])
@@ -180,10 +180,10 @@ def _count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """Learn from text and lang of documents that are not held out.
+def train(docs: DataFrame, per_language: int | None = None) -> Model:
+    """Learn from text and lang of all documents that are not held out, or of some as ``training_sample`` says.
 
-    All contexts of all sampled texts are kept, however few a language has. No labelled document
+    All contexts of these texts are kept, however few a language has. No labelled document
     gives a model without languages, which answers ``und``.
     """
     spark = docs.sparkSession
@@ -196,7 +196,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
 
     runs = training_sample(docs, per_language).mapInArrow(_count_runs, "lang string, run long, n long")
     counted = runs.groupBy("lang", "run").agg(F.sum("n").alias("n"))
-    # A language's counts are bounded by its sample.
+    # A language has one row per run of bytes that occurs, however often it does.
     written = stage(counted.groupBy("lang").applyInArrow(write, "lang string, file string"), "languages")
     found = sorted((r["lang"], r["file"]) for r in written.collect())
     return Model([lang for lang, _ in found], [file for _, file in found])

@@ -208,3 +208,17 @@ def test_bits_per_byte_are_the_code_length(spark):
         raw = np.frombuffer(r["text"].encode(), np.uint8)
         own = langid.code_lengths(trees, raw, np.array([0, len(raw)]))[0].min()
         assert abs(r["b"] - own / len(raw)) < 1e-9
+
+
+def test_trees_hold_every_training_text(spark):
+    """More texts of a language than any sample had, each with bytes of its own; equal rows count once."""
+    rows = [(d, f"word{d:05d}", "l1") for d in range(3000)]
+    docs = spark.createDataFrame(rows + rows[:100], "doc_id long, text string, lang string").repartition(4)
+    learned = [r["text"] for r in docs.filter(~langid.held_out(F.col("doc_id"))).distinct().collect()]
+    assert len(learned) > 2000
+    model = langid.train(docs)
+    tree = langid.Tree.read(langid.load(model.files[0]))
+    data, offs = langid.flat(langid.pa.array(sorted(learned)))
+    want = langid.Tree.of(*np.unique(langid._runs(data, offs), return_counts=True))
+    for own, other in zip(tree.orders, want.orders):
+        assert all(np.allclose(a, b) for a, b in zip(own, other))
