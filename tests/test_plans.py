@@ -9,7 +9,7 @@ import pytest
 
 from checks.compare import mismatch
 from checks.views import AS_OF, StarShop
-from stayline.plans import briefs, explore, features, marts
+from stayline.plans import briefs, explore, features, marts, purchases
 from stayline.plans.purchases import (
     category_lines,
     delivered,
@@ -199,3 +199,22 @@ def test_hot_customer_and_hot_product_are_split(spark):
                 result = plan(tables)
                 assert mismatch(result.toPandas(), sql_rows(con, name)) is None
                 assert "BroadcastHashJoin" not in plan_of(result)
+
+
+def test_tasks_of_the_marts_stay_small_on_large_tables(spark, tmp_path):
+    """Shuffles get more partitions with the tables, and adaptive execution merges none beyond a fixed size."""
+    names = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions")
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        spark.conf.set(names[0], "128m")
+        spark.conf.set(names[1], "8")
+        purchases.small_tasks(spark.range(1000))
+        assert [spark.conf.get(n) for n in names] == [f"{purchases.TASK_BYTES}b", "8"]
+        purchases.small_tasks(spark.range(40 * purchases.TASK_BYTES // 8))
+        assert spark.conf.get(names[1]) == str(40 * purchases.GROWTH)
+        spark.conf.set(names[0], "64k")
+        purchases.small_tasks(spark.range(1000))
+        assert [spark.conf.get(n) for n in names] == ["64k", str(40 * purchases.GROWTH)]
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
