@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import os
 
 import numpy as np
 import pytest
@@ -75,3 +76,39 @@ def test_counts_stay_exact():
 def test_discounts_stay_below_the_counts(tally):
     d = kneser_ney.discounts(tally)
     assert (d[1:] > 0).all() and (d <= [0, 1, 2, 3]).all()
+
+
+def test_files_take_less_than_nine_bytes_an_entry(spark, tmp_path):
+    words = np.random.default_rng(3).integers(0, 3000, (60, 2000))
+    texts = [" ".join(f"w{w}" for w in row) for row in words.tolist()]
+    model = kneser_ney.train(spark.createDataFrame([(t,) for t in texts], "text string"), f"file://{tmp_path}")
+    for level in (2, 3):
+        paths = [p.removeprefix("file://") for p in model.files[level].values()]
+        entries = sum(kneser_ney.Table(kneser_ney.Shelf().get(f"file://{p}")).n for p in paths)
+        assert entries > 100_000
+        assert sum(os.path.getsize(p) for p in paths) < 9 * entries
+
+
+@pytest.mark.parametrize(("n", "bits"), [(1, 0), (1, 11), (40, 5), (50_000, 0), (50_000, 3)])
+def test_stored_values_are_found_and_others_not(n, bits):
+    rng = np.random.default_rng(n)
+    keys = np.unique(rng.integers(0, 1 << 64, 2 * n, np.uint64) >> np.uint64(bits))
+    inside = rng.permutation(len(keys))[:n]
+    inside.sort()
+    counts, more = rng.geometric(0.01, n), rng.integers(0, 3, n)
+    table = kneser_ney.Table(np.frombuffer(b"".join(
+        np.ascontiguousarray(x).tobytes() for x in kneser_ney.table_parts(keys[inside], [counts, more], bits)), np.uint8))
+    at = table.find(keys)
+    assert np.flatnonzero(at >= 0).tolist() == inside.tolist()
+    code = table.codes_at(at[inside])
+    assert table.values[0][code].tolist() == counts.tolist() and table.values[1][code].tolist() == more.tolist()
+
+
+@pytest.mark.parametrize("n", [0, 1, 5000])
+@pytest.mark.parametrize("most", [1, 3, 60, 1 << 23, 1 << 61])
+def test_grams_travel_as_differences(n, most):
+    grams = np.unique(np.random.default_rng(n).integers(0, most, (3, n)), axis=1)
+    mixed = np.random.default_rng(1).permutation(grams.shape[1])
+    order = kneser_ney._in_order(grams[:, mixed])
+    assert grams[:, mixed][:, order].tolist() == grams.tolist()
+    assert kneser_ney.unpack_grams(kneser_ney.pack_grams(grams), 3).tolist() == grams.tolist()
