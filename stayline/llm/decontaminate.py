@@ -42,8 +42,10 @@ CORPUS_WEIGHT = 0.1
 DIMENSIONS = 128
 OVERSAMPLE = 16
 POWER_STEPS = 2
-#: Sums that a task holds at least before it passes them on, and columns of a band of them.
+#: Sums that a task holds at least before it passes them on, bytes of text whose pairs it makes at once,
+#: and columns of a band of sums.
 SMALL = 1 << 22
+PAIR_BYTES = 1 << 17
 BAND = 64
 #: Least cosine in the latent space, as a share of what the item's passage has with itself there,
 #: and least cosine in the full space.
@@ -154,9 +156,15 @@ class Space:
             weight[known] = self.weight[at[known]]
             square[:-1] = np.add.reduceat(weight * weight, begin)
             edge = np.searchsorted(known, np.append(begin, len(h)))
-            full = np.flatnonzero(np.diff(edge))
-            if len(full):
-                sums[full] = np.add.reduceat(values[at[known]], edge[full], axis=0)
+            number = np.diff(edge)
+            # The first word of all blocks, then the second, ...: blocks with most words come first.
+            order = np.argsort(-number, kind="stable")
+            first_known, number, column = edge[order], number[order], at[known]
+            part = np.zeros((int((number > 0).sum()), values.shape[1]), np.float32)
+            for i in range(int(number[0]) if len(number) else 0):
+                more = int(np.searchsorted(-number, -i, "left"))
+                part[:more] += np.take(values, column[first_known[:more] + i], axis=0)
+            sums[order[: len(part)]] = part
         # A passage is two blocks; the last one of a text only where it is alone.
         start = np.flatnonzero((place + 1 < blocks[row]) | (place == 0))
         after = np.where(place[start] + 1 < blocks[row[start]], start + 1, len(row))
@@ -256,31 +264,56 @@ def _weights(docs: DataFrame, vocabulary: np.ndarray) -> Space:
 
 
 class Sums:
-    """Sums of values by key; keys below ``n``, in a table where that is small."""
+    """Sums of values by key; keys below ``n``, in a table where that is small.
+
+    Else the first keys that come, mostly the frequent ones, get a slot each by hash;
+    the others, whose slot is taken, are kept sorted.
+    """
 
     def __init__(self, n: int):
-        self.table = np.zeros(n) if n <= SMALL else None
+        self.direct = n <= SMALL
+        self.bits = max(1, SMALL.bit_length() - 1)
+        self.table = np.zeros(n if self.direct else 1 << self.bits)
+        self.owner = None if self.direct else np.zeros(1 << self.bits, np.int64)  # key + 1
+        self.used = 0
         self.keys, self.values = [np.zeros(0, np.int64)], [np.zeros(0)]
 
     def add(self, keys: np.ndarray, values: np.ndarray) -> int:
         """Keys held now, about."""
-        if self.table is not None:
-            self.table += np.bincount(keys, values, len(self.table))
+        if self.direct:
+            np.add.at(self.table, keys, values)
             return 0
-        self.keys.append(keys)
-        self.values.append(values)
-        if sum(map(len, self.keys)) > 2 * max(SMALL, len(self.keys[0])):
-            self.found()
-        return len(self.keys[0])
+        slot = ((keys.astype(U64) * U64(0x9E3779B97F4A7C15)) >> U64(64 - self.bits)).astype(np.int64)
+        held = self.owner[slot]
+        free = np.flatnonzero(held == 0)
+        if len(free):
+            self.owner[slot[free]] = keys[free] + 1  # of keys with one slot the last gets it
+            self.used += len(np.unique(slot[free]))
+            held[free] = self.owner[slot[free]]
+        mine = held == keys + 1
+        np.add.at(self.table, slot, np.where(mine, values, 0))
+        late = np.flatnonzero(~mine)
+        if len(late):
+            self.keys.append(keys[late])
+            self.values.append(values[late])
+            if sum(map(len, self.keys)) > 2 * max(SMALL // 4, len(self.keys[0])):
+                self._sort()
+        return self.used + len(self.keys[0])
+
+    def _sort(self) -> None:
+        keys, at = np.unique(np.concatenate(self.keys), return_inverse=True)
+        self.keys, self.values = [keys], [np.bincount(at, np.concatenate(self.values), len(keys))]
 
     def found(self) -> tuple[np.ndarray, np.ndarray]:
         """The keys, sorted, and their sums."""
-        if self.table is not None:
+        if self.direct:
             keys = np.flatnonzero(self.table)
             return keys, self.table[keys]
-        keys, at = np.unique(np.concatenate(self.keys), return_inverse=True)
-        self.keys, self.values = [keys], [np.bincount(at, np.concatenate(self.values), len(keys))]
-        return keys, self.values[0]
+        self._sort()
+        slot = np.flatnonzero(self.owner)
+        keys = np.concatenate([self.owner[slot] - 1, self.keys[0]])
+        order = np.argsort(keys)
+        return keys[order], np.concatenate([self.table[slot], self.values[0]])[order]
 
 
 def _corpus_gram(docs: DataFrame, space: Space) -> DataFrame:
@@ -308,7 +341,7 @@ def _corpus_gram(docs: DataFrame, space: Space) -> DataFrame:
         sums, n = Sums(columns * columns), 0
         for batch in pieces(batches, "text"):
             data, offs = flat(batch.column("text"))
-            for _, _, part, cut in chunks(data, offs):
+            for _, _, part, cut in chunks(data, offs, PAIR_BYTES):
                 keys, values, more = shared.value.pairs(*_words(part, cut))
                 n += more
                 if sums.add(keys, values) > SMALL:

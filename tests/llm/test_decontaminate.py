@@ -190,3 +190,21 @@ def test_the_latent_space_is_fitted_on_every_document(spark, monkeypatch):
         basis = decontaminate._fit(docs, space, wanted).basis
         fitted.append(basis @ basis.T)
     assert np.allclose(*fitted, atol=1e-3)
+
+
+def test_sums_of_many_kinds_of_pairs_are_not_sorted_again_and_again(monkeypatch):
+    """Frequent keys have slots, so that what is held besides them does not grow with the text."""
+    monkeypatch.setattr(decontaminate, "SMALL", 1 << 12)
+    rng = np.random.default_rng(4)
+    sums, want = decontaminate.Sums(1 << 40), {}
+    frequent = rng.integers(0, 1 << 40, 500)
+    for _ in range(40):
+        keys = np.concatenate([rng.choice(frequent, 1000), rng.integers(0, 1 << 40, 20)])
+        values = rng.random(len(keys))
+        sums.add(keys, values)
+        for k, v in zip(keys.tolist(), values.tolist()):
+            want[k] = want.get(k, 0) + v
+        assert sum(map(len, sums.keys)) < 7000
+    keys, values = sums.found()
+    assert keys.tolist() == sorted(want)
+    assert np.allclose(values, [want[k] for k in keys.tolist()])
