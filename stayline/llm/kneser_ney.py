@@ -241,14 +241,14 @@ class Table:
         """Place of each hash, -1 where it is not stored; all have the first bits of this file."""
         mask = U64((1 << 8 * self.kept) - 1)
         group, own = _group(keys, self.bits, self.group_bits).astype(np.int64), keys & mask
-        lo, hi = self.begins[group].astype(np.int64), self.begins[group + 1].astype(np.int64)
-        end = hi
-        for _ in range(int((hi - lo).max(initial=0)).bit_length()):
-            middle = (lo + hi) >> 1
-            less = (self.low[np.minimum(middle, self.n - 1)] & mask < own) & (lo < hi)
-            lo, hi = np.where(less, middle + 1, lo), np.where(less, hi, middle)
-        hit = (lo < end) & (self.low[np.minimum(lo, self.n - 1)] & mask == own)
-        return np.where(hit, lo, -1)
+        # The last entry of the group known to be less, by halved steps; before the group where there is none.
+        less, last = self.begins[group].astype(np.int64) - 1, self.begins[group + 1].astype(np.int64) - 1
+        for bit in reversed(range(int((last - less).max(initial=0)).bit_length())):
+            probe = np.minimum(less + (1 << bit), last)
+            less = np.where(self.low[probe] & mask < own, probe, less)
+        at = less + 1
+        hit = (at <= last) & (self.low[np.minimum(at, self.n - 1)] & mask == own)
+        return np.where(hit, at, -1)
 
     def codes_at(self, at: np.ndarray) -> np.ndarray:
         """Where the values of entries lie in the lists of ``values``."""
@@ -544,24 +544,40 @@ class Scorer:
                     values[mine[hit]] = table.values[c][code]
         return [x[back] for x in out]
 
-    def chances(self, grams: np.ndarray, least: np.ndarray) -> np.ndarray:
-        """Chance of the last word of each column of ``grams`` after those before it."""
+    def chances(self, grams: np.ndarray, least: np.ndarray, heads: np.ndarray | None = None) -> np.ndarray:
+        """Chance of the last word of each column of ``grams`` after those before it.
+
+        With ``heads`` the columns are those of all tokens of texts that begin there.
+        """
         m = self.model
-        own = gram_hashes(grams[-1:])
-        (count,) = self._find(1, own, own, [0])
-        d, (n1, n2, _, _, more, total) = m.discounts(1), m.tallies[1]
-        p = np.full(len(own), 1 / (m.words.kinds + 1))
-        if total:
-            spare = d[1] * n1 + d[2] * n2 + d[3] * more
-            p = (np.maximum(count - d[np.minimum(count, 3).astype(int)], 0) + spare * p) / total
-        for level in range(2, m.order + 1):
-            gram, context = grams[-level:], gram_hashes(grams[-level:-1])
-            own, d = gram_hashes(gram), m.discounts(level)
-            (count,) = self._find(level, own, _dealt(gram, least, m.limit) if level == m.order else own, [0])
-            used, once, twice, more = self._find(level - 1, context, context, [1, 2, 3, 4])
+        p = np.full(grams.shape[1], 1 / (m.words.kinds + 1))
+        context = []
+        for level in range(1, m.order + 1):
+            gram, d = grams[-level:], m.discounts(level)
+            own = gram_hashes(gram)
+            if level < m.order:
+                count, *found = self._find(level, own, own, [0, 1, 2, 3, 4])
+            else:
+                (count,) = self._find(level, own, _dealt(gram, least, m.limit), [0])
             held = np.maximum(count - d[np.minimum(count, 3).astype(int)], 0)
-            spare = d[1] * once + d[2] * twice + d[3] * more
-            p = np.where(used > 0, (held + spare * p) / np.maximum(used, 1), p)
+            if level == 1:
+                n1, n2, _, _, more, total = m.tallies[1]
+                if total:
+                    p = (held + (d[1] * n1 + d[2] * n2 + d[3] * more) * p) / total
+            else:
+                used, once, twice, more = context
+                spare = d[1] * once + d[2] * twice + d[3] * more
+                p = np.where(used > 0, (held + spare * p) / np.maximum(used, 1), p)
+            if level < m.order:
+                if heads is None:
+                    before = gram_hashes(grams[-level - 1 : -1])
+                    context = self._find(level, before, before, [1, 2, 3, 4])
+                    continue
+                # A token's context is what ends at the token before, or the marks before a text.
+                marks = gram_hashes(np.full((level, 1), BEGIN))
+                context = [np.append(first, x[:-1]) for x, first in zip(found, self._find(level, marks, marks, [1, 2, 3, 4]))]
+                for x in context:
+                    x[heads] = x[0]
         return p
 
     def score(self, tokens: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -569,7 +585,7 @@ class Scorer:
         m = self.model
         numbers, counts = m.words.find(tokens, self.shelf)
         base = np.log10((counts + 1) / (m.words.tokens + (m.words.kinds + 1)))
-        p = self.chances(*_grams(numbers, counts, heads, m.order, m.begins))
+        p = self.chances(*_grams(numbers, counts, heads, m.order, m.begins), heads)
         return (
             np.add.reduceat((counts > 0).astype(np.int64), heads),
             np.add.reduceat(base, heads),

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import os
+import random
 
 import numpy as np
 import pytest
@@ -112,3 +113,37 @@ def test_grams_travel_as_differences(n, most):
     order = kneser_ney._in_order(grams[:, mixed])
     assert grams[:, mixed][:, order].tolist() == grams.tolist()
     assert kneser_ney.unpack_grams(kneser_ney.pack_grams(grams), 3).tolist() == grams.tolist()
+
+
+def test_one_search_serves_a_gram_and_the_context_of_the_next_token(spark, monkeypatch):
+    """The contexts of a text's tokens are looked up with the shorter n-grams that end before them."""
+    rng = random.Random(9)
+    rows = [(d, " ".join(rng.choice("abcdefg") for _ in range(rng.randint(0, 9)))) for d in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = kneser_ney.train(docs.filter("doc_id < 40"))
+    batch = kneser_ney.pa.RecordBatch.from_arrays([kneser_ney.pa.array([t for _, t in rows])], ["text"])
+    tokens, heads = kneser_ney._tokens(batch)
+    scorer, searched, find = kneser_ney.Scorer(model), [], kneser_ney.Table.find
+
+    def counted(table, keys):
+        searched.append(len(keys))
+        return find(table, keys)
+
+    grams = kneser_ney._grams(*model.words.find(tokens, scorer.shelf), heads, 3, model.begins)
+    monkeypatch.setattr(kneser_ney.Table, "find", counted)
+    p = scorer.chances(*grams)
+    every = sum(searched)
+    searched.clear()
+    got = scorer.score(tokens, heads)[2]
+    assert np.array_equal(np.add.reduceat(np.log10(p), heads), got)
+    assert sum(searched) < 0.9 * every
+
+
+def test_every_stored_hash_is_found_at_its_place():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 17, 5000):
+        keys = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        parts = kneser_ney.table_parts(keys, [np.ones(len(keys), np.int64)], 0)
+        table = kneser_ney.Table(np.concatenate([np.ascontiguousarray(p).view(np.uint8) for p in parts]))
+        assert np.array_equal(table.find(keys), np.arange(len(keys)))
+        assert (table.find(rng.integers(1 << 63, 1 << 64, 50, np.uint64)) == -1).all()
