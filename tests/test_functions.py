@@ -6,6 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from stayline.functions import dates
 from stayline.functions import cut, days_between, fixed, half_up, moment, parse_date_text, ratio
 from stayline.plans.churn import risk_segment
 from stayline.plans.marts import HIGH_VALUE, ONE_TIME, rfm_segment, revenue_at_risk, spend_tier
@@ -47,6 +48,17 @@ def test_dates_in_both_layouts(spark):
     assert column_of(spark, list(texts), "string", parse_date_text) == list(texts.values())
 
 
+def test_plain_dates_need_no_match_per_part(spark, monkeypatch):
+    monkeypatch.setattr(dates, "YEAR_FIRST_TEXT", "^none$")
+    texts = {
+        "2017-10-02 10:56:33": datetime(2017, 10, 2, 10, 56, 33),
+        " 2016-02-29 00:00:00 ": datetime(2016, 2, 29),
+        "2017-02-30 10:00:00": None,
+        "2017-10-02 25:00:00": None,
+    }
+    assert column_of(spark, list(texts), "string", dates.parse_date_text) == list(texts.values())
+
+
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
 def test_days_keep_fraction_and_sign(spark, zone):
     moments = ["2018-06-02 12:00:00", "2018-09-02 12:00:00", "2018-03-01 00:00:00", None]

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from stayline.sources import sinks, staging
 from stayline.sources.tables import (
     CSV_FILES,
+    NUMBER_COLUMNS,
+    PLAIN_NUMBER,
     date_quality,
     date_sample,
     read_csv_folder,
@@ -47,6 +49,22 @@ def test_line_breaks_inside_quotes(spark, tmp_path):
     ]
 
 
+def test_plain_and_other_numbers(spark, tmp_path):
+    """Plain numbers are cast as they stand, others through 38 digits: the same values and errors."""
+    path = tmp_path / "items.csv"
+    path.write_text("price,review_score\n12.3,7\n-0.05,-3\n1234567890123456.78,123456789\n1e2,2147483647\n 5.50 ,4.0\n.5,+2\n")
+    rows = typed(read_csv_text(spark, str(path))).collect()
+    assert {tuple(r) for r in rows} == {
+        (Decimal("12.30"), 7), (Decimal("-0.05"), -3), (Decimal("1234567890123456.78"), 123456789),
+        (Decimal("100.00"), 2147483647), (Decimal("5.50"), 4), (Decimal("0.50"), 2),
+    }
+    assert PLAIN_NUMBER.keys() == set(NUMBER_COLUMNS.values())
+    for line in ("1.005,1", "1,1.5"):
+        path.write_text(f"price,review_score\n{line}\n")
+        with pytest.raises(Exception, match="needs more digits"):
+            typed(read_csv_text(spark, str(path))).collect()
+
+
 def test_bad_number_is_an_error(spark, tmp_path):
     path = tmp_path / "items.csv"
     path.write_text("order_id,price\no1,cheap\n")
