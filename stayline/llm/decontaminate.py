@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.arrow import pieces, small_batches
+from stayline.llm.arrow import pieces, release, small_batches
 from stayline.llm.names import aside, back
 from stayline.llm.words import U64, chunks, flat, gram_hashes, spans, word_hashes
 from stayline.sources.staging import stage
@@ -134,10 +134,32 @@ class Space:
     other: float  # weight of words outside the vocabulary
     basis: np.ndarray | None = None
 
+    def __post_init__(self) -> None:
+        # Where the words with each value of the first bits begin; most of them have one word or none.
+        bits = min(20, (8 * len(self.vocabulary)).bit_length())
+        self._shift = U64(64 - bits)
+        self._begin = np.searchsorted(self.vocabulary >> self._shift, np.arange((1 << bits) + 1, dtype=U64))
+        self._most = int(np.diff(self._begin).max())
+        self._words = np.append(self.vocabulary, U64(0))
+
     def places(self, h: np.ndarray) -> np.ndarray:
         """Column of each word, -1 outside the vocabulary."""
-        at = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
-        return np.where(self.vocabulary[at] == h, at, -1)
+        at = self._begin[(h >> self._shift).astype(np.int64)]
+        for _ in range(self._most - 1):
+            at += (self._words[at] < h) & (at < len(self.vocabulary))
+        return np.where((self._words[at] == h) & (at < len(self.vocabulary)), at, -1)
+
+    @property
+    def triangle(self) -> np.ndarray:
+        """What a column adds to another, not smaller one to number the pairs of columns without gaps, in order."""
+        column = np.arange(len(self.vocabulary))
+        return column * len(column) - column * (column + 1) // 2
+
+    def spread(self, keys: np.ndarray) -> np.ndarray:
+        """column * columns + other column for numbers of pairs."""
+        triangle = self.triangle
+        column = np.searchsorted(triangle + np.arange(len(triangle)), keys, "right") - 1
+        return keys - triangle[column] + column * len(triangle)
 
     def passages(self, h: np.ndarray, cuts: np.ndarray, values: np.ndarray, at: np.ndarray | None = None):
         """(text, first word, unit-length sum of ``values`` over the words) of all passages; ``at``: places(h)."""
@@ -175,7 +197,7 @@ class Space:
     def pairs(self, h: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
         """A^T A for the passages A of some texts, before the weights of columns, and the number of passages.
 
-        Keys (column * columns + other column, not smaller), values to add to both orders of the pair.
+        Numbers of pairs (see ``triangle``), values to add to both orders of the pair.
         """
         if len(h) == 0:
             return np.zeros(0, np.int64), np.zeros(0), 0
@@ -193,20 +215,21 @@ class Space:
         whole = own + np.where(place > 0, np.append(0, own[:-1]), 0)
         known = np.flatnonzero(at >= 0)
         column = at[known]
-        block = np.repeat(np.arange(len(row)), np.diff(np.append(begin, len(h))))[known]
-        keys, values = [column * len(self.vocabulary) + column], [whole[block] / 2]
-        left = np.arange(len(known))
+        edge = np.searchsorted(known, np.append(begin, len(h)))
+        number = np.diff(edge)
+        # Known words from each one to the end of its block, and of the passage that begins there.
+        inside = (np.repeat(edge[1:], number) - np.arange(len(known))).astype(np.int8)
+        room = inside + np.repeat(np.where(more, np.append(number[1:], 0), 0), number).astype(np.int8)
+        own, whole = np.repeat(own, number), np.repeat(whole, number)
+        triangle = self.triangle
+        keys, values = [triangle[column] + column], [whole / 2]
         for step in range(1, 2 * STRIDE):
-            left = left[left + step < len(known)]
-            a, b = block[left], block[left + step]
-            # Words of one block or of a passage's two blocks.
-            near = (b == a) | ((b == a + 1) & (row[b] == row[a]))
-            left, a, b = left[near], a[near], b[near]
+            left = np.flatnonzero(room > step)
             if len(left) == 0:
                 break
             one, other = column[left], column[left + step]
-            keys.append(np.minimum(one, other) * len(self.vocabulary) + np.maximum(one, other))
-            values.append(np.where(a == b, whole[a], own[a]))
+            keys.append(triangle[np.minimum(one, other)] + np.maximum(one, other))
+            values.append(np.where(inside[left] > step, whole[left], own[left]))
         return np.concatenate(keys), np.concatenate(values), int(start.sum())
 
     def gram(self, h: np.ndarray, cuts: np.ndarray, test: np.ndarray) -> tuple[np.ndarray, int]:
@@ -264,14 +287,14 @@ def _weights(docs: DataFrame, vocabulary: np.ndarray) -> Space:
 
 
 class Sums:
-    """Sums of values by key; keys below ``n``, in a table where that is small.
+    """Sums of values by key; keys below ``n``, in a table where that takes no more than the slots.
 
     Else the first keys that come, mostly the frequent ones, get a slot each by hash;
     the others, whose slot is taken, are kept sorted.
     """
 
     def __init__(self, n: int):
-        self.direct = n <= SMALL
+        self.direct = n <= 2 * SMALL
         self.bits = max(1, SMALL.bit_length() - 1)
         self.table = np.zeros(n if self.direct else 1 << self.bits)
         self.owner = None if self.direct else np.zeros(1 << self.bits, np.int64)  # key + 1
@@ -317,45 +340,56 @@ class Sums:
 
 
 def _corpus_gram(docs: DataFrame, space: Space) -> DataFrame:
-    """A^T A for the passages A of all documents: rows of keys and values as ``Space.pairs`` gives them, and passages n.
+    """A^T A for the passages A of all documents: rows of keys and values, and passages n.
 
-    The keys of a row lie in one band of columns, and no key is in two rows.
+    A key is column * columns + other column, not smaller; its value is to be added to both orders of the
+    pair. The keys of a row lie in one band of columns, and no key is in two rows.
     """
     columns = len(space.vocabulary)
-    width = columns * min(BAND, max(1, SMALL // columns))
+    width = min(BAND, max(1, SMALL // columns))
     shared = docs.sparkSession.sparkContext.broadcast(space)
     names = ["band", "keys", "sums", "n"]
-
-    def rows(keys: np.ndarray, values: np.ndarray, n: int) -> pa.RecordBatch:
-        bands, first = np.unique(keys // width, return_index=True)
-        cuts = [*first.tolist(), len(keys)]
-        packs = [(keys[a:b].tobytes(), values[a:b].astype(np.float32).tobytes()) for a, b in zip(cuts, cuts[1:])]
-        number = np.zeros(len(bands) + 1, np.int64)
-        number[-1] = n  # the passages travel beside the pairs, in a band of their own
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.append(bands, -1).astype(np.int32)), pa.array([*(k for k, _ in packs), b""], pa.binary()),
-             pa.array([*(v for _, v in packs), b""], pa.binary()), pa.array(number)], names
+    pairs = columns * (columns + 1) // 2
+
+    def rows(sums: Sums, n: int, full: bool) -> Iterator[pa.RecordBatch]:
+        """A row per band, some at a time; ``full``: with keys as they are wanted, else with the numbers of pairs."""
+        keys, values = sums.found()
+        edges = np.searchsorted(keys, np.append((shared.value.triangle + np.arange(columns))[::width], pairs))
+        for a in range(0, len(edges) - 1, 8):
+            some = [b for b in range(a, min(a + 8, len(edges) - 1)) if edges[b] < edges[b + 1]]
+            packs = [keys[edges[b] : edges[b + 1]] for b in some]
+            packs = [(shared.value.spread(k) if full else k).tobytes() for k in packs]
+            added = [values[edges[b] : edges[b + 1]].astype(np.float32).tobytes() for b in some]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some, pa.int32()), pa.array(packs, pa.binary()), pa.array(added, pa.binary()),
+                 pa.array([0] * len(some), pa.int64())], names
+            )
+        # The passages travel beside the pairs, in a band of their own.
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([-1], pa.int32()), *(pa.array([b""], pa.binary()),) * 2, pa.array([n], pa.int64())], names
         )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, n = Sums(columns * columns), 0
+        sums, n = Sums(pairs), 0
         for batch in pieces(batches, "text"):
             data, offs = flat(batch.column("text"))
             for _, _, part, cut in chunks(data, offs, PAIR_BYTES):
                 keys, values, more = shared.value.pairs(*_words(part, cut))
                 n += more
                 if sums.add(keys, values) > SMALL:
-                    yield rows(*sums.found(), n)
-                    sums, n = Sums(columns * columns), 0
-        yield rows(*sums.found(), n)
+                    yield from rows(sums, n, False)
+                    sums, n = Sums(pairs), 0
+        yield from rows(sums, n, False)
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, n = Sums(columns * columns), 0
+        sums, n = Sums(pairs), 0
         for batch in batches:
             for keys, values, more in zip(*(batch.column(c).to_pylist() for c in names[1:])):
                 sums.add(np.frombuffer(keys, np.int64), np.frombuffer(values, np.float32))
                 n += more
-        yield rows(*sums.found(), n)
+        yield from rows(sums, n, True)
+        sums = None
+        release()
 
     schema = "band int, keys binary, sums binary, n long"
     counted = docs.select("text").mapInArrow(count, schema)

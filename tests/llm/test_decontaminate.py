@@ -208,3 +208,45 @@ def test_sums_of_many_kinds_of_pairs_are_not_sorted_again_and_again(monkeypatch)
     keys, values = sums.found()
     assert keys.tolist() == sorted(want)
     assert np.allclose(values, [want[k] for k in keys.tolist()])
+
+
+def test_places_are_those_of_a_search():
+    rng = np.random.default_rng(6)
+    some = rng.integers(0, 1 << 64, 700, dtype=np.uint64)
+    near = (np.uint64(1) << np.uint64(60)) + rng.integers(0, 5000, 300, dtype=np.uint64)  # with equal first bits
+    ends = np.array([0, (1 << 64) - 1], np.uint64)
+    for vocabulary in (some, near, np.concatenate([some, near, ends]), some[:1], some[:0], ends):
+        vocabulary = np.unique(vocabulary)
+        space = decontaminate.Space(vocabulary, np.ones(len(vocabulary)), 1.0)
+        h = np.concatenate([some, near, near + np.uint64(1), ends, rng.integers(0, 1 << 64, 500, dtype=np.uint64)])
+        column = {v: i for i, v in enumerate(vocabulary.tolist())}
+        assert space.places(h).tolist() == [column.get(x, -1) for x in h.tolist()]
+
+
+def test_pairs_of_passages_are_numbered_without_gaps():
+    """A benchmark of some thousand words has a number for each pair in a table no larger than the slots."""
+    rng = np.random.default_rng(7)
+    vocabulary = np.unique(rng.integers(0, 1 << 64, 40, dtype=np.uint64))
+    space = decontaminate.Space(vocabulary, rng.random(len(vocabulary)) + 1, 3.0)
+    other = rng.integers(0, 1 << 64, 30, dtype=np.uint64)
+    sizes = [0, 1, 11, 12, 13, 24, 25, 36, 37, 200, 0, 5]
+    h, cuts = rng.choice(np.concatenate([vocabulary, other]), sum(sizes)), np.concatenate([[0], np.cumsum(sizes)])
+    want = np.zeros((len(vocabulary),) * 2)
+    passages = 0
+    for a, n in zip(cuts, sizes):
+        for begin in range(0, max(n - 12, min(n, 1)), 12):
+            passage = space.places(h[a + begin : a + min(begin + 24, n)])
+            length = np.where(passage >= 0, space.weight[passage], space.other)
+            times = np.bincount(passage[passage >= 0], minlength=len(vocabulary))
+            want += np.outer(times, times) / (length**2).sum()
+            passages += 1
+    keys, values, n = space.pairs(h, cuts)
+    every = np.arange(len(vocabulary) * (len(vocabulary) + 1) // 2)
+    assert n == passages and keys.min() >= 0 and keys.max() <= every[-1]
+    a, b = np.divmod(space.spread(keys), len(vocabulary))
+    got = np.zeros_like(want)
+    np.add.at(got, (a, b), values)
+    np.add.at(got, (b, a), values)
+    assert np.allclose(got, want)
+    assert np.all(np.diff(space.spread(every)) > 0) and (a <= b).all()
+    assert decontaminate.Sums(3905 * 3906 // 2).direct
